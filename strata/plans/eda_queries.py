@@ -1 +1,506 @@
-"""Queries (filled in below)."""
+"""Queries over the ``passengers`` binding: scans, projections, filters,
+scalar columns and the grouped statistics of the exploratory analysis.
+
+The analysis runs on the training rows (md5 hash split, 80 %) with the
+derived columns title, family_size and level_cabin."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strata.functions.scalars import NO_CABIN, abs_value, percent_of
+from strata.operators import stats
+from strata.operators.enrich import enrich
+from strata.operators.split import split_train_test
+from strata.plans.registry import query
+from strata.plans.sql import PASSENGERS_CTE, SPLIT_CTE, TEST_CTE, TRAIN_CTE, with_
+from strata.sources.tables import passengers
+
+TRAIN = with_(PASSENGERS_CTE, SPLIT_CTE, TRAIN_CTE)
+TEST = with_(PASSENGERS_CTE, SPLIT_CTE, TEST_CTE)
+BASE_COLS = ["passenger_id", "survived", "pclass", "name", "sex", "age", "sibsp", "parch",
+             "fare", "cabin", "embarked"]
+
+
+def train_rows(spark, sf_dir):
+    tr, _ = split_train_test(passengers(spark, sf_dir), "passenger_id")
+    return enrich(tr)
+
+
+def test_rows(spark, sf_dir):
+    _, te = split_train_test(passengers(spark, sf_dir), "passenger_id")
+    return enrich(te)
+
+
+# ------------------------------------------------------------ scans, sinks
+
+@query("read_passengers", with_(PASSENGERS_CTE) + "SELECT * FROM passengers")
+def q_read_passengers(spark, sf_dir):
+    return passengers(spark, sf_dir)
+
+
+@query("read_scoring_set", TEST + """
+SELECT passenger_id, pclass, name, sex, age, sibsp, parch, fare, cabin, embarked FROM test
+""")
+def q_read_scoring_set(spark, sf_dir):
+    """The held-out rows as a scoring set: every column but the label."""
+    return test_rows(spark, sf_dir).select(*[c for c in BASE_COLS if c != "survived"])
+
+
+@query("split_train_test", with_(PASSENGERS_CTE, SPLIT_CTE) + """
+SELECT is_train, CAST(count(*) AS BIGINT) AS n, CAST(sum(survived) AS BIGINT) AS n_survived
+FROM split GROUP BY is_train
+""")
+def q_split_train_test(spark, sf_dir):
+    from strata.operators.split import train_flag
+    p = passengers(spark, sf_dir).withColumn("is_train", train_flag("passenger_id"))
+    return p.groupBy("is_train").agg(F.count(F.lit(1)).alias("n"),
+                                     F.sum("survived").cast("bigint").alias("n_survived"))
+
+
+@query("table_profile", TRAIN + """
+SELECT CAST(count(*) AS BIGINT) AS n_rows,
+  """ + ",\n  ".join(f"CAST(count({c}) AS BIGINT) AS nn_{c}" for c in BASE_COLS) + """
+FROM train
+""")
+def q_table_profile(spark, sf_dir):
+    """Row count and per-column non-null counts in a single aggregate."""
+    t = train_rows(spark, sf_dir)
+    return t.agg(F.count(F.lit(1)).alias("n_rows"),
+                 *[F.count(F.col(c)).alias(f"nn_{c}") for c in BASE_COLS])
+
+
+@query("preview", TRAIN + """
+SELECT passenger_id, survived, pclass, name, sex, age FROM train
+ORDER BY passenger_id LIMIT 5
+""")
+def q_preview(spark, sf_dir):
+    """First rows by key (the limit is the feature: a top-k by id)."""
+    return (train_rows(spark, sf_dir).orderBy("passenger_id").limit(5)
+            .select("passenger_id", "survived", "pclass", "name", "sex", "age"))
+
+
+# ---------------------------------------------- projection, filter, assign
+
+@query("project_columns", TRAIN + "SELECT survived, passenger_id FROM train")
+def q_project_columns(spark, sf_dir):
+    return train_rows(spark, sf_dir).select("survived", "passenger_id")
+
+
+@query("drop_columns", TRAIN + """
+SELECT passenger_id, pclass, name, sex, age, sibsp, parch, fare, cabin, embarked FROM train
+""")
+def q_drop_columns(spark, sf_dir):
+    return train_rows(spark, sf_dir).drop("survived", "title", "family_size", "level_cabin")
+
+
+@query("filter_equality", TRAIN + "SELECT passenger_id, survived, sex FROM train WHERE pclass = 1")
+def q_filter_equality(spark, sf_dir):
+    return (train_rows(spark, sf_dir).where(F.col("pclass") == 1)
+            .select("passenger_id", "survived", "sex"))
+
+
+@query("filter_null", TRAIN + "SELECT passenger_id, pclass FROM train WHERE age IS NULL")
+def q_filter_null(spark, sf_dir):
+    return train_rows(spark, sf_dir).where(F.col("age").isNull()).select("passenger_id", "pclass")
+
+
+@query("drop_null_rows", TRAIN + """
+SELECT passenger_id, age, embarked FROM train WHERE age IS NOT NULL AND embarked IS NOT NULL
+""")
+def q_drop_null_rows(spark, sf_dir):
+    return (train_rows(spark, sf_dir).select("passenger_id", "age", "embarked")
+            .na.drop(subset=["age", "embarked"]))
+
+
+@query("drop_null_columns", TRAIN + """
+SELECT passenger_id, survived, pclass, name, sex, sibsp, parch, fare FROM train
+""")
+def q_drop_null_columns(spark, sf_dir):
+    """Drop every column that holds a null (null counts: one aggregate)."""
+    t = train_rows(spark, sf_dir).select(*BASE_COLS)
+    counts = t.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in BASE_COLS]).first()
+    return t.drop(*[c for c in BASE_COLS if counts[c] > 0])
+
+
+@query("fill_constant", TRAIN + f"""
+SELECT passenger_id, COALESCE(cabin, '{NO_CABIN}') AS cabin FROM train
+""")
+def q_fill_constant(spark, sf_dir):
+    t = train_rows(spark, sf_dir)
+    return t.select("passenger_id", F.coalesce("cabin", F.lit(NO_CABIN)).alias("cabin"))
+
+
+@query("fill_mean", TRAIN + """
+SELECT passenger_id, COALESCE(age, (SELECT avg(age) FROM train)) AS age FROM train
+""")
+def q_fill_mean(spark, sf_dir):
+    """Null age -> mean age (a scalar subquery, evaluated once)."""
+    t = train_rows(spark, sf_dir)
+    mean_age = t.select(F.avg("age")).scalar()
+    return t.select("passenger_id", F.coalesce(F.col("age"), mean_age).alias("age"))
+
+
+@query("derive_sum", TRAIN + "SELECT passenger_id, sibsp + parch AS family_size FROM train")
+def q_derive_sum(spark, sf_dir):
+    return train_rows(spark, sf_dir).select("passenger_id", "family_size")
+
+
+@query("rename_columns", TRAIN + """
+SELECT passenger_id AS "PassengerId", survived AS "Survived", pclass AS "Pclass" FROM train
+""")
+def q_rename_columns(spark, sf_dir):
+    return (train_rows(spark, sf_dir).select("passenger_id", "survived", "pclass")
+            .withColumnsRenamed({"passenger_id": "PassengerId", "survived": "Survived",
+                                 "pclass": "Pclass"}))
+
+
+# ----------------------------------------------------------------- scalars
+
+@query("extract_title", with_(PASSENGERS_CTE) + """
+SELECT passenger_id, NULLIF(split_part(split_part(name, ', ', 2), '.', 1), '') AS title
+FROM passengers
+""")
+def q_extract_title(spark, sf_dir):
+    return enrich(passengers(spark, sf_dir)).select("passenger_id", "title")
+
+
+@query("cabin_level", with_(PASSENGERS_CTE) + f"""
+SELECT passenger_id, COALESCE(NULLIF(substr(cabin, 1, 1), ''), '{NO_CABIN}') AS level_cabin
+FROM passengers
+""")
+def q_cabin_level(spark, sf_dir):
+    return enrich(passengers(spark, sf_dir)).select("passenger_id", "level_cabin")
+
+
+@query("percent_of", TRAIN + """
+SELECT pclass, CAST(sum(survived) AS DOUBLE) / NULLIF(CAST(count(*) AS DOUBLE), 0)
+               * CAST(100.0 AS DOUBLE) AS pct_survived
+FROM train GROUP BY pclass
+""")
+def q_percent_of(spark, sf_dir):
+    t = train_rows(spark, sf_dir)
+    return t.groupBy("pclass").agg(percent_of(F.sum("survived"), F.count(F.lit(1)))
+                                   .alias("pct_survived"))
+
+
+# --------------------------------------------------------- join-shaped steps
+
+@query("align_label", TRAIN + "SELECT passenger_id, pclass, fare, survived FROM train")
+def q_align_label(spark, sf_dir):
+    """Features and label glued on the key (never on row position)."""
+    t = train_rows(spark, sf_dir)
+    x = t.select("passenger_id", "pclass", "fare")
+    y = t.select("passenger_id", "survived")
+    return x.join(y, "passenger_id")
+
+
+@query("broadcast_total", TRAIN + """
+SELECT title, CAST(count(*) AS BIGINT) AS n,
+       CAST(count(*) AS DOUBLE) / CAST((SELECT count(*) FROM train) AS DOUBLE)
+       * CAST(100.0 AS DOUBLE) AS pct_of_all
+FROM train GROUP BY title
+""")
+def q_broadcast_total(spark, sf_dir):
+    """A global total used inside each group (scalar subquery, no join)."""
+    t = train_rows(spark, sf_dir)
+    total = t.select(F.count(F.lit(1))).scalar()
+    return t.groupBy("title").agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.count(F.lit(1)).cast("double") / total.cast("double") * 100.0).alias("pct_of_all"))
+
+
+# ------------------------------------------------------------- aggregates
+
+@query("nunique_by_group", TRAIN + """
+SELECT survived, CAST(count(DISTINCT passenger_id) AS BIGINT) AS n_passengers
+FROM train GROUP BY survived
+""")
+def q_nunique_by_group(spark, sf_dir):
+    return (train_rows(spark, sf_dir).groupBy("survived")
+            .agg(F.count_distinct("passenger_id").alias("n_passengers")))
+
+
+@query("nunique_global", TRAIN + """
+SELECT CAST(count(DISTINCT passenger_id) AS BIGINT) AS n_passengers FROM train WHERE pclass = 1
+""")
+def q_nunique_global(spark, sf_dir):
+    return (train_rows(spark, sf_dir).where(F.col("pclass") == 1)
+            .agg(F.count_distinct("passenger_id").alias("n_passengers")))
+
+
+@query("distinct_values", TRAIN + "SELECT DISTINCT title FROM train")
+def q_distinct_values(spark, sf_dir):
+    return train_rows(spark, sf_dir).select("title").distinct()
+
+
+@query("class_survival_share", TRAIN + """
+, fc AS (SELECT survived, passenger_id FROM train WHERE pclass = 1)
+SELECT survived,
+       CAST(count(DISTINCT passenger_id) AS DOUBLE)
+       / CAST((SELECT count(DISTINCT passenger_id) FROM fc) AS DOUBLE) * CAST(100.0 AS DOUBLE)
+       AS pct_of_class
+FROM fc GROUP BY survived
+""")
+def q_class_survival_share(spark, sf_dir):
+    """Percentage of first-class passengers by outcome."""
+    fc = train_rows(spark, sf_dir).where(F.col("pclass") == 1).select("survived", "passenger_id")
+    total = fc.select(F.count_distinct("passenger_id")).scalar()
+    return fc.groupBy("survived").agg(
+        (F.count_distinct("passenger_id").cast("double") / total.cast("double") * 100.0)
+        .alias("pct_of_class"))
+
+
+@query("count_by_keys", TRAIN + """
+SELECT pclass, sex, CAST(count(passenger_id) AS BIGINT) AS n FROM train GROUP BY pclass, sex
+""")
+def q_count_by_keys(spark, sf_dir):
+    return stats.count_by_keys(train_rows(spark, sf_dir), ["pclass", "sex"], "passenger_id")
+
+
+@query("mean_age_by", TRAIN + """
+SELECT survived, sex, avg(age) AS mean_age FROM train GROUP BY survived, sex
+""")
+def q_mean_age_by(spark, sf_dir):
+    return stats.grouped_mean(train_rows(spark, sf_dir), ["survived", "sex"], "age", "mean_age")
+
+
+@query("mean_fare_by", TRAIN + """
+SELECT survived, sex, pclass,
+       CAST(sum(CAST(fare AS DECIMAL(18,4))) AS DOUBLE) / count(fare) AS mean_fare
+FROM train GROUP BY survived, sex, pclass
+""")
+def q_mean_fare_by(spark, sf_dir):
+    return stats.grouped_mean(train_rows(spark, sf_dir), ["survived", "sex", "pclass"], "fare",
+                              "mean_fare", exact_scale=4)
+
+
+@query("survival_rate_by", TRAIN + """
+SELECT title, avg(survived) AS rate FROM train GROUP BY title
+""")
+def q_survival_rate_by(spark, sf_dir):
+    return stats.grouped_mean(train_rows(spark, sf_dir), ["title"], "survived", "rate")
+
+
+SURVIVAL_SETS = [["title"], ["title", "pclass"], ["family_size"], ["family_size", "pclass"],
+                 ["family_size", "sex"], ["parch"], ["parch", "sex"], ["sibsp"],
+                 ["sibsp", "sex"], ["level_cabin"], ["level_cabin", "pclass"]]
+
+
+def _sets_sql():
+    cols = sorted({k for s in SURVIVAL_SETS for k in s})
+    label = "CASE " + " ".join(
+        f"WHEN {' AND '.join(f'GROUPING({c}) = {0 if c in s else 1}' for c in cols)} "
+        f"THEN '{','.join(s)}'" for s in SURVIVAL_SETS) + " END"
+    sets = ", ".join("(" + ", ".join(s) + ")" for s in SURVIVAL_SETS)
+    return TRAIN + f"""
+SELECT {', '.join(cols)}, avg(survived) AS rate, CAST(count(survived) AS BIGINT) AS n,
+       {label} AS grouping_set
+FROM train GROUP BY GROUPING SETS ({sets})
+"""
+
+
+@query("survival_rate_sets", _sets_sql())
+def q_survival_rate_sets(spark, sf_dir):
+    """Eleven survival-rate breakdowns in one scan (GROUPING SETS)."""
+    return stats.grouping_sets_mean(train_rows(spark, sf_dir), SURVIVAL_SETS, "survived")
+
+
+@query("multi_agg", TRAIN + """
+SELECT title, avg(survived) AS mean, CAST(count(survived) AS BIGINT) AS count
+FROM train GROUP BY title
+""")
+def q_multi_agg(spark, sf_dir):
+    return stats.mean_and_count(train_rows(spark, sf_dir), "title", "survived")
+
+
+@query("weighted_survival", TRAIN + """
+SELECT title, CAST(sum(survived) AS DOUBLE) * CAST(count(survived) AS DOUBLE)
+              / CAST((SELECT count(survived) FROM train) AS DOUBLE) * CAST(100.0 AS DOUBLE)
+              AS weighted_rate
+FROM train GROUP BY title
+""")
+def q_weighted_survival(spark, sf_dir):
+    return stats.weighted_rate(train_rows(spark, sf_dir), "title", "survived")
+
+
+def _box_sql(value: str) -> str:
+    return TRAIN + f"""
+, q AS (
+  SELECT pclass, survived, sex, count(*) AS n,
+         round(quantile_cont({value}, 0.25), 9) AS q1,
+         round(quantile_cont({value}, 0.5), 9) AS median,
+         round(quantile_cont({value}, 0.75), 9) AS q3
+  FROM train WHERE {value} IS NOT NULL GROUP BY pclass, survived, sex),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+SELECT f.pclass, f.survived, f.sex, CAST(f.n AS BIGINT) AS n, f.q1, f.median, f.q3,
+       min(CASE WHEN t.{value} BETWEEN f.lo AND f.hi THEN t.{value} END) AS whisker_low,
+       max(CASE WHEN t.{value} BETWEEN f.lo AND f.hi THEN t.{value} END) AS whisker_high,
+       CAST(count(CASE WHEN t.{value} < f.lo OR t.{value} > f.hi THEN 1 END) AS BIGINT)
+           AS n_outliers
+FROM train t JOIN f ON t.pclass = f.pclass AND t.survived = f.survived AND t.sex = f.sex
+WHERE t.{value} IS NOT NULL
+GROUP BY f.pclass, f.survived, f.sex, f.n, f.q1, f.median, f.q3
+"""
+
+
+@query("box_stats", _box_sql("age"))
+def q_box_stats(spark, sf_dir):
+    """Age box-plot numbers by class x outcome x sex."""
+    return stats.box_stats(train_rows(spark, sf_dir), ["pclass", "survived", "sex"], "age")
+
+
+@query("box_stats_fare", _box_sql("fare"))
+def q_box_stats_fare(spark, sf_dir):
+    """Fare box-plot numbers by class x outcome x sex."""
+    return stats.box_stats(train_rows(spark, sf_dir), ["pclass", "survived", "sex"], "fare")
+
+
+@query("histogram_bins", TRAIN + """
+, mm AS (SELECT min(fare) AS mn, max(fare) AS mx FROM train),
+b AS (SELECT CAST(LEAST(COALESCE(FLOOR((fare - mn) / NULLIF((mx - mn) / 10.0, 0)), 0), 9)
+                 AS INTEGER) AS bin
+      FROM train, mm WHERE fare IS NOT NULL)
+SELECT bin, CAST(count(*) AS BIGINT) AS n FROM b GROUP BY bin
+""")
+def q_histogram_bins(spark, sf_dir):
+    """Ten equal-width fare bins (the numbers under the histogram)."""
+    return stats.histogram(train_rows(spark, sf_dir), "fare", 10).select("bin", "n")
+
+
+@query("median_value", TRAIN + """
+SELECT CAST(count(age) AS BIGINT) AS n, round(quantile_cont(age, 0.5), 9) AS median FROM train
+""")
+def q_median_value(spark, sf_dir):
+    return stats.median_of(train_rows(spark, sf_dir), "age")
+
+
+@query("quantiles_by_group", TRAIN + """
+SELECT pclass, CAST(count(fare) AS BIGINT) AS n,
+       round(quantile_cont(fare, 0.1), 9) AS q_10, round(quantile_cont(fare, 0.5), 9) AS q_50,
+       round(quantile_cont(fare, 0.9), 9) AS q_90
+FROM train GROUP BY pclass
+""")
+def q_quantiles_by_group(spark, sf_dir):
+    return stats.quantiles(train_rows(spark, sf_dir), ["pclass"], "fare", [0.1, 0.5, 0.9])
+
+
+@query("mode_value", TRAIN + """
+, c AS (SELECT embarked, count(*) AS n FROM train WHERE embarked IS NOT NULL GROUP BY embarked)
+SELECT embarked AS mode, CAST(n AS BIGINT) AS mode_count FROM c
+ORDER BY n DESC, embarked ASC LIMIT 1
+""")
+def q_mode_value(spark, sf_dir):
+    """Most frequent port (smallest on ties)."""
+    return stats.mode_of(train_rows(spark, sf_dir), "embarked")
+
+
+@query("mode_by_group", TRAIN + """
+, c AS (SELECT pclass, title, count(*) AS n FROM train WHERE title IS NOT NULL
+        GROUP BY pclass, title),
+r AS (SELECT *, row_number() OVER (PARTITION BY pclass ORDER BY n DESC, title ASC) AS rn FROM c)
+SELECT pclass, title AS mode, CAST(n AS BIGINT) AS mode_count FROM r WHERE rn = 1
+""")
+def q_mode_by_group(spark, sf_dir):
+    return stats.mode_of(train_rows(spark, sf_dir), "title", ["pclass"])
+
+
+EDA_NUMERIC = ["survived", "pclass", "age", "fare", "sibsp", "parch", "family_size"]
+
+
+def _corr_sql(pairs):
+    sel = " UNION ALL ".join(
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 9) AS r FROM train"
+        for a, b in pairs)
+    return TRAIN + sel
+
+
+@query("corr_pairs", _corr_sql([(a, b) for i, a in enumerate(EDA_NUMERIC)
+                                for b in EDA_NUMERIC[i + 1:]]))
+def q_corr_pairs(spark, sf_dir):
+    """Pearson matrix (upper triangle, long form) in one aggregate."""
+    return stats.corr_pairs(train_rows(spark, sf_dir), EDA_NUMERIC)
+
+
+@query("corr_with_label", _corr_sql([(a, "survived") for a in EDA_NUMERIC[1:]]))
+def q_corr_with_label(spark, sf_dir):
+    return stats.corr_pairs(train_rows(spark, sf_dir), EDA_NUMERIC[1:], with_col="survived")
+
+
+@query("abs_value", TRAIN + " SELECT col_a, abs(r) AS abs_r FROM (" + " UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, round(corr({a}, survived), 9) AS r FROM train"
+    for a in EDA_NUMERIC[1:]) + ")")
+def q_abs_value(spark, sf_dir):
+    c = stats.corr_pairs(train_rows(spark, sf_dir), EDA_NUMERIC[1:], with_col="survived")
+    return c.select("col_a", abs_value(F.col("r")).alias("abs_r"))
+
+
+# ------------------------------------------------------------ shares, pivots
+
+SHARES_SQL = TRAIN + """
+, g AS (SELECT pclass, sex, survived, count(passenger_id) AS n FROM train
+        GROUP BY pclass, sex, survived)
+SELECT pclass, sex, survived, CAST(n AS BIGINT) AS n,
+       CAST(sum(n) OVER (PARTITION BY survived) AS BIGINT) AS total_label,
+       CAST(n AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY survived) AS DOUBLE)
+           * CAST(100.0 AS DOUBLE) AS pct_label,
+       CAST(sum(n) OVER (PARTITION BY sex) AS BIGINT) AS total_sex,
+       CAST(n AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY sex) AS DOUBLE)
+           * CAST(100.0 AS DOUBLE) AS pct_sex
+FROM g
+"""
+
+
+def _shares(spark, sf_dir):
+    counts = stats.count_by_keys(train_rows(spark, sf_dir), ["pclass", "sex", "survived"],
+                                 "passenger_id")
+    return stats.shares_of_totals(counts, "n", {"label": ["survived"], "sex": ["sex"]})
+
+
+@query("share_of_label_total", SHARES_SQL)
+def q_share_of_label_total(spark, sf_dir):
+    """Share of each (class, sex) cell within its outcome (window over groups)."""
+    return _shares(spark, sf_dir)
+
+
+@query("share_of_sex_total", TRAIN + """
+, g AS (SELECT pclass, sex, survived, count(passenger_id) AS n FROM train
+        GROUP BY pclass, sex, survived)
+SELECT sex, survived, pclass,
+       CAST(n AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY sex) AS DOUBLE)
+           * CAST(100.0 AS DOUBLE) AS pct_sex
+FROM g
+""")
+def q_share_of_sex_total(spark, sf_dir):
+    return _shares(spark, sf_dir).select("sex", "survived", "pclass", "pct_sex")
+
+
+@query("pivot_mean", TRAIN + """
+SELECT survived, avg(CASE WHEN pclass = 1 THEN age END) AS "1",
+       avg(CASE WHEN pclass = 2 THEN age END) AS "2", avg(CASE WHEN pclass = 3 THEN age END) AS "3"
+FROM train GROUP BY survived
+""")
+def q_pivot_mean(spark, sf_dir):
+    """Mean age, outcome x class (unstacked)."""
+    return stats.pivot_agg(train_rows(spark, sf_dir), "survived", "pclass", [1, 2, 3], "mean", "age")
+
+
+@query("pivot_count", TRAIN + """
+SELECT survived, """ + ", ".join(
+    f'CAST(NULLIF(count(CASE WHEN sibsp = {i} THEN passenger_id END), 0) AS BIGINT) AS "{i}"'
+    for i in range(9)) + """
+FROM train GROUP BY survived
+""")
+def q_pivot_count(spark, sf_dir):
+    """Passenger counts, outcome x siblings (unstacked; empty cell NULL)."""
+    return stats.pivot_agg(train_rows(spark, sf_dir), "survived", "sibsp", list(range(9)),
+                           "count", "passenger_id")
+
+
+@query("sorted_groups", TRAIN + """
+SELECT pclass, avg(survived) AS rate FROM train GROUP BY pclass ORDER BY pclass
+""")
+def q_sorted_groups(spark, sf_dir):
+    """Grouped output ordered by key, at the presentation edge only."""
+    return (stats.grouped_mean(train_rows(spark, sf_dir), ["pclass"], "survived", "rate")
+            .orderBy("pclass"))

@@ -19,11 +19,14 @@ import duckdb  # noqa: E402
 from strata.sources.tables import TABLES  # noqa: E402
 
 
+STRICT = os.environ.get("STRICT") == "1"
+
+
 def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.6g}")
+        return v if STRICT else float(f"{v:.6g}")
     if hasattr(v, "isoformat"):
         return v.isoformat()[:10] if type(v).__name__ == "date" else v.isoformat()
     if isinstance(v, (list, tuple)):
