@@ -1 +1,468 @@
-"""Queries (filled in below)."""
+"""Model and evaluation queries.
+
+Two kinds of predictor are evaluated:
+
+* group-rate rules (fitted on train by a grouped mean, applied to held-out
+  rows by a join): their predictions, confusion cells, metrics, Poisson
+  bootstrap and intervals are all SQL-expressible and carry an oracle;
+* Spark ML models (logistic, tree, forest, GLM inference), which carry none.
+"""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata.operators import evaluate as ev
+from strata.operators import models as M
+from strata.operators.bootstrap import bootstrap_logreg
+from strata.operators.features import SUBSET_11, SUBSET_17, present
+from strata.operators.split import fold_column
+from strata.plans.eda_queries import test_rows, train_rows
+from strata.plans.feature_queries import test_features, train_features
+from strata.plans.registry import query
+from strata.plans.sql import PASSENGERS_CTE, SPLIT_CTE, TEST_CTE, TRAIN_CTE, with_
+
+BOOT_B = 1000
+BOOT_SEED = 7
+
+# ------------------------------------------------------ group-rate rules
+
+
+def rule_predictions(spark, sf_dir, key: str = "title"):
+    """Predict 1 where the training survival rate of the row's group exceeds
+    the overall training rate (unknown group -> overall rate -> 0)."""
+    train = train_rows(spark, sf_dir)
+    rates = train.groupBy(key).agg(F.avg("survived").alias("_rate"))
+    overall = train.select(F.avg("survived")).scalar()
+    test = test_rows(spark, sf_dir).select("passenger_id", "survived", key)
+    j = test.join(rates, key, "left")
+    return j.select("passenger_id", "survived",
+                    F.when(F.coalesce(F.col("_rate"), overall) > overall, F.lit(1))
+                    .otherwise(F.lit(0)).alias("prediction"))
+
+
+def _rule_cte(key: str, name: str) -> str:
+    return f"""
+{name}_rates AS (SELECT {key}, avg(survived) AS rate FROM train GROUP BY {key}),
+{name}_pred AS (
+  SELECT t.passenger_id, t.survived,
+         CASE WHEN COALESCE(r.rate, (SELECT avg(survived) FROM train))
+                   > (SELECT avg(survived) FROM train) THEN 1 ELSE 0 END AS prediction
+  FROM test t LEFT JOIN {name}_rates r ON t.{key} = r.{key})
+"""
+
+
+RULES = with_(PASSENGERS_CTE, SPLIT_CTE, TRAIN_CTE, TEST_CTE) + ", " + _rule_cte("title", "title") \
+    + ", " + _rule_cte("sex", "sex")
+
+D = "CAST({} AS DOUBLE)"
+METRICS_SQL = (
+    f"({D.format('tp')} + {D.format('tn')}) / NULLIF({D.format('tp')} + {D.format('fp')} + "
+    f"{D.format('fn')} + {D.format('tn')}, 0) AS accuracy, "
+    f"{D.format('tp')} / NULLIF({D.format('tp')} + {D.format('fp')}, 0) AS precision, "
+    f"{D.format('tp')} / NULLIF({D.format('tp')} + {D.format('fn')}, 0) AS recall, "
+    f"(CAST(2.0 AS DOUBLE) * {D.format('tp')}) / NULLIF(CAST(2.0 AS DOUBLE) * {D.format('tp')}"
+    f" + {D.format('fp')} + {D.format('fn')}, 0) AS f1")
+
+
+def _cells_sql(src: str, w: str = "1") -> str:
+    return (f"CAST(sum(CASE WHEN prediction = 1 AND survived = 1 THEN {w} ELSE 0 END) AS BIGINT) AS tp, "
+            f"CAST(sum(CASE WHEN prediction = 1 AND survived = 0 THEN {w} ELSE 0 END) AS BIGINT) AS fp, "
+            f"CAST(sum(CASE WHEN prediction = 0 AND survived = 1 THEN {w} ELSE 0 END) AS BIGINT) AS fn, "
+            f"CAST(sum(CASE WHEN prediction = 0 AND survived = 0 THEN {w} ELSE 0 END) AS BIGINT) AS tn "
+            f"FROM {src}")
+
+
+@query("confusion_counts", RULES + "SELECT " + _cells_sql("title_pred"))
+def q_confusion_counts(spark, sf_dir):
+    return ev.confusion_counts(rule_predictions(spark, sf_dir), "survived")
+
+
+@query("classification_metrics", RULES + f", c AS (SELECT {_cells_sql('title_pred')}) "
+       f"SELECT tp, fp, fn, tn, {METRICS_SQL} FROM c")
+def q_classification_metrics(spark, sf_dir):
+    """Accuracy, true precision and recall of the positive class, F1."""
+    return ev.classification_metrics(rule_predictions(spark, sf_dir), "survived")
+
+
+@query("accuracy_score", RULES + """
+SELECT avg(CAST(prediction = survived AS INTEGER)) AS accuracy FROM title_pred
+""")
+def q_accuracy_score(spark, sf_dir):
+    return ev.accuracy_score(rule_predictions(spark, sf_dir), "survived")
+
+
+def _boot_sql(pred: str) -> str:
+    w = ev.poisson_weight_sql(BOOT_SEED, "r.rep", "p.passenger_id")
+    return f"""
+{pred}_x AS (SELECT p.passenger_id, p.survived, p.prediction, r.rep, {w} AS w
+             FROM {pred} p CROSS JOIN range(0, {BOOT_B}) AS r(rep)),
+{pred}_boot AS (
+  SELECT rep, tp, fp, fn, tn, {METRICS_SQL}
+  FROM (SELECT rep, {_cells_sql(f'{pred}_x GROUP BY rep', 'w')}) c)
+"""
+
+
+BOOT_EVAL_SQL = RULES + ", " + _boot_sql("title_pred")
+
+
+@query("bootstrap_eval", BOOT_EVAL_SQL + "SELECT * FROM title_pred_boot")
+def q_bootstrap_eval(spark, sf_dir):
+    """B = 1000 Poisson resamples of the held-out predictions, no refit."""
+    return ev.bootstrap_eval(rule_predictions(spark, sf_dir), "passenger_id", "survived",
+                             replicates=BOOT_B, seed=BOOT_SEED)
+
+
+def _interval_sql(boot: str, model: str, metrics=("accuracy", "f1")) -> str:
+    unions = " UNION ALL ".join(
+        f"SELECT '{model}' AS model, '{m}' AS metric, {m} AS score FROM {boot}" for m in metrics)
+    parts = []
+    for lvl, k in ev.LEVEL_TAIL_PER_1000.items():
+        kk = k * BOOT_B // 1000
+        parts.append(
+            f"SELECT model, metric, {lvl} AS level, "
+            f"max(CASE WHEN rk = {kk + 1} THEN score END) AS lo, "
+            f"max(CASE WHEN rk = {BOOT_B - kk} THEN score END) AS hi "
+            f"FROM ranked_{model} GROUP BY model, metric")
+    return (f"ranked_{model} AS (SELECT *, row_number() OVER (PARTITION BY model, metric "
+            f"ORDER BY score) AS rk FROM ({unions}) s)", " UNION ALL ".join(parts))
+
+
+def _intervals(spark, sf_dir, key: str, model: str, metrics=("accuracy", "f1")):
+    per_rep = ev.bootstrap_eval(rule_predictions(spark, sf_dir, key), "passenger_id", "survived",
+                                replicates=BOOT_B, seed=BOOT_SEED)
+    scores = ev.long_scores(per_rep, metrics, model)
+    return ev.order_stat_interval(scores, ["model", "metric"], "score", BOOT_B)
+
+
+_ranked, _sel = _interval_sql("title_pred_boot", "title_rule")
+
+
+@query("interval_table", BOOT_EVAL_SQL + ", " + _ranked + " " + _sel)
+def q_interval_table(spark, sf_dir):
+    """80/90/95 % bootstrap intervals of accuracy and F1 (ranks k+1, B-k)."""
+    return _intervals(spark, sf_dir, "title", "title_rule")
+
+
+_ranked_a, _sel_a = _interval_sql("title_pred_boot", "title_rule", ("accuracy",))
+
+
+@query("order_stat_interval", BOOT_EVAL_SQL + ", " + _ranked_a + " " + _sel_a)
+def q_order_stat_interval(spark, sf_dir):
+    return _intervals(spark, sf_dir, "title", "title_rule", ("accuracy",))
+
+
+_ranked_s, _sel_s = _interval_sql("sex_pred_boot", "sex_rule")
+
+
+@query("stack_results", BOOT_EVAL_SQL + ", " + _boot_sql("sex_pred") + ", " + _ranked + ", "
+       + _ranked_s + " " + _sel + " UNION ALL " + _sel_s)
+def q_stack_results(spark, sf_dir):
+    """Interval tables of two predictors stacked (duplicates kept)."""
+    return (_intervals(spark, sf_dir, "title", "title_rule")
+            .unionByName(_intervals(spark, sf_dir, "sex", "sex_rule")))
+
+
+def _long_metrics_sql(pred: str, model: str) -> str:
+    return (f"SELECT '{model}' AS model, metric, value FROM (SELECT {METRICS_SQL} FROM "
+            f"(SELECT {_cells_sql(pred)}) c) UNPIVOT (value FOR metric IN "
+            f"(accuracy, precision, recall, f1))")
+
+
+@query("stack_metrics", RULES + _long_metrics_sql("title_pred", "title_rule") + " UNION ALL "
+       + _long_metrics_sql("sex_pred", "sex_rule"))
+def q_stack_metrics(spark, sf_dir):
+    """Metrics of several models as long rows (model, metric, value)."""
+    out = None
+    for key, name in (("title", "title_rule"), ("sex", "sex_rule")):
+        m = ev.classification_metrics(rule_predictions(spark, sf_dir, key), "survived")
+        long = m.select(F.lit(name).alias("model"), F.explode(F.array(*[
+            F.struct(F.lit(c).alias("metric"), F.col(c).alias("value"))
+            for c in ("accuracy", "precision", "recall", "f1")])).alias("m")).select("model", "m.*")
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
+# ------------------------------------------------------------ Spark ML
+
+FULL = "full"
+
+
+def _feats(spark, sf_dir):
+    feats, model = train_features(spark, sf_dir)
+    return feats.persist(StorageLevel.MEMORY_AND_DISK), model
+
+
+def _names(feats, subset):
+    if subset == FULL:
+        return [c for c in feats.columns if c not in ("passenger_id", "survived")]
+    return present(feats, subset)
+
+
+METRIC_SCHEMA = "model string, tp bigint, fp bigint, fn bigint, tn bigint, accuracy double, " \
+                "precision double, recall double, f1 double"
+
+
+def _lr_metrics(spark, sf_dir, name, subset, C, balanced):
+    feats, _ = _feats(spark, sf_dir)
+    names = _names(feats, subset)
+    m = M.fit_logreg(feats, names, "survived", C=C, balanced=balanced)
+    pred = M.predict(m, feats, names, ["passenger_id", "survived"])
+    return ev.classification_metrics(pred, "survived").select(F.lit(name).alias("model"), "*")
+
+
+@query("logreg_full")
+def q_logreg_full(spark, sf_dir):
+    """L2 logistic regression, C = 1, all features; in-sample metrics."""
+    return _lr_metrics(spark, sf_dir, "log full", FULL, 1.0, False)
+
+
+@query("logreg_balanced")
+def q_logreg_balanced(spark, sf_dir):
+    return _lr_metrics(spark, sf_dir, "log balanced", FULL, 1.0, True)
+
+
+@query("logreg_regularized")
+def q_logreg_regularized(spark, sf_dir):
+    return _lr_metrics(spark, sf_dir, "log regularized", FULL, 0.4, True)
+
+
+@query("baseline_compare")
+def q_baseline_compare(spark, sf_dir):
+    """The three logistic baselines side by side (long rows)."""
+    return (_lr_metrics(spark, sf_dir, "log full", FULL, 1.0, False)
+            .unionByName(_lr_metrics(spark, sf_dir, "log balanced", FULL, 1.0, True))
+            .unionByName(_lr_metrics(spark, sf_dir, "log regularized", FULL, 0.4, True)))
+
+
+C_GRID = (1.0, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1)
+
+
+def c_sweep(spark, sf_dir):
+    feats, _ = _feats(spark, sf_dir)
+    names = _names(feats, SUBSET_11)
+    out = None
+    for C in C_GRID:
+        m = M.fit_logreg(feats, names, "survived", C=C, balanced=True)
+        pred = M.predict(m, feats, names, ["passenger_id", "survived"])
+        r = ev.classification_metrics(pred, "survived").select(F.lit(C).alias("C"), "*")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("logreg_c_sweep")
+def q_logreg_c_sweep(spark, sf_dir):
+    """Balanced logistic on the 11-feature subset for C = 1 .. 0.1."""
+    return c_sweep(spark, sf_dir)
+
+
+@query("max_of_metric")
+def q_max_of_metric(spark, sf_dir):
+    """Best score over the C sweep and the C that reaches it, per metric."""
+    sweep = c_sweep(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    return sweep.select(F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).alias("score"), F.col("C").alias("C"))
+        for m in ("accuracy", "precision", "recall", "f1")])).alias("s")).select("s.*") \
+        .groupBy("metric").agg(F.max("score").alias("best"),
+                               F.max_by("C", F.struct("score", "C")).alias("best_C"))
+
+
+INFERENCE_SCHEMA = T.StructType([
+    T.StructField("feature", T.StringType()), T.StructField("coef", T.DoubleType()),
+    T.StructField("std_err", T.DoubleType()), T.StructField("z", T.DoubleType()),
+    T.StructField("p_value", T.DoubleType())])
+
+
+def _inference(spark, sf_dir, subset):
+    feats, _ = _feats(spark, sf_dir)
+    rows, extra = M.logit_inference(feats, _names(feats, subset), "survived")
+    return spark.createDataFrame(rows, INFERENCE_SCHEMA), extra
+
+
+@query("logit_inference")
+def q_logit_inference(spark, sf_dir):
+    """Unpenalised logit without intercept on the 17-feature subset."""
+    return _inference(spark, sf_dir, SUBSET_17)[0]
+
+
+P_VALUE_CUT = 0.2
+
+
+@query("select_by_pvalue")
+def q_select_by_pvalue(spark, sf_dir):
+    """Features whose p-value stays below the cut."""
+    inf, _ = _inference(spark, sf_dir, SUBSET_17)
+    return inf.where(F.col("p_value") < P_VALUE_CUT).select("feature", "p_value")
+
+
+def _tree_metrics(spark, sf_dir, name, subset, balanced):
+    feats, _ = _feats(spark, sf_dir)
+    names = _names(feats, subset)
+    m = M.fit_tree(feats, names, "survived", depth=3, seed=43, balanced=balanced)
+    pred = M.predict(m, feats, names, ["passenger_id", "survived"])
+    return ev.classification_metrics(pred, "survived").select(F.lit(name).alias("model"), "*"), \
+        m, names
+
+
+@query("tree_full")
+def q_tree_full(spark, sf_dir):
+    """Depth-3 gini tree, all features; in-sample metrics."""
+    return _tree_metrics(spark, sf_dir, "tree", FULL, False)[0]
+
+
+@query("tree_balanced")
+def q_tree_balanced(spark, sf_dir):
+    return _tree_metrics(spark, sf_dir, "tree balanced", SUBSET_11, True)[0]
+
+
+FOREST_TREES = 1000
+
+
+def _forest_metrics(spark, sf_dir, name, subset, n_trees, depth):
+    feats, _ = _feats(spark, sf_dir)
+    names = _names(feats, subset)
+    m = M.fit_forest(feats, names, "survived", n_trees=n_trees, depth=depth, seed=43)
+    pred = M.predict(m, feats, names, ["passenger_id", "survived"])
+    return ev.classification_metrics(pred, "survived").select(
+        F.lit(name).alias("model"), F.lit(n_trees).alias("n_trees"), F.lit(depth).alias("depth"),
+        "*"), m, names
+
+
+@query("forest_full")
+def q_forest_full(spark, sf_dir):
+    """1000 trees of depth 3, all features."""
+    return _forest_metrics(spark, sf_dir, "forest", FULL, FOREST_TREES, 3)[0]
+
+
+@query("forest_subset")
+def q_forest_subset(spark, sf_dir):
+    return _forest_metrics(spark, sf_dir, "forest subset", SUBSET_11, FOREST_TREES, 3)[0]
+
+
+@query("forest_size_sweep")
+def q_forest_size_sweep(spark, sf_dir):
+    """Accuracy for 100 .. 900 trees (depth 3), full and subset features."""
+    out = None
+    for subset, name in ((FULL, "forest"), (SUBSET_11, "forest subset")):
+        for n in range(100, 1000, 100):
+            r = _forest_metrics(spark, sf_dir, name, subset, n, 3)[0]
+            out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("forest_depth_sweep")
+def q_forest_depth_sweep(spark, sf_dir):
+    """Depth 2 .. 5 on the subset; the tree count is its own parameter."""
+    out = None
+    for depth in range(2, 6):
+        r = _forest_metrics(spark, sf_dir, "forest subset", SUBSET_11, 100, depth)[0]
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    """Impurity importances of the depth-3 tree and the subset forest."""
+    _, tree, tnames = _tree_metrics(spark, sf_dir, "tree", FULL, False)
+    _, forest, fnames = _forest_metrics(spark, sf_dir, "forest subset", SUBSET_11, 100, 3)
+    return (M.feature_importance(spark, tree, tnames).select(F.lit("tree").alias("model"), "*")
+            .unionByName(M.feature_importance(spark, forest, fnames)
+                         .select(F.lit("forest subset").alias("model"), "*")))
+
+
+@query("cross_validate")
+def q_cross_validate(spark, sf_dir):
+    """5 hash folds: balanced logistic (all features), F1 and accuracy per
+    fold, then mean and population std."""
+    feats, _ = _feats(spark, sf_dir)
+    feats = feats.withColumn("fold", fold_column("passenger_id", 5))
+    names = _names(feats, FULL)
+    names = [n for n in names if n != "fold"]
+    out = None
+    for i in range(5):
+        m = M.fit_logreg(feats.where(F.col("fold") != i), names, "survived", C=1.0, balanced=True)
+        pred = M.predict(m, feats.where(F.col("fold") == i), names, ["passenger_id", "survived"])
+        r = ev.classification_metrics(pred, "survived").select(F.lit(i).alias("fold"), "*")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("mean_std")
+def q_mean_std(spark, sf_dir):
+    """Mean and population std of the cross-validation fold scores."""
+    folds = q_cross_validate(spark, sf_dir)
+    long = folds.select(F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).alias("score")) for m in ("f1", "accuracy")
+    ])).alias("s")).select("s.*")
+    return ev.mean_std(long, "score", ["metric"])
+
+
+BOOT_REFIT_B = 1000
+
+
+@query("bootstrap_refit")
+def q_bootstrap_refit(spark, sf_dir):
+    """Balanced logistic refitted on B Poisson resamples of the training
+    rows (11-feature subset), in-sample accuracy and F1 per replicate."""
+    feats, _ = _feats(spark, sf_dir)
+    _, per_rep, _ = bootstrap_logreg(feats, _names(feats, SUBSET_11), "survived", "passenger_id",
+                                     replicates=BOOT_REFIT_B, C=1.0, balanced=True)
+    return per_rep
+
+
+@query("bootstrap_refit_intervals")
+def q_bootstrap_refit_intervals(spark, sf_dir):
+    per_rep = q_bootstrap_refit(spark, sf_dir)
+    scores = ev.long_scores(per_rep, ("accuracy", "f1"), "feature sel2")
+    return ev.order_stat_interval(scores, ["model", "metric"], "score", BOOT_REFIT_B)
+
+
+def final_model(spark, sf_dir):
+    """Balanced logistic fitted on all labelled rows (train + held-out),
+    with the feature model fitted on train."""
+    feats_tr, fmodel = _feats(spark, sf_dir)
+    from strata.operators.features import add_interactions
+    allrows = train_rows(spark, sf_dir).unionByName(test_rows(spark, sf_dir))
+    feats_all = add_interactions(fmodel.transform(allrows))
+    names = _names(feats_tr, FULL)
+    return M.fit_logreg(feats_all, names, "survived", C=1.0, balanced=True), fmodel, names
+
+
+@query("final_fit_and_score")
+def q_final_fit_and_score(spark, sf_dir):
+    """Refit on all labelled rows, score the scoring set (id carried through)."""
+    from strata.operators.features import add_interactions
+    lr, fmodel, names = final_model(spark, sf_dir)
+    scoring = test_rows(spark, sf_dir).drop("survived")
+    feats = add_interactions(fmodel.transform(scoring))
+    return M.predict(lr, feats, names, ["passenger_id"]).select("passenger_id", "prediction")
+
+
+@query("batch_score")
+def q_batch_score(spark, sf_dir):
+    """Held-out rows scored by the balanced model fitted on train."""
+    feats, _ = _feats(spark, sf_dir)
+    names = _names(feats, FULL)
+    m = M.fit_logreg(feats, names, "survived", C=1.0, balanced=True)
+    test, _ = test_features(spark, sf_dir)
+    return M.predict(m, test, names, ["passenger_id"]).select("passenger_id", "prediction")
+
+
+@query("align_scores")
+def q_align_scores(spark, sf_dir):
+    """Id and predicted label side by side (the id rides through transform)."""
+    return q_batch_score(spark, sf_dir).select(
+        F.col("passenger_id").alias("PassengerId"), F.col("prediction").alias("Survived"))
+
+
+@query("write_predictions")
+def q_write_predictions(spark, sf_dir):
+    """Write the scored rows as CSV part files into the shared checkpoint
+    folder and read them back with the declared schema."""
+    from strata.session import scratch_path
+    from strata.sources.files import read_predictions, write_predictions
+    path = scratch_path(spark, "predictions")
+    write_predictions(q_final_fit_and_score(spark, sf_dir), path)
+    return read_predictions(spark, path)
