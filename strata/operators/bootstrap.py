@@ -24,10 +24,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import cache_spread
+
 _M1 = np.uint64(0x9E3779B97F4A7C15)
 _M2 = np.uint64(0xBF58476D1CE4E5B9)
 _M3 = np.uint64(0x94D049BB133111EB)
@@ -80,7 +81,7 @@ def bootstrap_logreg(df: DataFrame, features: Sequence[str], label: str, key: st
     k1 = k + 1
     iu = np.triu_indices(k1)
     B = replicates
-    data = _frame(df, key, label, features).persist(StorageLevel.MEMORY_AND_DISK)
+    data = cache_spread(_frame(df, key, label, features))
     xcols = [f"_x{i}" for i in range(k)]
 
     def batches(it):

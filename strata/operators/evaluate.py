@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import spread
+
 # Interval levels -> number of replicates cut from each tail, per 1000.
 LEVEL_TAIL_PER_1000 = {80: 100, 90: 50, 95: 25}
 
@@ -89,30 +91,64 @@ def poisson_thresholds(width: int = 8) -> list[str]:
     return out
 
 
-def poisson_weight(seed, rep: Column, key: Column, width: int = 8) -> Column:
-    h = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), rep.cast("string"),
-                                      key.cast("string"))), 1, width)
+DRAWS_PER_DIGEST = 4  # one md5 digest (32 hex) gives four 8-hex draws
+
+
+def _weight_from_hex(h: Column, width: int = 8) -> Column:
     w = F.lit(0)
     for t in poisson_thresholds(width):
         w = w + (h >= F.lit(t)).cast("int")
     return w
 
 
+def poisson_weight(seed, rep: Column, key: Column, width: int = 8) -> Column:
+    """Poisson(1) weight of (replicate, key): draw ``rep % 4`` of the digest
+    md5(seed ':' rep div 4 ':' key)."""
+    block = F.floor(rep / DRAWS_PER_DIGEST).cast("long")
+    slot = (rep % DRAWS_PER_DIGEST).cast("int")
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), block.cast("string"), key.cast("string")))
+    return _weight_from_hex(F.substring(digest, slot * width + 1, width), width)
+
+
 def poisson_weight_sql(seed, rep: str, key: str, width: int = 8) -> str:
-    h = f"substr(md5('{seed}:' || CAST({rep} AS VARCHAR) || ':' || CAST({key} AS VARCHAR)), 1, {width})"
+    h = (f"substr(md5('{seed}:' || CAST({rep} // {DRAWS_PER_DIGEST} AS VARCHAR) || ':' || "
+         f"CAST({key} AS VARCHAR)), CAST(({rep} % {DRAWS_PER_DIGEST}) * {width} + 1 AS INTEGER), "
+         f"{width})")
     return "(" + " + ".join(f"CAST({h} >= '{t}' AS INTEGER)" for t in poisson_thresholds(width)) + ")"
 
 
 def bootstrap_eval(pred: DataFrame, key: str, label: str = "label", prediction: str = "prediction",
                    replicates: int = 1000, seed=7) -> DataFrame:
-    """Per replicate: weighted confusion cells and metrics (Poisson bootstrap)."""
-    rows = pred.select(F.col(key), F.col(label).cast("int").alias("_y"),
-                       F.col(prediction).cast("int").alias("_p"))
-    x = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
-    x = x.withColumn("_w", poisson_weight(seed, F.col("rep"), F.col(key)))
-    cells = x.groupBy("rep").agg(*_cells(F.col("_y"), F.col("_p"), F.col("_w").cast("bigint")))
-    return cells.select("rep", *[F.col(c).cast("bigint").alias(c) for c in ("tp", "fp", "fn", "tn")],
-                        *metric_columns())
+    """Per replicate: weighted confusion cells and metrics (Poisson bootstrap).
+
+    Rows are expanded per block of four replicates (one md5 digest each);
+    per block the 4 x 4 weighted cells are summed with map-side combine and
+    then unfolded to one row per replicate."""
+    rows = spread(pred.select(F.col(key), F.col(label).cast("int").alias("_y"),
+                                       F.col(prediction).cast("int").alias("_p")))
+    n_blocks = -(-replicates // DRAWS_PER_DIGEST)
+    x = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("_blk"))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_blk").cast("string"),
+                               F.col(key).cast("string")))
+    # the four weights are projected once; the aggregate only reads columns
+    x = x.withColumn("_d", digest).select(
+        "_blk", "_y", "_p", *[_weight_from_hex(F.substring(F.col("_d"), j * 8 + 1, 8))
+                              .cast("bigint").alias(f"_w{j}") for j in range(DRAWS_PER_DIGEST)])
+    y, p = F.col("_y"), F.col("_p")
+    cells = {"tp": (p == 1) & (y == 1), "fp": (p == 1) & (y == 0),
+             "fn": (p == 0) & (y == 1), "tn": (p == 0) & (y == 0)}
+    aggs = []
+    for j in range(DRAWS_PER_DIGEST):
+        w = F.col(f"_w{j}")
+        aggs += [F.sum(F.when(c, w).otherwise(F.lit(0).cast("bigint"))).alias(f"{n}{j}")
+                 for n, c in cells.items()]
+    per_block = x.groupBy("_blk").agg(*aggs)
+    unfolded = per_block.select(F.explode(F.array(*[
+        F.struct((F.col("_blk") * DRAWS_PER_DIGEST + j).alias("rep"),
+                 *[F.col(f"{n}{j}").alias(n) for n in cells]) for j in range(DRAWS_PER_DIGEST)
+    ])).alias("r")).select("r.*").where(F.col("rep") < replicates)
+    return unfolded.select(F.col("rep").cast("int").alias("rep"),
+                           *[F.col(c).cast("bigint").alias(c) for c in cells], *metric_columns())
 
 
 def cell_bootstrap(pred: DataFrame, label: str = "label", prediction: str = "prediction",

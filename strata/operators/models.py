@@ -52,8 +52,8 @@ def prepare(df: DataFrame, features: Sequence[str], label: str, balanced: bool =
 
 
 def fit_logreg(df: DataFrame, features: Sequence[str], label: str, C: float = 1.0,
-               balanced: bool = False, weight: str | None = None, max_iter: int = 200,
-               tol: float = 1e-10):
+               balanced: bool = False, weight: str | None = None, max_iter: int = 100,
+               tol: float = 1e-6):
     data, total = prepare(df, features, label, balanced, weight)
     lr = LogisticRegression(featuresCol="features", labelCol=LABEL, weightCol=WEIGHT,
                             regParam=1.0 / (C * total), elasticNetParam=0.0,

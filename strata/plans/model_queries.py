@@ -22,6 +22,7 @@ from strata.operators.split import fold_column
 from strata.plans.eda_queries import test_rows, train_rows
 from strata.plans.feature_queries import test_features, train_features
 from strata.plans.registry import query
+from strata.session import cache_spread
 from strata.plans.sql import PASSENGERS_CTE, SPLIT_CTE, TEST_CTE, TRAIN_CTE, with_
 
 BOOT_B = 1000
@@ -192,7 +193,7 @@ FULL = "full"
 
 def _feats(spark, sf_dir):
     feats, model = train_features(spark, sf_dir)
-    return feats.persist(StorageLevel.MEMORY_AND_DISK), model
+    return cache_spread(feats), model
 
 
 def _names(feats, subset):

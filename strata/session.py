@@ -78,3 +78,30 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path inside the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, factor: int = 2):
+    """Hash-spread the rows of ``df`` over ``factor`` x the default
+    parallelism.  For work that multiplies per row (B bootstrap replicates
+    per row) this always pays: the shuffle moves each row once, the work
+    that follows is B times larger and now uses every core."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism * factor)
+
+
+def cache_spread(df, factor: int = 2):
+    """Persist a frame that iterative fitting will scan many times.  After
+    the frame is materialised its partition count is read from the cached
+    plan (no recomputation); only a frame with fewer partitions than
+    ``factor`` x the default parallelism (e.g. from a single-split file) is
+    re-spread, a large one keeps its own partitioning."""
+    from pyspark import StorageLevel
+
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cached.count()
+    target = df.sparkSession.sparkContext.defaultParallelism * factor
+    if cached.rdd.getNumPartitions() >= target:
+        return cached
+    wide = cached.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
+    wide.count()
+    cached.unpersist()
+    return wide
