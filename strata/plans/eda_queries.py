@@ -504,3 +504,29 @@ def q_sorted_groups(spark, sf_dir):
     """Grouped output ordered by key, at the presentation edge only."""
     return (stats.grouped_mean(train_rows(spark, sf_dir), ["pclass"], "survived", "rate")
             .orderBy("pclass"))
+
+
+@query("box_stats_group_means", TRAIN + """
+, m AS (SELECT survived, sibsp, pclass,
+               CAST(sum(CAST(fare AS DECIMAL(18,4))) AS DOUBLE) / count(fare) AS mean_fare
+        FROM train GROUP BY survived, sibsp, pclass),
+q AS (SELECT sibsp, survived, count(*) AS n,
+             round(quantile_cont(mean_fare, 0.25), 9) AS q1,
+             round(quantile_cont(mean_fare, 0.5), 9) AS median,
+             round(quantile_cont(mean_fare, 0.75), 9) AS q3
+      FROM m WHERE mean_fare IS NOT NULL GROUP BY sibsp, survived),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+SELECT f.sibsp, f.survived, CAST(f.n AS BIGINT) AS n, f.q1, f.median, f.q3,
+       min(CASE WHEN m.mean_fare BETWEEN f.lo AND f.hi THEN m.mean_fare END) AS whisker_low,
+       max(CASE WHEN m.mean_fare BETWEEN f.lo AND f.hi THEN m.mean_fare END) AS whisker_high,
+       CAST(count(CASE WHEN m.mean_fare < f.lo OR m.mean_fare > f.hi THEN 1 END) AS BIGINT)
+           AS n_outliers
+FROM m JOIN f ON m.sibsp = f.sibsp AND m.survived = f.survived
+GROUP BY f.sibsp, f.survived, f.n, f.q1, f.median, f.q3
+""")
+def q_box_stats_group_means(spark, sf_dir):
+    """Box-plot numbers over an aggregated table: mean fare per
+    (outcome, siblings, class), boxed by siblings x outcome."""
+    means = stats.grouped_mean(train_rows(spark, sf_dir), ["survived", "sibsp", "pclass"], "fare",
+                               "mean_fare", exact_scale=4)
+    return stats.box_stats(means, ["sibsp", "survived"], "mean_fare")

@@ -206,8 +206,7 @@ METRIC_SCHEMA = "model string, tp bigint, fp bigint, fn bigint, tn bigint, accur
                 "precision double, recall double, f1 double"
 
 
-def _lr_metrics(spark, sf_dir, name, subset, C, balanced):
-    feats, _ = _feats(spark, sf_dir)
+def _lr_metrics(feats, name, subset, C, balanced):
     names = _names(feats, subset)
     m = M.fit_logreg(feats, names, "survived", C=C, balanced=balanced)
     pred = M.predict(m, feats, names, ["passenger_id", "survived"])
@@ -217,25 +216,26 @@ def _lr_metrics(spark, sf_dir, name, subset, C, balanced):
 @query("logreg_full")
 def q_logreg_full(spark, sf_dir):
     """L2 logistic regression, C = 1, all features; in-sample metrics."""
-    return _lr_metrics(spark, sf_dir, "log full", FULL, 1.0, False)
+    return _lr_metrics(_feats(spark, sf_dir)[0], "log full", FULL, 1.0, False)
 
 
 @query("logreg_balanced")
 def q_logreg_balanced(spark, sf_dir):
-    return _lr_metrics(spark, sf_dir, "log balanced", FULL, 1.0, True)
+    return _lr_metrics(_feats(spark, sf_dir)[0], "log balanced", FULL, 1.0, True)
 
 
 @query("logreg_regularized")
 def q_logreg_regularized(spark, sf_dir):
-    return _lr_metrics(spark, sf_dir, "log regularized", FULL, 0.4, True)
+    return _lr_metrics(_feats(spark, sf_dir)[0], "log regularized", FULL, 0.4, True)
 
 
 @query("baseline_compare")
 def q_baseline_compare(spark, sf_dir):
     """The three logistic baselines side by side (long rows)."""
-    return (_lr_metrics(spark, sf_dir, "log full", FULL, 1.0, False)
-            .unionByName(_lr_metrics(spark, sf_dir, "log balanced", FULL, 1.0, True))
-            .unionByName(_lr_metrics(spark, sf_dir, "log regularized", FULL, 0.4, True)))
+    feats, _ = _feats(spark, sf_dir)
+    return (_lr_metrics(feats, "log full", FULL, 1.0, False)
+            .unionByName(_lr_metrics(feats, "log balanced", FULL, 1.0, True))
+            .unionByName(_lr_metrics(feats, "log regularized", FULL, 0.4, True)))
 
 
 C_GRID = (1.0, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1)
@@ -298,8 +298,7 @@ def q_select_by_pvalue(spark, sf_dir):
     return inf.where(F.col("p_value") < P_VALUE_CUT).select("feature", "p_value")
 
 
-def _tree_metrics(spark, sf_dir, name, subset, balanced):
-    feats, _ = _feats(spark, sf_dir)
+def _tree_metrics(feats, name, subset, balanced):
     names = _names(feats, subset)
     m = M.fit_tree(feats, names, "survived", depth=3, seed=43, balanced=balanced)
     pred = M.predict(m, feats, names, ["passenger_id", "survived"])
@@ -310,19 +309,18 @@ def _tree_metrics(spark, sf_dir, name, subset, balanced):
 @query("tree_full")
 def q_tree_full(spark, sf_dir):
     """Depth-3 gini tree, all features; in-sample metrics."""
-    return _tree_metrics(spark, sf_dir, "tree", FULL, False)[0]
+    return _tree_metrics(_feats(spark, sf_dir)[0], "tree", FULL, False)[0]
 
 
 @query("tree_balanced")
 def q_tree_balanced(spark, sf_dir):
-    return _tree_metrics(spark, sf_dir, "tree balanced", SUBSET_11, True)[0]
+    return _tree_metrics(_feats(spark, sf_dir)[0], "tree balanced", SUBSET_11, True)[0]
 
 
 FOREST_TREES = 1000
 
 
-def _forest_metrics(spark, sf_dir, name, subset, n_trees, depth):
-    feats, _ = _feats(spark, sf_dir)
+def _forest_metrics(feats, name, subset, n_trees, depth):
     names = _names(feats, subset)
     m = M.fit_forest(feats, names, "survived", n_trees=n_trees, depth=depth, seed=43)
     pred = M.predict(m, feats, names, ["passenger_id", "survived"])
@@ -334,21 +332,23 @@ def _forest_metrics(spark, sf_dir, name, subset, n_trees, depth):
 @query("forest_full")
 def q_forest_full(spark, sf_dir):
     """1000 trees of depth 3, all features."""
-    return _forest_metrics(spark, sf_dir, "forest", FULL, FOREST_TREES, 3)[0]
+    return _forest_metrics(_feats(spark, sf_dir)[0], "forest", FULL, FOREST_TREES, 3)[0]
 
 
 @query("forest_subset")
 def q_forest_subset(spark, sf_dir):
-    return _forest_metrics(spark, sf_dir, "forest subset", SUBSET_11, FOREST_TREES, 3)[0]
+    return _forest_metrics(_feats(spark, sf_dir)[0], "forest subset", SUBSET_11, FOREST_TREES,
+                           3)[0]
 
 
 @query("forest_size_sweep")
 def q_forest_size_sweep(spark, sf_dir):
     """Accuracy for 100 .. 900 trees (depth 3), full and subset features."""
+    feats, _ = _feats(spark, sf_dir)
     out = None
     for subset, name in ((FULL, "forest"), (SUBSET_11, "forest subset")):
         for n in range(100, 1000, 100):
-            r = _forest_metrics(spark, sf_dir, name, subset, n, 3)[0]
+            r = _forest_metrics(feats, name, subset, n, 3)[0]
             out = r if out is None else out.unionByName(r)
     return out
 
@@ -356,9 +356,10 @@ def q_forest_size_sweep(spark, sf_dir):
 @query("forest_depth_sweep")
 def q_forest_depth_sweep(spark, sf_dir):
     """Depth 2 .. 5 on the subset; the tree count is its own parameter."""
+    feats, _ = _feats(spark, sf_dir)
     out = None
     for depth in range(2, 6):
-        r = _forest_metrics(spark, sf_dir, "forest subset", SUBSET_11, 100, depth)[0]
+        r = _forest_metrics(feats, "forest subset", SUBSET_11, 100, depth)[0]
         out = r if out is None else out.unionByName(r)
     return out
 
@@ -366,8 +367,9 @@ def q_forest_depth_sweep(spark, sf_dir):
 @query("feature_importance")
 def q_feature_importance(spark, sf_dir):
     """Impurity importances of the depth-3 tree and the subset forest."""
-    _, tree, tnames = _tree_metrics(spark, sf_dir, "tree", FULL, False)
-    _, forest, fnames = _forest_metrics(spark, sf_dir, "forest subset", SUBSET_11, 100, 3)
+    feats, _ = _feats(spark, sf_dir)
+    _, tree, tnames = _tree_metrics(feats, "tree", FULL, False)
+    _, forest, fnames = _forest_metrics(feats, "forest subset", SUBSET_11, 100, 3)
     return (M.feature_importance(spark, tree, tnames).select(F.lit("tree").alias("model"), "*")
             .unionByName(M.feature_importance(spark, forest, fnames)
                          .select(F.lit("forest subset").alias("model"), "*")))
@@ -467,3 +469,16 @@ def q_write_predictions(spark, sf_dir):
     path = scratch_path(spark, "predictions")
     write_predictions(q_final_fit_and_score(spark, sf_dir), path)
     return read_predictions(spark, path)
+
+
+FIT_STATS_SCHEMA = "n bigint, log_likelihood double, null_log_likelihood double, pseudo_r2 double"
+
+
+@query("logit_fit_stats")
+def q_logit_fit_stats(spark, sf_dir):
+    """Log-likelihood, intercept-only log-likelihood and McFadden's pseudo
+    R^2 of the 17-feature logit (the null model is the constant-only one)."""
+    _, extra = _inference(spark, sf_dir, SUBSET_17)
+    return spark.createDataFrame([(extra["n"], extra["log_likelihood"],
+                                   extra["null_log_likelihood"], extra["pseudo_r2"])],
+                                 FIT_STATS_SCHEMA)
