@@ -131,13 +131,41 @@ def sales_rollup(sales: DataFrame, periods: Periods = Periods(),
         return _finish(agg, keys, periods)
     if how != "two_level":
         raise ValueError(f"unknown roll-up form {how!r}")
+    return rollup_from_customers(customer_partials(base, periods, keys), periods, keys)
+
+
+SUM_COLUMNS = ("s_rev_cur", "s_rev_prev", "s_cost_cur", "s_cost_exp", "s_rev_60", "s_cost_60_exp")
+FLAG_COLUMNS = ("f_fast", "f_60", "f_60_exp")
+
+
+def customer_partials(sales: DataFrame, periods: Periods, keys) -> DataFrame:
+    """Level 1: one row per (keys, customer_id) with exact sums, flags and the
+    last date.  Partials of disjoint row sets merge exactly (``merge_partials``)."""
+    keys = list(keys)
+    c = _conditions(periods)
     flag = lambda cond: F.max(F.when(cond, F.lit(1)).otherwise(F.lit(0)))
-    per_customer = base.groupBy(*keys, "customer_id").agg(
+    return sales.groupBy(*keys, "customer_id").agg(
         F.max("date").alias("last_date"),
         flag(c["cur_fast"]).alias("f_fast"),
         flag(c["cur_60"]).alias("f_60"),
         flag(c["cur_60_exp"]).alias("f_60_exp"),
         *_sums(c))
+
+
+def merge_partials(partials: DataFrame, keys) -> DataFrame:
+    """Combine level-1 rows of the same customer (e.g. from several
+    micro-batches): sums add, flags and last dates take the maximum."""
+    keys = list(keys)
+    return partials.groupBy(*keys, "customer_id").agg(
+        F.max("last_date").alias("last_date"),
+        *[F.max(f).alias(f) for f in FLAG_COLUMNS],
+        *[F.sum(s).alias(s) for s in SUM_COLUMNS])
+
+
+def rollup_from_customers(per_customer: DataFrame, periods: Periods, keys) -> DataFrame:
+    """Level 2: per group, count customers by flag (a null customer is not a
+    customer) and add up the sums; then the ratios."""
+    keys = list(keys)
     known = F.col("customer_id").isNotNull()
     cnt = lambda f: F.sum(F.when(known, F.col(f)).otherwise(F.lit(0)))
     agg = per_customer.groupBy(*keys).agg(
@@ -145,8 +173,7 @@ def sales_rollup(sales: DataFrame, periods: Periods = Periods(),
         cnt("f_fast").alias("n_fast"),
         cnt("f_60").alias("n_60"),
         cnt("f_60_exp").alias("n_60_exp"),
-        *[F.sum(s).alias(s) for s in ("s_rev_cur", "s_rev_prev", "s_cost_cur", "s_cost_exp",
-                                      "s_rev_60", "s_cost_60_exp")])
+        *[F.sum(s).alias(s) for s in SUM_COLUMNS])
     return _finish(agg, keys, periods)
 
 
