@@ -25,6 +25,7 @@ import re
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -148,6 +149,7 @@ class FeaturePipeline:
         """Three small jobs: one aggregate of extremes and the mode/median
         aggregates; the category lists come from one distinct with a limit
         (so a runaway categorical fails fast instead of flooding the driver)."""
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)  # several small jobs read it
         ext = df.agg(
             F.min("family_size").alias("fmin"), F.max("family_size").alias("fmax"),
             F.min("sibsp").alias("smin"), F.max("sibsp").alias("smax"),
@@ -182,6 +184,7 @@ class FeaturePipeline:
             if len(vals) > self.max_categories:
                 raise ValueError(f"{c} has more than {self.max_categories} categories")
             vals.sort()
+        df.unpersist()
         return FeatureModel(fam_edges, sib_edges, age_median, amin, amax, pmin, pmax,
                             (float(ext["pmean"]) - pmin) / prng, port_mode, cats,
                             self.handle_unknown, self.fill_fare_from)

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.scalars import safe_ratio
+from strata.operators.joins import join_checked
 from strata.session import checkpoint_dir
 
 # Order-dependent floating statistics (quantile interpolation, correlation)
@@ -179,7 +180,8 @@ def median_of(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     return quantiles(df, keys, value, [0.5]).withColumnRenamed("q_50", "median")
 
 
-def box_stats(df: DataFrame, keys: Sequence[str], value: str, whisker: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, keys: Sequence[str], value: str, whisker: float = 1.5,
+              max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """The numbers under a box plot per group: quartiles, 1.5 IQR whisker
     ends (the most extreme data points inside the fences) and outlier count."""
     keys = list(keys)
@@ -189,9 +191,14 @@ def box_stats(df: DataFrame, keys: Sequence[str], value: str, whisker: float = 1
                        "_hi_fence": F.col("q_75") + F.lit(whisker) * iqr})
     v = F.col(value)
     base = df.where(_not_null(keys) & v.isNotNull()).select(*keys, value)
-    # one row per group: a shuffle join on the keys (AQE broadcasts it when
-    # the group table turns out small)
-    j = base.join(q, keys) if keys else base.join(F.broadcast(q), how="cross")
+    # q has one row per group: broadcast after a row-count check, so the rows
+    # of a hot group are never shuffled into one task (beyond the bound: a
+    # shuffle join whose skewed partitions AQE splits)
+    if keys:
+        j = join_checked(base, q, keys, max_broadcast_rows=max_broadcast_rows)
+    else:  # one global group: its quartile row is fetched as constants
+        row = q.first()
+        j = base.select("*", *[F.lit(row[c]).alias(c) for c in q.columns])
     inside = (v >= F.col("_lo_fence")) & (v <= F.col("_hi_fence"))
     return (j.groupBy(*keys).agg(
         F.first("n").alias("n"), F.first("q_25").alias("q1"), F.first("q_50").alias("median"),

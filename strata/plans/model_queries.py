@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from strata.operators import evaluate as ev
 from strata.operators import models as M
 from strata.operators.bootstrap import bootstrap_logreg
+from strata.operators.joins import join_checked
 from strata.operators.features import SUBSET_11, SUBSET_17, present
 from strata.operators.split import fold_column
 from strata.plans.eda_queries import test_rows, train_rows
@@ -38,7 +39,7 @@ def rule_predictions(spark, sf_dir, key: str = "title"):
     rates = train.groupBy(key).agg(F.avg("survived").alias("_rate"))
     overall = train.select(F.avg("survived")).scalar()
     test = test_rows(spark, sf_dir).select("passenger_id", "survived", key)
-    j = test.join(rates, key, "left")
+    j = join_checked(test, rates, key, "left")  # one row per group: checked broadcast
     return j.select("passenger_id", "survived",
                     F.when(F.coalesce(F.col("_rate"), overall) > overall, F.lit(1))
                     .otherwise(F.lit(0)).alias("prediction"))
