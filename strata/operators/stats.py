@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,8 +121,32 @@ def weighted_rate(df: DataFrame, key: str, label: str, alias: str = "weighted_ra
 
 # ---------------------------------------------------------------- quantiles
 
+def _ranked_distributed(df: DataFrame, hist: DataFrame, keys: list[str], v: Column) -> DataFrame:
+    """Cumulative counts of a large histogram by a distributed prefix sum."""
+    ranged = (hist.repartitionByRange(*[F.col(k) for k in keys], v)
+              .withColumn("_pid", F.spark_partition_id()))
+    # The partition id feeds two branches below; a reliable checkpoint in the
+    # shared folder fixes it once (and cuts the lineage for lost executors).
+    checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
+    w_local = (Window.partitionBy("_pid", *keys).orderBy(v)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranged = ranged.withColumn("_cum_local", F.sum("_c").over(w_local))
+    totals = ranged.groupBy("_pid", *keys).agg(F.sum("_c").alias("_ptot"))
+    w_off = (Window.partitionBy(*keys).orderBy("_pid")
+             .rowsBetween(Window.unboundedPreceding, -1))
+    w_all = Window.partitionBy(*keys)
+    offsets = (totals.withColumn("_off", F.coalesce(F.sum("_ptot").over(w_off), F.lit(0)))
+               .withColumn("n", F.sum("_ptot").over(w_all))
+               .select("_pid", *keys, "_off", "n"))
+    return (ranged.join(offsets, ["_pid", *keys])
+            .withColumn("_hi_rank", F.col("_off") + F.col("_cum_local"))      # exclusive end
+            .withColumn("_lo_rank", F.col("_hi_rank") - F.col("_c")))         # inclusive start
+
+
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-              approx: bool = False, accuracy: int = 100_000) -> DataFrame:
+              approx: bool = False, accuracy: int = 100_000,
+              small_histogram: int = 100_000) -> DataFrame:
     """Per group, the ``probs`` quantiles of ``value`` with linear
     interpolation between order statistics (pandas / ``quantile_cont``
     convention).  Output: keys, ``n``, ``q_<pct>`` per prob.
@@ -133,6 +158,9 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[fl
       3. per (partition, group) totals -> exclusive prefix over partitions
          (a table of at most #partitions rows per group)
       4. rank k lies at the value with cum_before <= k < cum_before + count
+    When the histogram (counted first, it is persisted) has at most
+    ``small_histogram`` rows, steps 2-3 are a plain window over it: bounded
+    by that count, whatever the number of input rows.
     """
     keys = list(keys)
     names = [f"q_{round(p * 100):d}" for p in probs]
@@ -143,26 +171,16 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[fl
             F.percentile_approx(value, list(probs), accuracy).alias("_q"))
             .select(*keys, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)]))
     v = F.col(value)
-    hist = base.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    ranged = (hist.repartitionByRange(*[F.col(k) for k in keys], v)
-              .withColumn("_pid", F.spark_partition_id()))
-    # The partition id feeds two branches below; a reliable checkpoint in the
-    # shared folder fixes it once (and cuts the lineage for lost executors).
-    checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
-    w_local = (Window.partitionBy("_pid", *keys).orderBy(v)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranged = ranged.withColumn("_cum_local", F.sum("_c").over(w_local))
-    totals = ranged.groupBy("_pid", *keys).agg(F.sum("_c").alias("_ptot"))
-    w_off = (Window.partitionBy(*keys).orderBy("_pid")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    w_all = Window.partitionBy(*keys)
-    offsets = (totals.withColumn("_off", F.coalesce(F.sum("_ptot").over(w_off), F.lit(0)))
-               .withColumn("n", F.sum("_ptot").over(w_all))
-               .select("_pid", *keys, "_off", "n"))
-    pos = (ranged.join(offsets, ["_pid", *keys])
-           .withColumn("_hi_rank", F.col("_off") + F.col("_cum_local"))      # exclusive end
-           .withColumn("_lo_rank", F.col("_hi_rank") - F.col("_c")))         # inclusive start
+    hist = (base.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    if hist.count() <= small_histogram:
+        w_cum = (Window.partitionBy(*keys).orderBy(v)
+                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        pos = (hist.withColumn("_hi_rank", F.sum("_c").over(w_cum))       # exclusive end
+               .withColumn("n", F.sum("_c").over(Window.partitionBy(*keys)))
+               .withColumn("_lo_rank", F.col("_hi_rank") - F.col("_c")))  # inclusive start
+    else:
+        pos = _ranked_distributed(df, hist, keys, v)
     aggs, finals = [], []
     for p, nm in zip(probs, names):
         r = F.lit(float(p)) * (F.col("n") - 1).cast("double")

@@ -88,7 +88,7 @@ def spread(df, factor: int = 2):
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism * factor)
 
 
-def cache_spread(df, factor: int = 2):
+def cache_spread(df, factor: int = 1):
     """Persist a frame that iterative fitting will scan many times.  After
     the frame is materialised its partition count is read from the cached
     plan (no recomputation); only a frame with fewer partitions than

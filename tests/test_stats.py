@@ -50,8 +50,10 @@ def test_corr_constant_column_is_null(spark):
     assert out[0].r is None
 
 
-def test_age_quartiles(spark):
-    q = stats.quantiles(passengers_df(spark), [], "age", [0.25, 0.5, 0.75]).collect()[0]
+@pytest.mark.parametrize("small", [100_000, 0])
+def test_age_quartiles(spark, small):
+    q = stats.quantiles(passengers_df(spark), [], "age", [0.25, 0.5, 0.75],
+                        small_histogram=small).collect()[0]
     assert (q.q_25, q.q_50, q.q_75, q.n) == (16.0, 24.0, 29.0, 6)
 
 
@@ -60,8 +62,8 @@ def test_median_even_count(spark):
     assert stats.median_of(df, "v").collect()[0]["median"] == 2.5
 
 
-@pytest.mark.parametrize("parts", [1, 7])
-def test_quantiles_match_numpy(spark, parts):
+@pytest.mark.parametrize("parts,small", [(1, 100_000), (7, 100_000), (1, 0), (7, 0)])
+def test_quantiles_match_numpy(spark, parts, small):
     rng = np.random.default_rng(3)
     g = rng.integers(0, 4, 3000)
     g[:1000] = 0  # a hot group
@@ -70,7 +72,8 @@ def test_quantiles_match_numpy(spark, parts):
     df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(g, v)], "g int, v double") \
         .repartition(parts)
     probs = [0.1, 0.25, 0.5, 0.75, 0.9]
-    got = {r.g: r for r in stats.quantiles(df, ["g"], "v", probs).collect()}
+    got = {r.g: r for r in stats.quantiles(df, ["g"], "v", probs,
+                                           small_histogram=small).collect()}
     for key in range(4):
         exp = np.quantile(v[g == key], probs)  # linear interpolation
         row = got[key]
