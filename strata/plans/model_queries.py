@@ -190,6 +190,25 @@ def q_stack_metrics(spark, sf_dir):
 # ------------------------------------------------------------ Spark ML
 
 FULL = "full"
+FIT_PARALLELISM = 1  # raise on a cluster with idle cores between fits
+
+
+def _in_parallel(thunks, workers: int = FIT_PARALLELISM):
+    """Run independent model fits from a few driver threads (each fit is a
+    distributed Spark job; concurrent jobs keep the cluster busy between the
+    small stages of iterative fitting, as CrossValidator(parallelism) does)."""
+    if workers <= 1:
+        return [f() for f in thunks]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=workers) as ex:
+        return list(ex.map(lambda f: f(), thunks))
+
+
+def _union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def _feats(spark, sf_dir):
@@ -234,9 +253,10 @@ def q_logreg_regularized(spark, sf_dir):
 def q_baseline_compare(spark, sf_dir):
     """The three logistic baselines side by side (long rows)."""
     feats, _ = _feats(spark, sf_dir)
-    return (_lr_metrics(feats, "log full", FULL, 1.0, False)
-            .unionByName(_lr_metrics(feats, "log balanced", FULL, 1.0, True))
-            .unionByName(_lr_metrics(feats, "log regularized", FULL, 0.4, True)))
+    return _union(_in_parallel([
+        lambda: _lr_metrics(feats, "log full", FULL, 1.0, False),
+        lambda: _lr_metrics(feats, "log balanced", FULL, 1.0, True),
+        lambda: _lr_metrics(feats, "log regularized", FULL, 0.4, True)]))
 
 
 C_GRID = (1.0, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1)
@@ -245,13 +265,12 @@ C_GRID = (1.0, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1)
 def c_sweep(spark, sf_dir):
     feats, _ = _feats(spark, sf_dir)
     names = _names(feats, SUBSET_11)
-    out = None
-    for C in C_GRID:
+
+    def one(C):
         m = M.fit_logreg(feats, names, "survived", C=C, balanced=True)
         pred = M.predict(m, feats, names, ["passenger_id", "survived"])
-        r = ev.classification_metrics(pred, "survived").select(F.lit(C).alias("C"), "*")
-        out = r if out is None else out.unionByName(r)
-    return out
+        return ev.classification_metrics(pred, "survived").select(F.lit(C).alias("C"), "*")
+    return _union(_in_parallel([lambda C=C: one(C) for C in C_GRID]))
 
 
 @query("logreg_c_sweep")
@@ -346,23 +365,19 @@ def q_forest_subset(spark, sf_dir):
 def q_forest_size_sweep(spark, sf_dir):
     """Accuracy for 100 .. 900 trees (depth 3), full and subset features."""
     feats, _ = _feats(spark, sf_dir)
-    out = None
-    for subset, name in ((FULL, "forest"), (SUBSET_11, "forest subset")):
-        for n in range(100, 1000, 100):
-            r = _forest_metrics(feats, name, subset, n, 3)[0]
-            out = r if out is None else out.unionByName(r)
-    return out
+    jobs = [lambda s=subset, nm=name, n=n: _forest_metrics(feats, nm, s, n, 3)[0]
+            for subset, name in ((FULL, "forest"), (SUBSET_11, "forest subset"))
+            for n in range(100, 1000, 100)]
+    return _union(_in_parallel(jobs))
 
 
 @query("forest_depth_sweep")
 def q_forest_depth_sweep(spark, sf_dir):
     """Depth 2 .. 5 on the subset; the tree count is its own parameter."""
     feats, _ = _feats(spark, sf_dir)
-    out = None
-    for depth in range(2, 6):
-        r = _forest_metrics(feats, "forest subset", SUBSET_11, 100, depth)[0]
-        out = r if out is None else out.unionByName(r)
-    return out
+    return _union(_in_parallel([
+        lambda d=depth: _forest_metrics(feats, "forest subset", SUBSET_11, 100, d)[0]
+        for depth in range(2, 6)]))
 
 
 @query("feature_importance")
@@ -384,13 +399,12 @@ def q_cross_validate(spark, sf_dir):
     feats = feats.withColumn("fold", fold_column("passenger_id", 5))
     names = _names(feats, FULL)
     names = [n for n in names if n != "fold"]
-    out = None
-    for i in range(5):
+
+    def one(i):
         m = M.fit_logreg(feats.where(F.col("fold") != i), names, "survived", C=1.0, balanced=True)
         pred = M.predict(m, feats.where(F.col("fold") == i), names, ["passenger_id", "survived"])
-        r = ev.classification_metrics(pred, "survived").select(F.lit(i).alias("fold"), "*")
-        out = r if out is None else out.unionByName(r)
-    return out
+        return ev.classification_metrics(pred, "survived").select(F.lit(i).alias("fold"), "*")
+    return _union(_in_parallel([lambda i=i: one(i) for i in range(5)]))
 
 
 @query("mean_std")
