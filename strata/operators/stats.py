@@ -66,9 +66,10 @@ def mean_and_count(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def grouping_sets_mean(df: DataFrame, sets: Sequence[Sequence[str]], value: str,
-                       alias: str = "rate") -> DataFrame:
+                       alias: str = "rate", exact_scale: int | None = None) -> DataFrame:
     """Means for several key sets in one scan; ``grouping_set`` names the set
-    (keys joined by ',') and absent keys are NULL."""
+    (keys joined by ',') and absent keys are NULL.  ``exact_scale``: sum as
+    DECIMAL (money columns)."""
     cols = sorted({k for s in sets for k in s})
     gid_names = {}
     for s in sets:
@@ -79,7 +80,8 @@ def grouping_sets_mean(df: DataFrame, sets: Sequence[Sequence[str]], value: str,
         cond = F.col("_gid") == bits
         name = F.when(cond, F.lit(label)) if name is None else name.when(cond, F.lit(label))
     return (df.groupingSets([list(s) for s in sets], *cols)
-            .agg(F.avg(value).alias(alias), F.count(F.col(value)).alias("n"),
+            .agg((exact_mean(value, exact_scale) if exact_scale is not None else F.avg(value))
+                 .alias(alias), F.count(F.col(value)).alias("n"),
                  F.grouping_id().alias("_gid"))
             .withColumn("grouping_set", name).drop("_gid"))
 

@@ -287,14 +287,15 @@ SURVIVAL_SETS = [["title"], ["title", "pclass"], ["family_size"], ["family_size"
                  ["sibsp", "sex"], ["level_cabin"], ["level_cabin", "pclass"]]
 
 
-def _sets_sql():
-    cols = sorted({k for s in SURVIVAL_SETS for k in s})
+def _sets_sql(set_list=None, mean_sql="avg(survived)", n_sql="count(survived)", alias="rate"):
+    set_list = set_list or SURVIVAL_SETS
+    cols = sorted({k for s in set_list for k in s})
     label = "CASE " + " ".join(
         f"WHEN {' AND '.join(f'GROUPING({c}) = {0 if c in s else 1}' for c in cols)} "
-        f"THEN '{','.join(s)}'" for s in SURVIVAL_SETS) + " END"
-    sets = ", ".join("(" + ", ".join(s) + ")" for s in SURVIVAL_SETS)
+        f"THEN '{','.join(s)}'" for s in set_list) + " END"
+    sets = ", ".join("(" + ", ".join(s) + ")" for s in set_list)
     return TRAIN + f"""
-SELECT {', '.join(cols)}, avg(survived) AS rate, CAST(count(survived) AS BIGINT) AS n,
+SELECT {', '.join(cols)}, {mean_sql} AS {alias}, CAST({n_sql} AS BIGINT) AS n,
        {label} AS grouping_set
 FROM train GROUP BY GROUPING SETS ({sets})
 """
@@ -530,3 +531,23 @@ def q_box_stats_group_means(spark, sf_dir):
     means = stats.grouped_mean(train_rows(spark, sf_dir), ["survived", "sibsp", "pclass"], "fare",
                                "mean_fare", exact_scale=4)
     return stats.box_stats(means, ["sibsp", "survived"], "mean_fare")
+
+
+AGE_SETS = [["survived"], ["survived", "sex"], ["survived", "pclass"]]
+FARE_SETS = [["survived"], ["survived", "sex"], ["survived", "sex", "pclass"],
+             ["survived", "sibsp", "sex"], ["survived", "sibsp", "pclass"]]
+
+
+@query("mean_age_sets", _sets_sql(AGE_SETS, "avg(age)", "count(age)", "mean_age"))
+def q_mean_age_sets(spark, sf_dir):
+    """Mean age by outcome; x sex; x class — one GROUPING SETS scan."""
+    return stats.grouping_sets_mean(train_rows(spark, sf_dir), AGE_SETS, "age", "mean_age")
+
+
+@query("mean_fare_sets", _sets_sql(
+    FARE_SETS, "CAST(sum(CAST(fare AS DECIMAL(18,4))) AS DOUBLE) / count(fare)", "count(fare)",
+    "mean_fare"))
+def q_mean_fare_sets(spark, sf_dir):
+    """The five mean-fare breakdowns in one scan (exact decimal sums)."""
+    return stats.grouping_sets_mean(train_rows(spark, sf_dir), FARE_SETS, "fare", "mean_fare",
+                                    exact_scale=4)
