@@ -15,8 +15,11 @@ Conventions (chosen to match the reference's library defaults):
 * one-hot columns in sorted category order, named ``<column>_<value>``;
   an unseen category raises by default (``handle_unknown="ignore"`` gives
   all zeros);
-* nulls: age -> training median, port -> training mode, scaled fare ->
-  training mean of the scaled fare.
+* nulls (passenger spec): age -> training median, port -> training mode,
+  scaled fare -> training mean of the scaled fare.
+
+The steps are declared by a ``FeatureSpec``; ``PASSENGER_SPEC`` is the
+passenger transformer, ``strata.plans.doc_queries.DOC_SPEC`` another one.
 """
 
 from __future__ import annotations
@@ -80,99 +83,150 @@ def one_hot_columns(x: Column, name: str, categories, handle_unknown: str = "err
     return out
 
 
+@dataclass(frozen=True)
+class Cut:
+    """Equal-width cut of ``src`` into ``bins`` labelled bins, named ``out``."""
+    out: str
+    src: str
+    bins: int
+    labels: tuple
+
+
+@dataclass(frozen=True)
+class FeatureSpec:
+    """Cuts (applied first), then ordered transformer steps.  Step kinds:
+    ``median_scale`` (impute train median, then min-max), ``scale`` (min-max,
+    nulls -> train mean of the scaled value), ``one_hot``, ``mode_one_hot``
+    (impute train mode, then one-hot).  Output columns follow step order."""
+    cuts: tuple = ()
+    steps: tuple = ()
+
+    def columns(self, kind: str) -> list[str]:
+        return [c for k, cols in self.steps if k == kind for c in cols]
+
+
+# The passenger transformer: age (median, scale), five one-hot blocks, fare
+# (scale), port (mode, one-hot).
+PASSENGER_SPEC = FeatureSpec(
+    cuts=(Cut("fam_size", "family_size", 3, FAMILY_LABELS),
+          Cut("sib_sp_num", "sibsp", 2, SIBLING_LABELS)),
+    steps=(("median_scale", ("age",)),
+           ("one_hot", ("fam_size", "sib_sp_num", "sex", "pclass", "level_cabin")),
+           ("scale", ("fare",)),
+           ("mode_one_hot", ("embarked",))))
+
+
 @dataclass
 class FeatureModel:
     """Fitted constants; ``transform`` is a pure projection."""
-    family_edges: list[float]
-    sibling_edges: list[float]
-    age_median: float
-    age_min: float
-    age_max: float
-    fare_min: float
-    fare_max: float
-    fare_scaled_mean: float
-    port_mode: str
+    spec: FeatureSpec
+    edges: dict[str, list[float]]
+    medians: dict[str, float]
+    modes: dict[str, str]
+    ranges: dict[str, tuple[float, float]]
+    fills: dict[str, float]
     categories: dict[str, list] = field(default_factory=dict)
     handle_unknown: str = "error"
-    fill_fare_from: str = "train"
+    fill_from: str = "train"
+
+    # passenger-spec conveniences
+    @property
+    def family_edges(self):
+        return self.edges.get("fam_size")
+
+    @property
+    def sibling_edges(self):
+        return self.edges.get("sib_sp_num")
+
+    @property
+    def age_median(self):
+        return self.medians.get("age")
+
+    @property
+    def port_mode(self):
+        return self.modes.get("embarked")
 
     def binned(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({
-            "fam_size": cut_column(F.col("family_size"), self.family_edges, FAMILY_LABELS),
-            "sib_sp_num": cut_column(F.col("sibsp"), self.sibling_edges, SIBLING_LABELS),
-        })
+        return df.withColumns({c.out: cut_column(F.col(c.src), self.edges[c.out], c.labels)
+                               for c in self.spec.cuts})
 
     def transform(self, df: DataFrame, keep=("passenger_id", "survived")) -> DataFrame:
-        """Feature columns in the transformer's order, plus the kept columns
-        that exist in ``df`` (the id and the label stay on the row)."""
+        """Feature columns in step order, plus the kept columns that exist in
+        ``df`` (the id and the label stay on the row)."""
         d = self.binned(df)
-        age = minmax_column(F.coalesce(F.col("age"), F.lit(self.age_median)),
-                            self.age_min, self.age_max)
-        fare_scaled = minmax_column(F.col("fare"), self.fare_min, self.fare_max)
-        if self.fill_fare_from == "batch":
-            fill = d.select(F.avg(fare_scaled)).scalar()
-        else:
-            fill = F.lit(self.fare_scaled_mean)
-        port = F.coalesce(F.col("embarked"), F.lit(self.port_mode))
-        cols: dict[str, Column] = {"age": age}
-        for name, src in (("fam_size", F.col("fam_size")), ("sib_sp_num", F.col("sib_sp_num")),
-                          ("sex", F.col("sex")), ("pclass", F.col("pclass")),
-                          ("level_cabin", F.col("level_cabin"))):
-            cols.update(one_hot_columns(src, name, self.categories[name], self.handle_unknown))
-        cols["fare"] = F.coalesce(fare_scaled, fill)
-        cols.update(one_hot_columns(port, "embarked", self.categories["embarked"],
-                                    self.handle_unknown))
+        cols: dict[str, Column] = {}
+        for kind, names in self.spec.steps:
+            for c in names:
+                if kind == "median_scale":
+                    cols[c] = minmax_column(F.coalesce(F.col(c), F.lit(self.medians[c])),
+                                            *self.ranges[c])
+                elif kind == "scale":
+                    scaled = minmax_column(F.col(c), *self.ranges[c])
+                    fill = (d.select(F.avg(scaled)).scalar() if self.fill_from == "batch"
+                            else F.lit(self.fills[c]))
+                    cols[c] = F.coalesce(scaled, fill)
+                elif kind == "one_hot":
+                    cols.update(one_hot_columns(F.col(c), c, self.categories[c],
+                                                self.handle_unknown))
+                elif kind == "mode_one_hot":
+                    cols.update(one_hot_columns(F.coalesce(F.col(c), F.lit(self.modes[c])), c,
+                                                self.categories[c], self.handle_unknown))
+                else:
+                    raise ValueError(f"unknown step {kind!r}")
         kept = [c for c in keep if c in df.columns]
         return d.select(*kept, *[e.alias(n) for n, e in cols.items()])
 
     @property
     def feature_names(self) -> list[str]:
-        names = ["age"]
-        for name in ("fam_size", "sib_sp_num", "sex", "pclass", "level_cabin"):
-            names += [f"{name}_{safe_name(c)}" for c in self.categories[name]]
-        names.append("fare")
-        names += [f"embarked_{safe_name(c)}" for c in self.categories["embarked"]]
+        names = []
+        for kind, cols in self.spec.steps:
+            for c in cols:
+                if kind in ("median_scale", "scale"):
+                    names.append(c)
+                else:
+                    names += [f"{c}_{safe_name(v)}" for v in self.categories[c]]
         return names
 
 
 class FeaturePipeline:
     """Equal-width cuts, median/mode imputation, min-max scaling, one-hot."""
 
-    def __init__(self, family_bins: int = 3, sibling_bins: int = 2,
-                 handle_unknown: str = "error", fill_fare_from: str = "train",
-                 max_categories: int = MAX_CATEGORIES):
-        self.family_bins, self.sibling_bins = family_bins, sibling_bins
-        self.handle_unknown, self.fill_fare_from = handle_unknown, fill_fare_from
+    def __init__(self, spec: FeatureSpec = PASSENGER_SPEC, handle_unknown: str = "error",
+                 fill_from: str = "train", max_categories: int = MAX_CATEGORIES):
+        self.spec = spec
+        self.handle_unknown, self.fill_from = handle_unknown, fill_from
         self.max_categories = max_categories
 
     def fit(self, df: DataFrame) -> FeatureModel:
-        """Three small jobs: one aggregate of extremes and the mode/median
-        aggregates; the category lists come from one distinct with a limit
-        (so a runaway categorical fails fast instead of flooding the driver)."""
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)  # several small jobs read it
-        ext = df.agg(
-            F.min("family_size").alias("fmin"), F.max("family_size").alias("fmax"),
-            F.min("sibsp").alias("smin"), F.max("sibsp").alias("smax"),
-            F.min("age").alias("amin"), F.max("age").alias("amax"),
-            F.min("fare").alias("pmin"), F.max("fare").alias("pmax"),
-            F.avg("fare").alias("pmean")).first()
-        med = stats.median_of(df, "age").first()
-        mode = stats.mode_of(df, "embarked").first()
-        age_median = float(med["median"])
-        fam_edges = cut_edges(float(ext["fmin"]), float(ext["fmax"]), self.family_bins)
-        sib_edges = cut_edges(float(ext["smin"]), float(ext["smax"]), self.sibling_bins)
-        amin, amax = float(ext["amin"]), float(ext["amax"])
-        amin, amax = min(amin, age_median), max(amax, age_median)
-        pmin, pmax = float(ext["pmin"]), float(ext["pmax"])
-        prng = (pmax - pmin) if pmax != pmin else 1.0
-        port_mode = mode["mode"]
+        """A few small jobs over the (persisted) input: one aggregate of
+        extremes and means, one exact median per median column, one mode per
+        mode column, and the category lists from one distinct with a limit
+        (a runaway categorical fails fast instead of flooding the driver)."""
+        spec = self.spec
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        med_cols, scale_cols = spec.columns("median_scale"), spec.columns("scale")
+        ranged = [c.src for c in spec.cuts] + med_cols + scale_cols
+        aggs = [e for c in dict.fromkeys(ranged)
+                for e in (F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"))]
+        aggs += [F.avg(c).alias(f"avg_{c}") for c in scale_cols]
+        ext = df.agg(*aggs).first()
+        medians = {c: float(stats.median_of(df, c).first()["median"]) for c in med_cols}
+        modes = {c: stats.mode_of(df, c).first()["mode"] for c in spec.columns("mode_one_hot")}
+        edges = {c.out: cut_edges(float(ext[f"min_{c.src}"]), float(ext[f"max_{c.src}"]), c.bins)
+                 for c in spec.cuts}
+        ranges, fills = {}, {}
+        for c in med_cols:
+            ranges[c] = (min(float(ext[f"min_{c}"]), medians[c]),
+                         max(float(ext[f"max_{c}"]), medians[c]))
+        for c in scale_cols:
+            lo, hi = float(ext[f"min_{c}"]), float(ext[f"max_{c}"])
+            ranges[c] = (lo, hi)
+            fills[c] = (float(ext[f"avg_{c}"]) - lo) / ((hi - lo) if hi != lo else 1.0)
 
         binned = df.withColumns({
-            "fam_size": cut_column(F.col("family_size"), fam_edges, FAMILY_LABELS),
-            "sib_sp_num": cut_column(F.col("sibsp"), sib_edges, SIBLING_LABELS),
-            "embarked": F.coalesce(F.col("embarked"), F.lit(port_mode)),
-        })
-        cat_cols = ["fam_size", "sib_sp_num", "sex", "pclass", "level_cabin", "embarked"]
+            **{c.out: cut_column(F.col(c.src), edges[c.out], c.labels) for c in spec.cuts},
+            **{c: F.coalesce(F.col(c), F.lit(m)) for c, m in modes.items()}})
+        cat_cols = spec.columns("one_hot") + spec.columns("mode_one_hot")
         pairs = binned.select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v")) for c in cat_cols
         ])).alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull()).distinct()
@@ -185,9 +239,8 @@ class FeaturePipeline:
                 raise ValueError(f"{c} has more than {self.max_categories} categories")
             vals.sort()
         df.unpersist()
-        return FeatureModel(fam_edges, sib_edges, age_median, amin, amax, pmin, pmax,
-                            (float(ext["pmean"]) - pmin) / prng, port_mode, cats,
-                            self.handle_unknown, self.fill_fare_from)
+        return FeatureModel(spec, edges, medians, modes, ranges, fills, cats,
+                            self.handle_unknown, self.fill_from)
 
 
 # Interaction terms: (name, left feature, right feature).

@@ -32,4 +32,6 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so that all queries are registered."""
-    from strata.plans import eda_queries, feature_queries, model_queries, sales_queries  # noqa: F401
+    from strata.plans import (  # noqa: F401
+        doc_queries, eda_queries, feature_queries, model_queries, sales_queries,
+    )
