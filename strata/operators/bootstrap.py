@@ -1,4 +1,4 @@
-"""Bootstrap refits of a logistic regression, all replicates at once.
+"""Many logistic regressions at once: bootstrap refits and C grids.
 
 Instead of B separate fits (B x ~100 Spark jobs), the B replicate models are
 fitted together by Newton's method (IRLS): each pass is ONE Spark job.
@@ -72,24 +72,32 @@ def _reduce(parts: DataFrame, width: int) -> np.ndarray:
     return out
 
 
-def bootstrap_logreg(df: DataFrame, features: Sequence[str], label: str, key: str,
-                     replicates: int = 1000, C: float = 1.0, balanced: bool = True,
-                     seed: int = 11, max_iter: int = 30, tol: float = 1e-9):
-    """Fit B replicate models.  Returns (coefficients B x (k+1), intercept
-    first; per-replicate in-sample metrics DataFrame; converged flags)."""
+def batched_logreg(df: DataFrame, features: Sequence[str], label: str, key: str, Cs,
+                   seed: int | None = None, balanced: bool = True, max_iter: int = 30,
+                   tol: float = 1e-9):
+    """Fit len(Cs) logistic models together by Newton's method, one Spark job
+    per pass.  Model r has regularisation Cs[r] and row weights w_ri: Poisson
+    replicate draws when ``seed`` is given (the bootstrap), else 1 (a grid of
+    C values over the same rows).  Returns (coefficients R x (k+1), intercept
+    first; per-model in-sample metrics DataFrame with column ``rep``;
+    converged flags)."""
+    Cs = np.asarray(Cs, dtype=float)
     k = len(features)
     k1 = k + 1
     iu = np.triu_indices(k1)
-    B = replicates
+    B = len(Cs)
     data = cache_spread(_frame(df, key, label, features))
     xcols = [f"_x{i}" for i in range(k)]
 
     def batches(it):
         for pdf in it:
             X = np.column_stack([np.ones(len(pdf))] + [pdf[c].to_numpy() for c in xcols])
-            yield X, pdf["_y"].to_numpy(), replicate_weights(pdf["_key"].to_numpy(), B, seed)
+            keys = pdf["_key"].to_numpy()
+            W = (replicate_weights(keys, B, seed) if seed is not None
+                 else np.ones((len(pdf), B)))
+            yield X, pdf["_y"].to_numpy(), W
 
-    # pass 0: replicate sizes per class -> balanced class weights
+    # pass 0: weighted class sizes per model -> balanced class weights
     def class_counts(it):
         acc = np.zeros((B, 2))
         for X, y, W in batches(it):
@@ -132,8 +140,8 @@ def bootstrap_logreg(df: DataFrame, features: Sequence[str], label: str, key: st
             Hr = np.zeros((k1, k1))
             Hr[iu] = red[r, :len(iu[0])]
             Hr = Hr + np.triu(Hr, 1).T
-            grad = C * red[r, len(iu[0]):] - penalty @ beta[r]
-            hess = C * Hr + penalty
+            grad = Cs[r] * red[r, len(iu[0]):] - penalty @ beta[r]
+            hess = Cs[r] * Hr + penalty
             step[r] = np.linalg.lstsq(hess, grad, rcond=None)[0]
         beta = beta + step
         converged = np.abs(step).max(axis=1) < tol
@@ -161,3 +169,20 @@ def bootstrap_logreg(df: DataFrame, features: Sequence[str], label: str, key: st
                               for i, n in enumerate(("tp", "fp", "fn", "tn"))])
     out = out.select("*", *metric_columns())
     return beta, out, converged
+
+
+def bootstrap_logreg(df: DataFrame, features: Sequence[str], label: str, key: str,
+                     replicates: int = 1000, C: float = 1.0, balanced: bool = True,
+                     seed: int = 11, max_iter: int = 30, tol: float = 1e-9):
+    """B bootstrap refits (Poisson replicate weights), fitted together."""
+    return batched_logreg(df, features, label, key, [C] * replicates, seed=seed,
+                          balanced=balanced, max_iter=max_iter, tol=tol)
+
+
+def grid_logreg(df: DataFrame, features: Sequence[str], label: str, key: str, Cs,
+                balanced: bool = True, max_iter: int = 30, tol: float = 1e-9):
+    """One model per C value over the same rows, fitted together (a whole
+    regularisation path in ~8 passes over the data instead of one
+    optimiser run per C)."""
+    return batched_logreg(df, features, label, key, Cs, seed=None, balanced=balanced,
+                          max_iter=max_iter, tol=tol)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from strata.operators import evaluate as ev
 from strata.operators import models as M
-from strata.operators.bootstrap import bootstrap_logreg
+from strata.operators.bootstrap import bootstrap_logreg, grid_logreg
 from strata.operators.joins import join_checked
 from strata.operators.features import SUBSET_11, SUBSET_17, present
 from strata.operators.split import fold_column
@@ -263,14 +263,14 @@ C_GRID = (1.0, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1)
 
 
 def c_sweep(spark, sf_dir):
+    """Balanced logistic for every C of the grid, fitted together (batched
+    Newton: one Spark job per pass for the whole grid); in-sample metrics."""
     feats, _ = _feats(spark, sf_dir)
     names = _names(feats, SUBSET_11)
-
-    def one(C):
-        m = M.fit_logreg(feats, names, "survived", C=C, balanced=True)
-        pred = M.predict(m, feats, names, ["passenger_id", "survived"])
-        return ev.classification_metrics(pred, "survived").select(F.lit(C).alias("C"), "*")
-    return _union(_in_parallel([lambda C=C: one(C) for C in C_GRID]))
+    _, per_model, _ = grid_logreg(feats, names, "survived", "passenger_id", C_GRID)
+    grid = F.array(*[F.lit(float(c)) for c in C_GRID])
+    return per_model.select(F.element_at(grid, F.col("rep").cast("int") + 1).alias("C"),
+                            "tp", "fp", "fn", "tn", "accuracy", "precision", "recall", "f1")
 
 
 @query("logreg_c_sweep")

@@ -105,3 +105,17 @@ def test_tree_and_forest_planted_signal(spark):
         assert sum(r.importance for r in imp) == pytest.approx(1.0)
         by = {r.feature: r.importance for r in imp}
         assert by["x1"] > by["x2"] and by["x0"] > by["x2"]  # x2 carries no signal
+
+
+def test_grid_matches_separate_fits(spark):
+    from strata.operators.bootstrap import grid_logreg
+    df, X, y = planted(spark, n=1500)
+    Cs = [1.0, 0.4, 0.05]
+    beta, per_model, conv = grid_logreg(df, FEATS, "y", "id", Cs)
+    assert conv.all()
+    w = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+    for r, C in enumerate(Cs):
+        assert beta[r] == pytest.approx(newton_c_form(X, y, w, C), abs=1e-7)
+        m = M.fit_logreg(df, FEATS, "y", C=C, balanced=True, tol=1e-12, max_iter=500)
+        assert np.array([m.intercept, *m.coefficients.toArray()]) == pytest.approx(beta[r], abs=1e-4)
+    assert per_model.count() == 3
