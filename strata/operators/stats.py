@@ -100,15 +100,19 @@ def pivot_agg(df: DataFrame, row_key: str, col_key: str, values: Sequence, agg:
     return out
 
 
-def shares_of_totals(counts: DataFrame, n_col: str, partitions: dict[str, Sequence[str]]) -> DataFrame:
+def shares_of_totals(counts: DataFrame, n_col: str, partitions: dict[str, Sequence[str]],
+                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Add ``total_<name>`` and ``pct_<name>`` per entry of ``partitions``:
-    the share of each row's count within its partition.  ``counts`` is an
-    aggregate (one row per group), so the window runs over groups, not rows."""
+    the share of each row's count within its partition.  The totals are an
+    aggregate of ``counts`` attached by a size-checked join — not a window,
+    which would put every group of one partition value (e.g. one label) into
+    a single task however many groups there are."""
     out = counts
     for name, keys in partitions.items():
-        w = Window.partitionBy(*keys)
-        out = (out.withColumn(f"total_{name}", F.sum(n_col).over(w))
-               .withColumn(f"pct_{name}", safe_ratio(F.col(n_col), F.col(f"total_{name}")) * 100.0))
+        totals = counts.groupBy(*keys).agg(F.sum(n_col).alias(f"total_{name}"))
+        out = (join_checked(out, totals, list(keys), max_broadcast_rows=max_broadcast_rows)
+               .withColumn(f"pct_{name}",
+                           safe_ratio(F.col(n_col), F.col(f"total_{name}")) * 100.0))
     return out
 
 
