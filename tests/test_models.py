@@ -81,7 +81,6 @@ def test_bootstrap_replicates_match_weighted_fits(spark):
         exp = newton_c_form(X, y, wr * cw, C)
         assert beta[r] == pytest.approx(exp, abs=1e-6)
     # one replicate through Spark ML with the same row weights
-    from pyspark.sql import functions as F
     wr = W[:, 0]
     n_r, n1 = wr.sum(), wr[y == 1].sum()
     cw = np.where(y == 1, n_r / (2 * n1), n_r / (2 * (n_r - n1)))

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from fixtures import SALES_EXPECTED, sales_df
 from strata.operators.rollup import METRIC_COLUMNS, Periods, sales_rollup
@@ -90,3 +89,39 @@ def test_count_by_delivery_fixture(spark):
     assert by[(1, "fast")] == 1 and by[(1, "fastest")] == 1
     assert by[(5, "slow")] is None
     assert by[(7, "fast")] is None  # null region: no group
+
+
+def test_hot_customer_and_group(spark):
+    """A third of all rows on one customer of one group: both forms agree
+    with a plain pandas computation of the specified metrics."""
+    import datetime as dt
+
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(9)
+    n = 30000
+    cust = rng.integers(1, 2000, n)
+    cust[: n // 3] = 7  # hot customer
+    region = np.where(cust == 7, "E", np.where(cust % 2 == 0, "E", "W"))
+    country = np.where(cust == 7, "A", np.where(cust % 3 == 0, "A", "B"))
+    days = rng.integers(0, 730, n)
+    dates = [dt.datetime(2018, 1, 1) + dt.timedelta(days=int(d)) for d in days]
+    pdf = pd.DataFrame({
+        "region": region, "country": country, "customer_id": cust.astype("int64"),
+        "date": dates, "delivery_type": rng.choice(["fast", "fastest", "slow", "normal"], n),
+        "revenue": np.round(rng.uniform(1, 1000, n), 2), "cost": np.round(rng.uniform(1, 500, n), 2),
+        "cost_type": rng.choice(["expert", "normal"], n), "duration": rng.choice(["30", "60"], n)})
+    from fixtures import SALES_SCHEMA
+    df = spark.createDataFrame(pdf[[f.name for f in SALES_SCHEMA.fields]], SALES_SCHEMA)
+    two = {(r.region, r.country): r for r in sales_rollup(df, SPEC).collect()}
+    one = {(r.region, r.country): r for r in sales_rollup(df, SPEC, how="one_level").collect()}
+    assert two == one
+    cur = (pdf.date >= "2019-01-01") & (pdf.date < "2019-07-01")
+    for (reg, cty), g in pdf.groupby(["region", "country"]):
+        c = g[cur.loc[g.index]]
+        r = two[(reg, cty)]
+        assert r.fast_and_fastest == c[c.delivery_type.isin(["fast", "fastest"])].customer_id.nunique()
+        assert r.rev_2019 == pytest.approx(c.revenue.sum(), rel=1e-12)
+        d60 = c[c.duration == "60"]
+        assert r.rev_per_60 == pytest.approx(d60.revenue.sum() / d60.customer_id.nunique(), rel=1e-12)

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from strata.operators.split import fold_column, hex_threshold, split_train_test, train_flag
 
