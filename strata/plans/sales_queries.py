@@ -208,3 +208,42 @@ def q_sales_rollup_incremental(spark, sf_dir):
                                  P, max_files_per_trigger=1)
     q.awaitTermination()
     return read_rollup(spark, f"{base}/partials", P)
+
+
+@query("metric_rollup_regions", with_(SALES_CTE) + f"""
+SELECT region,
+  CAST(count(DISTINCT customer_id) AS BIGINT) AS n_customers,
+  CAST(count(*) AS BIGINT) AS n_lines,
+  CAST(COALESCE(sum({m_sql('revenue')}), 0) AS DOUBLE)
+      / NULLIF(CAST(count(DISTINCT customer_id) AS DOUBLE), 0) AS revenue_per_customer,
+  CAST(COALESCE(sum(CASE WHEN cost_type = 'expert' THEN {m_sql('cost')} END), 0) AS DOUBLE)
+      / NULLIF(CAST(COALESCE(sum({m_sql('cost')}), 0) AS DOUBLE), 0) * CAST(100.0 AS DOUBLE)
+      AS expert_share_pct,
+  max(revenue) AS max_line_revenue,
+  CAST(COALESCE(sum({m_sql('revenue')}), 0) AS DOUBLE) / CAST(1000.0 AS DOUBLE) AS revenue_k
+FROM sales WHERE region IS NOT NULL GROUP BY region
+""")
+def q_metric_rollup_regions(spark, sf_dir):
+    """A user-defined metric list through the generic roll-up (two-level,
+    since the one distinct metric counts customers)."""
+    from strata.operators.metrics import Derived, Metric, metric_rollup
+
+    d = lambda c: c.cast("double")
+    metrics = [
+        Metric("n_customers", "distinct", "customer_id"),
+        Metric("n_lines", "count"),
+        Metric("revenue", "money_sum", "revenue"),
+        Metric("cost", "money_sum", "cost"),
+        Metric("expert_cost", "money_sum", "cost", F.col("cost_type") == "expert"),
+        Metric("max_line_revenue", "max", "revenue"),
+    ]
+    derived = [
+        Derived("revenue_per_customer", lambda m: F.try_divide(d(m["revenue"]), d(m["n_customers"]))),
+        Derived("expert_share_pct",
+                lambda m: F.try_divide(d(m["expert_cost"]), d(m["cost"])) * F.lit(100.0)),
+        Derived("revenue_k", lambda m: d(m["revenue"]) / F.lit(1000.0)),
+    ]
+    out = metric_rollup(sales(spark, sf_dir), ["region"], metrics, derived)
+    return out.select("region", F.col("n_customers").cast("bigint").alias("n_customers"),
+                      F.col("n_lines").cast("bigint").alias("n_lines"), "revenue_per_customer",
+                      "expert_share_pct", "max_line_revenue", "revenue_k")
