@@ -147,7 +147,7 @@ def bootstrap_eval(pred: DataFrame, key: str, label: str = "label", prediction:
         F.struct((F.col("_blk") * DRAWS_PER_DIGEST + j).alias("rep"),
                  *[F.col(f"{n}{j}").alias(n) for n in cells]) for j in range(DRAWS_PER_DIGEST)
     ])).alias("r")).select("r.*").where(F.col("rep") < replicates)
-    return unfolded.select(F.col("rep").cast("int").alias("rep"),
+    return unfolded.select(F.col("rep").cast("bigint").alias("rep"),
                            *[F.col(c).cast("bigint").alias(c) for c in cells], *metric_columns())
 
 
