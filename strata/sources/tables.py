@@ -6,10 +6,11 @@
                age, sibsp, parch, fare, cabin, embarked.
 
 Both are plain DataFrame joins over the parquet tables; Catalyst prunes every
-scan to the columns used.  ``nation`` and ``region`` are fixed-size dimension
-tables (25 and 5 rows in the TPC-H schema) and are the only sides we
-broadcast explicitly; every other join is left to the planner / AQE, whose
-broadcast decision is made on measured runtime sizes.
+scan to the columns used.  No side is hinted for broadcast: the planner
+broadcasts a side only when its size estimate (file sizes at planning, the
+measured shuffle size under AQE) is below ``autoBroadcastJoinThreshold`` —
+the small dimensions (nation, region) pass that check, fact-sized sides fall
+back to sort-merge joins whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -39,12 +40,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation x region: 25 rows by construction of the schema."""
+    """nation x region."""
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
-    return F.broadcast(
-        nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-        .select("n_nationkey", "n_name", "r_name"))
+    return (nation.join(region, nation.n_regionkey == region.r_regionkey)
+            .select("n_nationkey", "n_name", "r_name"))
 
 
 def _case_map(col, mapping: dict, other):
@@ -93,7 +93,7 @@ def passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     cust = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    nation = F.broadcast(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     cust_n = cust.join(nation, cust.c_nationkey == nation.n_nationkey)
     j = orders.join(cust_n, orders.o_custkey == cust_n.c_custkey)
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
