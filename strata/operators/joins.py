@@ -1,6 +1,6 @@
 """Join helpers with an explicit size check before any broadcast.
 
-``join_checked`` measures the small side (it is persisted first, so the
+``join_checked`` measures the small side (it is checkpointed first, so the
 count and the join share one computation) and broadcasts it only under a
 row bound; beyond the bound it falls back to a shuffle join, where AQE's
 skew-join splitting deals with hot keys.
@@ -12,7 +12,6 @@ the outer projection — no join, no cross product, nothing collected by us.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 
 
@@ -20,7 +19,12 @@ def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
                  max_broadcast_rows: int = 1_000_000) -> DataFrame:
     from pyspark.sql import functions as F
 
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    from strata.session import checkpoint_dir
+
+    # materialise the small side once in the shared checkpoint folder: the
+    # count and the join read the same files, and no cached block lingers
+    checkpoint_dir(small.sparkSession)
+    small = small.checkpoint(eager=True)
     n = small.count()
     side = F.broadcast(small) if n <= max_broadcast_rows else small
     return big.join(side, on=on, how=how)
