@@ -497,3 +497,29 @@ def q_logit_fit_stats(spark, sf_dir):
     return spark.createDataFrame([(extra["n"], extra["log_likelihood"],
                                    extra["null_log_likelihood"], extra["pseudo_r2"])],
                                  FIT_STATS_SCHEMA)
+
+
+# (model label, feature subset, C, rows): the models whose bootstrap
+# intervals the analysis stacks into one table.
+INTERVAL_MODELS = (("baseline", FULL, 1.0, "train"), ("feature sel1", SUBSET_17, 1.0, "train"),
+                   ("feature sel2", SUBSET_11, 1.0, "train"),
+                   ("feature sel2 reg", SUBSET_11, 0.4, "train"),
+                   ("full calibration", FULL, 1.0, "all"))
+
+
+@query("bootstrap_interval_table")
+def q_bootstrap_interval_table(spark, sf_dir):
+    """80/90/95 % intervals of in-sample accuracy and F1 over B = 1000
+    balanced-logistic refits, for each model of the analysis, stacked."""
+    from strata.operators.features import add_interactions
+    feats_tr, fmodel = _feats(spark, sf_dir)
+    allrows = train_rows(spark, sf_dir).unionByName(test_rows(spark, sf_dir))
+    feats_all = add_interactions(fmodel.transform(allrows))
+    tables = []
+    for label, subset, C, rows in INTERVAL_MODELS:
+        frame = feats_tr if rows == "train" else feats_all
+        _, per_rep, _ = bootstrap_logreg(frame, _names(feats_tr, subset), "survived",
+                                         "passenger_id", replicates=BOOT_REFIT_B, C=C)
+        scores = ev.long_scores(per_rep, ("accuracy", "f1"), label)
+        tables.append(ev.order_stat_interval(scores, ["model", "metric"], "score", BOOT_REFIT_B))
+    return _union(tables)
