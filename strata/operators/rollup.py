@@ -213,7 +213,7 @@ def count_by_delivery(sales: DataFrame, period: tuple[str, str],
         "customer_id", "delivery_type", *keys)
     sel = F.col("delivery_type").isin(*delivery)
     counts = (rows.where(sel).groupBy(*keys, "delivery_type")
-              .agg(F.count(F.lit(1)).alias("fast_and_fastest")))
+              .agg(F.count("customer_id").alias("fast_and_fastest")))  # non-null ids
     joined = join_checked(rows, counts, keys + ["delivery_type"], "left",
                           max_broadcast_rows=max_broadcast_rows)
     return joined.select("customer_id", "delivery_type", *keys,

@@ -117,7 +117,8 @@ def q_period_cost(spark, sf_dir):
 , cur AS (SELECT customer_id, delivery_type, region, country FROM sales WHERE {CUR_SQL})
 SELECT customer_id, delivery_type, region, country,
        CASE WHEN delivery_type IN ('fast', 'fastest')
-            THEN CAST(count(*) OVER (PARTITION BY region, country, delivery_type) AS BIGINT)
+            THEN CAST(count(customer_id) OVER (PARTITION BY region, country, delivery_type)
+                      AS BIGINT)
        END AS fast_and_fastest
 FROM cur
 """)

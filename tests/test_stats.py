@@ -124,3 +124,11 @@ def test_exact_mean_is_order_free(spark):
     a = df.repartition(1).agg(stats.exact_mean("v")).first()[0]
     b = df.repartition(13).agg(stats.exact_mean("v")).first()[0]
     assert a == b == pytest.approx(0.2)
+
+
+def test_pivot_totals_equal_flat_totals(spark):
+    p = passengers_df(spark)
+    piv = stats.pivot_agg(p, "survived", "pclass", [1, 2, 3], "count", "passenger_id").collect()
+    flat = stats.count_by_keys(p, ["survived"], "passenger_id").collect()
+    tot = {r.survived: sum(r[c] or 0 for c in ("1", "2", "3")) for r in piv}
+    assert tot == {r.survived: r.n for r in flat}
