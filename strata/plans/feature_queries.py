@@ -221,3 +221,37 @@ def q_select_by_correlation(spark, sf_dir):
     feats, _ = train_features(spark, sf_dir)
     names = [c for c in feats.columns if c not in ("passenger_id", "survived")]
     return select_by_correlation(feats, names, "survived", SELECT_MIN_ABS_R)
+
+
+EDA_CORR_COLS = ("pclass", "age", "fare", "small_fam", "large_fam", "less_4", "female")
+
+
+def _eda_corr_sql():
+    base = with_(PASSENGERS_CTE, SPLIT_CTE, TRAIN_CTE, PARAMS_CTE, _binned("train")) + """
+, e AS (SELECT survived, pclass, age, fare,
+          CASE WHEN fam_size = 'small_fam' THEN 1.0 ELSE 0.0 END AS small_fam,
+          CASE WHEN fam_size = 'large_fam' THEN 1.0 ELSE 0.0 END AS large_fam,
+          CASE WHEN sib_sp_num = 'less_4' THEN 1.0 ELSE 0.0 END AS less_4,
+          CASE WHEN sex = 'female' THEN 1.0 ELSE 0.0 END AS female
+        FROM train_b)
+"""
+    return base + " UNION ALL ".join(
+        f"SELECT '{c}' AS col_a, 'survived' AS col_b, round(corr({c}, survived), 9) AS r FROM e"
+        for c in EDA_CORR_COLS)
+
+
+@query("eda_corr_with_label", _eda_corr_sql())
+def q_eda_corr_with_label(spark, sf_dir):
+    """Correlation with the label of the columns the exploratory heat map
+    keeps: class, age, fare and the family / sibling / sex dummies (cuts
+    fitted on the training rows; numeric columns only)."""
+    from strata.operators.stats import corr_pairs
+    train, model = fitted(spark, sf_dir)
+    b = model.binned(train)
+    dummy = lambda cond: F.when(cond, F.lit(1.0)).otherwise(F.lit(0.0))
+    e = b.select("survived", "pclass", "age", "fare",
+                 dummy(F.col("fam_size") == "small_fam").alias("small_fam"),
+                 dummy(F.col("fam_size") == "large_fam").alias("large_fam"),
+                 dummy(F.col("sib_sp_num") == "less_4").alias("less_4"),
+                 dummy(F.col("sex") == "female").alias("female"))
+    return corr_pairs(e, list(EDA_CORR_COLS), with_col="survived")
