@@ -56,8 +56,11 @@ def replicate_weights(keys: np.ndarray, replicates: int, seed: int) -> np.ndarra
     return np.searchsorted(_POISSON_CDF, u, side="right").astype(np.float64)
 
 
-def _frame(df: DataFrame, key: str, label: str, features: Sequence[str]) -> DataFrame:
+def _frame(df: DataFrame, key: str, label: str, features: Sequence[str],
+           fold_col: str | None = None) -> DataFrame:
+    extra = [F.col(fold_col).cast("int").alias("_fold")] if fold_col else []
     return df.select(F.col(key).cast("long").alias("_key"), F.col(label).cast("double").alias("_y"),
+                     *extra,
                      *[F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)])
 
 
@@ -74,27 +77,38 @@ def _reduce(parts: DataFrame, width: int) -> np.ndarray:
 
 def batched_logreg(df: DataFrame, features: Sequence[str], label: str, key: str, Cs,
                    seed: int | None = None, balanced: bool = True, max_iter: int = 30,
-                   tol: float = 1e-9):
+                   tol: float = 1e-9, fold_col: str | None = None):
     """Fit len(Cs) logistic models together by Newton's method, one Spark job
-    per pass.  Model r has regularisation Cs[r] and row weights w_ri: Poisson
-    replicate draws when ``seed`` is given (the bootstrap), else 1 (a grid of
-    C values over the same rows).  Returns (coefficients R x (k+1), intercept
-    first; per-model in-sample metrics DataFrame with column ``rep``;
+    per pass.  Model r has regularisation Cs[r] and row weights w_ri:
+
+    * ``seed`` given: Poisson replicate draws (the bootstrap);
+    * ``fold_col`` given: 1 on rows whose fold is not r (cross-validation;
+      model r is then scored on the rows of fold r);
+    * otherwise 1 (a grid of C values over the same rows).
+
+    Returns (coefficients R x (k+1), intercept first; per-model metrics
+    DataFrame with column ``rep`` — in-sample, or on the held-out fold;
     converged flags)."""
     Cs = np.asarray(Cs, dtype=float)
     k = len(features)
     k1 = k + 1
     iu = np.triu_indices(k1)
     B = len(Cs)
-    data = cache_spread(_frame(df, key, label, features))
+    data = cache_spread(_frame(df, key, label, features, fold_col))
     xcols = [f"_x{i}" for i in range(k)]
+    models = np.arange(B)
 
-    def batches(it):
+    def batches(it, evaluate=False):
         for pdf in it:
             X = np.column_stack([np.ones(len(pdf))] + [pdf[c].to_numpy() for c in xcols])
-            keys = pdf["_key"].to_numpy()
-            W = (replicate_weights(keys, B, seed) if seed is not None
-                 else np.ones((len(pdf), B)))
+            if fold_col is not None:
+                fold = pdf["_fold"].to_numpy()[:, None]
+                W = (fold == models[None, :]) if evaluate else (fold != models[None, :])
+                W = W.astype(np.float64)
+            elif seed is not None:
+                W = replicate_weights(pdf["_key"].to_numpy(), B, seed)
+            else:
+                W = np.ones((len(pdf), B))
             yield X, pdf["_y"].to_numpy(), W
 
     # pass 0: weighted class sizes per model -> balanced class weights
@@ -152,7 +166,7 @@ def batched_logreg(df: DataFrame, features: Sequence[str], label: str, key: str,
 
     def scores(it):
         acc = np.zeros((B, 4))
-        for X, y, W in batches(it):
+        for X, y, W in batches(it, evaluate=True):
             pred = (X @ b_fin.T) > 0.0
             yy = (y[:, None] == 1.0)
             acc[:, 0] += (W * (pred & yy)).sum(axis=0)
@@ -186,3 +200,12 @@ def grid_logreg(df: DataFrame, features: Sequence[str], label: str, key: str, Cs
     optimiser run per C)."""
     return batched_logreg(df, features, label, key, Cs, seed=None, balanced=balanced,
                           max_iter=max_iter, tol=tol)
+
+
+def cv_logreg(df: DataFrame, features: Sequence[str], label: str, key: str, fold_col: str,
+              folds: int, C: float = 1.0, balanced: bool = True, max_iter: int = 30,
+              tol: float = 1e-9):
+    """k-fold cross-validation: the k fold models fitted together, each scored
+    on its held-out fold (class weights balanced on its training folds)."""
+    return batched_logreg(df, features, label, key, [C] * folds, balanced=balanced,
+                          max_iter=max_iter, tol=tol, fold_col=fold_col)

@@ -118,3 +118,26 @@ def test_grid_matches_separate_fits(spark):
         m = M.fit_logreg(df, FEATS, "y", C=C, balanced=True, tol=1e-12, max_iter=500)
         assert np.array([m.intercept, *m.coefficients.toArray()]) == pytest.approx(beta[r], abs=1e-4)
     assert per_model.count() == 3
+
+
+def test_cv_folds_match_separate_fits(spark):
+    from pyspark.sql import functions as F
+
+    from strata.operators.bootstrap import cv_logreg
+    from strata.operators.split import fold_column
+    df, X, y = planted(spark, n=1500)
+    df = df.withColumn("fold", fold_column("id", 3))
+    fold = np.array([r.fold for r in df.orderBy("id").select("fold").collect()])
+    beta, per_fold, conv = cv_logreg(df, FEATS, "y", "id", "fold", 3, C=0.5)
+    assert conv.all()
+    for i in range(3):
+        tr = fold != i
+        yt = y[tr]
+        w = np.where(yt == 1, len(yt) / (2 * yt.sum()), len(yt) / (2 * (len(yt) - yt.sum())))
+        assert beta[i] == pytest.approx(newton_c_form(X[tr], yt, w, 0.5), abs=1e-7)
+    rows = {r.rep: r for r in per_fold.collect()}
+    for i in range(3):
+        Z = np.column_stack([np.ones(len(y)), X])[fold == i]
+        pred = (Z @ beta[i]) > 0
+        assert rows[i].accuracy == pytest.approx(np.mean(pred == (y[fold == i] == 1)))
+    assert sum(rows[i].tp + rows[i].fp + rows[i].fn + rows[i].tn for i in range(3)) == len(y)
