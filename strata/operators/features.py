@@ -203,7 +203,11 @@ class FeaturePipeline:
         mode column, and the category lists from one distinct with a limit
         (a runaway categorical fails fast instead of flooding the driver)."""
         spec = self.spec
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        cut_outs = {c.out for c in spec.cuts}
+        used = [c.src for c in spec.cuts] + [c for _, cols in spec.steps for c in cols
+                                              if c not in cut_outs]
+        # only the columns the fit reads are cached, once, for its few jobs
+        df = df.select(*dict.fromkeys(used)).persist(StorageLevel.MEMORY_AND_DISK)
         med_cols, scale_cols = spec.columns("median_scale"), spec.columns("scale")
         ranged = [c.src for c in spec.cuts] + med_cols + scale_cols
         aggs = [e for c in dict.fromkeys(ranged)
