@@ -199,9 +199,10 @@ class FeaturePipeline:
 
     def fit(self, df: DataFrame) -> FeatureModel:
         """A few small jobs over the (persisted) input: one aggregate of
-        extremes and means, one exact median per median column, one mode per
-        mode column, and the category lists from one distinct with a limit
-        (a runaway categorical fails fast instead of flooding the driver)."""
+        extremes and means, one exact median per median column, and one
+        count per (column, value) that gives the category lists and the modes
+        (collected with a limit: a runaway categorical fails fast instead of
+        flooding the driver)."""
         spec = self.spec
         cut_outs = {c.out for c in spec.cuts}
         used = [c.src for c in spec.cuts] + [c for _, cols in spec.steps for c in cols
@@ -215,7 +216,12 @@ class FeaturePipeline:
         aggs += [F.avg(c).alias(f"avg_{c}") for c in scale_cols]
         ext = df.agg(*aggs).first()
         medians = {c: float(stats.median_of(df, c).first()["median"]) for c in med_cols}
-        modes = {c: stats.mode_of(df, c).first()["mode"] for c in spec.columns("mode_one_hot")}
+        mode_cols = spec.columns("mode_one_hot")
+        dtypes = dict(df.dtypes)
+        # string mode columns get their mode from the category counts below;
+        # others keep their own type's order for ties
+        modes = {c: stats.mode_of(df, c).first()["mode"] for c in mode_cols
+                 if dtypes[c] != "string"}
         edges = {c.out: cut_edges(float(ext[f"min_{c.src}"]), float(ext[f"max_{c.src}"]), c.bins)
                  for c in spec.cuts}
         ranges, fills = {}, {}
@@ -227,21 +233,25 @@ class FeaturePipeline:
             ranges[c] = (lo, hi)
             fills[c] = (float(ext[f"avg_{c}"]) - lo) / ((hi - lo) if hi != lo else 1.0)
 
-        binned = df.withColumns({
-            **{c.out: cut_column(F.col(c.src), edges[c.out], c.labels) for c in spec.cuts},
-            **{c: F.coalesce(F.col(c), F.lit(m)) for c, m in modes.items()}})
-        cat_cols = spec.columns("one_hot") + spec.columns("mode_one_hot")
-        pairs = binned.select(F.explode(F.array(*[
+        binned = df.withColumns(
+            {c.out: cut_column(F.col(c.src), edges[c.out], c.labels) for c in spec.cuts})
+        cat_cols = spec.columns("one_hot") + mode_cols
+        pairs = (binned.select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v")) for c in cat_cols
-        ])).alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull()).distinct()
+        ])).alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull())
+            .groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")))
         found = pairs.limit(self.max_categories * len(cat_cols) + 1).collect()
         cats: dict[str, list] = {c: [] for c in cat_cols}
+        counts: dict[str, list] = {c: [] for c in cat_cols}
         for r in found:
             cats[r["k"]].append(r["v"])
+            counts[r["k"]].append((-r["n"], r["v"]))
         for c, vals in cats.items():
             if len(vals) > self.max_categories:
                 raise ValueError(f"{c} has more than {self.max_categories} categories")
             vals.sort()
+            if c in mode_cols and c not in modes:
+                modes[c] = min(counts[c])[1] if counts[c] else None
         df.unpersist()
         return FeatureModel(spec, edges, medians, modes, ranges, fills, cats,
                             self.handle_unknown, self.fill_from)
