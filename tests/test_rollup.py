@@ -125,3 +125,21 @@ def test_hot_customer_and_group(spark):
         assert r.rev_2019 == pytest.approx(c.revenue.sum(), rel=1e-12)
         d60 = c[c.duration == "60"]
         assert r.rev_per_60 == pytest.approx(d60.revenue.sum() / d60.customer_id.nunique(), rel=1e-12)
+
+
+def test_null_customer_counts_money_not_customers(spark):
+    import datetime as dt
+
+    from fixtures import SALES_SCHEMA
+    extra = spark.createDataFrame(
+        [("E", "A", None, dt.datetime(2019, 2, 1), "fast", 100.0, 10.0, "expert", "60")],
+        SALES_SCHEMA)
+    df = sales_df(spark).unionByName(extra)
+    two = _rows(sales_rollup(df, SPEC))
+    one = _rows(sales_rollup(df, SPEC, how="one_level"))
+    assert two == one
+    idx = {c: i for i, c in enumerate(METRIC_COLUMNS)}
+    ea = two[("E", "A")]
+    assert ea[idx["fast_and_fastest"]] == 1          # the null customer is no customer
+    assert ea[idx["rev_2019"]] == pytest.approx(6100)  # but its money counts
+    assert ea[idx["rev_per_60"]] == pytest.approx(3100)  # 3100 over one known customer
