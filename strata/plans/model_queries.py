@@ -518,3 +518,15 @@ def q_bootstrap_interval_table(spark, sf_dir):
         scores = ev.long_scores(per_rep, ("accuracy", "f1"), label)
         tables.append(ev.order_stat_interval(scores, ["model", "metric"], "score", BOOT_REFIT_B))
     return _union(tables)
+
+
+@query("logreg_heldout_metrics")
+def q_logreg_heldout_metrics(spark, sf_dir):
+    """The balanced 11-feature model fitted on train, evaluated on the
+    held-out rows transformed with the train-fitted features."""
+    feats, _ = _feats(spark, sf_dir)
+    names = _names(feats, SUBSET_11)
+    m = M.fit_logreg(feats, names, "survived", C=1.0, balanced=True)
+    test, _ = test_features(spark, sf_dir)
+    pred = M.predict(m, test, names, ["passenger_id", "survived"])
+    return ev.classification_metrics(pred, "survived").select(F.lit("log sub").alias("model"), "*")
