@@ -530,3 +530,14 @@ def q_logreg_heldout_metrics(spark, sf_dir):
     test, _ = test_features(spark, sf_dir)
     pred = M.predict(m, test, names, ["passenger_id", "survived"])
     return ev.classification_metrics(pred, "survived").select(F.lit("log sub").alias("model"), "*")
+
+
+@query("bootstrap_eval_multinomial")
+def q_bootstrap_eval_multinomial(spark, sf_dir):
+    """Intervals of held-out accuracy and F1 from B = 1000 exact multinomial
+    resamples of n rows (as resampling with replacement does), drawn from
+    the four confusion counts — O(n + B) work for any metric of the cells."""
+    per_rep = ev.cell_bootstrap(rule_predictions(spark, sf_dir), "survived",
+                                replicates=BOOT_B, seed=BOOT_SEED)
+    scores = ev.long_scores(per_rep, ("accuracy", "f1"), "title_rule")
+    return ev.order_stat_interval(scores, ["model", "metric"], "score", BOOT_B)

@@ -54,3 +54,21 @@ def test_cell_bootstrap(spark):
     again = ev.cell_bootstrap(_pred(spark), replicates=300, seed=3).collect()
     assert sorted(map(tuple, reps)) == sorted(map(tuple, again))
     assert np.mean([r.accuracy for r in reps]) == pytest.approx(0.7, abs=0.03)
+
+
+def test_poisson_and_multinomial_intervals_agree(spark):
+    rng = np.random.default_rng(4)
+    y = rng.integers(0, 2, 3000)
+    p = np.where(rng.random(3000) < 0.7, y, 1 - y)
+    pred = spark.createDataFrame([(i, int(a), int(b)) for i, (a, b) in enumerate(zip(y, p))],
+                                 "id long, label int, prediction int")
+    B = 1000
+    iv = {}
+    for name, per_rep in (("poisson", ev.bootstrap_eval(pred, "id", replicates=B)),
+                          ("multinomial", ev.cell_bootstrap(pred, replicates=B))):
+        s = ev.long_scores(per_rep, ("accuracy",), name)
+        iv[name] = {r.level: (r.lo, r.hi) for r in
+                    ev.order_stat_interval(s, ["model", "metric"], "score", B).collect()}
+    for lvl in (80, 90, 95):
+        assert iv["poisson"][lvl][0] == pytest.approx(iv["multinomial"][lvl][0], abs=0.006)
+        assert iv["poisson"][lvl][1] == pytest.approx(iv["multinomial"][lvl][1], abs=0.006)
