@@ -293,3 +293,25 @@ def corr_pairs(df: DataFrame, cols: Sequence[str], with_col: str | None = None)
         rows.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
                              F.round(r, STAT_DECIMALS).alias("r")))
     return s.select(F.explode(F.array(*rows)).alias("p")).select("p.*")
+
+
+def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Pearson matrix of complete (null-free) numeric columns, long form
+    (col_a, col_b, r) for the upper triangle.  One distributed Gram-matrix
+    aggregation (Spark ML ``Correlation``); only the k x k result reaches the
+    driver.  A null in any column raises (use ``corr_pairs`` for pairwise-
+    complete statistics); a zero-variance column gives NULL."""
+    import math
+
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    cols = list(cols)
+    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="error").transform(df)
+    m = Correlation.corr(vec.select("_v"), "_v", "pearson").first()[0].toArray()
+    rows = []
+    for i, a in enumerate(cols):
+        for j in range(i + 1, len(cols)):
+            r = float(m[i, j])
+            rows.append((a, cols[j], None if math.isnan(r) else round(r, STAT_DECIMALS)))
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")

@@ -255,3 +255,22 @@ def q_eda_corr_with_label(spark, sf_dir):
                  dummy(F.col("sib_sp_num") == "less_4").alias("less_4"),
                  dummy(F.col("sex") == "female").alias("female"))
     return corr_pairs(e, list(EDA_CORR_COLS), with_col="survived")
+
+
+def _feature_corr_sql():
+    names = _SQL_FEATURE_NAMES
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
+    return TRAIN_FEATS + f", full_f AS (SELECT *, {INTERACTION_SQL} FROM feats) " + \
+        " UNION ALL ".join(f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 9) AS r "
+                           f"FROM full_f" for a, b in pairs)
+
+
+@query("feature_corr_matrix", _feature_corr_sql())
+def q_feature_corr_matrix(spark, sf_dir):
+    """Pearson matrix of the model features (upper triangle, long form): the
+    transformed training rows are complete, so one Gram-matrix aggregation
+    gives every pair."""
+    from strata.operators.stats import corr_matrix
+    feats, _ = train_features(spark, sf_dir)
+    names = [c for c in feats.columns if c not in ("passenger_id", "survived")]
+    return corr_matrix(feats, names)

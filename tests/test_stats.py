@@ -132,3 +132,18 @@ def test_pivot_totals_equal_flat_totals(spark):
     flat = stats.count_by_keys(p, ["survived"], "passenger_id").collect()
     tot = {r.survived: sum(r[c] or 0 for c in ("1", "2", "3")) for r in piv}
     assert tot == {r.survived: r.n for r in flat}
+
+
+def test_corr_matrix_equals_pairwise_on_complete_data(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(500, 4))
+    x[:, 3] = 0.5 * x[:, 0] + rng.normal(size=500)
+    df = spark.createDataFrame([tuple(map(float, r)) + (1.0,) for r in x], "a double, b double, c double, d double, k double")
+    m = {(r.col_a, r.col_b): r.r for r in stats.corr_matrix(df, ["a", "b", "c", "d", "k"]).collect()}
+    p = {(r.col_a, r.col_b): r.r for r in stats.corr_pairs(df, ["a", "b", "c", "d", "k"]).collect()}
+    assert m.keys() == p.keys()
+    for key in m:
+        if p[key] is None:
+            assert m[key] is None  # constant column
+        else:
+            assert m[key] == pytest.approx(p[key], abs=1e-9)
