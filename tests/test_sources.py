@@ -38,3 +38,19 @@ def test_passenger_csv_and_predictions(spark, tmpdir_path):
     write_predictions(df.selectExpr("passenger_id", "survived AS prediction"), out)
     back = sorted(tuple(r) for r in read_predictions(spark, out).collect())
     assert back == [(1, 0), (2, 1)]
+
+
+def test_period_includes_whole_end_day(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+
+    from strata.functions.scalars import in_period
+    p = os.path.join(tmpdir_path, "sales_t.csv")
+    with open(p, "w") as f:
+        f.write("date,region,country,customer_id,delivery_type,revenue,cost,duration,cost_type\n")
+        f.write("2019-06-30 12:00:00,E,A,1,fast,10,4,60,expert\n")
+        f.write("2019-07-01 00:00:00,E,A,1,fast,10,4,60,expert\n")
+        f.write("2018-12-31 23:59:59,E,A,1,fast,10,4,60,expert\n")
+    df = read_sales(spark, p)
+    got = [r.inside for r in df.orderBy("date").select(
+        in_period(F.col("date"), "2019-01-01", "2019-06-30").alias("inside")).collect()]
+    assert got == [False, True, False]
