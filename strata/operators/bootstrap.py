@@ -11,7 +11,10 @@ fitted together by Newton's method (IRLS): each pass is ONE Spark job.
   (B x (k+1)(k+2)/2 numbers, independent of the partition size).
 * ``posexplode`` + ``groupBy(rep, idx).sum`` reduces those partial sums with
   Spark's map-side combine; the driver receives B x (k+1)(k+2)/2 numbers and
-  solves B systems of size k+1.  Nothing row-sized reaches the driver.
+  solves B systems of size k+1.  Nothing row-sized reaches the driver.  The
+  cached input is coalesced (narrowly) to one partition per core, so the
+  per-pass shuffle is cores x B x (k+1)(k+2)/2 numbers, independent of the
+  number of input splits.
 
 Objective per replicate (the C form): 0.5 ||b||^2 + C sum_i w_ri c_ri L_i,
 intercept unpenalised; c_ri is the balanced class weight computed on the
@@ -95,6 +98,13 @@ def batched_logreg(df: DataFrame, features: Sequence[str], label: str, key: str,
     iu = np.triu_indices(k1)
     B = len(Cs)
     data = cache_spread(_frame(df, key, label, features, fold_col))
+    # Every task emits B x (k+1)(k+2)/2 partial sums per pass, whatever its
+    # row count: a narrow coalesce to the cluster's parallelism (no shuffle,
+    # each core streams its share of the cached partitions) bounds the
+    # per-pass shuffle to cores x B x (k+1)(k+2)/2 numbers.
+    cores = data.sparkSession.sparkContext.defaultParallelism
+    if data.rdd.getNumPartitions() > cores:
+        data = data.coalesce(cores)
     xcols = [f"_x{i}" for i in range(k)]
     models = np.arange(B)
 
