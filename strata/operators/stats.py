@@ -51,6 +51,18 @@ def count_by_keys(df: DataFrame, keys: Sequence[str], col: str, alias: str = "n"
     return df.where(_not_null(keys)).groupBy(*keys).agg(F.count(F.col(col)).alias(alias))
 
 
+def nunique(df: DataFrame, keys: Sequence[str], col: str, alias: str = "n_distinct",
+            approx: bool = False, rsd: float = 0.01) -> DataFrame:
+    """Distinct non-null values of ``col`` per group (or overall without
+    keys).  Exact by default; ``approx`` uses HyperLogLog++ sketches
+    (``approx_count_distinct``, relative error ``rsd``), whose partial state
+    is a few kilobytes per group however many distinct values there are."""
+    keys = list(keys)
+    fn = (F.approx_count_distinct(col, rsd) if approx else F.count_distinct(col)).alias(alias)
+    base = df.where(_not_null(keys)) if keys else df
+    return base.groupBy(*keys).agg(fn) if keys else base.agg(fn)
+
+
 def grouped_mean(df: DataFrame, keys: Sequence[str], value: str, alias: str | None = None,
                  exact_scale: int | None = None) -> DataFrame:
     """Mean of ``value`` by keys, nulls skipped.  ``exact_scale`` sums as

@@ -217,16 +217,15 @@ SELECT survived, CAST(count(DISTINCT passenger_id) AS BIGINT) AS n_passengers
 FROM train GROUP BY survived
 """)
 def q_nunique_by_group(spark, sf_dir):
-    return (train_rows(spark, sf_dir).groupBy("survived")
-            .agg(F.count_distinct("passenger_id").alias("n_passengers")))
+    return stats.nunique(train_rows(spark, sf_dir), ["survived"], "passenger_id", "n_passengers")
 
 
 @query("nunique_global", TRAIN + """
 SELECT CAST(count(DISTINCT passenger_id) AS BIGINT) AS n_passengers FROM train WHERE pclass = 1
 """)
 def q_nunique_global(spark, sf_dir):
-    return (train_rows(spark, sf_dir).where(F.col("pclass") == 1)
-            .agg(F.count_distinct("passenger_id").alias("n_passengers")))
+    return stats.nunique(train_rows(spark, sf_dir).where(F.col("pclass") == 1), [],
+                         "passenger_id", "n_passengers")
 
 
 @query("distinct_values", TRAIN + "SELECT DISTINCT title FROM train")

@@ -147,3 +147,12 @@ def test_corr_matrix_equals_pairwise_on_complete_data(spark):
             assert m[key] is None  # constant column
         else:
             assert m[key] == pytest.approx(p[key], abs=1e-9)
+
+
+def test_nunique_exact_and_approx(spark):
+    df = spark.range(200000).select((F.col("id") % 3).alias("g"), (F.col("id") % 50000).alias("v"))
+    exact = {r.g: r.n_distinct for r in stats.nunique(df, ["g"], "v").collect()}
+    approx = {r.g: r.n_distinct for r in stats.nunique(df, ["g"], "v", approx=True).collect()}
+    assert exact == {0: 50000, 1: 50000, 2: 50000}
+    assert all(abs(approx[g] - exact[g]) / exact[g] < 0.03 for g in exact)
+    assert stats.nunique(df, [], "v").first().n_distinct == 50000
