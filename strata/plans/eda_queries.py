@@ -550,3 +550,18 @@ def q_mean_fare_sets(spark, sf_dir):
     """The five mean-fare breakdowns in one scan (exact decimal sums)."""
     return stats.grouping_sets_mean(train_rows(spark, sf_dir), FARE_SETS, "fare", "mean_fare",
                                     exact_scale=4)
+
+
+@query("read_passengers_csv", with_(PASSENGERS_CTE) + "SELECT * FROM passengers")
+def q_read_passengers_csv(spark, sf_dir):
+    """CSV round trip in the classic passenger layout (header, quoted names,
+    empty cells for nulls), read back by the declared-schema source."""
+    from strata.session import scratch_path
+    from strata.sources.files import PASSENGER_CSV_HEADER, read_passengers
+    path = scratch_path(spark, "passengers-csv")
+    p = passengers(spark, sf_dir).withColumn("ticket", F.lit(None).cast("string"))
+    cols = ["passenger_id", "survived", "pclass", "name", "sex", "age", "sibsp", "parch",
+            "ticket", "fare", "cabin", "embarked"]
+    p.select(*[F.col(c).alias(h) for c, h in zip(cols, PASSENGER_CSV_HEADER)]) \
+        .write.mode("overwrite").option("header", True).csv(path)
+    return read_passengers(spark, path).drop("ticket")

@@ -248,3 +248,23 @@ def q_metric_rollup_regions(spark, sf_dir):
     return out.select("region", F.col("n_customers").cast("bigint").alias("n_customers"),
                       F.col("n_lines").cast("bigint").alias("n_lines"), "revenue_per_customer",
                       "expert_share_pct", "max_line_revenue", "revenue_k")
+
+
+@query("read_sales_csv", with_(SALES_CTE) + """
+SELECT region, country, customer_id, CAST(date AS DATE) AS date, delivery_type, revenue, cost,
+       cost_type, duration
+FROM sales
+""")
+def q_read_sales_csv(spark, sf_dir):
+    """CSV round trip: the sales rows written as header CSV part files in the
+    shared checkpoint folder, read back by the declared-schema CSV source."""
+    from strata.session import scratch_path
+    from strata.sources.files import read_sales
+    path = scratch_path(spark, "sales-csv")
+    (sales(spark, sf_dir).select("date", "region", "country", "customer_id", "delivery_type",
+                                 "revenue", "cost", "duration", "cost_type")
+     .write.mode("overwrite").option("header", True)
+     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+    return read_sales(spark, path).select("region", "country", "customer_id",
+                                          F.to_date("date").alias("date"), "delivery_type",
+                                          "revenue", "cost", "cost_type", "duration")
