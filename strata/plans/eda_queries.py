@@ -565,3 +565,29 @@ def q_read_passengers_csv(spark, sf_dir):
     p.select(*[F.col(c).alias(h) for c, h in zip(cols, PASSENGER_CSV_HEADER)]) \
         .write.mode("overwrite").option("header", True).csv(path)
     return read_passengers(spark, path).drop("ticket")
+
+
+@query("box_stats_shares", TRAIN + """
+, g AS (SELECT pclass, sex, survived, count(passenger_id) AS n FROM train
+        GROUP BY pclass, sex, survived),
+s AS (SELECT pclass, sex, survived,
+             CAST(n AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY sex) AS DOUBLE)
+             * CAST(100.0 AS DOUBLE) AS pct_sex FROM g),
+q AS (SELECT sex, survived, count(*) AS n,
+             round(quantile_cont(pct_sex, 0.25), 9) AS q1,
+             round(quantile_cont(pct_sex, 0.5), 9) AS median,
+             round(quantile_cont(pct_sex, 0.75), 9) AS q3
+      FROM s GROUP BY sex, survived),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+SELECT f.sex, f.survived, CAST(f.n AS BIGINT) AS n, f.q1, f.median, f.q3,
+       min(CASE WHEN s.pct_sex BETWEEN f.lo AND f.hi THEN s.pct_sex END) AS whisker_low,
+       max(CASE WHEN s.pct_sex BETWEEN f.lo AND f.hi THEN s.pct_sex END) AS whisker_high,
+       CAST(count(CASE WHEN s.pct_sex < f.lo OR s.pct_sex > f.hi THEN 1 END) AS BIGINT)
+           AS n_outliers
+FROM s JOIN f ON s.sex = f.sex AND s.survived = f.survived
+GROUP BY f.sex, f.survived, f.n, f.q1, f.median, f.q3
+""")
+def q_box_stats_shares(spark, sf_dir):
+    """Box-plot numbers of the per-class share of each sex, by sex x outcome
+    (a box over an aggregated table)."""
+    return stats.box_stats(_shares(spark, sf_dir), ["sex", "survived"], "pct_sex")
