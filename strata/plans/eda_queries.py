@@ -591,3 +591,27 @@ def q_box_stats_shares(spark, sf_dir):
     """Box-plot numbers of the per-class share of each sex, by sex x outcome
     (a box over an aggregated table)."""
     return stats.box_stats(_shares(spark, sf_dir), ["sex", "survived"], "pct_sex")
+
+
+@query("pivot_count_family_sex", TRAIN + """
+SELECT family_size,
+       CAST(NULLIF(count(CASE WHEN sex = 'female' THEN passenger_id END), 0) AS BIGINT) AS female,
+       CAST(NULLIF(count(CASE WHEN sex = 'male' THEN passenger_id END), 0) AS BIGINT) AS male
+FROM train GROUP BY family_size
+""")
+def q_pivot_count_family_sex(spark, sf_dir):
+    """Passengers by family size x sex (unstacked)."""
+    return stats.pivot_agg(train_rows(spark, sf_dir), "family_size", "sex", ["female", "male"],
+                           "count", "passenger_id")
+
+
+@query("pivot_count_cabin_class", TRAIN + """
+SELECT level_cabin, """ + ", ".join(
+    f'CAST(NULLIF(count(CASE WHEN pclass = {c} THEN survived END), 0) AS BIGINT) AS "{c}"'
+    for c in (1, 2, 3)) + """
+FROM train GROUP BY level_cabin
+""")
+def q_pivot_count_cabin_class(spark, sf_dir):
+    """Labelled passengers by cabin level x class (unstacked)."""
+    return stats.pivot_agg(train_rows(spark, sf_dir), "level_cabin", "pclass", [1, 2, 3],
+                           "count", "survived")
