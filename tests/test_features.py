@@ -73,3 +73,26 @@ def test_interactions(spark):
     assert r[2].fem_family == 1.0 and r[1].fem_family == 0.0
     assert r[2].female_age == pytest.approx(1.0)
     assert r[8].fare_family == pytest.approx(r[8].fare)
+
+
+@pytest.mark.parametrize("seed,bins,kind", [(1, 3, "int"), (2, 2, "int"), (3, 4, "float"),
+                                            (4, 3, "const"), (5, 5, "float")])
+def test_cut_matches_pandas_cut(spark, seed, bins, kind):
+    import numpy as np
+    import pandas as pd
+
+    from strata.operators.features import cut_column
+    rng = np.random.default_rng(seed)
+    if kind == "int":
+        x = rng.integers(0, 11, 400).astype(float)
+    elif kind == "const":
+        x = np.full(50, 7.0)
+    else:
+        x = np.round(rng.normal(10, 3, 400), 3)
+    labels = [f"b{i}" for i in range(bins)]
+    exp, edges = pd.cut(x, bins=bins, labels=labels, retbins=True)
+    got_edges = cut_edges(float(x.min()), float(x.max()), bins)
+    assert got_edges == pytest.approx(list(edges), rel=1e-12, abs=1e-12)
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "i int, x double")
+    out = df.select("i", cut_column(F.col("x"), got_edges, labels).alias("b")).orderBy("i")
+    assert [r.b for r in out.collect()] == [str(v) for v in exp]
