@@ -143,3 +143,54 @@ def test_null_customer_counts_money_not_customers(spark):
     assert ea[idx["fast_and_fastest"]] == 1          # the null customer is no customer
     assert ea[idx["rev_2019"]] == pytest.approx(6100)  # but its money counts
     assert ea[idx["rev_per_60"]] == pytest.approx(3100)  # 3100 over one known customer
+
+
+def test_all_metrics_match_pandas_spec(spark):
+    """All twelve metrics against a direct pandas computation of the spec,
+    on random rows with null keys and null customers."""
+    import datetime as dt
+
+    import numpy as np
+    import pandas as pd
+
+    from fixtures import SALES_SCHEMA
+    rng = np.random.default_rng(21)
+    n = 5000
+    pdf = pd.DataFrame({
+        "region": rng.choice(["E", "W", None], n, p=[0.5, 0.45, 0.05]),
+        "country": rng.choice(["A", "B", "C"], n),
+        "customer_id": np.where(rng.random(n) < 0.05, None, rng.integers(1, 300, n)),
+        "date": [dt.datetime(2018, 1, 1) + dt.timedelta(days=int(d)) for d in rng.integers(0, 700, n)],
+        "delivery_type": rng.choice(["fast", "fastest", "slow", "normal"], n),
+        "revenue": np.round(rng.uniform(1, 1000, n), 2),
+        "cost": np.round(rng.uniform(1, 500, n), 2),
+        "cost_type": rng.choice(["expert", "normal"], n),
+        "duration": rng.choice(["30", "60"], n),
+    })
+    rows = [tuple(None if (isinstance(v, float) and np.isnan(v)) else v for v in r)
+            for r in pdf[[f.name for f in SALES_SCHEMA.fields]].itertuples(index=False)]
+    rows = [r[:2] + ((None if r[2] is None else int(r[2])), r[3].to_pydatetime()) + r[4:]
+            for r in rows]
+    got = _rows(sales_rollup(spark.createDataFrame(rows, SALES_SCHEMA), SPEC))
+    d = pdf.dropna(subset=["region", "country"])
+    cur = (d.date >= "2019-01-01") & (d.date < "2019-07-01")
+    prev = (d.date >= "2018-01-01") & (d.date < "2018-07-01")
+    for (reg, cty), g in d.groupby(["region", "country"]):
+        c, p_ = g[cur[g.index]], g[prev[g.index]]
+        rev, rev_p, cost = c.revenue.sum(), p_.revenue.sum(), c.cost.sum()
+        cexp = c[c.cost_type == "expert"].cost.sum()
+        d60, d60e = c[c.duration == "60"], c[(c.duration == "60") & (c.cost_type == "expert")]
+        exp = (
+            (dt.datetime(2019, 9, 9) - g.date.max()).days,
+            c[c.delivery_type.isin(["fast", "fastest"])].customer_id.nunique(),
+            rev, rev_p, cost, cexp, cost - cexp,
+            d60.revenue.sum() / d60.customer_id.nunique() if d60.customer_id.nunique() else None,
+            (rev - cexp) / rev * 100 if rev else None,
+            (rev - cost) / rev * 100 if rev else None,
+            d60e.cost.sum() / d60e.customer_id.nunique() if d60e.customer_id.nunique() else None,
+            (rev / rev_p - 1) * 100 if rev_p else None,
+        )
+        for a, e in zip(got[(reg, cty)], exp):
+            assert (a is None) == (e is None)
+            if e is not None:
+                assert a == pytest.approx(e, rel=1e-9, abs=1e-9)
