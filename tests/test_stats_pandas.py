@@ -67,3 +67,31 @@ def test_pairwise_correlation(frames):
     exp = pdf[["h", "x", "y"]].corr()  # pairwise-complete, like ours
     for (a, b), r in got.items():
         assert r == pytest.approx(exp.loc[a, b], abs=1e-9)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_histogram_matches_numpy(spark, seed):
+    rng = np.random.default_rng(seed)
+    x = np.concatenate([np.round(rng.normal(50, 15, 3000), 2), np.arange(0, 101, 10.0)])
+    df = spark.createDataFrame([(float(v),) for v in x], "v double")
+    got = {r.bin: r.n for r in stats.histogram(df, "v", 10).collect()}
+    counts, _ = np.histogram(x, bins=10)
+    assert [got.get(i, 0) for i in range(10)] == list(counts)
+
+
+def test_shares_and_weighted_rate(frames):
+    pdf, sdf = frames
+    counts = stats.count_by_keys(sdf, ["g", "h"], "y")
+    got = {(r.g, r.h): r.pct_g for r in
+           stats.shares_of_totals(counts, "n", {"g": ["g"]}).collect()}
+    c = pdf.groupby(["g", "h"])["y"].count()
+    exp = (c / c.groupby(level="g").transform("sum") * 100).to_dict()
+    assert got.keys() == exp.keys()
+    for k in exp:
+        assert got[k] == pytest.approx(exp[k], rel=1e-12)
+    pdf2 = pdf.assign(lab=(pdf.y > 40).astype(int))
+    sdf2 = sdf.withColumn("lab", (sdf.y > 40).cast("int"))
+    w = {r.g: r.weighted_rate for r in stats.weighted_rate(sdf2, "g", "lab").collect()}
+    total = pdf2.lab.count()
+    for g, s in pdf2.groupby("g")["lab"]:
+        assert w[g] == pytest.approx((s * s.count() / total * 100).sum(), rel=1e-12)
