@@ -26,3 +26,17 @@ def test_hex_threshold():
     assert hex_threshold(0.8) == "cccc"
     assert hex_threshold(0.0) == "0000"
     assert hex_threshold(1.0) == "ffff"
+
+
+def test_split_and_folds_match_python_md5(spark):
+    import hashlib
+
+    from strata.operators.split import FOLD_SEED, SPLIT_SEED
+    df = spark.range(3000).withColumnRenamed("id", "k")
+    rows = df.select("k", train_flag("k").alias("t"), fold_column("k", 5).alias("f")).collect()
+    for r in rows:
+        h = hashlib.md5(f"{SPLIT_SEED}:{r.k}".encode()).hexdigest()[:4]
+        assert r.t == (h < "cccc")
+        u = int(hashlib.md5(f"{FOLD_SEED}:{r.k}".encode()).hexdigest()[:4], 16)
+        expected = next(i for i in range(5) if i == 4 or u < int((i + 1) / 5 * 65536))
+        assert r.f == expected
