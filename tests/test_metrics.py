@@ -45,3 +45,30 @@ def test_global_rollup_and_bad_kind(spark):
     assert (out.n_cust, out.n) == (7, 8)   # null-region row kept: no keys
     with pytest.raises(ValueError):
         metric_rollup(sales_df(spark), ["region"], [Metric("x", "median", "cost")])
+
+
+@pytest.mark.parametrize("how", ["auto", "one_level"])
+def test_metric_rollup_matches_pandas(spark, how):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(8)
+    n = 4000
+    ent = rng.integers(1, 400, n).astype(object)
+    ent[rng.random(n) < 0.05] = None
+    pdf = pd.DataFrame({"k": rng.choice(["a", "b", "c"], n), "e": ent,
+                        "v": np.round(rng.uniform(0, 100, n), 2), "t": rng.choice(["x", "y"], n)})
+    sdf = spark.createDataFrame([(r.k, None if r.e is None else int(r.e), float(r.v), r.t)
+                                 for r in pdf.itertuples()], "k string, e long, v double, t string")
+    ms = [Metric("n_e", "distinct", "e"), Metric("n_e_x", "distinct", "e", F.col("t") == "x"),
+          Metric("n", "count"), Metric("s", "money_sum", "v"),
+          Metric("s_x", "money_sum", "v", F.col("t") == "x"),
+          Metric("mx", "max", "v", F.col("t") == "y"), Metric("mn", "min", "v")]
+    got = {r.k: r for r in metric_rollup(sdf, ["k"], ms, how=how).collect()}
+    for k, g in pdf.groupby("k"):
+        r = got[k]
+        assert r.n_e == g.e.nunique()
+        assert r.n_e_x == g[g.t == "x"].e.nunique()
+        assert r.n == len(g)
+        assert float(r.s) == pytest.approx(g.v.sum(), abs=1e-6)
+        assert float(r.s_x) == pytest.approx(g[g.t == "x"].v.sum(), abs=1e-6)
+        assert r.mx == g[g.t == "y"].v.max() and r.mn == g.v.min()
