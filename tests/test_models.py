@@ -61,9 +61,13 @@ def test_logit_inference_matches_irls(spark):
         b += np.linalg.solve(H, X.T @ (y - p))
     se = np.sqrt(np.diag(np.linalg.inv(H)))
     got = {r[0]: r for r in rows}
+    import math
     for j, f in enumerate(FEATS):
         assert got[f][1] == pytest.approx(b[j], abs=1e-6)
         assert got[f][2] == pytest.approx(se[j], rel=1e-4)
+        z = b[j] / se[j]
+        assert got[f][3] == pytest.approx(z, rel=1e-4)
+        assert got[f][4] == pytest.approx(math.erfc(abs(z) / math.sqrt(2)), rel=1e-3, abs=1e-12)
     assert 0 < extra["pseudo_r2"] < 1
 
 
