@@ -68,7 +68,13 @@ def test_logit_inference_matches_irls(spark):
         z = b[j] / se[j]
         assert got[f][3] == pytest.approx(z, rel=1e-4)
         assert got[f][4] == pytest.approx(math.erfc(abs(z) / math.sqrt(2)), rel=1e-3, abs=1e-12)
-    assert 0 < extra["pseudo_r2"] < 1
+    pr = 1 / (1 + np.exp(-(X @ b)))
+    ll = float(np.sum(y * np.log(pr) + (1 - y) * np.log(1 - pr)))
+    pbar = y.mean()
+    ll0 = float(y.sum() * np.log(pbar) + (len(y) - y.sum()) * np.log(1 - pbar))
+    assert extra["log_likelihood"] == pytest.approx(ll, rel=1e-6)
+    assert extra["null_log_likelihood"] == pytest.approx(ll0, rel=1e-12)
+    assert extra["pseudo_r2"] == pytest.approx(1 - ll / ll0, rel=1e-5)
 
 
 def test_bootstrap_replicates_match_weighted_fits(spark):
