@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,28 +18,25 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: dict[int, int]):
-    """(doc_id, text, label) of at most ``per_class[y]`` documents of each
-    class y, and the number of labelled documents of each class.
+    """(doc_id, text, label) of about ``per_class[y]`` documents of each class
+    y (all, if fewer), and the number of labelled documents of each class.
 
     Only rows outside the held-out fold are read.  A document labelled more
     than once takes its largest label; rows with a null id or label are left
-    out.  The documents of a class are those with the smallest hash of the
-    id, so that the sample does not depend on order or partitions.  The ids
-    of the sample are bounded by ``per_class``, hence the broadcast.
+    out.  A class keeps the documents whose id's hash lies below the share
+    that its bound is of its count, so the sample depends on neither order nor
+    partitions.  Its ids are bounded by ``per_class``, hence the broadcast.
     """
     rows = (labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("label"))
             .where(F.col("doc_id").isNotNull() & F.col("label").isin(list(per_class)) & ~held_out())
             .groupBy("doc_id").agg(F.max("label").alias("label")))
-    rows = rows.join(docs.select("doc_id").where(F.col("text").isNotNull()).distinct(), "doc_id", "left_semi")
-    ids, counts = [], {}
-    for r in rows.groupBy("label").count().collect():  # one row a class
-        counts[r["label"]] = r["count"]
-    for y, most in per_class.items():
-        if counts.get(y):
-            ids += [(r["doc_id"], y) for r in rows.where(F.col("label") == y).select("doc_id")
-                    .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()]
-    spark = docs.sparkSession
-    picked = spark.createDataFrame(ids, "doc_id long, label int")
+    rows = rows.join(docs.select("doc_id"), "doc_id", "left_semi")
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}  # one row a class
+    spark, span = docs.sparkSession, 1 << 30
+    taken = [(F.col("label") == y) & (F.pmod(F.xxhash64("doc_id"), F.lit(span)) < span * min(1.0, per_class[y] / n))
+             for y, n in counts.items()]
+    ids = rows.where(reduce(or_, taken)).collect() if taken else []
+    picked = spark.createDataFrame([(r["doc_id"], r["label"]) for r in ids], "doc_id long, label int")
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id"), counts
 
 

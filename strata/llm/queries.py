@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import functools
 
-from strata.llm import quality_classifier, toxicity
+import public_tokenizers
+
+from strata.llm import byte_bpe, quality_classifier, quality_rules, toxicity
 from strata.llm.workers import importable
 from strata.sources.tables import read_table
 
@@ -19,6 +21,17 @@ def op3_quality_classifier(spark, sf_dir):
     return quality_classifier.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8_quality_rules(spark, sf_dir):
+    """Counts, base rule and verdict of every document."""
+    return quality_rules.judge_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op9_byte_bpe(spark, sf_dir):
+    """Token ids of every document and the round trip, as digests."""
+    return byte_bpe.digest_documents(read_table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def _ready(fn):
     @functools.wraps(fn)
     def run(spark, sf_dir):
@@ -27,6 +40,6 @@ def _ready(fn):
     return run
 
 
-QUERIES = {f.__name__: _ready(f) for f in (op1_toxicity, op3_quality_classifier)}
+QUERIES = {f.__name__: _ready(f) for f in (op1_toxicity, op3_quality_classifier, op8_quality_rules, op9_byte_bpe)}
 
 ORACLE_SQL: dict[str, str] = {}

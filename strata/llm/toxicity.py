@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +56,11 @@ def ngram_buckets(text: str | None) -> Iterator[np.ndarray]:
         yield from _buckets(codes[at:at + CHUNK + max(ORDERS) - 1])
 
 
+def present(text: str | None) -> np.ndarray:
+    """The distinct buckets of the text's n-grams."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint32), *ngram_buckets(text)]))
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
     weights: np.ndarray  # by bucket, float32; 0 where the bucket is no feature
@@ -68,31 +74,42 @@ class ToxicityModel:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: dict[int, int] = PER_CLASS,
         passes: int = 80, rate: float = 0.02, l2: float = 1e-3) -> ToxicityModel:
-    """Fit on at most ``per_class`` labelled documents outside the held-out
-    fold.  The executors turn them to buckets; only these reach the driver."""
+    """Fit on about ``per_class`` labelled documents outside the held-out
+    fold.  The executors count the buckets of each class; at most ``2**BITS``
+    counts reach the driver, then the features of the sample."""
     sample, counts = training_sample(docs, labels, label, per_class)
     none = np.zeros(1 << BITS, np.float32)
     if not counts.get(0) or not counts.get(1):
         return ToxicityModel(none, 30.0 if counts.get(1) else -np.inf)
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros((2, 1 << BITS), np.int64)
+        for batch in batches:
+            for text, y in zip(batch["text"].to_pylist(), batch["label"].to_pylist()):
+                n[y, present(text)] += 1
+        found = np.flatnonzero(n.any(0))
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n[0, found]), pa.array(n[1, found])], names=["bucket", "n0", "n1"])
+
+    total = (sample.select("text", "label").mapInArrow(count, "bucket long, n0 long, n1 long")
+             .groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+             .where(F.col("n0") + F.col("n1") > 1).toArrow())
+    neg, pos = (np.zeros(1 << BITS) for _ in range(2))
+    neg[total["bucket"].to_numpy()], pos[total["bucket"].to_numpy()] = total["n0"].to_numpy(), total["n1"].to_numpy()
+    # naive Bayes log-count ratio of each bucket, add-one smoothed
+    ratio = np.log((pos + 1) / (pos.sum() + len(pos))) - np.log((neg + 1) / (neg.sum() + len(neg)))
+    strength = np.abs(ratio) * np.sqrt(pos + neg)
+    feature = strength > (np.partition(strength, -MAX_FEATURES)[-MAX_FEATURES])
+    place = (np.cumsum(feature) - 1).astype(np.int32)
+
     @F.pandas_udf("array<int>")
-    def grams(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: np.unique(np.concatenate([np.zeros(0, np.uint32), *ngram_buckets(t)])).astype(np.int32))
+    def features(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: place[(b := present(t))[feature[b]]])
 
-    rows = sample.select("doc_id", "label", grams("text").alias("grams")).toArrow().sort_by("doc_id")
+    rows = sample.select("doc_id", "label", features("text").alias("at")).toArrow().sort_by("doc_id")
     y = rows["label"].to_numpy().astype(float)
-    held = rows["grams"].combine_chunks()
-    bucket = held.flatten().to_numpy()
+    held = rows["at"].combine_chunks()
+    col = held.flatten().to_numpy()
     row = np.repeat(np.arange(len(y)), held.value_lengths().to_numpy())
-    # naive Bayes log-count ratio of each bucket, add-one smoothed
-    df = np.bincount(bucket, minlength=1 << BITS)
-    pos = np.bincount(bucket, weights=y[row], minlength=1 << BITS)
-    ratio = np.log((pos + 1) / (pos.sum() + len(df))) - np.log((df - pos + 1) / ((df - pos).sum() + len(df)))
-    strength = np.where(df >= 2, np.abs(ratio) * np.sqrt(df), 0)
-    feature = strength > (np.sort(strength)[-MAX_FEATURES] if np.count_nonzero(strength) > MAX_FEATURES else 0)
-    place = np.cumsum(feature) - 1
-    use = feature[bucket]
-    row, col = row[use], place[bucket[use]]
     value = ratio[feature][col]
     # logistic regression by Adam over the whole sample
     v = np.zeros(int(feature.sum()))
