@@ -6,7 +6,7 @@ import functools
 
 import public_tokenizers
 
-from strata.llm import byte_bpe, quality_classifier, quality_rules, toxicity
+from strata.llm import byte_bpe, licenses, quality_classifier, quality_rules, toxicity, warc
 from strata.llm.workers import importable
 from strata.sources.tables import read_table
 
@@ -21,6 +21,11 @@ def op3_quality_classifier(spark, sf_dir):
     return quality_classifier.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op7_warc(spark, sf_dir):
+    """Pages written as WARC, normalised and read back."""
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
+
+
 def op8_quality_rules(spark, sf_dir):
     """Counts, base rule and verdict of every document."""
     return quality_rules.judge_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -32,6 +37,11 @@ def op9_byte_bpe(spark, sf_dir):
                                      public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op10_license_scan(spark, sf_dir):
+    """Licence notices in every document."""
+    return licenses.scan_documents(read_table(spark, sf_dir, "documents"))
+
+
 def _ready(fn):
     @functools.wraps(fn)
     def run(spark, sf_dir):
@@ -40,6 +50,14 @@ def _ready(fn):
     return run
 
 
-QUERIES = {f.__name__: _ready(f) for f in (op1_toxicity, op3_quality_classifier, op8_quality_rules, op9_byte_bpe)}
+QUERIES = {f.__name__: _ready(f) for f in (op1_toxicity, op3_quality_classifier, op7_warc, op8_quality_rules, op9_byte_bpe,
+                                            op10_license_scan)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id <> first OR (page_id IS NULL AND first IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first OR (page_id IS NULL AND first IS NOT NULL) THEN first END AS refers_to
+FROM g
+"""}
