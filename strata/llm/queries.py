@@ -5,9 +5,11 @@ from __future__ import annotations
 import functools
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe, licenses, quality_classifier, quality_rules, toxicity, warc
+from strata.llm import byte_bpe, jaccard_join, licenses, packing, quality_classifier, quality_rules, topk, toxicity, warc
 from strata.llm.workers import importable
+from strata.session import checkpoint_dir
 from strata.sources.tables import read_table
 
 
@@ -21,6 +23,24 @@ def op3_quality_classifier(spark, sf_dir):
     return quality_classifier.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op4_jaccard_join(spark, sf_dir):
+    """Components of documents whose 3-word shingles have a Jaccard similarity of 0.9 and more."""
+    return jaccard_join.join_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op5_ball_tree_topk(spark, sf_dir):
+    """The 5 best inner products of each vector whose id is divisible by 50."""
+    checkpoint_dir(spark)
+    vectors = topk.whole_vectors(read_table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
+def op6_best_fit_packing(spark, sf_dir):
+    """The bins that every document's pieces are packed into."""
+    checkpoint_dir(spark)
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark, sf_dir):
     """Pages written as WARC, normalised and read back."""
     return warc.round_trip(read_table(spark, sf_dir, "pages"))
@@ -50,10 +70,33 @@ def _ready(fn):
     return run
 
 
-QUERIES = {f.__name__: _ready(f) for f in (op1_toxicity, op3_quality_classifier, op7_warc, op8_quality_rules, op9_byte_bpe,
+QUERIES = {f.__name__: _ready(f) for f in (op1_toxicity, op3_quality_classifier, op4_jaccard_join, op5_ball_tree_topk,
+                                            op6_best_fit_packing, op7_warc, op8_quality_rules, op9_byte_bpe,
                                             op10_license_scan)}
 
-ORACLE_SQL: dict[str, str] = {"op7_warc": """
+ORACLE_SQL: dict[str, str] = {"op4_jaccard_join": r"""
+WITH RECURSIVE
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS id, doc_id AS root FROM n UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.root, d.doc_id) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+LEFT JOIN (SELECT id, min(root) AS root FROM r GROUP BY id) m ON m.id = d.doc_id
+""", "op5_ball_tree_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+e AS (SELECT vec_id, unnest(v) AS x, unnest(range(len(v))) AS i, len(v) AS dim FROM v),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+      FROM e q JOIN e c ON q.i = c.i AND q.dim = c.dim AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+""", "op7_warc": """
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
 g AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS first FROM p)
 SELECT page_id, payload_bytes, payload_digest,
