@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.store import components, stored
+from strata.llm.store import Scratch, components, stored
 
 WORDS = 3
 SHARE = (90, 100)  # links from 90/100
@@ -152,20 +152,25 @@ def _named(df: DataFrame, prefix: str, *more: str) -> DataFrame:
 def join_documents(docs: DataFrame, share=SHARE) -> DataFrame:
     """doc_id, n_shingles and component_id (the least doc_id that links reach)
     of every document."""
+    with Scratch() as scratch:
+        return stored(_joined(docs, share, scratch), "components")
+
+
+def _joined(docs: DataFrame, share, scratch: Scratch) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    sketches = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _sketch(share)(text).alias("s")).select("doc_id", "s.*"), "sketches")
+    sketches = scratch.stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _sketch(share)(text).alias("s")).select("doc_id", "s.*"), "sketches")
     # a class of equal sets is known by its least id
-    classes = stored(sketches.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("id")), "classes")
+    classes = scratch.stored(sketches.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("id")), "classes")
     own = (sketches.join(classes.where(F.col("id").isNotNull()).select("id", F.col("d1").alias("c1")),
                          (F.col("doc_id") == F.col("id")) & (F.col("d1") == F.col("c1")))
            .select("id", "n", *(F.col("fold")[i].alias(f"f{i}") for i in range(FOLD)), "keys"))
     keyed = own.where(F.size("keys") > 0).select("id", F.explode("keys").alias("key"))
-    shared = stored(keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key"), "keys")
-    members = stored(keyed.join(shared, "key"), "members")  # both sides dealt anew: hot keys can be split
-    live = stored(members.select("id").distinct(), "live")
+    shared = scratch.stored(keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key"), "keys")
+    members = scratch.stored(keyed.join(shared, "key"), "members")  # both sides dealt anew: hot keys can be split
+    live = scratch.stored(members.select("id").distinct(), "live")
     narrow = own.drop("keys").join(live, "id").dropDuplicates(["id"])
-    members = stored(members.join(narrow, "id"), "members")
-    sets = stored(docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text")).join(live, "id")
+    members = scratch.stored(members.join(narrow, "id"), "members")
+    sets = scratch.stored(docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text")).join(live, "id")
                   .select("id", _whole_set("text").alias("s")), "sets")
 
     low, high = share
@@ -177,11 +182,11 @@ def join_documents(docs: DataFrame, share=SHARE) -> DataFrame:
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
+        pairs = scratch.stored(pairs, "pairs")
         left = pairs.join(sets.toDF("a", "sa"), "a")
         both = left.join(sets.toDF("b", "sb"), "b")
         common = F.size(F.array_intersect("sa", "sb"))
-        found = stored(both.where(high * common >= low * (F.size("sa") + F.size("sb") - common)).select("a", "b"), "found")
+        found = scratch.stored(both.where(high * common >= low * (F.size("sa") + F.size("sb") - common)).select("a", "b"), "found")
         links = found if links is None else links.unionByName(found)
         tested = pairs if tested is None else tested.unionByName(pairs)
 
@@ -190,26 +195,26 @@ def join_documents(docs: DataFrame, share=SHARE) -> DataFrame:
         part = members if labels is None else members.join(labels.select(F.col("id").alias("l"), "component"), F.col("id") == F.col("l"), "left").drop("l")
         return part.withColumn("c", F.col("id") if labels is None else F.coalesce("component", "id")).select(*members.columns, "c")
 
-    open_ = stored(labelled(), "open")
+    open_ = scratch.stored(labelled(), "open")
     for turn in range(ROUNDS):
         lead = open_.groupBy("key").agg(F.min_by(F.struct("id", "n", *(f"f{i}" for i in range(FOLD)), "c"), F.xxhash64("id", "key", F.lit(turn))).alias("x"))
-        lead = stored(lead.select("key", "x.*"), "leaders")
+        lead = scratch.stored(lead.select("key", "x.*"), "leaders")
         met = _named(open_, "m_", "c").join(_named(lead, "l_", "c").withColumnRenamed("key", "k"),
                                             (F.col("key") == F.col("k")) & (F.col("m_c") != F.col("l_c")) & _near("m_", "l_", share))
         verify(met.select(F.least("m_id", "l_id").alias("a"), F.greatest("m_id", "l_id").alias("b")))
-        labels = components(links)
+        labels = components(links, scratch)
         all_ = labelled()
-        still = stored(all_.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("key"), "still")
-        open_ = stored(all_.join(still, "key"), "open")
+        still = scratch.stored(all_.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("key"), "still")
+        open_ = scratch.stored(all_.join(still, "key"), "open")
 
     # what is left: in each key, those outside its largest component against all others
     sizes = open_.groupBy("key", "c").agg(F.count("*").alias("members"))
-    major = stored(sizes.groupBy("key").agg(F.max_by("c", F.struct("members", "c")).alias("major")), "major")
-    minor = stored(open_.join(major, "key").where(F.col("c") != F.col("major")), "minor")
+    major = scratch.stored(sizes.groupBy("key").agg(F.max_by("c", F.struct("members", "c")).alias("major")), "major")
+    minor = scratch.stored(open_.join(major, "key").where(F.col("c") != F.col("major")), "minor")
     met = _named(open_, "m_", "c").join(_named(minor, "l_", "c").withColumnRenamed("key", "k"),
                                         (F.col("key") == F.col("k")) & (F.col("m_c") != F.col("l_c")) & _near("m_", "l_", share))
     verify(met.select(F.least("m_id", "l_id").alias("a"), F.greatest("m_id", "l_id").alias("b")))
-    labels = stored(components(links), "labels")
+    labels = scratch.stored(components(links, scratch), "labels")
 
     joined = (sketches.select("doc_id", "n", "d1", "d2")
               .join(classes.select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), "id"), (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")), "left"))
@@ -218,7 +223,13 @@ def join_documents(docs: DataFrame, share=SHARE) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, share=SHARE) -> DataFrame:
-    """The documents that are the least of their component, columns as given;
-    of rows that share that id one stays."""
-    kept = join_documents(docs, share).where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """One document of each component, that with the least id; columns as
+    given.  Of rows that share that id one stays.  Rows without an id, which
+    no component is known by, stay."""
+    kept = join_documents(docs, share).where("doc_id = component_id").select(F.col("doc_id").alias("kept_")).distinct()
+    rows = docs.join(kept, docs["doc_id"].cast("long") == F.col("kept_"), "left_semi")
+    again = stored(docs.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("again_")).count().where(F.col("count") > 1).select("again_"), "again")
+    if not again.isEmpty():
+        of = rows["doc_id"] == again["again_"]
+        rows = rows.join(again, of, "left_anti").unionByName(rows.join(again, of, "left_semi").dropDuplicates(["doc_id"]))
+    return rows.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -7,7 +7,7 @@ import functools
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe, jaccard_join, licenses, packing, quality_classifier, quality_rules, topk, toxicity, warc
+from strata.llm import byte_bpe, jaccard_join, licenses, line_dedup, packing, quality_classifier, quality_rules, topk, toxicity, warc
 from strata.llm.workers import importable
 from strata.session import checkpoint_dir
 from strata.sources.tables import read_table
@@ -18,6 +18,12 @@ def op1_toxicity(spark, sf_dir):
     return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op2_line_dedup(spark, sf_dir):
+    """Lines of every document that repeat another line, equal or one edit apart."""
+    report = line_dedup.dedup_report(read_table(spark, sf_dir, "documents"))
+    return report.withColumn("dropped_lines", F.array_join("dropped_lines", ","))
+
+
 def op3_quality_classifier(spark, sf_dir):
     """Quality of every document by subword embeddings."""
     return quality_classifier.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -70,11 +76,32 @@ def _ready(fn):
     return run
 
 
-QUERIES = {f.__name__: _ready(f) for f in (op1_toxicity, op3_quality_classifier, op4_jaccard_join, op5_ball_tree_topk,
+QUERIES = {f.__name__: _ready(f) for f in (op1_toxicity, op2_line_dedup, op3_quality_classifier, op4_jaccard_join, op5_ball_tree_topk,
                                             op6_best_fit_packing, op7_warc, op8_quality_rules, op9_byte_bpe,
                                             op10_license_scan)}
 
-ORACLE_SQL: dict[str, str] = {"op4_jaccard_join": r"""
+ORACLE_SQL: dict[str, str] = {"op2_line_dedup": r"""
+WITH RECURSIVE
+s AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+o AS (SELECT doc_id, unnest(ls) AS l, unnest(range(len(ls))) AS pos FROM s),
+f AS (SELECT * FROM o WHERE trim(l, ' ') <> ''),
+d AS (SELECT l, length(l) AS n, row_number() OVER (ORDER BY l) AS id FROM (SELECT DISTINCT l FROM f)),
+p AS (SELECT x.id AS a, y.id AS b FROM d x JOIN d y ON x.id <> y.id AND y.n BETWEEN x.n - 1 AND x.n + 1 AND x.n >= 20 AND y.n >= 20
+        AND left(x.l, 9) = left(y.l, 9) WHERE levenshtein(x.l, y.l) <= 1
+      UNION SELECT x.id, y.id FROM d x JOIN d y ON x.id <> y.id AND y.n BETWEEN x.n - 1 AND x.n + 1 AND x.n >= 20 AND y.n >= 20
+        AND right(x.l, 9) = right(y.l, 9) WHERE levenshtein(x.l, y.l) <= 1),
+r AS (SELECT id, id AS root FROM d UNION SELECT p.b, r.root FROM r JOIN p ON p.a = r.id),
+c AS (SELECT id, min(root) AS root FROM r GROUP BY id),
+k AS (SELECT f.doc_id, f.pos, c.root, min(f.doc_id) OVER (PARTITION BY c.root) AS first_doc,
+             row_number() OVER (PARTITION BY c.root, f.doc_id ORDER BY f.pos) AS nth
+      FROM f JOIN d ON d.l = f.l JOIN c ON c.id = d.id),
+g AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE doc_id <> first_doc OR nth > 1) AS n_dropped,
+             string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) FILTER (WHERE doc_id <> first_doc OR nth > 1) AS dropped_lines
+      FROM k GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS INTEGER) AS n_lines, CAST(coalesce(n_dropped, 0) AS INTEGER) AS n_dropped,
+       coalesce(dropped_lines, '') AS dropped_lines
+FROM documents d LEFT JOIN g ON g.doc_id = d.doc_id
+""", "op4_jaccard_join": r"""
 WITH RECURSIVE
 w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                         '[^\x20\x09-\x0D]+') AS w FROM documents),

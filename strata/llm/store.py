@@ -16,23 +16,42 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def components(links: DataFrame) -> DataFrame:
+class Scratch:
+    """Tables stored for the time of a ``with`` block, deleted at its end."""
+
+    def __enter__(self) -> "Scratch":
+        self.paths: list[tuple] = []
+        return self
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        spark = df.sparkSession
+        path = scratch_path(spark, name)
+        self.paths.append((spark, path))
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        for spark, path in self.paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, component): for each id of the links (a, b) the least id that can
     be reached.  Every round an id takes the least label of its neighbours and
     then its label's label; it ends when no label moves.  Labels are summed up
     before they are shuffled, so an id with many links is no heavy task."""
-    both = links.select("a", "b").union(links.select("b", "a")).toDF("a", "b").where("a <> b")
-    labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
-                    .select("id", F.least("id", "m").alias("component")), "labels")
+    both = scratch.stored(links.select("a", "b").union(links.select("b", "a")).toDF("a", "b").where("a <> b").distinct(), "links")
+    labels = scratch.stored(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
+                            .select("id", F.least("id", "m").alias("component")), "labels")
     if labels.isEmpty():
         return labels
-    both = stored(both.distinct(), "links")
     while True:
         near = (both.join(labels, both.b == labels.id).groupBy("a").agg(F.min("component").alias("m")))
         low = labels.join(near, labels.id == near.a).select("id", F.col("component").alias("was"), F.least("component", "m").alias("component"))
         of = low.select(F.col("id").alias("l"), F.col("component").alias("ll"))
         jumped = low.join(of, low.component == of.l).select("id", "was", F.least("component", "ll").alias("component"))
-        moved = stored(jumped, "labels")
+        moved = scratch.stored(jumped, "labels")
         labels = moved.select("id", "component")
         if moved.where("component < was").isEmpty():
             return labels
