@@ -22,6 +22,7 @@ whatever their names, pass unread.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import itertools
 import sys
@@ -33,7 +34,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ARCS_KEPT = 300_000  # memory of a worker: beyond these, arcs and pieces are worked out anew
+ARCS_KEPT = 500_000  # memory of a worker: beyond these, arcs and pieces are worked out anew
 PIECES_KEPT = 200_000
 LONG_TEXT = 1 << 20  # characters from which pieces are not listed all at once
 
@@ -63,7 +64,11 @@ class Transducer:
                     self.inner.append(False)
                 node = at
             self.ends[node] = rank
-        self.apart: dict[tuple[int, int], bool] = {}
+        self.width = max(ranks.values()).bit_length()
+        # rank by two tokens that make one
+        self.joins = {ranks[a] << self.width | ranks[b]: rank for data, rank in ranks.items()
+                      for i in range(1, len(data)) if (a := data[:i]) in ranks and (b := data[i:]) in ranks}
+        self.apart: dict[int, bool] = {}
         self.spines: dict[int, tuple[list, list] | None] = {}
         self._forget()
 
@@ -74,22 +79,22 @@ class Transducer:
 
     def _spines(self, token: int) -> tuple[list, list] | None:
         """What stands at a token's left and right border while it is merged:
-        (bytes, rank that makes it, rank that takes it up).  None for a token
+        (token, rank that makes it, rank that takes it up).  None for a token
         that merging its bytes does not give."""
         if token in self.spines:
             return self.spines[token]
-        data = self.token[token]
+        data, ranks = self.token[token], self.ranks
         parts = [data[i:i + 1] for i in range(len(data))]
-        edges = [[[p, -1, sys.maxsize]] for p in (parts[0], parts[-1])]
+        edges = [[[ranks[p], -1, sys.maxsize]] for p in (parts[0], parts[-1])]
         while len(parts) > 1:
-            rank, at = min((self.ranks.get(x + y, sys.maxsize), i) for i, (x, y) in enumerate(zip(parts, parts[1:])))
+            rank, at = min((ranks.get(x + y, sys.maxsize), i) for i, (x, y) in enumerate(zip(parts, parts[1:])))
             if rank == sys.maxsize:
                 break
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
             for edge, touched in zip(edges, (at == 0, at == len(parts) - 1)):
                 if touched:
                     edge[-1][2] = rank
-                    edge.append([parts[at], rank, sys.maxsize])
+                    edge.append([rank, rank, sys.maxsize])
         self.spines[token] = found = tuple(edges) if len(parts) == 1 else None
         return found
 
@@ -97,45 +102,54 @@ class Transducer:
         """Whether merging the bytes of a and b gives a and b again: no merge
         across the border has its turn while both its parts stand there.  Of
         equal merges the left one goes first."""
-        known = self.apart.get((a, b))
-        if known is None:
-            left, right = self._spines(a), self._spines(b)
-            known = left is not None and right is not None
-            for x, x_from, x_to in left[1] if known else ():
+        left, right = self._spines(a), self._spines(b)
+        known = left is not None and right is not None
+        if known:
+            joins, width = self.joins, self.width
+            for x, x_from, x_to in left[1]:
+                x <<= width
                 for y, y_from, y_to in right[0]:
-                    rank = self.ranks.get(x + y)
+                    rank = joins.get(x | y)
                     if rank is not None and x_from < rank < x_to and y_from < rank <= y_to:
                         known = False
-            if len(self.apart) > ARCS_KEPT:
-                self.apart.clear()
-            self.apart[a, b] = known
+        if len(self.apart) > ARCS_KEPT:
+            self.apart.clear()
+        self.apart[a << self.width | b] = known
         return known
 
     def _arc(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         last, paths = self.states[state]
-        grown, whole, child, ends = [], None, self.child, self.ends
+        grown, whole, child, ends, apart, width = [], None, self.child, self.ends, self.apart, self.width
         for node, path in paths:
             node = child.get(node << 8 | byte)
             if node is None:
                 continue
             if self.inner[node]:
                 grown.append((node, path))
-            token = ends[node]
-            if token >= 0 and whole is None:
+            if whole is None and (token := ends[node]) >= 0:
                 before = path[-1] if path else last
-                if before < 0 or self.stay_apart(before, token):
-                    whole = (*path, token)
+                if before >= 0:
+                    known = apart.get(before << width | token)
+                    if known is None:
+                        known = self.stay_apart(before, token)
+                    if not known:
+                        continue
+                whole = (*path, token)
         if whole is None:
             raise ValueError("the vocabulary lacks a byte")
         grown.append((0, whole))
-        shared = 0  # tokens that every open path begins with
-        if grown[0][1]:
-            for step in zip(*(path for _, path in grown)):
-                if any(token != step[0] for token in step):
-                    break
-                shared += 1
-        emitted = whole[:shared]
-        after = (emitted[-1], tuple((node, path[shared:]) for node, path in grown)) if shared else (last, tuple(grown))
+        emitted = grown[0][1]  # tokens that every open path begins with
+        if emitted:
+            shared = len(emitted)
+            for _, path in grown:
+                while path[:shared] != emitted[:shared]:
+                    shared -= 1
+            if shared:
+                emitted = emitted[:shared]
+                last, grown = emitted[-1], [(node, path[shared:]) for node, path in grown]
+            else:
+                emitted = ()
+        after = (last, tuple(grown))
         to = self.number.setdefault(after, len(self.states))
         if to == len(self.states):
             self.states.append(after)
@@ -261,6 +275,7 @@ def _codec(shared) -> Codec:
     ranks, pattern, key = shared.value
     if key not in _codecs:
         _codecs.clear()
+        gc.set_threshold(1_000_000)  # states and arcs are many and hold no cycles
         _codecs[key] = Codec(ranks, pattern)
     return _codecs[key]
 
