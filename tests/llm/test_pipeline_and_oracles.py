@@ -1,0 +1,68 @@
+"""The pipeline's stages keep and drop what they should; queries agree with
+their SQL; every query of the subpackage runs."""
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+import corpus_pipeline  # noqa: E402
+from __spark_entry__ import oracle_sql, queries  # noqa: E402
+from oracle_check import compare, duck  # noqa: E402
+from strata.llm import jaccard_join, queries as llm_queries  # noqa: E402
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize("name", sorted(llm_queries.ORACLE_SQL))
+def test_oracle(spark, name):
+    result = compare(spark, duck(SF), name, queries()[name], oracle_sql()[name], SF)
+    assert result["ok"], result
+
+
+@pytest.mark.parametrize("name", sorted(set(llm_queries.QUERIES) - set(llm_queries.ORACLE_SQL)))
+def test_query_runs(spark, name):
+    rows = queries()[name](spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) >= 200
+
+
+def test_ten_operators_and_a_pipeline():
+    assert sorted(int(n[2:].split("_")[0]) for n in llm_queries.QUERIES) == list(range(1, 11))
+    assert "pipeline" in queries() and len(corpus_pipeline.STAGES) == 5
+
+
+def test_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = {r["doc_id"]: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = {r["doc_id"]: r for r in docs.collect()}
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        after = {r["doc_id"]: r for r in out.collect()}
+        assert after.keys() <= before.keys()
+        gone = before.keys() - after.keys()
+        if name == "toxicity":
+            assert sum(labels[i]["toxic"] for i in gone if i in labels) > 30
+            assert not any(labels[i]["toxic"] == 0 for i in gone if i in labels)
+        elif name == "quality_rules":
+            good = [i for i in before if i in labels and labels[i]["quality"]]
+            assert sum(i in gone for i in good) < 0.1 * len(good) and gone
+        elif name == "line_dedup":
+            assert not gone
+            seen = set()
+            for i in sorted(after):
+                for line in filter(str.strip, after[i]["text"].split("\n")):
+                    assert line not in seen
+                    seen.add(line)
+                assert after[i]["n_chars"] == len(after[i]["text"])
+            assert {x for r in before.values() for x in r["text"].split("\n") if x.strip() and len(x) < 20} <= seen
+        else:
+            joined = {r["doc_id"]: r["component_id"] for r in jaccard_join.join_documents(docs).collect()}
+            assert after.keys() == set(joined.values())
+        if name not in ("line_dedup",):
+            assert all(after[i] == before[i] for i in after)
+        docs = spark.createDataFrame([after[i] for i in sorted(after)], docs.schema)
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert sum(r["n_tokens"] for r in packed) == sum(len(r["text"].split()) for r in docs.collect())
