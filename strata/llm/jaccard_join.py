@@ -5,19 +5,23 @@ Two sets of sizes a <= b link when 100 |A & B| >= 90 |A | B|; then they differ
 in at most (a + b) / 19 shingles, and b <= a / 0.9.
 
 Sketch.  Documents of a size band deal their shingles by hash into segments,
-and each shingle flips one of a segment's 64 bits.  A shingle in one set only
-changes one bit, so the Hamming distance of two sketches is a lower bound of
-the symmetric difference.
+and the hashes in a segment are combined by exclusive or.  A shingle in one
+set only changes one segment, so the number of differing segments is a lower
+bound of the symmetric difference; so is the Hamming distance of the folded
+sketch, in which each shingle flips one bit.
 
 Join.  A band has more segments than its sets may differ in shingles, so of
 the first d + 1 segments of linked sets one at least is equal (d: the most
 that a set of that size may differ from any partner).  Each set enters its own
 band, and the next one too if a partner may be there; equal segments of a band
-make candidates.
+make candidates.  Empty segments would meet by chance, so there are some
+segments to spare, and a set with no more empty ones than that leaves them
+out: another segment must then be equal.
 
 No pair is spelled out that components don't need.  Equal sets are one class,
 which stands for its copies.  In each segment key a leader, another one in
-each round, meets the key's members; the links found are contracted to
+each round, meets the key's members (at first the least by hash of all, so
+that the keys of a group agree on it); the links found are contracted to
 components.  Keys whose members have become one component are done.  In the
 others, every member outside the key's largest component meets all members of
 other components.  Meeting first compares sizes and folded sketches, in the
@@ -88,8 +92,13 @@ def most_apart(size: int, share=SHARE) -> int:
     return ((high - low) * (size + size * high // low)) // (high + low)
 
 
+def spare(apart: int) -> int:
+    """Segments beyond those that the differing shingles may fill."""
+    return 1 + apart // 16
+
+
 def segment_keys(s: np.ndarray, share=SHARE) -> np.ndarray:
-    """A hash for each (band, segment, bits) by which the set is joined."""
+    """A hash for each (band, segment, combined hash) by which the set is joined."""
     apart = most_apart(len(s), share)
     if not apart:  # only an equal set links
         return np.zeros(0, np.uint64)
@@ -97,12 +106,19 @@ def segment_keys(s: np.ndarray, share=SHARE) -> np.ndarray:
     for b in (band, band + 1):
         if b > band and len(s) * share[1] < BAND**b * share[0] * (1 - 1e-9):
             continue  # no partner is that large
-        segments = most_apart(int(np.ceil(BAND ** (b + 1))), share) + 1
+        widest = most_apart(int(np.ceil(BAND ** (b + 1))), share)
+        spared = spare(widest)  # the same for all sets of the band
+        segments = widest + 1 + spared
         at = ((s >> np.uint64(32)) % np.uint64(segments)).astype(np.int64)
-        bits = np.zeros(segments, np.uint64)
-        np.bitwise_xor.at(bits, at, np.uint64(1) << (s & np.uint64(63)))
-        first = np.arange(min(segments, apart + 1), dtype=np.uint64)
-        out.append(_mix(_mix((bits[:len(first)] + np.uint64(1)) * _M ^ (first + np.uint64(1))) * _M ^ np.uint64(b)))
+        word = np.zeros(segments, np.uint64)
+        np.bitwise_xor.at(word, at, _mix(s * _M))
+        # linked sets differ in at most ``apart`` of these, so more than ``spared`` are equal; if all of
+        # the equal ones are empty, both sets have more empty ones than that
+        first = np.arange(min(segments, apart + 1 + spared), dtype=np.uint64)
+        filled = np.bincount(at, minlength=segments)[:len(first)] > 0
+        if np.count_nonzero(~filled) <= spared:
+            first = first[filled]
+        out.append(_mix(_mix(word[first.astype(np.int64)] ^ (first + np.uint64(1)) * _M) * _M ^ np.uint64(b)))
     return np.unique(np.concatenate(out))
 
 
@@ -197,7 +213,7 @@ def _joined(docs: DataFrame, share, scratch: Scratch) -> DataFrame:
 
     open_ = scratch.stored(labelled(), "open")
     for turn in range(ROUNDS):
-        lead = open_.groupBy("key").agg(F.min_by(F.struct("id", "n", *(f"f{i}" for i in range(FOLD)), "c"), F.xxhash64("id", "key", F.lit(turn))).alias("x"))
+        lead = open_.groupBy("key").agg(F.min_by(F.struct("id", "n", *(f"f{i}" for i in range(FOLD)), "c"), F.xxhash64("id", "key") if turn else F.xxhash64("id")).alias("x"))
         lead = scratch.stored(lead.select("key", "x.*"), "leaders")
         met = _named(open_, "m_", "c").join(_named(lead, "l_", "c").withColumnRenamed("key", "k"),
                                             (F.col("key") == F.col("k")) & (F.col("m_c") != F.col("l_c")) & _near("m_", "l_", share))
