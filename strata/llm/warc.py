@@ -197,22 +197,24 @@ def read_record(data: bytes) -> dict:
 
 def read_archives(spark, folder: str) -> DataFrame:
     """SCHEMA of every record that the sidecars in ``folder`` name, read from
-    the archives at their offsets."""
-    load = lambda glob, name: (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-                               .select(F.regexp_replace("path", r"\.(warc\.gz|cdxj)$", "").alias("stem"), F.col("content").alias(name)))
-    both = load("*.warc.gz", "archive").join(load("*.cdxj", "sidecar"), "stem")
+    the archives at their offsets.  A task takes an archive and opens its
+    sidecar itself, so no archive is shuffled."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
                             ("record_type", pa.string()), ("refers_to", pa.int64())])
+        system, place = fs.FileSystem.from_uri(folder)
         for batch in batches:
-            for archive, sidecar in zip(batch["archive"], batch["sidecar"]):
+            for path, archive in zip(batch["path"], batch["content"]):
+                name = path.as_py().rsplit("/", 1)[1].removesuffix(".warc.gz")
+                with system.open_input_stream(f"{place}/{name}.cdxj") as index:
+                    at = map(json.loads, index.read().splitlines())
                 data = archive.as_buffer()
-                at = map(json.loads, sidecar.as_py().splitlines())
                 rows = [read_record(data.slice(x["offset"], x["length"]).to_pybytes()) for x in at]
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return both.select("archive", "sidecar").mapInArrow(read, SCHEMA)
+    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
+    return archives.select("path", "content").mapInArrow(read, SCHEMA)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
