@@ -7,8 +7,8 @@ their own bytes are merged.  Reading left to right, the transducer follows
 every position from which the bytes read so far may still grow into a token,
 each with the one token path that leads there.  What all paths share is
 decided and emitted; a path's rest is never longer than the longest token, so
-the lookahead is bounded.  A state is the last token emitted and the open
-positions with their rests.
+the lookahead is bounded.  A state is the last token emitted and the open positions with their
+rests; each is one whole number, the rest's tokens above the trie node.
 
 Decoding runs an incremental UTF-8 machine over the tokens' bytes: a state is
 the sequence left incomplete so far; a token's effect from a state is worked
@@ -35,7 +35,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ARCS_KEPT = 500_000  # memory of a worker: beyond these, arcs and pieces are worked out anew
-PIECES_KEPT = 200_000
+PIECES_KEPT = 400_000
+NODE_BITS = 40  # of a trie node in an open position
+NODE = (1 << NODE_BITS) - 1
 LONG_TEXT = 1 << 20  # characters from which pieces are not listed all at once
 
 
@@ -64,7 +66,8 @@ class Transducer:
                     self.inner.append(False)
                 node = at
             self.ends[node] = rank
-        self.width = max(ranks.values()).bit_length()
+        self.width = (max(ranks.values()) + 1).bit_length()
+        self.digit = (1 << self.width) - 1
         # rank by two tokens that make one
         self.joins = {ranks[a] << self.width | ranks[b]: rank for data, rank in ranks.items()
                       for i in range(1, len(data)) if (a := data[:i]) in ranks and (b := data[i:]) in ranks}
@@ -73,10 +76,18 @@ class Transducer:
         self._forget()
 
     def _forget(self) -> None:
-        start = (-1, ((0, ()),))
+        start = (-1, 0)
         self.states, self.number = [start], {start: 0}
         self.arcs: dict[int, tuple[int, tuple[int, ...]]] = {}
 
+    def _tokens(self, path: int) -> tuple[int, ...]:
+        """The tokens of a path: each is a digit, one more than the token."""
+        width, out = self.width, []
+        while path:
+            out.append((path & self.digit) - 1)
+            path >>= width
+        return tuple(reversed(out))
+
     def _spines(self, token: int) -> tuple[list, list] | None:
         """What stands at a token's left and right border while it is merged:
         (token, rank that makes it, rank that takes it up).  None for a token
@@ -118,38 +129,43 @@ class Transducer:
         return known
 
     def _arc(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        last, paths = self.states[state]
-        grown, whole, child, ends, apart, width = [], None, self.child, self.ends, self.apart, self.width
-        for node, path in paths:
-            node = child.get(node << 8 | byte)
+        last, *paths = self.states[state]
+        child, ends, inner, apart, width, digit = self.child, self.ends, self.inner, self.apart, self.width, self.digit
+        grown, whole = [], -1
+        for entry in paths:
+            node = child.get((entry & NODE) << 8 | byte)
             if node is None:
                 continue
-            if self.inner[node]:
-                grown.append((node, path))
-            if whole is None and (token := ends[node]) >= 0:
-                before = path[-1] if path else last
+            path = entry >> NODE_BITS
+            if inner[node]:
+                grown.append(path << NODE_BITS | node)
+            if whole < 0 and (token := ends[node]) >= 0:
+                before = (path & digit) - 1 if path else last
                 if before >= 0:
                     known = apart.get(before << width | token)
                     if known is None:
                         known = self.stay_apart(before, token)
                     if not known:
                         continue
-                whole = (*path, token)
-        if whole is None:
+                whole = path << width | token + 1
+        if whole < 0:
             raise ValueError("the vocabulary lacks a byte")
-        grown.append((0, whole))
-        emitted = grown[0][1]  # tokens that every open path begins with
-        if emitted:
-            shared = len(emitted)
-            for _, path in grown:
-                while path[:shared] != emitted[:shared]:
-                    shared -= 1
-            if shared:
-                emitted = emitted[:shared]
-                last, grown = emitted[-1], [(node, path[shared:]) for node, path in grown]
-            else:
-                emitted = ()
-        after = (last, tuple(grown))
+        grown.append(whole << NODE_BITS)
+        emitted, shared = (), grown[0] >> NODE_BITS  # the tokens that every open path begins with
+        if shared:
+            found = [entry >> NODE_BITS for entry in grown]
+            size = [-(-path.bit_length() // width) for path in found]
+            shared, n = found[0], size[0]
+            for path, m in zip(found, size):
+                if m < n:
+                    shared, n = shared >> (n - m) * width, m
+                while path >> (m - n) * width != shared:
+                    shared, n = shared >> width, n - 1
+            if n:
+                emitted = self._tokens(shared)
+                last = emitted[-1]
+                grown = [(path & (1 << (m - n) * width) - 1) << NODE_BITS | entry & NODE for path, m, entry in zip(found, size, grown)]
+        after = (last, *grown)
         to = self.number.setdefault(after, len(self.states))
         if to == len(self.states):
             self.states.append(after)
@@ -168,7 +184,7 @@ class Transducer:
             state = arc[0]
             if arc[1]:
                 out += arc[1]
-        return (*out, *self.states[state][1][-1][1])
+        return (*out, *self._tokens(self.states[state][-1] >> NODE_BITS))
 
 
 class Utf8Machine:
@@ -232,7 +248,7 @@ class Codec:
         self.fst, self.pattern = Transducer(ranks), regex.compile(pattern)
         self.machine = Utf8Machine(self.fst.token)
         # characters of the tokens that begin and end between characters
-        self.plain = {}
+        self.plain: list[str | None] = [None] * (max(self.fst.token) + 1)
         for i, data in self.fst.token.items():
             move = self.machine.moves[b"", i] = self.machine._move(b"", data)
             if not move[0] and "�" not in move[1]:
@@ -247,7 +263,7 @@ class Codec:
     def decode(self, ids: Iterable[int]) -> str:
         try:  # the machine stays in its first state throughout
             return "".join(map(self.plain.__getitem__, ids))
-        except KeyError:
+        except TypeError:
             return self.machine.feed(ids) + self.machine.end()
 
 
