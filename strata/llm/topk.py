@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import checkpoint_dir
+
 SHARD = 8192  # vectors of a tree, about; the number of shards grows with the table
 BLOCK = 8192  # queries a task answers from one tree, about
 LEAF = 64
@@ -114,23 +116,24 @@ FOUND = "query_id long, q array<bigint>, vec_id long, score long"
 
 
 def _search(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """FOUND of each query of (dim, shard, block) among the candidates there."""
+    """FOUND of each query (columns with q_) of a dim, shard and block among
+    the candidates there."""
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         schema = pa.schema([("query_id", pa.int64()), ("q", pa.list_(pa.int64())), ("vec_id", pa.int64()), ("score", pa.int64())])
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         dim = left["dim"][0].as_py()
-        matrix = lambda t: t["v"].combine_chunks().flatten().to_numpy().reshape(t.num_rows, dim)
-        tree, own = BallTree(left["vec_id"].to_numpy(), matrix(left)), matrix(right)
+        matrix = lambda v: v.combine_chunks().flatten().to_numpy().reshape(len(v), dim)
+        tree, own = BallTree(left["vec_id"].to_numpy(), matrix(left["v"])), matrix(right["q_v"])
         rows = []
-        for i, (query, least) in enumerate(zip(right["vec_id"].to_pylist(), right["least"].to_pylist())):
+        for i, (query, least) in enumerate(zip(right["q_vec_id"].to_pylist(), right["least"].to_pylist())):
             rows += [(query, i, v, s) for s, v in tree.search(own[i], query, k, least)]
-        return pa.table([pa.array([r[0] for r in rows], pa.int64()), right["v"].combine_chunks().take(pa.array([r[1] for r in rows], pa.int64())),
+        return pa.table([pa.array([r[0] for r in rows], pa.int64()), right["q_v"].combine_chunks().take(pa.array([r[1] for r in rows], pa.int64())),
                          pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.int64())], schema=schema)
 
-    keys = ("dim", "shard", "block")
-    return candidates.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(answer, FOUND)
+    return (candidates.groupBy("dim", "shard", "block").cogroup(queries.groupBy("q_dim", "q_shard", "q_block"))
+            .applyInArrow(answer, FOUND))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
@@ -143,13 +146,16 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     block = F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).cast("int")
     every = lambda n: F.sequence(F.lit(0), F.lit(n - 1))
     candidates = vectors.select("vec_id", "v", "dim", shard.alias("shard"), F.explode(every(blocks)).alias("block"))
-    asked = queries.select("vec_id", "v", "dim", shard.alias("home"), block.alias("block"))
-
-    first = _search(candidates, asked.select("*", F.col("home").alias("shard"), F.lit(None).cast("long").alias("least")), k).checkpoint()
-    kth = first.groupBy(F.col("query_id"), "q").agg(F.min("score").alias("least"), F.count("*").alias("n")).where(F.col("n") == k)
-    onward = (asked.join(kth, (F.col("vec_id") == F.col("query_id")) & (F.col("v") == F.col("q")), "left")
-              .select("vec_id", "v", "dim", "home", "block", "least", F.explode(every(shards)).alias("shard"))
-              .where(F.col("shard") != F.col("home")))
+    asked = queries.select(*(F.col(c).alias(f"q_{c}") for c in ("vec_id", "v", "dim")), shard.alias("home"), block.alias("q_block"))
+
+    first = _search(candidates, asked.select("*", F.col("home").alias("q_shard"), F.lit(None).cast("long").alias("least")), k)
+    checkpoint_dir(vectors.sparkSession)
+    first = first.checkpoint()
+    kth = (first.groupBy(F.col("query_id").alias("k_id"), F.col("q").alias("k_v"))
+           .agg(F.min("score").alias("least"), F.count("*").alias("n")).where(F.col("n") == k))
+    onward = (asked.join(kth, (F.col("q_vec_id") == F.col("k_id")) & (F.col("q_v") == F.col("k_v")), "left")
+              .select(*asked.columns, "least", F.explode(every(shards)).alias("q_shard"))
+              .where(F.col("q_shard") != F.col("home")))
     found = first.unionByName(_search(candidates, onward, k)) if shards > 1 else first
     order = Window.partitionBy("query_id", "q").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
