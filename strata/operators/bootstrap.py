@@ -7,14 +7,15 @@ fitted together by Newton's method (IRLS): each pass is ONE Spark job.
   replicate, key): independent of partitioning, identical when a lost task
   is recomputed (the Poisson bootstrap; the resample size varies around n).
 * A ``mapInPandas`` task streams its partition once per pass and keeps, for
-  every replicate, the gradient and the upper triangle of the Hessian
-  (B x (k+1)(k+2)/2 numbers, independent of the partition size).
-* ``posexplode`` + ``groupBy(rep, idx).sum`` reduces those partial sums with
-  Spark's map-side combine; the driver receives B x (k+1)(k+2)/2 numbers and
-  solves B systems of size k+1.  Nothing row-sized reaches the driver.  The
-  cached input is coalesced (narrowly) to one partition per core, so the
-  per-pass shuffle is cores x B x (k+1)(k+2)/2 numbers, independent of the
-  number of input splits.
+  every replicate, the gradient, the loss and the upper triangle of the
+  Hessian (B x (k+1)(k+2)/2 numbers, independent of the partition size).  The
+  Hessians of a block of rows are one product: the pairwise products of the
+  features against the B weights; ``BLOCK`` rows bound its memory.
+* The partial sums are vectors, added per replicate by Spark ML's
+  ``Summarizer`` with map-side combine; the driver receives B x (k+1)(k+2)/2
+  numbers and solves B systems of size k+1.  Nothing row-sized reaches it.
+* A step after which a model's loss has risen is halved; a model is done when
+  its step is small, and says so in ``converged``.
 
 Objective per replicate (the C form): 0.5 ||b||^2 + C sum_i w_ri c_ri L_i,
 intercept unpenalised; c_ri is the balanced class weight computed on the
@@ -27,10 +28,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.session import cache_spread
+BLOCK = 2048  # rows of a block: bounds the memory of its weights and products
 
 _M1 = np.uint64(0x9E3779B97F4A7C15)
 _M2 = np.uint64(0xBF58476D1CE4E5B9)
@@ -67,14 +71,13 @@ def _frame(df: DataFrame, key: str, label: str, features: Sequence[str],
                      *[F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)])
 
 
-def _reduce(parts: DataFrame, width: int) -> np.ndarray:
-    """Sum per-partition rows (rep, vals[width]) into a B x width matrix."""
-    red = (parts.select("rep", F.posexplode("vals").alias("idx", "v"))
-           .groupBy("rep", "idx").agg(F.sum("v").alias("v")))
-    pdf = red.toPandas()
-    b = int(pdf["rep"].max()) + 1 if len(pdf) else 0
-    out = np.zeros((b, width))
-    out[pdf["rep"].to_numpy(), pdf["idx"].to_numpy()] = pdf["v"].to_numpy()
+def _reduce(parts: DataFrame, models: int, width: int) -> np.ndarray:
+    """Sum per-partition rows (rep, vals[width]) into a models x width matrix."""
+    red = (parts.select("rep", array_to_vector("vals").alias("v")).groupBy("rep").agg(Summarizer.sum(F.col("v")).alias("v"))
+           .select("rep", vector_to_array("v").alias("v")).toPandas())
+    out = np.zeros((models, width))
+    if len(red):
+        out[red["rep"].to_numpy()] = np.stack(red["v"])
     return out
 
 
@@ -90,26 +93,31 @@ def batched_logreg(df: DataFrame, features: Sequence[str], label: str, key: str,
     * otherwise 1 (a grid of C values over the same rows).
 
     Returns (coefficients R x (k+1), intercept first; per-model metrics
-    DataFrame with column ``rep`` — in-sample, or on the held-out fold;
-    converged flags)."""
+    DataFrame with columns ``rep`` and ``converged`` — in-sample, or on the
+    held-out fold; converged flags)."""
     Cs = np.asarray(Cs, dtype=float)
     k = len(features)
+    data = _frame(df, key, label, features, fold_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        beta, cells, converged = _newton(data, k, Cs, seed, balanced, max_iter, tol, fold_col)
+    finally:
+        data.unpersist()
+    from strata.operators.evaluate import metric_columns
+    rows = [(r, *map(int, cells[r]), bool(converged[r])) for r in range(len(Cs))]
+    out = df.sparkSession.createDataFrame(rows, "rep long, tp long, fp long, fn long, tn long, converged boolean")
+    return beta, out.select("rep", "tp", "fp", "fn", "tn", *metric_columns(), "converged"), converged
+
+
+def _newton(data: DataFrame, k: int, Cs: np.ndarray, seed, balanced: bool, max_iter: int, tol: float, fold_col):
+    """(coefficients, confusion cells, converged) of the models."""
     k1 = k + 1
     iu = np.triu_indices(k1)
     B = len(Cs)
-    data = cache_spread(_frame(df, key, label, features, fold_col))
-    # Every task emits B x (k+1)(k+2)/2 partial sums per pass, whatever its
-    # row count: a narrow coalesce to the cluster's parallelism (no shuffle,
-    # each core streams its share of the cached partitions) bounds the
-    # per-pass shuffle to cores x B x (k+1)(k+2)/2 numbers.
-    cores = data.sparkSession.sparkContext.defaultParallelism
-    if data.rdd.getNumPartitions() > cores:
-        data = data.coalesce(cores)
     xcols = [f"_x{i}" for i in range(k)]
     models = np.arange(B)
 
     def batches(it, evaluate=False):
-        for pdf in it:
+        for pdf in (frame.iloc[i:i + BLOCK] for frame in it for i in range(0, len(frame), BLOCK)):
             X = np.column_stack([np.ones(len(pdf))] + [pdf[c].to_numpy() for c in xcols])
             if fold_col is not None:
                 fold = pdf["_fold"].to_numpy()[:, None]
@@ -130,7 +138,7 @@ def batched_logreg(df: DataFrame, features: Sequence[str], label: str, key: str,
         yield pd.DataFrame({"rep": np.arange(B), "vals": list(acc)})
 
     schema = "rep long, vals array<double>"
-    nc = _reduce(data.mapInPandas(class_counts, schema), 2)
+    nc = _reduce(data.mapInPandas(class_counts, schema), B, 2)
     if balanced:
         nr = nc.sum(axis=1, keepdims=True)
         with np.errstate(divide="ignore"):
@@ -142,31 +150,35 @@ def batched_logreg(df: DataFrame, features: Sequence[str], label: str, key: str,
     penalty = np.eye(k1)
     penalty[0, 0] = 0.0
     converged = np.zeros(B, dtype=bool)
+    before, lowest = beta.copy(), np.full(B, np.inf)
     for _ in range(max_iter):
         b_now, cw_now = beta.copy(), cw
 
         def newton_parts(it, b_now=b_now, cw_now=cw_now):
             H = np.zeros((B, len(iu[0])))
-            g = np.zeros((B, k1))
+            g, loss = np.zeros((B, k1)), np.zeros((B, 1))
             for X, y, W in batches(it):
                 sw = W * np.where(y[:, None] == 1.0, cw_now[None, :, 1], cw_now[None, :, 0])
-                p = 1.0 / (1.0 + np.exp(-(X @ b_now.T)))
+                z = X @ b_now.T
+                p = 1.0 / (1.0 + np.exp(-z))
                 g += (X.T @ (sw * (y[:, None] - p))).T
-                s = sw * p * (1.0 - p)
-                XT = X.T
-                for r in range(B):
-                    H[r] += ((XT * s[:, r]) @ X)[iu]
-            yield pd.DataFrame({"rep": np.arange(B), "vals": list(np.hstack([H, g]))})
+                H += (sw * p * (1.0 - p)).T @ (X[:, iu[0]] * X[:, iu[1]])
+                loss[:, 0] += (sw * (np.logaddexp(0.0, z) - y[:, None] * z)).sum(axis=0)
+            yield pd.DataFrame({"rep": np.arange(B), "vals": list(np.hstack([H, g, loss]))})
 
-        red = _reduce(data.mapInPandas(newton_parts, schema), len(iu[0]) + k1)
+        red = _reduce(data.mapInPandas(newton_parts, schema), B, len(iu[0]) + k1 + 1)
+        loss = Cs * red[:, -1] + 0.5 * (beta[:, 1:] ** 2).sum(axis=1)
         step = np.zeros_like(beta)
         for r in range(B):
+            if loss[r] > lowest[r] + 1e-9 * abs(lowest[r]):  # the last step went too far
+                step[r] = (before[r] - beta[r]) / 2
+                continue
+            before[r], lowest[r] = beta[r], loss[r]
             Hr = np.zeros((k1, k1))
             Hr[iu] = red[r, :len(iu[0])]
             Hr = Hr + np.triu(Hr, 1).T
-            grad = Cs[r] * red[r, len(iu[0]):] - penalty @ beta[r]
-            hess = Cs[r] * Hr + penalty
-            step[r] = np.linalg.lstsq(hess, grad, rcond=None)[0]
+            grad = Cs[r] * red[r, len(iu[0]):-1] - penalty @ beta[r]
+            step[r] = np.linalg.lstsq(Cs[r] * Hr + penalty, grad, rcond=None)[0]
         beta = beta + step
         converged = np.abs(step).max(axis=1) < tol
         if converged.all():
@@ -185,14 +197,7 @@ def batched_logreg(df: DataFrame, features: Sequence[str], label: str, key: str,
             acc[:, 3] += (W * (~pred & ~yy)).sum(axis=0)
         yield pd.DataFrame({"rep": np.arange(B), "vals": list(acc)})
 
-    cells = data.mapInPandas(scores, schema)
-    red = (cells.select("rep", F.posexplode("vals").alias("idx", "v"))
-           .groupBy("rep").pivot("idx", [0, 1, 2, 3]).agg(F.sum("v")))
-    from strata.operators.evaluate import metric_columns
-    out = red.select("rep", *[F.col(str(i)).cast("bigint").alias(n)
-                              for i, n in enumerate(("tp", "fp", "fn", "tn"))])
-    out = out.select("*", *metric_columns())
-    return beta, out, converged
+    return beta, _reduce(data.mapInPandas(scores, schema), B, 4), converged
 
 
 def bootstrap_logreg(df: DataFrame, features: Sequence[str], label: str, key: str,

@@ -12,9 +12,11 @@ Conventions (chosen to match the reference's library defaults):
 * equal-width cut, right-closed intervals, lowest edge lowered by 0.1 % of
   the range; values outside the fitted range are clamped to the end bins;
 * min-max scaling (x - min) / (max - min); a constant column scales by 1;
-* one-hot columns in sorted category order, named ``<column>_<value>``;
-  an unseen category raises by default (``handle_unknown="ignore"`` gives
-  all zeros);
+* one-hot columns in sorted category order, named ``<column>_<value>``, one
+  name for each category; an unseen category raises by default
+  (``handle_unknown="ignore"`` gives all zeros).  A column of very many
+  categories is better declared as ``one_hot_vector``: one sparse vector
+  column ``<column>_vec`` by Spark ML's indexer and encoder;
 * nulls (passenger spec): age -> training median, port -> training mode,
   scaled fare -> training mean of the scaled fare.
 
@@ -29,6 +31,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark import StorageLevel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,13 +40,26 @@ from strata.operators import stats
 # Bin labels of the two equal-width cuts.
 FAMILY_LABELS = ("small_fam", "medium_fam", "large_fam")
 SIBLING_LABELS = ("less_4", "over_4")
-MAX_CATEGORIES = 1000
 
 
 def safe_name(s) -> str:
     return re.sub(r"[^0-9A-Za-z]+", "_", str(s)).strip("_")
 
 
+def category_names(column: str, categories) -> dict[str, str]:
+    """Column name of each category: ``<column>_<value>`` with other
+    characters folded to "_".  Categories that fold alike, or to nothing, get
+    their UTF-8 bytes in hex appended, so no two share a name."""
+    folded = [safe_name(c) for c in categories]
+    out = {}
+    for c, f in zip(categories, folded):
+        plain = f and folded.count(f) == 1
+        out[c] = f"{column}_{f}" if plain else f"{column}_{f}_x{str(c).encode().hex()}"
+    if len(set(out.values())) != len(out):
+        raise ValueError(f"categories of {column} share a column name")
+    return out
+
+
 def cut_edges(mn: float, mx: float, bins: int) -> list[float]:
     """Equal-width edges with the pandas range extension."""
     if mn == mx:
@@ -71,9 +87,9 @@ def minmax_column(x: Column, mn: float, mx: float) -> Column:
 
 
 def one_hot_columns(x: Column, name: str, categories, handle_unknown: str = "error") -> dict:
-    out = {f"{name}_{safe_name(c)}": F.when(x.cast("string") == F.lit(str(c)), F.lit(1.0))
-           .otherwise(F.lit(0.0)) for c in categories}
-    if handle_unknown == "error":
+    out = {n: F.when(x.cast("string") == F.lit(str(c)), F.lit(1.0)).otherwise(F.lit(0.0))
+           for c, n in category_names(name, categories).items()}
+    if handle_unknown == "error" and out:
         known = x.cast("string").isin([str(c) for c in categories])
         guard = F.when(x.isNotNull() & ~known,
                        F.raise_error(F.concat(F.lit(f"unseen category in {name}: "),
@@ -97,7 +113,8 @@ class FeatureSpec:
     """Cuts (applied first), then ordered transformer steps.  Step kinds:
     ``median_scale`` (impute train median, then min-max), ``scale`` (min-max,
     nulls -> train mean of the scaled value), ``one_hot``, ``mode_one_hot``
-    (impute train mode, then one-hot).  Output columns follow step order."""
+    (impute train mode, then one-hot), ``one_hot_vector`` (one sparse vector
+    column).  Output columns follow step order."""
     cuts: tuple = ()
     steps: tuple = ()
 
@@ -128,6 +145,7 @@ class FeatureModel:
     categories: dict[str, list] = field(default_factory=dict)
     handle_unknown: str = "error"
     fill_from: str = "train"
+    vectors: dict = field(default_factory=dict)
 
     # passenger-spec conveniences
     @property
@@ -154,6 +172,8 @@ class FeatureModel:
         """Feature columns in step order, plus the kept columns that exist in
         ``df`` (the id and the label stay on the row)."""
         d = self.binned(df)
+        for indexer, encoder in self.vectors.values():
+            d = encoder.transform(indexer.transform(d))
         cols: dict[str, Column] = {}
         for kind, names in self.spec.steps:
             for c in names:
@@ -171,6 +191,8 @@ class FeatureModel:
                 elif kind == "mode_one_hot":
                     cols.update(one_hot_columns(F.coalesce(F.col(c), F.lit(self.modes[c])), c,
                                                 self.categories[c], self.handle_unknown))
+                elif kind == "one_hot_vector":
+                    cols[f"{c}_vec"] = F.col(f"{c}_vec")
                 else:
                     raise ValueError(f"unknown step {kind!r}")
         kept = [c for c in keep if c in df.columns]
@@ -183,8 +205,10 @@ class FeatureModel:
             for c in cols:
                 if kind in ("median_scale", "scale"):
                     names.append(c)
+                elif kind == "one_hot_vector":
+                    names.append(f"{c}_vec")
                 else:
-                    names += [f"{c}_{safe_name(v)}" for v in self.categories[c]]
+                    names += category_names(c, self.categories[c]).values()
         return names
 
 
@@ -192,29 +216,35 @@ class FeaturePipeline:
     """Equal-width cuts, median/mode imputation, min-max scaling, one-hot."""
 
     def __init__(self, spec: FeatureSpec = PASSENGER_SPEC, handle_unknown: str = "error",
-                 fill_from: str = "train", max_categories: int = MAX_CATEGORIES):
+                 fill_from: str = "train"):
         self.spec = spec
         self.handle_unknown, self.fill_from = handle_unknown, fill_from
-        self.max_categories = max_categories
 
     def fit(self, df: DataFrame) -> FeatureModel:
         """A few small jobs over the (persisted) input: one aggregate of
         extremes and means, one exact median per median column, and one
-        count per (column, value) that gives the category lists and the modes
-        (collected with a limit: a runaway categorical fails fast instead of
-        flooding the driver)."""
+        count per (column, value) that gives the category lists and the modes.
+        A column's categories are part of the model (a column each); where
+        there are too many for that, declare it ``one_hot_vector``."""
         spec = self.spec
         cut_outs = {c.out for c in spec.cuts}
         used = [c.src for c in spec.cuts] + [c for _, cols in spec.steps for c in cols
                                               if c not in cut_outs]
         # only the columns the fit reads are cached, once, for its few jobs
-        df = df.select(*dict.fromkeys(used)).persist(StorageLevel.MEMORY_AND_DISK)
+        df = df.select(*[stats.value_of(df, c).alias(c) for c in dict.fromkeys(used)]).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return self._fit(df)
+        finally:
+            df.unpersist()
+
+    def _fit(self, df: DataFrame) -> FeatureModel:
+        spec = self.spec
         med_cols, scale_cols = spec.columns("median_scale"), spec.columns("scale")
         ranged = [c.src for c in spec.cuts] + med_cols + scale_cols
         aggs = [e for c in dict.fromkeys(ranged)
                 for e in (F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"))]
         aggs += [F.avg(c).alias(f"avg_{c}") for c in scale_cols]
-        ext = df.agg(*aggs).first()
+        ext = df.agg(*aggs).first() if aggs else {}
         medians = {c: float(stats.median_of(df, c).first()["median"]) for c in med_cols}
         mode_cols = spec.columns("mode_one_hot")
         dtypes = dict(df.dtypes)
@@ -236,54 +266,71 @@ class FeaturePipeline:
         binned = df.withColumns(
             {c.out: cut_column(F.col(c.src), edges[c.out], c.labels) for c in spec.cuts})
         cat_cols = spec.columns("one_hot") + mode_cols
-        pairs = (binned.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v")) for c in cat_cols
-        ])).alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull())
-            .groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")))
-        found = pairs.limit(self.max_categories * len(cat_cols) + 1).collect()
         cats: dict[str, list] = {c: [] for c in cat_cols}
         counts: dict[str, list] = {c: [] for c in cat_cols}
-        for r in found:
-            cats[r["k"]].append(r["v"])
-            counts[r["k"]].append((-r["n"], r["v"]))
+        if cat_cols:
+            each = F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v")) for c in cat_cols]))
+            found = (binned.select(each.alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull())
+                     .groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).collect())
+            for r in found:
+                cats[r["k"]].append(r["v"])
+                counts[r["k"]].append((-r["n"], r["v"]))
         for c, vals in cats.items():
-            if len(vals) > self.max_categories:
-                raise ValueError(f"{c} has more than {self.max_categories} categories")
             vals.sort()
             if c in mode_cols and c not in modes:
                 modes[c] = min(counts[c])[1] if counts[c] else None
-        df.unpersist()
+        vectors = {}
+        for c in spec.columns("one_hot_vector"):
+            keep = "error" if self.handle_unknown == "error" else "keep"
+            indexer = StringIndexer(inputCol=c, outputCol=f"{c}_idx", stringOrderType="alphabetAsc", handleInvalid=keep).fit(binned)
+            encoder = OneHotEncoder(inputCols=[f"{c}_idx"], outputCols=[f"{c}_vec"], dropLast=False, handleInvalid=keep)
+            vectors[c] = (indexer, encoder.fit(indexer.transform(binned)))
         return FeatureModel(spec, edges, medians, modes, ranges, fills, cats,
-                            self.handle_unknown, self.fill_from)
+                            self.handle_unknown, self.fill_from, vectors)
 
 
-# Interaction terms: (name, left feature, right feature).
+# Interaction terms (name, left feature, right feature).
 INTERACTIONS = (("fem_family", "sex_female", "fam_size_small_fam"),
                 ("female_age", "sex_female", "age"),
                 ("fare_family", "fare", "fam_size_small_fam"))
 
 
 def add_interactions(feats: DataFrame, terms=INTERACTIONS) -> DataFrame:
-    """Products of two feature columns (a missing one-hot counts as 0)."""
-    def col(n):
-        return F.col(n) if n in feats.columns else F.lit(0.0)
-    return feats.withColumns({name: col(a) * col(b) for name, a, b in terms})
+    """Products of two feature columns; a missing column raises."""
+    missing = {c for _, a, b in terms for c in (a, b)} - set(feats.columns)
+    if missing:
+        raise ValueError(f"no feature {', '.join(sorted(missing))}")
+    return feats.withColumns({name: F.col(a) * F.col(b) for name, a, b in terms})
 
 
-# Feature subsets by the names the analysis meant (one-hot columns named by
-# value): 17 features after the correlation screen, 11 after the p-values.
+# Feature subsets by the names the analysis meant (one-hot
+# columns named by value), 17 features after the correlation screen, 11 after
+# the p-values; and the cabin levels that the subsets name.
 SUBSET_17 = ("age", "fam_size_small_fam", "fam_size_large_fam", "sex_female", "pclass_1",
              "pclass_3", "level_cabin_No_Cabin", "level_cabin_B", "level_cabin_F",
              "level_cabin_D", "level_cabin_G", "fare", "embarked_S", "embarked_Q",
              "fem_family", "female_age", "fare_family")
 SUBSET_11 = ("age", "fam_size_large_fam", "sex_female", "pclass_3", "pclass_1", "level_cabin_D",
              "level_cabin_G", "fare", "embarked_Q", "female_age", "fare_family")
+KNOWN_CABIN_LEVELS = ("A", "B", "C", "D", "E", "F", "G", "T", "No_Cabin")
+
+
+def with_known_levels(feats: DataFrame, column: str = "level_cabin", levels=KNOWN_CABIN_LEVELS) -> DataFrame:
+    """One-hot columns for known levels that no row has: all zero."""
+    absent = [f"{column}_{v}" for v in levels if f"{column}_{v}" not in feats.columns]
+    return feats.withColumns({c: F.lit(0.0) for c in absent})
+
+
+def present(feats: DataFrame, names) -> tuple[list[str], list[str]]:
+    """(members of the subset that are columns, members that are not)."""
+    return [n for n in names if n in feats.columns], [n for n in names if n not in feats.columns]
 
 
-def present(feats: DataFrame, names) -> list[str]:
-    """The subset members that exist (categories absent from the data have
-    no column)."""
-    return [n for n in names if n in feats.columns]
+def screen_redundant(feats: DataFrame, names, max_abs_r: float) -> DataFrame:
+    """Pairs of features (col_a, col_b, r) whose correlation with each other
+    reaches ``max_abs_r``: one of each says little beside the other."""
+    c = stats.corr_pairs(feats, list(names))
+    return c.where(F.abs(F.col("r")) >= F.lit(max_abs_r))
 
 
 def select_by_correlation(feats: DataFrame, names, label: str, min_abs_r: float) -> DataFrame:

@@ -1,13 +1,12 @@
-"""Join helpers with an explicit size check before any broadcast.
-
-``join_checked`` measures the small side (it is checkpointed first, so the
-count and the join share one computation) and broadcasts it only under a
-row bound; beyond the bound it falls back to a shuffle join, where AQE's
-skew-join splitting deals with hot keys.
+"""Join helper.
 
 ``scalar`` turns a global one-value aggregate (a total, a fitted median)
 into a scalar subquery: Spark evaluates it once and inlines the value into
 the outer projection — no join, no cross product, nothing collected by us.
+
+Joins carry no hints: Spark broadcasts a side by its size in bytes (the
+estimate when it plans, the measured size at run time under AQE) and splits
+the skewed partitions of the others.
 """
 
 from __future__ import annotations
@@ -15,21 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 
 
-def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                 max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    from strata.session import checkpoint_dir
-
-    # materialise the small side once in the shared checkpoint folder: the
-    # count and the join read the same files, and no cached block lingers
-    checkpoint_dir(small.sparkSession)
-    small = small.checkpoint(eager=True)
-    n = small.count()
-    side = F.broadcast(small) if n <= max_broadcast_rows else small
-    return big.join(side, on=on, how=how)
-
-
 def scalar(df: DataFrame, expr: Column) -> Column:
     """``(SELECT expr FROM df)`` as a Column; ``expr`` must be an aggregate."""
     return df.select(expr).scalar()

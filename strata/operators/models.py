@@ -15,6 +15,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, LogisticRegression, RandomForestClassifier,
 )
@@ -80,8 +82,20 @@ def logit_inference(df: DataFrame, features: Sequence[str], label: str,
     glm = GeneralizedLinearRegression(family="binomial", link="logit", featuresCol="features",
                                       labelCol=LABEL, fitIntercept=fit_intercept, maxIter=100,
                                       tol=1e-10, regParam=0.0)
+    data = data.select("features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)  # read once for each iteration
+    try:
+        return _inference(glm, data, list(features), fit_intercept)
+    finally:
+        data.unpersist()
+
+
+def _inference(glm, data: DataFrame, features: list[str], fit_intercept: bool):
     m = glm.fit(data)
     s = m.summary
+    try:
+        s.coefficientStandardErrors
+    except Exception as e:
+        raise ValueError(f"the features are collinear: {', '.join(collinear(data, features, fit_intercept))}") from e
     names = list(features) + (["intercept"] if fit_intercept else [])
     coefs = list(m.coefficients.toArray()) + ([m.intercept] if fit_intercept else [])
     rows = [(n, float(c), float(se), float(z), float(p)) for n, c, se, z, p in
@@ -96,6 +110,29 @@ def logit_inference(df: DataFrame, features: Sequence[str], label: str,
     return rows, extra
 
 
+def collinear(data: DataFrame, features: list[str], fit_intercept: bool) -> list[str]:
+    """Features that the ones before them (and the intercept) determine, read
+    off their Gram matrix; a constant zero column is one."""
+    k = len(features)
+    cols = vector_to_array("features")
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    row = data.select(*[F.sum(cols[i] * cols[j]) for i, j in pairs], *[F.sum(cols[i]) for i in range(k)], F.count(F.lit(1))).first()
+    gram = np.zeros((k + 1, k + 1))  # the intercept first
+    for (i, j), v in zip(pairs, row):
+        gram[i + 1, j + 1] = gram[j + 1, i + 1] = v
+    gram[0, 1:] = gram[1:, 0] = row[len(pairs):-1]
+    gram[0, 0] = row[-1]
+    kept, out = [0] if fit_intercept else [], []
+    for i in range(1, k + 1):
+        with_i = gram[np.ix_(kept + [i], kept + [i])]
+        scale = np.sqrt(np.maximum(np.diag(with_i), 1e-300))
+        if np.linalg.matrix_rank(with_i / np.outer(scale, scale), tol=1e-8) <= len(kept) or gram[i, i] == 0:
+            out.append(features[i - 1])
+        else:
+            kept.append(i)
+    return out
+
+
 def fit_tree(df: DataFrame, features: Sequence[str], label: str, depth: int = 3, seed: int = 43,
              balanced: bool = False, max_bins: int = 256):
     data, _ = prepare(df, features, label, balanced)

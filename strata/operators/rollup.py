@@ -198,23 +198,19 @@ def period_total(sales: DataFrame, measure: str, period: tuple[str, str],
 
 
 def count_by_delivery(sales: DataFrame, period: tuple[str, str],
-                      delivery=FAST_DELIVERY, keys=("region", "country"),
-                      max_broadcast_rows: int = 100_000) -> DataFrame:
+                      delivery=FAST_DELIVERY, keys=("region", "country")) -> DataFrame:
     """Row-level count of rows per (keys, delivery_type) in the period,
     NULL on rows whose delivery type is not selected.
 
     Done as aggregate + join rather than a window: a window would put every
-    row of a (region, country, delivery) group into one task.  The count
-    table is broadcast only after its row count is checked."""
-    from strata.operators.joins import join_checked
-
+    row of a (region, country, delivery) group into one task.  The counts
+    are small; Spark broadcasts them if their size allows."""
     keys = list(keys)
     rows = sales.where(in_period(F.col("date"), *period)).select(
         "customer_id", "delivery_type", *keys)
     sel = F.col("delivery_type").isin(*delivery)
     counts = (rows.where(sel).groupBy(*keys, "delivery_type")
               .agg(F.count("customer_id").alias("fast_and_fastest")))  # non-null ids
-    joined = join_checked(rows, counts, keys + ["delivery_type"], "left",
-                          max_broadcast_rows=max_broadcast_rows)
+    joined = rows.join(counts, keys + ["delivery_type"], "left")
     return joined.select("customer_id", "delivery_type", *keys,
                          F.when(sel, F.col("fast_and_fastest")).alias("fast_and_fastest"))

@@ -4,7 +4,7 @@ A row's side of the split depends only on md5(seed ':' key): no shuffle, the
 same on any partition layout, the same after an executor is lost and its
 tasks re-run (``randomSplit`` depends on partition order and is neither),
 and checkable in any SQL engine with md5.  Thresholds compare fixed-width
-lowercase hex prefixes, which order like the numbers they spell.
+lowercase hex prefixes (48 bits), which order like the numbers they spell.
 """
 
 from __future__ import annotations
@@ -16,15 +16,16 @@ from strata.functions.scalars import hash_unit_hex
 
 SPLIT_SEED = 42
 FOLD_SEED = "42f"
-HEX_WIDTH = 4
+HEX_WIDTH = 12
 
 
 def hex_threshold(fraction: float, width: int = HEX_WIDTH) -> str:
-    """Hex prefix below which a uniform draw falls with ``fraction`` chance."""
+    """Hex prefix below which a uniform draw falls with ``fraction`` chance.
+    0 is the least prefix, which none falls below; 1 is a text that sorts
+    after every prefix."""
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must be in [0, 1]")
-    n = min(int(fraction * 16 ** width), 16 ** width - 1)
-    return format(n, f"0{width}x")
+    return "g" if fraction == 1.0 else format(int(fraction * 16 ** width), f"0{width}x")
 
 
 def train_flag(key: str, seed=SPLIT_SEED, train_fraction: float = 0.8) -> Column:
@@ -53,3 +54,11 @@ def fold_sql(key: str, k: int = 5, seed=FOLD_SEED) -> str:
     h = f"substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, {HEX_WIDTH})"
     whens = " ".join(f"WHEN {h} < '{hex_threshold(i / k)}' THEN {i - 1}" for i in range(1, k))
     return f"CAST(CASE {whens} ELSE {k - 1} END AS INTEGER)"
+
+
+def check_folds(df: DataFrame, fold: str, label: str) -> None:
+    """Raise unless every fold holds both classes (a count per fold)."""
+    classes = {r[fold]: r["n"] for r in df.groupBy(fold).agg(F.count_distinct(label).alias("n")).collect()}
+    single = sorted(f for f, n in classes.items() if n < 2)
+    if single:
+        raise ValueError(f"folds with one class only: {single}")

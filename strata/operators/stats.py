@@ -5,6 +5,8 @@ Every statistic is an aggregate whose partial form combines map-side, so a
 group holding a third of all rows costs no more than any other.  Two
 statistics need care at scale:
 
+NULL and NaN count as missing everywhere; statistics are not rounded.
+
 * exact quantiles — Spark's ``percentile`` keeps a value->count map per
   group and merges it in one task.  ``quantiles`` instead builds the
   distinct-value histogram with an ordinary aggregate and finds the ranks by
@@ -18,20 +20,14 @@ statistics need care at scale:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.scalars import safe_ratio
-from strata.operators.joins import join_checked
 from strata.session import checkpoint_dir
 
-# Order-dependent floating statistics (quantile interpolation, correlation)
-# are rounded to this many decimals so that repeated runs and other engines
-# agree on the printed value.
-STAT_DECIMALS = 9
-
 
 def _not_null(keys: Sequence[str]) -> Column:
     cond = F.lit(True)
@@ -40,15 +36,22 @@ def _not_null(keys: Sequence[str]) -> Column:
     return cond
 
 
-def exact_mean(col: str, scale: int = 4) -> Column:
-    """Mean with an exact DECIMAL(18,scale) sum: the same result whatever the
-    order in which partial sums meet."""
-    return F.sum(F.col(col).cast(f"decimal(18,{scale})")).cast("double") / F.count(F.col(col))
+def value_of(df: DataFrame, col: str) -> Column:
+    """The column with NaN as NULL: a statistic skips both."""
+    c = F.col(col)
+    return F.when(~F.isnan(c), c) if dict(df.dtypes)[col] in ("double", "float") else c
+
+
+def exact_mean(col: str | Column, scale: int = 4) -> Column:
+    """Mean with an exact DECIMAL sum of ``scale`` decimals: the same result
+    whatever the order in which partial sums meet."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.sum(c.cast(f"decimal({28 + scale},{scale})")).cast("double") / F.count(c)
 
 
 def count_by_keys(df: DataFrame, keys: Sequence[str], col: str, alias: str = "n") -> DataFrame:
     """Non-null count of ``col`` by keys (rows with a null key dropped)."""
-    return df.where(_not_null(keys)).groupBy(*keys).agg(F.count(F.col(col)).alias(alias))
+    return df.where(_not_null(keys)).groupBy(*keys).agg(F.count(value_of(df, col)).alias(alias))
 
 
 def nunique(df: DataFrame, keys: Sequence[str], col: str, alias: str = "n_distinct",
@@ -58,7 +61,8 @@ def nunique(df: DataFrame, keys: Sequence[str], col: str, alias: str = "n_distin
     (``approx_count_distinct``, relative error ``rsd``), whose partial state
     is a few kilobytes per group however many distinct values there are."""
     keys = list(keys)
-    fn = (F.approx_count_distinct(col, rsd) if approx else F.count_distinct(col)).alias(alias)
+    v = value_of(df, col)
+    fn = (F.approx_count_distinct(v, rsd) if approx else F.count_distinct(v)).alias(alias)
     base = df.where(_not_null(keys)) if keys else df
     return base.groupBy(*keys).agg(fn) if keys else base.agg(fn)
 
@@ -67,148 +71,145 @@ def grouped_mean(df: DataFrame, keys: Sequence[str], value: str, alias: str | No
                  exact_scale: int | None = None) -> DataFrame:
     """Mean of ``value`` by keys, nulls skipped.  ``exact_scale`` sums as
     DECIMAL with that many decimals (for money columns)."""
-    m = exact_mean(value, exact_scale) if exact_scale is not None else F.avg(value)
+    v = value_of(df, value)
+    m = exact_mean(v, exact_scale) if exact_scale is not None else F.avg(v)
     return df.where(_not_null(keys)).groupBy(*keys).agg(m.alias(alias or f"mean_{value}"))
 
 
 def mean_and_count(df: DataFrame, key: str, value: str) -> DataFrame:
     """``groupby(key)[value].agg(["mean", "count"])``."""
     return (df.where(F.col(key).isNotNull()).groupBy(key)
-            .agg(F.avg(value).alias("mean"), F.count(F.col(value)).alias("count")))
+            .agg(F.avg(value_of(df, value)).alias("mean"), F.count(value_of(df, value)).alias("count")))
 
 
 def grouping_sets_mean(df: DataFrame, sets: Sequence[Sequence[str]], value: str,
                        alias: str = "rate", exact_scale: int | None = None) -> DataFrame:
     """Means for several key sets in one scan; ``grouping_set`` names the set
-    (keys joined by ',') and absent keys are NULL.  ``exact_scale``: sum as
-    DECIMAL (money columns)."""
+    (keys joined by ',') and absent keys are NULL.  A group with a null in one
+    of its own set's keys is dropped, as in ``grouped_mean``.  ``exact_scale``:
+    sum as DECIMAL (money columns)."""
     cols = sorted({k for s in sets for k in s})
-    gid_names = {}
+    name, whole = F.lit(None).cast("string"), F.lit(False)
     for s in sets:
-        bits = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in s)
-        gid_names[bits] = ",".join(s)
-    name = None
-    for bits, label in gid_names.items():
-        cond = F.col("_gid") == bits
-        name = F.when(cond, F.lit(label)) if name is None else name.when(cond, F.lit(label))
+        gid = F.col("_gid") == sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in s)
+        name = F.when(gid, F.lit(",".join(s))).otherwise(name)
+        whole = whole | (gid & _not_null(s))
+    v = value_of(df, value)
     return (df.groupingSets([list(s) for s in sets], *cols)
-            .agg((exact_mean(value, exact_scale) if exact_scale is not None else F.avg(value))
-                 .alias(alias), F.count(F.col(value)).alias("n"),
-                 F.grouping_id().alias("_gid"))
-            .withColumn("grouping_set", name).drop("_gid"))
+            .agg((exact_mean(v, exact_scale) if exact_scale is not None else F.avg(v)).alias(alias),
+                 F.count(v).alias("n"), F.grouping_id().alias("_gid"))
+            .where(whole).withColumn("grouping_set", name).drop("_gid"))
 
 
-def pivot_agg(df: DataFrame, row_key: str, col_key: str, values: Sequence, agg: str,
+def pivot_agg(df: DataFrame, row_key: str, col_key: str, values: Sequence | None, agg: str,
               value: str) -> DataFrame:
     """``groupby([row_key, col_key]).agg().unstack()``: one column per value of
-    ``col_key`` (given up front, which saves the job that finds them); a
-    missing cell is NULL."""
+    ``col_key``; a missing cell is NULL.  Without ``values`` they are found
+    first (one job).  Where they are given, a non-null value outside them
+    raises: nothing is left out of the table unseen."""
     fn = {"mean": F.avg, "count": F.count, "sum": F.sum}[agg]
-    out = df.where(F.col(row_key).isNotNull()).groupBy(row_key).pivot(col_key, list(values)) \
-        .agg(fn(F.col(value)))
+    base = df.where(_not_null([row_key, col_key])).select(row_key, col_key, value_of(df, value).alias(value))
+    if values is None:
+        values = sorted(r[0] for r in base.select(col_key).distinct().collect())
+    else:
+        text = F.concat(F.lit(f"{col_key} has a value that is not listed: "), F.col(col_key).cast("string"))
+        listed = F.when(F.col(col_key).isin(list(values)), F.col(col_key))
+        base = base.withColumn(col_key, listed.otherwise(F.raise_error(text).cast(dict(df.dtypes)[col_key])))
+    out = base.groupBy(row_key).pivot(col_key, list(values)).agg(fn(F.col(value)))
     if agg == "count":  # a pivot cell with no rows is NULL, as in the unstacked frame
         for v in values:
             out = out.withColumn(str(v), F.when(F.col(str(v)) != 0, F.col(str(v))))
     return out
 
 
-def shares_of_totals(counts: DataFrame, n_col: str, partitions: dict[str, Sequence[str]],
-                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def shares_of_totals(counts: DataFrame, n_col: str, partitions: dict[str, Sequence[str]]) -> DataFrame:
     """Add ``total_<name>`` and ``pct_<name>`` per entry of ``partitions``:
     the share of each row's count within its partition.  The totals are an
-    aggregate of ``counts`` attached by a size-checked join — not a window,
-    which would put every group of one partition value (e.g. one label) into
-    a single task however many groups there are."""
+    aggregate of ``counts`` joined back — not a window, which would put every
+    group of one partition value (e.g. one label) into a single task."""
     out = counts
     for name, keys in partitions.items():
         totals = counts.groupBy(*keys).agg(F.sum(n_col).alias(f"total_{name}"))
-        out = (join_checked(out, totals, list(keys), max_broadcast_rows=max_broadcast_rows)
-               .withColumn(f"pct_{name}",
-                           safe_ratio(F.col(n_col), F.col(f"total_{name}")) * 100.0))
+        out = (out.join(totals, list(keys))
+               .withColumn(f"pct_{name}", safe_ratio(F.col(n_col), F.col(f"total_{name}")) * 100.0))
     return out
 
 
 def weighted_rate(df: DataFrame, key: str, label: str, alias: str = "weighted_rate") -> DataFrame:
     """Per group: sum(label * n_group / n_total * 100) = sum(label) * n_group
-    / n_total * 100.  The total is a scalar subquery (no join)."""
-    total = df.select(F.count(F.col(label))).scalar()
-    return (df.where(F.col(key).isNotNull()).groupBy(key)
-            .agg((F.sum(F.col(label)).cast("double") * F.count(F.col(label)).cast("double")
-                  / total.cast("double") * 100.0).alias(alias)))
+    / n_total * 100.  The total is the sum of the groups' counts, those of a
+    null key included: the rows are scanned once."""
+    groups = df.groupBy(key).agg(F.sum(label).cast("double").alias("_s"), F.count(F.col(label)).cast("double").alias("_n"))
+    total = groups.select(F.sum("_n")).scalar()
+    return groups.where(F.col(key).isNotNull()).select(key, (F.col("_s") * F.col("_n") / total * 100.0).alias(alias))
 
 
 # ---------------------------------------------------------------- quantiles
 
-def _ranked_distributed(df: DataFrame, hist: DataFrame, keys: list[str], v: Column) -> DataFrame:
-    """Cumulative counts of a large histogram by a distributed prefix sum."""
-    ranged = (hist.repartitionByRange(*[F.col(k) for k in keys], v)
-              .withColumn("_pid", F.spark_partition_id()))
-    # The partition id feeds two branches below; a reliable checkpoint in the
-    # shared folder fixes it once (and cuts the lineage for lost executors).
+def _ranked(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The histogram of ``value`` per group with each value's ranks: _lo_rank
+    (first, from 0), _hi_rank (after the last) and the group's size n.
+
+    Running counts inside each partition of a range-partitioned histogram,
+    then an exclusive prefix over the partitions (a table of at most one row
+    per partition and group)."""
     checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
-    w_local = (Window.partitionBy("_pid", *keys).orderBy(v)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranged = ranged.withColumn("_cum_local", F.sum("_c").over(w_local))
+    hist = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    # the partition id feeds two branches: a reliable checkpoint in the shared
+    # folder fixes it once and cuts the lineage for lost executors
+    ranged = (hist.repartitionByRange(*[F.col(k) for k in keys], F.col(value))
+              .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    before = Window.unboundedPreceding
+    local = Window.partitionBy("_pid", *keys).orderBy(value).rowsBetween(before, Window.currentRow)
     totals = ranged.groupBy("_pid", *keys).agg(F.sum("_c").alias("_ptot"))
-    w_off = (Window.partitionBy(*keys).orderBy("_pid")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    w_all = Window.partitionBy(*keys)
-    offsets = (totals.withColumn("_off", F.coalesce(F.sum("_ptot").over(w_off), F.lit(0)))
-               .withColumn("n", F.sum("_ptot").over(w_all))
-               .select("_pid", *keys, "_off", "n"))
-    return (ranged.join(offsets, ["_pid", *keys])
-            .withColumn("_hi_rank", F.col("_off") + F.col("_cum_local"))      # exclusive end
-            .withColumn("_lo_rank", F.col("_hi_rank") - F.col("_c")))         # inclusive start
+    earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(before, -1)
+    offsets = totals.select("_pid", *keys, F.coalesce(F.sum("_ptot").over(earlier), F.lit(0)).alias("_off"),
+                            F.sum("_ptot").over(Window.partitionBy(*keys)).alias("n"))
+    return (ranged.withColumn("_cum", F.sum("_c").over(local)).join(offsets, ["_pid", *keys])
+            .withColumn("_hi_rank", F.col("_off") + F.col("_cum"))
+            .withColumn("_lo_rank", F.col("_hi_rank") - F.col("_c")))
+
+
+def _at_ranks(ranked: DataFrame, keys: list[str], value: str, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """keys, n and one column per probability, interpolated between the
+    neighbouring order statistics: rank k lies at the value with
+    _lo_rank <= k < _hi_rank."""
+    v, aggs, finals = F.col(value), [], []
+    for i, (p, name) in enumerate(zip(probs, names)):
+        r = F.lit(float(p)) * (F.col("n") - 1).cast("double")
+        lo, hi = F.floor(r), F.ceil(r)
+        at = lambda k: (F.col("_lo_rank") <= k) & (k < F.col("_hi_rank"))
+        aggs += [F.max(F.when(at(lo), v)).alias(f"_lo{i}"), F.max(F.when(at(hi), v)).alias(f"_hi{i}"), F.max(r - lo).alias(f"_d{i}")]
+        finals.append((F.col(f"_lo{i}") + F.col(f"_d{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).cast("double").alias(name))
+    return ranked.groupBy(*keys).agg(F.max("n").alias("n"), *aggs).select(*keys, "n", *finals)
+
+
+def quantile_name(p: float) -> str:
+    """q_25 for 0.25, q_2_5 for 0.025: one name for each probability."""
+    return "q_" + format(Decimal(repr(float(p))) * 100, "f").rstrip("0").rstrip(".").replace(".", "_") if p else "q_0"
+
+
+def _values(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    return df.where(_not_null(keys)).select(*keys, value_of(df, value).alias(value)).where(F.col(value).isNotNull())
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-              approx: bool = False, accuracy: int = 100_000,
-              small_histogram: int = 100_000) -> DataFrame:
+              approx: bool = False, accuracy: int = 100_000) -> DataFrame:
     """Per group, the ``probs`` quantiles of ``value`` with linear
     interpolation between order statistics (pandas / ``quantile_cont``
-    convention).  Output: keys, ``n``, ``q_<pct>`` per prob.
-
-    Exact path, all distributed:
-      1. histogram h = count per (keys, value)             partial aggregate
-      2. range-partition h by (keys, value); running count inside each
-         partition and group                                  bounded tasks
-      3. per (partition, group) totals -> exclusive prefix over partitions
-         (a table of at most #partitions rows per group)
-      4. rank k lies at the value with cum_before <= k < cum_before + count
-    When the histogram (counted first, it is persisted) has at most
-    ``small_histogram`` rows, steps 2-3 are a plain window over it: bounded
-    by that count, whatever the number of input rows.
-    """
-    keys = list(keys)
-    names = [f"q_{round(p * 100):d}" for p in probs]
-    base = df.where(_not_null(keys) & F.col(value).isNotNull())
+    convention), NULL and NaN skipped.  Output: keys, ``n``, a column
+    ``quantile_name`` per probability.
+
+    Exact and distributed whatever the number of distinct values: a count per
+    (keys, value), ranks by a prefix sum over its range partitions, and an
+    aggregate that picks the values at the ranks.  ``approx=True`` uses the
+    bounded sketch of ``percentile_approx``."""
+    keys, names = list(keys), [quantile_name(p) for p in probs]
+    base = _values(df, keys, value)
     if approx:
-        return (base.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx(value, list(probs), accuracy).alias("_q"))
-            .select(*keys, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)]))
-    v = F.col(value)
-    hist = (base.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
-    if hist.count() <= small_histogram:
-        w_cum = (Window.partitionBy(*keys).orderBy(v)
-                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        pos = (hist.withColumn("_hi_rank", F.sum("_c").over(w_cum))       # exclusive end
-               .withColumn("n", F.sum("_c").over(Window.partitionBy(*keys)))
-               .withColumn("_lo_rank", F.col("_hi_rank") - F.col("_c")))  # inclusive start
-    else:
-        pos = _ranked_distributed(df, hist, keys, v)
-    aggs, finals = [], []
-    for p, nm in zip(probs, names):
-        r = F.lit(float(p)) * (F.col("n") - 1).cast("double")
-        lo, hi = F.floor(r), F.ceil(r)
-        at = lambda k: (F.col("_lo_rank") <= k) & (k < F.col("_hi_rank"))
-        aggs += [F.max(F.when(at(lo), v)).alias(f"{nm}_lo"), F.max(F.when(at(hi), v)).alias(f"{nm}_hi"),
-                 F.max(r - lo).alias(f"{nm}_d")]
-        q = F.col(f"{nm}_lo") + F.col(f"{nm}_d") * (F.col(f"{nm}_hi") - F.col(f"{nm}_lo"))
-        finals.append(F.round(q.cast("double"), STAT_DECIMALS).alias(nm))
-    return pos.groupBy(*keys).agg(F.max("n").alias("n"), *aggs).select(*keys, "n", *finals)
+        return (base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(value, list(probs), accuracy).alias("_q"))
+                .select(*keys, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)]))
+    return _at_ranks(_ranked(base, keys, value), keys, value, probs, names)
 
 
 def median_of(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -216,39 +217,29 @@ def median_of(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     return quantiles(df, keys, value, [0.5]).withColumnRenamed("q_50", "median")
 
 
-def box_stats(df: DataFrame, keys: Sequence[str], value: str, whisker: float = 1.5,
-              max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def box_stats(df: DataFrame, keys: Sequence[str], value: str, whisker: float = 1.5) -> DataFrame:
     """The numbers under a box plot per group: quartiles, 1.5 IQR whisker
-    ends (the most extreme data points inside the fences) and outlier count."""
+    ends (the most extreme data points inside the fences) and outlier count.
+    All of it is read off the ranked histogram: the rows are scanned once."""
     keys = list(keys)
-    q = quantiles(df, keys, value, [0.25, 0.5, 0.75])
-    iqr = F.col("q_75") - F.col("q_25")
-    q = q.withColumns({"_lo_fence": F.col("q_25") - F.lit(whisker) * iqr,
-                       "_hi_fence": F.col("q_75") + F.lit(whisker) * iqr})
+    ranked = _ranked(_values(df, keys, value), keys, value)
+    q = _at_ranks(ranked, keys, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    reach = F.lit(whisker) * (F.col("q3") - F.col("q1"))
+    q = q.withColumns({"_low": F.col("q1") - reach, "_high": F.col("q3") + reach})
+    counted = ranked.select(*keys, value, "_c")
     v = F.col(value)
-    base = df.where(_not_null(keys) & v.isNotNull()).select(*keys, value)
-    # q has one row per group: broadcast after a row-count check, so the rows
-    # of a hot group are never shuffled into one task (beyond the bound: a
-    # shuffle join whose skewed partitions AQE splits)
-    if keys:
-        j = join_checked(base, q, keys, max_broadcast_rows=max_broadcast_rows)
-    else:  # one global group: its quartile row is fetched as constants
-        row = q.first()
-        j = base.select("*", *[F.lit(row[c]).alias(c) for c in q.columns])
-    inside = (v >= F.col("_lo_fence")) & (v <= F.col("_hi_fence"))
-    return (j.groupBy(*keys).agg(
-        F.first("n").alias("n"), F.first("q_25").alias("q1"), F.first("q_50").alias("median"),
-        F.first("q_75").alias("q3"),
-        F.min(F.when(inside, v)).alias("whisker_low"),
-        F.max(F.when(inside, v)).alias("whisker_high"),
-        F.count(F.when(~inside, v)).alias("n_outliers")))
+    joined = counted.join(q, keys) if keys else counted.crossJoin(F.broadcast(q))  # without keys q is one row
+    inside = (v >= F.col("_low")) & (v <= F.col("_high"))
+    return joined.groupBy(*keys).agg(
+        F.first("n").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
+        F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high"),
+        F.coalesce(F.sum(F.when(~inside, F.col("_c"))), F.lit(0)).alias("n_outliers"))
 
 
 def mode_of(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     """Most frequent non-null value per group; the smallest value on ties."""
     keys = list(keys)
-    counts = (df.where(_not_null(keys) & F.col(value).isNotNull())
-              .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
+    counts = (_values(df, keys, value).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
     return counts.groupBy(*keys).agg(
         F.min_by(F.col(value), F.struct((-F.col("_n")).alias("a"), F.col(value).alias("b")))
         .alias("mode"),
@@ -257,53 +248,40 @@ def mode_of(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
 
 def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
     """Counts in ``bins`` equal-width bins between min and max, the last bin
-    closed on the right (pandas/numpy ``hist``).  min and max are scalar
-    subqueries; every row is binned locally and counted with a partial
-    aggregate."""
-    mn = df.select(F.min(value)).scalar()
-    mx = df.select(F.max(value)).scalar()
-    width = (mx - mn) / F.lit(float(bins))
+    closed on the right (pandas/numpy ``hist``), NULL and NaN skipped.  Both
+    ends come from one aggregate, used as a scalar; rows are binned locally and
+    counted with a partial aggregate."""
+    rows = _values(df, [], value)
+    ends = rows.select(F.struct(F.min(value).alias("mn"), F.max(value).alias("mx"))).scalar()
+    rows = rows.withColumn("_ends", ends)
+    mn, width = F.col("_ends.mn"), (F.col("_ends.mx") - F.col("_ends.mn")) / F.lit(float(bins))
     raw = F.floor(F.try_divide(F.col(value) - mn, width))
     b = F.least(F.coalesce(raw, F.lit(0)), F.lit(bins - 1)).cast("int")
-    return (df.where(F.col(value).isNotNull()).groupBy(b.alias("bin"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select("bin", (mn + F.col("bin") * width).alias("lower"),
-                    (mn + (F.col("bin") + 1) * width).alias("upper"), "n"))
+    return (rows.groupBy(b.alias("bin"), "_ends").agg(F.count(F.lit(1)).alias("n"))
+            .select("bin", (mn + F.col("bin") * width).alias("lower"), (mn + (F.col("bin") + 1) * width).alias("upper"), "n"))
 
 
 # ------------------------------------------------------------- correlation
 
 def corr_pairs(df: DataFrame, cols: Sequence[str], with_col: str | None = None) -> DataFrame:
     """Pearson r for every pair of ``cols`` (or each col against ``with_col``),
-    pairwise-complete rows.  Long output (col_a, col_b, r); NULL when a side
-    has zero variance.  Sums are taken around the column means (one small
-    aggregate first), which keeps the single pass numerically stable."""
+    pairwise-complete rows (NULL and NaN skipped), in one aggregate of Spark's
+    single-pass moments.  Long output (col_a, col_b, r); NULL when a side has
+    no variance."""
     cols = list(cols)
     pairs = ([(a, with_col) for a in cols] if with_col
              else [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]])
-    used = sorted({c for p in pairs for c in p})
-    # k column means: one small aggregate, fetched once as fitted constants
-    mrow = df.select(*[F.avg(F.col(c).cast("double")).alias(c) for c in used]).first().asDict()
-    mrow = {c: F.lit(0.0 if m is None else float(m)) for c, m in mrow.items()}
+    clean = {c: value_of(df, c).cast("double") for p in pairs for c in p}
     aggs = []
     for i, (a, b) in enumerate(pairs):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        x = F.when(both, F.col(a).cast("double") - mrow[a])
-        y = F.when(both, F.col(b).cast("double") - mrow[b])
-        aggs += [F.count(x).alias(f"n{i}"), F.sum(x).alias(f"sx{i}"), F.sum(y).alias(f"sy{i}"),
-                 F.sum(x * x).alias(f"sxx{i}"), F.sum(y * y).alias(f"syy{i}"),
-                 F.sum(x * y).alias(f"sxy{i}")]
+        x, y = F.when(clean[b].isNotNull(), clean[a]), F.when(clean[a].isNotNull(), clean[b])
+        spread = F.stddev_pop(x) * F.stddev_pop(y)
+        r = F.try_divide(F.covar_pop(clean[a], clean[b]), spread)
+        # greatest and least skip NULL, so a missing r is kept missing
+        aggs.append(F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias(f"r{i}"))
     s = df.agg(*aggs)
-    rows = []
-    for i, (a, b) in enumerate(pairs):
-        n = F.col(f"n{i}").cast("double")
-        cov = F.col(f"sxy{i}") - F.try_divide(F.col(f"sx{i}") * F.col(f"sy{i}"), n)
-        vx = F.col(f"sxx{i}") - F.try_divide(F.col(f"sx{i}") * F.col(f"sx{i}"), n)
-        vy = F.col(f"syy{i}") - F.try_divide(F.col(f"sy{i}") * F.col(f"sy{i}"), n)
-        den = F.sqrt(vx * vy)
-        r = F.when(den > F.lit(1e-12) * (F.abs(vx) + F.abs(vy)), cov / den)
-        rows.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                             F.round(r, STAT_DECIMALS).alias("r")))
+    rows = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"r{i}").alias("r"))
+            for i, (a, b) in enumerate(pairs)]
     return s.select(F.explode(F.array(*rows)).alias("p")).select("p.*")
 
 
@@ -325,5 +303,5 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     for i, a in enumerate(cols):
         for j in range(i + 1, len(cols)):
             r = float(m[i, j])
-            rows.append((a, cols[j], None if math.isnan(r) else round(r, STAT_DECIMALS)))
+            rows.append((a, cols[j], None if math.isnan(r) else r))
     return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")

@@ -10,7 +10,6 @@ from strata.operators import models as M
 from strata.operators.features import FeaturePipeline, FeatureSpec
 from strata.operators.split import split_train_test
 from strata.plans.registry import query
-from strata.session import cache_spread
 from strata.sources.tables import documents_labelled
 
 DOC_SPEC = FeatureSpec(steps=(("scale", ("n_chars",)), ("one_hot", ("lang", "source"))))
@@ -18,7 +17,7 @@ DOC_SPEC = FeatureSpec(steps=(("scale", ("n_chars",)), ("one_hot", ("lang", "sou
 DOCS_SQL = """
 WITH docs AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality
               FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
-split AS (SELECT *, substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 4) < 'cccc' AS is_train
+split AS (SELECT *, substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 12) < 'cccccccccccc' AS is_train
           FROM docs),
 train AS (SELECT * FROM split WHERE is_train),
 p AS (SELECT min(n_chars) AS mn, max(n_chars) AS mx FROM train)
@@ -59,7 +58,6 @@ def q_doc_quality_logreg(spark, sf_dir):
     training documents and scored on the held-out ones."""
     train_f, test_f, model = doc_features(spark, sf_dir)
     names = model.feature_names
-    train_f = cache_spread(train_f)
     m = M.fit_logreg(train_f, names, "quality", C=1.0, balanced=True)
     pred = M.predict(m, test_f, names, ["doc_id", "quality"])
     return ev.classification_metrics(pred, "quality")

@@ -12,7 +12,7 @@ from strata.functions.scalars import NO_CABIN, abs_value, percent_of
 from strata.operators import stats
 from strata.operators.enrich import enrich
 from strata.operators.split import split_train_test
-from strata.plans.registry import query
+from strata.plans.registry import query, rounded
 from strata.plans.sql import PASSENGERS_CTE, SPLIT_CTE, TEST_CTE, TRAIN_CTE, with_
 from strata.sources.tables import passengers
 
@@ -188,26 +188,24 @@ def q_percent_of(spark, sf_dir):
 
 @query("align_label", TRAIN + "SELECT passenger_id, pclass, fare, survived FROM train")
 def q_align_label(spark, sf_dir):
-    """Features and label glued on the key (never on row position)."""
-    t = train_rows(spark, sf_dir)
-    x = t.select("passenger_id", "pclass", "fare")
-    y = t.select("passenger_id", "survived")
-    return x.join(y, "passenger_id")
+    """Features and label glued on the key (never on row position): both stand
+    on the same row, so the frame is one projection."""
+    return train_rows(spark, sf_dir).select("passenger_id", "pclass", "fare", "survived")
 
 
 @query("broadcast_total", TRAIN + """
 SELECT title, CAST(count(*) AS BIGINT) AS n,
        CAST(count(*) AS DOUBLE) / CAST((SELECT count(*) FROM train) AS DOUBLE)
        * CAST(100.0 AS DOUBLE) AS pct_of_all
-FROM train GROUP BY title
+FROM train WHERE title IS NOT NULL GROUP BY title
 """)
 def q_broadcast_total(spark, sf_dir):
-    """A global total used inside each group (scalar subquery, no join)."""
-    t = train_rows(spark, sf_dir)
-    total = t.select(F.count(F.lit(1))).scalar()
-    return t.groupBy("title").agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.count(F.lit(1)).cast("double") / total.cast("double") * 100.0).alias("pct_of_all"))
+    """A global total used inside each group: the sum of the groups' counts,
+    those of a null title included."""
+    groups = train_rows(spark, sf_dir).groupBy("title").agg(F.count(F.lit(1)).alias("n"))
+    total = groups.select(F.sum("n")).scalar()
+    return groups.where(F.col("title").isNotNull()).select(
+        "title", "n", (F.col("n").cast("double") / total.cast("double") * 100.0).alias("pct_of_all"))
 
 
 # ------------------------------------------------------------- aggregates
@@ -297,6 +295,7 @@ def _sets_sql(set_list=None, mean_sql="avg(survived)", n_sql="count(survived)",
 SELECT {', '.join(cols)}, {mean_sql} AS {alias}, CAST({n_sql} AS BIGINT) AS n,
        {label} AS grouping_set
 FROM train GROUP BY GROUPING SETS ({sets})
+HAVING {' AND '.join(f'(GROUPING({c}) = 1 OR {c} IS NOT NULL)' for c in cols)}
 """
 
 
@@ -328,12 +327,12 @@ def _box_sql(value: str) -> str:
     return TRAIN + f"""
 , q AS (
   SELECT pclass, survived, sex, count(*) AS n,
-         round(quantile_cont({value}, 0.25), 9) AS q1,
-         round(quantile_cont({value}, 0.5), 9) AS median,
-         round(quantile_cont({value}, 0.75), 9) AS q3
+         quantile_cont({value}, 0.25) AS q1, quantile_cont({value}, 0.5) AS median,
+         quantile_cont({value}, 0.75) AS q3
   FROM train WHERE {value} IS NOT NULL GROUP BY pclass, survived, sex),
 f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
-SELECT f.pclass, f.survived, f.sex, CAST(f.n AS BIGINT) AS n, f.q1, f.median, f.q3,
+SELECT f.pclass, f.survived, f.sex, CAST(f.n AS BIGINT) AS n,
+       round(f.q1, 9) AS q1, round(f.median, 9) AS median, round(f.q3, 9) AS q3,
        min(CASE WHEN t.{value} BETWEEN f.lo AND f.hi THEN t.{value} END) AS whisker_low,
        max(CASE WHEN t.{value} BETWEEN f.lo AND f.hi THEN t.{value} END) AS whisker_high,
        CAST(count(CASE WHEN t.{value} < f.lo OR t.{value} > f.hi THEN 1 END) AS BIGINT)
@@ -347,13 +346,13 @@ GROUP BY f.pclass, f.survived, f.sex, f.n, f.q1, f.median, f.q3
 @query("box_stats", _box_sql("age"))
 def q_box_stats(spark, sf_dir):
     """Age box-plot numbers by class x outcome x sex."""
-    return stats.box_stats(train_rows(spark, sf_dir), ["pclass", "survived", "sex"], "age")
+    return rounded(stats.box_stats(train_rows(spark, sf_dir), ["pclass", "survived", "sex"], "age"), "q1", "median", "q3")
 
 
 @query("box_stats_fare", _box_sql("fare"))
 def q_box_stats_fare(spark, sf_dir):
     """Fare box-plot numbers by class x outcome x sex."""
-    return stats.box_stats(train_rows(spark, sf_dir), ["pclass", "survived", "sex"], "fare")
+    return rounded(stats.box_stats(train_rows(spark, sf_dir), ["pclass", "survived", "sex"], "fare"), "q1", "median", "q3")
 
 
 @query("histogram_bins", TRAIN + """
@@ -372,7 +371,7 @@ def q_histogram_bins(spark, sf_dir):
 SELECT CAST(count(age) AS BIGINT) AS n, round(quantile_cont(age, 0.5), 9) AS median FROM train
 """)
 def q_median_value(spark, sf_dir):
-    return stats.median_of(train_rows(spark, sf_dir), "age")
+    return rounded(stats.median_of(train_rows(spark, sf_dir), "age"), "median")
 
 
 @query("quantiles_by_group", TRAIN + """
@@ -382,7 +381,7 @@ SELECT pclass, CAST(count(fare) AS BIGINT) AS n,
 FROM train GROUP BY pclass
 """)
 def q_quantiles_by_group(spark, sf_dir):
-    return stats.quantiles(train_rows(spark, sf_dir), ["pclass"], "fare", [0.1, 0.5, 0.9])
+    return rounded(stats.quantiles(train_rows(spark, sf_dir), ["pclass"], "fare", [0.1, 0.5, 0.9]), "q_10", "q_50", "q_90")
 
 
 @query("mode_value", TRAIN + """
@@ -419,19 +418,19 @@ def _corr_sql(pairs):
                                 for b in EDA_NUMERIC[i + 1:]]))
 def q_corr_pairs(spark, sf_dir):
     """Pearson matrix (upper triangle, long form) in one aggregate."""
-    return stats.corr_pairs(train_rows(spark, sf_dir), EDA_NUMERIC)
+    return rounded(stats.corr_pairs(train_rows(spark, sf_dir), EDA_NUMERIC), "r")
 
 
 @query("corr_with_label", _corr_sql([(a, "survived") for a in EDA_NUMERIC[1:]]))
 def q_corr_with_label(spark, sf_dir):
-    return stats.corr_pairs(train_rows(spark, sf_dir), EDA_NUMERIC[1:], with_col="survived")
+    return rounded(stats.corr_pairs(train_rows(spark, sf_dir), EDA_NUMERIC[1:], with_col="survived"), "r")
 
 
 @query("abs_value", TRAIN + " SELECT col_a, abs(r) AS abs_r FROM (" + " UNION ALL ".join(
     f"SELECT '{a}' AS col_a, round(corr({a}, survived), 9) AS r FROM train"
     for a in EDA_NUMERIC[1:]) + ")")
 def q_abs_value(spark, sf_dir):
-    c = stats.corr_pairs(train_rows(spark, sf_dir), EDA_NUMERIC[1:], with_col="survived")
+    c = rounded(stats.corr_pairs(train_rows(spark, sf_dir), EDA_NUMERIC[1:], with_col="survived"), "r")
     return c.select("col_a", abs_value(F.col("r")).alias("abs_r"))
 
 
@@ -511,12 +510,12 @@ def q_sorted_groups(spark, sf_dir):
                CAST(sum(CAST(fare AS DECIMAL(18,4))) AS DOUBLE) / count(fare) AS mean_fare
         FROM train GROUP BY survived, sibsp, pclass),
 q AS (SELECT sibsp, survived, count(*) AS n,
-             round(quantile_cont(mean_fare, 0.25), 9) AS q1,
-             round(quantile_cont(mean_fare, 0.5), 9) AS median,
-             round(quantile_cont(mean_fare, 0.75), 9) AS q3
+             quantile_cont(mean_fare, 0.25) AS q1, quantile_cont(mean_fare, 0.5) AS median,
+             quantile_cont(mean_fare, 0.75) AS q3
       FROM m WHERE mean_fare IS NOT NULL GROUP BY sibsp, survived),
 f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
-SELECT f.sibsp, f.survived, CAST(f.n AS BIGINT) AS n, f.q1, f.median, f.q3,
+SELECT f.sibsp, f.survived, CAST(f.n AS BIGINT) AS n,
+       round(f.q1, 9) AS q1, round(f.median, 9) AS median, round(f.q3, 9) AS q3,
        min(CASE WHEN m.mean_fare BETWEEN f.lo AND f.hi THEN m.mean_fare END) AS whisker_low,
        max(CASE WHEN m.mean_fare BETWEEN f.lo AND f.hi THEN m.mean_fare END) AS whisker_high,
        CAST(count(CASE WHEN m.mean_fare < f.lo OR m.mean_fare > f.hi THEN 1 END) AS BIGINT)
@@ -529,7 +528,7 @@ def q_box_stats_group_means(spark, sf_dir):
     (outcome, siblings, class), boxed by siblings x outcome."""
     means = stats.grouped_mean(train_rows(spark, sf_dir), ["survived", "sibsp", "pclass"], "fare",
                                "mean_fare", exact_scale=4)
-    return stats.box_stats(means, ["sibsp", "survived"], "mean_fare")
+    return rounded(stats.box_stats(means, ["sibsp", "survived"], "mean_fare"), "q1", "median", "q3")
 
 
 AGE_SETS = [["survived"], ["survived", "sex"], ["survived", "pclass"]]
@@ -579,7 +578,8 @@ q AS (SELECT sex, survived, count(*) AS n,
              round(quantile_cont(pct_sex, 0.75), 9) AS q3
       FROM s GROUP BY sex, survived),
 f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
-SELECT f.sex, f.survived, CAST(f.n AS BIGINT) AS n, f.q1, f.median, f.q3,
+SELECT f.sex, f.survived, CAST(f.n AS BIGINT) AS n,
+       round(f.q1, 9) AS q1, round(f.median, 9) AS median, round(f.q3, 9) AS q3,
        min(CASE WHEN s.pct_sex BETWEEN f.lo AND f.hi THEN s.pct_sex END) AS whisker_low,
        max(CASE WHEN s.pct_sex BETWEEN f.lo AND f.hi THEN s.pct_sex END) AS whisker_high,
        CAST(count(CASE WHEN s.pct_sex < f.lo OR s.pct_sex > f.hi THEN 1 END) AS BIGINT)
@@ -590,7 +590,7 @@ GROUP BY f.sex, f.survived, f.n, f.q1, f.median, f.q3
 def q_box_stats_shares(spark, sf_dir):
     """Box-plot numbers of the per-class share of each sex, by sex x outcome
     (a box over an aggregated table)."""
-    return stats.box_stats(_shares(spark, sf_dir), ["sex", "survived"], "pct_sex")
+    return rounded(stats.box_stats(_shares(spark, sf_dir), ["sex", "survived"], "pct_sex"), "q1", "median", "q3")
 
 
 @query("pivot_count_family_sex", TRAIN + """

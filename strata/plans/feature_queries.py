@@ -7,11 +7,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.operators.features import (
-    INTERACTIONS, SUBSET_11, SUBSET_17, FeaturePipeline, add_interactions, present,
-    select_by_correlation,
+    INTERACTIONS, SUBSET_11, SUBSET_17, FeaturePipeline, add_interactions, screen_redundant,
+    select_by_correlation, with_known_levels,
 )
 from strata.plans.eda_queries import test_rows, train_rows
-from strata.plans.registry import query
+from strata.plans.registry import query, rounded
 from strata.plans.sql import PASSENGERS_CTE, SPLIT_CTE, TEST_CTE, TRAIN_CTE, with_
 
 # Categories of the passenger binding, in sorted order (what the fitted
@@ -178,7 +178,7 @@ def q_apply_fitted_stats(spark, sf_dir):
 
 
 def _subset_sql(names, feats_sql):
-    cols = [n for n in names if n in _SQL_FEATURE_NAMES]
+    cols = [n if n in _SQL_FEATURE_NAMES else f"CAST(0.0 AS DOUBLE) AS {n}" for n in names]
     return feats_sql + f"""
 , full_f AS (SELECT *, {INTERACTION_SQL} FROM feats)
 SELECT passenger_id, survived, {', '.join(cols)} FROM full_f
@@ -194,16 +194,17 @@ _SQL_FEATURE_NAMES = (["age"] + [f"{k}_{str(c).replace(' ', '_')}" for k in
 
 @query("feature_subsets", _subset_sql(SUBSET_17, TRAIN_FEATS))
 def q_feature_subsets(spark, sf_dir):
-    """The 17-feature subset by name (absent categories have no column)."""
+    """The 17-feature subset by name; a known cabin level that no row has is
+    a column of zeros."""
     feats, _ = train_features(spark, sf_dir)
-    return feats.select("passenger_id", "survived", *present(feats, SUBSET_17))
+    return with_known_levels(feats).select("passenger_id", "survived", *SUBSET_17)
 
 
 @query("features_with_label", _subset_sql(SUBSET_11, TRAIN_FEATS))
 def q_features_with_label(spark, sf_dir):
     """The 11-feature subset with the label on the same row."""
     feats, _ = train_features(spark, sf_dir)
-    return feats.select("passenger_id", "survived", *present(feats, SUBSET_11))
+    return with_known_levels(feats).select("passenger_id", "survived", *SUBSET_11)
 
 
 SELECT_MIN_ABS_R = 0.01
@@ -220,7 +221,7 @@ def q_select_by_correlation(spark, sf_dir):
     """Features whose |corr| with the label reaches the threshold."""
     feats, _ = train_features(spark, sf_dir)
     names = [c for c in feats.columns if c not in ("passenger_id", "survived")]
-    return select_by_correlation(feats, names, "survived", SELECT_MIN_ABS_R)
+    return rounded(select_by_correlation(feats, names, "survived", SELECT_MIN_ABS_R), "r")
 
 
 EDA_CORR_COLS = ("pclass", "age", "fare", "small_fam", "large_fam", "less_4", "female")
@@ -254,7 +255,7 @@ def q_eda_corr_with_label(spark, sf_dir):
                  dummy(F.col("fam_size") == "large_fam").alias("large_fam"),
                  dummy(F.col("sib_sp_num") == "less_4").alias("less_4"),
                  dummy(F.col("sex") == "female").alias("female"))
-    return corr_pairs(e, list(EDA_CORR_COLS), with_col="survived")
+    return rounded(corr_pairs(e, list(EDA_CORR_COLS), with_col="survived"), "r")
 
 
 def _feature_corr_sql():
@@ -265,6 +266,17 @@ def _feature_corr_sql():
                            f"FROM full_f" for a, b in pairs)
 
 
+REDUNDANT_R = 0.5
+
+
+@query("screen_redundant", "SELECT * FROM (" + _feature_corr_sql() + f") WHERE abs(r) >= {REDUNDANT_R}")
+def q_screen_redundant(spark, sf_dir):
+    """Pairs of features whose correlation with each other reaches 0.5."""
+    feats, _ = train_features(spark, sf_dir)
+    names = [c for c in feats.columns if c not in ("passenger_id", "survived")]
+    return rounded(screen_redundant(feats, names, REDUNDANT_R), "r")
+
+
 @query("feature_corr_matrix", _feature_corr_sql())
 def q_feature_corr_matrix(spark, sf_dir):
     """Pearson matrix of the model features (upper triangle, long form): the
@@ -273,4 +285,4 @@ def q_feature_corr_matrix(spark, sf_dir):
     from strata.operators.stats import corr_matrix
     feats, _ = train_features(spark, sf_dir)
     names = [c for c in feats.columns if c not in ("passenger_id", "survived")]
-    return corr_matrix(feats, names)
+    return rounded(corr_matrix(feats, names), "r")

@@ -10,20 +10,19 @@ Two kinds of predictor are evaluated:
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators import evaluate as ev
 from strata.operators import models as M
 from strata.operators.bootstrap import bootstrap_logreg, cv_logreg, grid_logreg
-from strata.operators.joins import join_checked
-from strata.operators.features import SUBSET_11, SUBSET_17, present
-from strata.operators.split import fold_column
+from strata.operators.features import SUBSET_11, SUBSET_17, FeaturePipeline, FeatureSpec, add_interactions, present
+from strata.operators.split import check_folds, fold_column, fold_sql, train_flag
 from strata.plans.eda_queries import test_rows, train_rows
 from strata.plans.feature_queries import test_features, train_features
-from strata.plans.registry import query
-from strata.session import cache_spread
+from strata.plans.registry import query, rounded
 from strata.plans.sql import PASSENGERS_CTE, SPLIT_CTE, TEST_CTE, TRAIN_CTE, with_
 
 BOOT_B = 1000
@@ -39,7 +38,7 @@ def rule_predictions(spark, sf_dir, key: str = "title"):
     rates = train.groupBy(key).agg(F.avg("survived").alias("_rate"))
     overall = train.select(F.avg("survived")).scalar()
     test = test_rows(spark, sf_dir).select("passenger_id", "survived", key)
-    j = join_checked(test, rates, key, "left")  # one row per group: checked broadcast
+    j = test.join(rates, key, "left")
     return j.select("passenger_id", "survived",
                     F.when(F.coalesce(F.col("_rate"), overall) > overall, F.lit(1))
                     .otherwise(F.lit(0)).alias("prediction"))
@@ -212,14 +211,13 @@ def _union(frames):
 
 
 def _feats(spark, sf_dir):
-    feats, model = train_features(spark, sf_dir)
-    return cache_spread(feats), model
+    return train_features(spark, sf_dir)
 
 
 def _names(feats, subset):
     if subset == FULL:
         return [c for c in feats.columns if c not in ("passenger_id", "survived")]
-    return present(feats, subset)
+    return present(feats, subset)[0]  # a cabin level that no row has would make the fit singular
 
 
 METRIC_SCHEMA = "model string, tp bigint, fp bigint, fn bigint, tn bigint, accuracy double, " \
@@ -259,6 +257,7 @@ def q_baseline_compare(spark, sf_dir):
         lambda: _lr_metrics(feats, "log regularized", FULL, 0.4, True)]))
 
 
+# The regularisation grid.
 C_GRID = (1.0, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1)
 
 
@@ -282,7 +281,7 @@ def q_logreg_c_sweep(spark, sf_dir):
 @query("max_of_metric")
 def q_max_of_metric(spark, sf_dir):
     """Best score over the C sweep and the C that reaches it, per metric."""
-    sweep = c_sweep(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    sweep = c_sweep(spark, sf_dir)
     return sweep.select(F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).alias("score"), F.col("C").alias("C"))
         for m in ("accuracy", "precision", "recall", "f1")])).alias("s")).select("s.*") \
@@ -302,18 +301,68 @@ def _inference(spark, sf_dir, subset):
     return spark.createDataFrame(rows, INFERENCE_SCHEMA), extra
 
 
-@query("logit_inference")
+TITLE_ONLY = FeatureSpec(steps=(("one_hot", ("title",)),))
+
+
+def _title_features(frame):
+    """One-hot titles fitted on ``frame``: (features, model, names)."""
+    model = FeaturePipeline(TITLE_ONLY, handle_unknown="ignore").fit(frame)
+    return model.transform(frame), model, model.feature_names
+
+
+# a logit on the one-hot columns of one key without an intercept is fitted group by group:
+# coefficient ln(p / (1 - p)), standard error 1 / sqrt(n p (1 - p))
+TITLE_LOGIT = with_(PASSENGERS_CTE, SPLIT_CTE, TRAIN_CTE) + """
+, g AS (SELECT title, CAST(count(*) AS DOUBLE) AS n, avg(survived) AS p FROM train WHERE title IS NOT NULL GROUP BY title),
+i AS (SELECT 'title_' || title AS feature, ln(p / (1 - p)) AS coef, 1 / sqrt(n * p * (1 - p)) AS std_err FROM g)
+"""
+
+
+def _title_inference(spark, sf_dir):
+    feats, _, names = _title_features(train_rows(spark, sf_dir).where(F.col("title").isNotNull()))
+    rows, _ = M.logit_inference(feats, names, "survived")
+    return spark.createDataFrame(rows, INFERENCE_SCHEMA)
+
+
+@query("logit_inference", TITLE_LOGIT + """
+SELECT feature, round(coef, 6) AS coef, round(std_err, 6) AS std_err, round(coef / std_err, 5) AS z FROM i
+""")
 def q_logit_inference(spark, sf_dir):
+    """Unpenalised logit on the titles' one-hot columns, no intercept."""
+    out = _title_inference(spark, sf_dir)
+    return out.select("feature", F.round("coef", 6).alias("coef"), F.round("std_err", 6).alias("std_err"), F.round("z", 5).alias("z"))
+
+
+@query("logit_inference_17")
+def q_logit_inference_17(spark, sf_dir):
     """Unpenalised logit without intercept on the 17-feature subset."""
     return _inference(spark, sf_dir, SUBSET_17)[0]
 
 
+@query("logit_inference_11")
+def q_logit_inference_11(spark, sf_dir):
+    """The second fit: unpenalised logit on the 11-feature subset."""
+    return _inference(spark, sf_dir, SUBSET_11)[0]
+
+
 P_VALUE_CUT = 0.2
 
 
-@query("select_by_pvalue")
+# the two-sided p-value stays below 0.2 where |z| passes this quantile of the normal distribution
+Z_OF_CUT = 1.2815515655446004
+
+
+@query("select_by_pvalue", TITLE_LOGIT + f"""
+SELECT feature FROM i WHERE abs(coef / std_err) > {Z_OF_CUT}
+""")
 def q_select_by_pvalue(spark, sf_dir):
-    """Features whose p-value stays below the cut."""
+    """Features of the titles' logit whose p-value stays below the cut."""
+    return _title_inference(spark, sf_dir).where(F.col("p_value") < P_VALUE_CUT).select("feature")
+
+
+@query("select_by_pvalue_17")
+def q_select_by_pvalue_17(spark, sf_dir):
+    """Features of the 17 whose p-value stays below the cut."""
     inf, _ = _inference(spark, sf_dir, SUBSET_17)
     return inf.where(F.col("p_value") < P_VALUE_CUT).select("feature", "p_value")
 
@@ -391,7 +440,62 @@ def q_feature_importance(spark, sf_dir):
                          .select(F.lit("forest subset").alias("model"), "*")))
 
 
-@query("cross_validate")
+FOLDS_SQL = with_(PASSENGERS_CTE, SPLIT_CTE, TRAIN_CTE) + f"""
+, f AS (SELECT title, survived, {fold_sql('passenger_id', 5)} AS fold FROM train WHERE title IS NOT NULL),
+k AS (SELECT DISTINCT fold FROM f),
+o AS (SELECT k.fold, avg(f.survived) AS overall FROM k JOIN f ON f.fold <> k.fold GROUP BY k.fold),
+r AS (SELECT k.fold, f.title, avg(f.survived) AS rate FROM k JOIN f ON f.fold <> k.fold GROUP BY k.fold, f.title),
+p AS (SELECT f.fold, f.survived, CASE WHEN coalesce(r.rate, o.overall) > o.overall THEN 1 ELSE 0 END AS prediction
+      FROM f JOIN o ON o.fold = f.fold LEFT JOIN r ON r.fold = f.fold AND r.title = f.title),
+s AS (SELECT fold, tp, fp, fn, tn, {METRICS_SQL} FROM (SELECT fold, {_cells_sql('p GROUP BY fold')}) c)
+"""
+
+
+def _rule_folds(spark, sf_dir):
+    """Five hash folds, checked to hold both classes: the title rule with the
+    rates of the other folds (all rows' counts less the fold's own), scored on
+    each fold."""
+    rows = train_rows(spark, sf_dir).where(F.col("title").isNotNull()).withColumn("fold", fold_column("passenger_id", 5))
+    check_folds(rows, "fold", "survived")
+    n, s = F.count("survived"), F.sum("survived")
+    own = rows.groupBy("fold", "title").agg(n.alias("n"), s.alias("s"))
+    whole = own.groupBy("title").agg(F.sum("n").alias("tn"), F.sum("s").alias("ts"))
+    fold = own.groupBy("fold").agg(F.sum("n").alias("fn"), F.sum("s").alias("fs"))
+    everything = own.agg(F.struct(F.sum("n").alias("n"), F.sum("s").alias("s")).alias("x")).select("x").scalar()
+    rates = (own.join(whole, "title").join(fold, "fold").withColumn("all_", everything)
+             .select("fold", "title", F.try_divide(F.col("ts") - F.col("s"), F.col("tn") - F.col("n")).alias("rate"),
+                     ((F.col("all_.s") - F.col("fs")) / (F.col("all_.n") - F.col("fn"))).alias("overall")))
+    rule = F.when(F.coalesce("rate", "overall") > F.col("overall"), 1).otherwise(0)
+    pred = rows.join(rates, ["fold", "title"]).select("fold", "survived", rule.alias("prediction"))
+    y, p = F.col("survived") == 1, F.col("prediction") == 1
+    cells = pred.groupBy("fold").agg(*[F.count_if(c).alias(name) for name, c in
+                                       (("tp", p & y), ("fp", p & ~y), ("fn", ~p & y), ("tn", ~p & ~y))])
+    return cells.select("fold", "tp", "fp", "fn", "tn", *ev.metric_columns())
+
+
+@query("cross_validate", FOLDS_SQL + "SELECT * FROM s")
+def q_cross_validate_rule(spark, sf_dir):
+    """Cross-validated metrics of the title rule, a row for each fold."""
+    return _rule_folds(spark, sf_dir)
+
+
+def _mean_std(folds):
+    long = folds.select(F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).alias("score")) for m in ("f1", "accuracy")
+    ])).alias("s")).select("s.*")
+    return ev.mean_std(long, "score", ["metric"])
+
+
+@query("mean_std", FOLDS_SQL + """
+SELECT metric, round(avg(score), 9) AS mean, round(stddev_pop(score), 9) AS std
+FROM (SELECT 'f1' AS metric, f1 AS score FROM s UNION ALL SELECT 'accuracy', accuracy FROM s) GROUP BY metric
+""")
+def q_mean_std_rule(spark, sf_dir):
+    """Mean and population std of the rule's fold scores."""
+    return rounded(_mean_std(_rule_folds(spark, sf_dir)), "mean", "std")
+
+
+@query("cross_validate_logreg")
 def q_cross_validate(spark, sf_dir):
     """5 hash folds: balanced logistic (all features), the five fold models
     fitted together (batched Newton); F1 and accuracy on each held-out fold."""
@@ -402,14 +506,10 @@ def q_cross_validate(spark, sf_dir):
     return per_fold.withColumnRenamed("rep", "fold").withColumn("fold", F.col("fold").cast("int"))
 
 
-@query("mean_std")
+@query("mean_std_logreg")
 def q_mean_std(spark, sf_dir):
     """Mean and population std of the cross-validation fold scores."""
-    folds = q_cross_validate(spark, sf_dir)
-    long = folds.select(F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(m).alias("score")) for m in ("f1", "accuracy")
-    ])).alias("s")).select("s.*")
-    return ev.mean_std(long, "score", ["metric"])
+    return _mean_std(q_cross_validate(spark, sf_dir))
 
 
 BOOT_REFIT_B = 1000
@@ -432,45 +532,91 @@ def q_bootstrap_refit_intervals(spark, sf_dir):
     return ev.order_stat_interval(scores, ["model", "metric"], "score", BOOT_REFIT_B)
 
 
+SCORING_SEED = "42s"
+SCORING_SQL = f"substr(md5('{SCORING_SEED}:' || CAST(passenger_id AS VARCHAR)), 1, 12) < '800000000000'"
+
+
+def held_out_and_scoring(spark, sf_dir):
+    """The rows outside the training set in two halves by another hash: a
+    labelled held-out half, and the scoring set, which no fit sees."""
+    rows = test_rows(spark, sf_dir)
+    scoring = train_flag("passenger_id", SCORING_SEED, 0.5)
+    return rows.where(~scoring), rows.where(scoring)
+
+
 def final_model(spark, sf_dir):
-    """Balanced logistic fitted on all labelled rows (train + held-out),
+    """Balanced logistic fitted on all labelled rows (train + held-out half),
     with the feature model fitted on train."""
-    feats_tr, fmodel = _feats(spark, sf_dir)
-    from strata.operators.features import add_interactions
-    allrows = train_rows(spark, sf_dir).unionByName(test_rows(spark, sf_dir))
-    feats_all = add_interactions(fmodel.transform(allrows))
+    feats_tr, fmodel = train_features(spark, sf_dir)
+    labelled = train_rows(spark, sf_dir).unionByName(held_out_and_scoring(spark, sf_dir)[0])
     names = _names(feats_tr, FULL)
-    return M.fit_logreg(feats_all, names, "survived", C=1.0, balanced=True), fmodel, names
+    return M.fit_logreg(add_interactions(fmodel.transform(labelled)), names, "survived", C=1.0, balanced=True), fmodel, names
 
 
-@query("final_fit_and_score")
-def q_final_fit_and_score(spark, sf_dir):
-    """Refit on all labelled rows, score the scoring set (id carried through)."""
-    from strata.operators.features import add_interactions
+@query("final_fit_and_score_full")
+def q_final_fit_and_score_full(spark, sf_dir):
+    """Refit on all labelled rows, score the scoring set (id carried through);
+    a missing scaled fare is filled with the scored batch's own mean."""
     lr, fmodel, names = final_model(spark, sf_dir)
-    scoring = test_rows(spark, sf_dir).drop("survived")
-    feats = add_interactions(fmodel.transform(scoring))
+    scoring = held_out_and_scoring(spark, sf_dir)[1].drop("survived")
+    feats = add_interactions(replace(fmodel, fill_from="batch").transform(scoring))
     return M.predict(lr, feats, names, ["passenger_id"]).select("passenger_id", "prediction")
 
 
-@query("batch_score")
+# A balanced logit without a penalty on the one-hot columns of one key predicts 1 exactly
+# where the group's rate passes the overall rate of the rows it was fitted on.
+UNPENALISED = 1e9
+
+
+def _title_scores(labelled, scored):
+    feats, model, names = _title_features(labelled.where(F.col("title").isNotNull()))
+    lr = M.fit_logreg(feats, names, "survived", C=UNPENALISED, balanced=True)
+    return M.predict(lr, model.transform(scored), names, ["passenger_id"]).select("passenger_id", "prediction")
+
+
+BATCH_SQL = RULES + "SELECT {} FROM title_pred"
+FINAL_SQL = with_(PASSENGERS_CTE, SPLIT_CTE, TRAIN_CTE, TEST_CTE) + f"""
+, scoring AS (SELECT * FROM test WHERE {SCORING_SQL}),
+labelled AS (SELECT title, survived FROM train UNION ALL SELECT title, survived FROM test WHERE NOT {SCORING_SQL}),
+o AS (SELECT avg(survived) AS overall FROM labelled),
+r AS (SELECT title, avg(survived) AS rate FROM labelled GROUP BY title),
+p AS (SELECT s.passenger_id, CASE WHEN coalesce(r.rate, o.overall) > o.overall THEN 1 ELSE 0 END AS prediction
+      FROM scoring s CROSS JOIN o LEFT JOIN r ON r.title = s.title)
+"""
+
+
+@query("batch_score", BATCH_SQL.format("passenger_id, prediction"))
 def q_batch_score(spark, sf_dir):
-    """Held-out rows scored by the balanced model fitted on train."""
-    feats, _ = _feats(spark, sf_dir)
+    """Held-out rows scored by the balanced logit on titles fitted on train."""
+    return _title_scores(train_rows(spark, sf_dir), test_rows(spark, sf_dir))
+
+
+@query("batch_score_full")
+def q_batch_score_full(spark, sf_dir):
+    """Held-out rows scored by the balanced model of all features."""
+    feats, _ = train_features(spark, sf_dir)
     names = _names(feats, FULL)
     m = M.fit_logreg(feats, names, "survived", C=1.0, balanced=True)
     test, _ = test_features(spark, sf_dir)
     return M.predict(m, test, names, ["passenger_id"]).select("passenger_id", "prediction")
 
 
-@query("align_scores")
+@query("align_scores", BATCH_SQL.format("passenger_id AS \"PassengerId\", prediction AS \"Survived\""))
 def q_align_scores(spark, sf_dir):
     """Id and predicted label side by side (the id rides through transform)."""
     return q_batch_score(spark, sf_dir).select(
         F.col("passenger_id").alias("PassengerId"), F.col("prediction").alias("Survived"))
 
 
-@query("write_predictions")
+@query("final_fit_and_score", FINAL_SQL + "SELECT * FROM p")
+def q_final_fit_and_score(spark, sf_dir):
+    """The balanced logit on titles, refitted on all labelled rows, scores the
+    scoring set, which is outside the fit."""
+    held, scoring = held_out_and_scoring(spark, sf_dir)
+    return _title_scores(train_rows(spark, sf_dir).unionByName(held), scoring.drop("survived"))
+
+
+@query("write_predictions", FINAL_SQL + 'SELECT passenger_id AS "PassengerId", prediction AS "Survived" FROM p')
 def q_write_predictions(spark, sf_dir):
     """Write the scored rows as CSV part files into the shared checkpoint
     folder and read them back with the declared schema."""
@@ -481,6 +627,20 @@ def q_write_predictions(spark, sf_dir):
     return read_predictions(spark, path)
 
 
+@query("heldout_interval_logreg")
+def q_heldout_interval_logreg(spark, sf_dir):
+    """The interval table's "test results" rows: 80/90/95 % intervals of
+    accuracy and F1 of the fitted 11-feature logit over Poisson resamples of
+    the held-out rows, without a refit."""
+    feats, _ = train_features(spark, sf_dir)
+    names = _names(feats, SUBSET_11)
+    m = M.fit_logreg(feats, names, "survived", C=1.0, balanced=True)
+    test, _ = test_features(spark, sf_dir)
+    pred = M.predict(m, test, names, ["passenger_id", "survived"])
+    per_rep = ev.bootstrap_eval(pred, "passenger_id", "survived", replicates=BOOT_B, seed=BOOT_SEED)
+    return ev.order_stat_interval(ev.long_scores(per_rep, ("accuracy", "f1"), "test results"), ["model", "metric"], "score", BOOT_B)
+
+
 FIT_STATS_SCHEMA = "n bigint, log_likelihood double, null_log_likelihood double, pseudo_r2 double"
 
 
@@ -506,7 +666,6 @@ INTERVAL_MODELS = (("baseline", FULL, 1.0, "train"), ("feature sel1", SUBSET_17,
 def q_bootstrap_interval_table(spark, sf_dir):
     """80/90/95 % intervals of in-sample accuracy and F1 over B = 1000
     balanced-logistic refits, for each model of the analysis, stacked."""
-    from strata.operators.features import add_interactions
     feats_tr, fmodel = _feats(spark, sf_dir)
     allrows = train_rows(spark, sf_dir).unionByName(test_rows(spark, sf_dir))
     feats_all = add_interactions(fmodel.transform(allrows))
@@ -517,6 +676,7 @@ def q_bootstrap_interval_table(spark, sf_dir):
                                          "passenger_id", replicates=BOOT_REFIT_B, C=C)
         scores = ev.long_scores(per_rep, ("accuracy", "f1"), label)
         tables.append(ev.order_stat_interval(scores, ["model", "metric"], "score", BOOT_REFIT_B))
+    tables.append(q_heldout_interval_logreg(spark, sf_dir))
     return _union(tables)
 
 

@@ -30,6 +30,13 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def rounded(df: DataFrame, *cols: str, decimals: int = 9) -> DataFrame:
+    """Order-dependent floating results at the precision that the comparison
+    with another engine uses; operators themselves do not round."""
+    from pyspark.sql import functions as F
+    return df.withColumns({c: F.round(c, decimals) for c in cols})
+
+
 def load_all() -> None:
     """Import every plan module so that all queries are registered."""
     from strata.plans import (  # noqa: F401

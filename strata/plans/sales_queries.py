@@ -195,18 +195,18 @@ def q_pct_growth(spark, sf_dir):
 @query("sales_rollup_incremental", ROLLUP_SQL)
 def q_sales_rollup_incremental(spark, sf_dir):
     """The roll-up computed by the streaming job: the sales rows are landed
-    as several parquet files in the shared checkpoint folder, streamed with
-    one file per micro-batch, reduced to exactly-once per-epoch partials and
-    merged.  Same answer as the batch roll-up."""
+    as parquet files in the shared checkpoint folder (as many as their
+    partitions), streamed a few files to a micro-batch, reduced to exactly-once
+    per-epoch partials and merged.  Same answer as the batch roll-up."""
     from strata.session import scratch_path
     from strata.streaming.rollup_stream import read_rollup, start_incremental_rollup
 
     base = scratch_path(spark, "rollup-stream")
     src = f"{base}/source"
-    sales(spark, sf_dir).repartition(4).write.mode("overwrite").parquet(src)
+    sales(spark, sf_dir).write.mode("overwrite").parquet(src)
     schema = spark.read.parquet(src).schema
     q = start_incremental_rollup(spark, src, schema, f"{base}/partials", f"{base}/checkpoint",
-                                 P, max_files_per_trigger=1)
+                                 P, max_files_per_trigger=64)
     q.awaitTermination()
     return read_rollup(spark, f"{base}/partials", P)
 

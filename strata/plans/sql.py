@@ -46,11 +46,11 @@ passengers AS (
   JOIN nation n ON c.c_nationkey = n.n_nationkey)
 """
 
-# Hash split: the first four hex digits of md5('42:' || id) below 'cccc'
+# Hash split: the first twelve hex digits of md5('42:' || id) below 'cc...c'
 # (= 0.8 of the range) put a row in the training set.
 SPLIT_CTE = """
 split AS (
-  SELECT *, substr(md5('42:' || CAST(passenger_id AS VARCHAR)), 1, 4) < 'cccc' AS is_train
+  SELECT *, substr(md5('42:' || CAST(passenger_id AS VARCHAR)), 1, 12) < 'cccccccccccc' AS is_train
   FROM passengers)
 """
 

@@ -8,6 +8,7 @@ own session and may set a scratch folder when none is configured.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -45,21 +46,22 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Apply the SQL settings above to a session someone else built."""
+    """Apply the SQL settings above to a session someone else built, where
+    that session leaves them open."""
+    chosen = spark.conf.getAll
     for k, v in DEFAULT_CONF.items():
-        if k.startswith("spark.sql."):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf on a shared session: leave it
-                pass
+        if k.startswith("spark.sql.") and k not in chosen:
+            spark.conf.set(k, v)
 
 
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local runs, tests) a fallback is registered: ``fallback`` or a fresh
-    folder under ``$STRATA_SCRATCH`` / ``/tmp``.
+    Reads ``spark.checkpoint.dir`` from the session.  Where it is unset,
+    ``fallback`` is taken, or in local mode, where the driver's folders are
+    the executors', a fresh folder under ``$STRATA_SCRATCH`` or ``/tmp``.  On
+    a cluster an unset folder raises: executors would each write to their own
+    disk.
     """
     sc = spark.sparkContext
     configured = (sc.getCheckpointDir()
@@ -69,8 +71,9 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    base = fallback or os.path.join(os.environ.get("STRATA_SCRATCH", "/tmp"),
-                                    f"strata-ckpt-{uuid.uuid4().hex[:12]}")
+    if not fallback and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir is unset: it has to name a folder that all executors share")
+    base = fallback or os.path.join(os.environ.get("STRATA_SCRATCH", "/tmp"), f"strata-ckpt-{uuid.uuid4().hex[:12]}")
     sc.setCheckpointDir(base)
     return base
 
@@ -80,28 +83,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df, factor: int = 2):
-    """Hash-spread the rows of ``df`` over ``factor`` x the default
-    parallelism.  For work that multiplies per row (B bootstrap replicates
-    per row) this always pays: the shuffle moves each row once, the work
-    that follows is B times larger and now uses every core."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism * factor)
-
-
-def cache_spread(df, factor: int = 1):
-    """Persist a frame that iterative fitting will scan many times.  After
-    the frame is materialised its partition count is read from the cached
-    plan (no recomputation); only a frame with fewer partitions than
-    ``factor`` x the default parallelism (e.g. from a single-split file) is
-    re-spread, a large one keeps its own partitioning."""
-    from pyspark import StorageLevel
-
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    cached.count()
-    target = df.sparkSession.sparkContext.defaultParallelism * factor
-    if cached.rdd.getNumPartitions() >= target:
-        return cached
-    wide = cached.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
-    wide.count()
-    cached.unpersist()
-    return wide
+def spread(df):
+    """Spread the rows of ``df`` evenly, over twice the cores or as many
+    partitions as the session shuffles to, whichever is more.  For work that
+    multiplies per row (B bootstrap replicates per row) this pays: the shuffle
+    moves each row once, the work that follows is B times larger."""
+    spark = df.sparkSession
+    return df.repartition(max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))

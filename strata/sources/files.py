@@ -1,4 +1,4 @@
-"""File sources and sinks with declared schemas.
+"""File sources and sinks with declared schemas; columns go by the header's names.
 
 Schemas are always passed: inference costs a second scan and may type
 ``duration`` as an integer, after which ``duration == "60"`` never matches.
@@ -42,33 +42,43 @@ PREDICTION_SCHEMA = T.StructType([
 
 
 def _csv(spark: SparkSession, schema: T.StructType, path: str, **opts) -> DataFrame:
-    reader = (spark.read.schema(schema).option("header", True).option("sep", ",")
-              .option("nullValue", "").option("mode", "FAILFAST"))
-    for k, v in opts.items():
-        reader = reader.option(k, v)
-    return reader.csv(path)
+    """The columns of ``schema``, found by the names in the header wherever
+    they stand; other columns are not read.  A name that is missing raises, and
+    so does a file whose header differs from the first one's."""
+    def reader():
+        r = spark.read.option("header", True).option("sep", ",").option("nullValue", "")
+        for k, v in opts.items():
+            r = r.option(k, v)
+        return r
+
+    header = reader().csv(path).columns  # reads the first line
+    missing = [f.name for f in schema.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    types = {f.name: f for f in schema.fields}
+    in_file = T.StructType([types.get(h, T.StructField(h, T.StringType(), True)) for h in header])
+    return reader().schema(in_file).option("mode", "FAILFAST").option("enforceSchema", False).csv(path).select(*schema.names)
 
 
 def read_sales(spark: SparkSession, path: str) -> DataFrame:
     """Sales CSV: header, ``date`` parsed as a timestamp, ``duration`` a string."""
-    cols = ["date", "region", "country", "customer_id", "delivery_type", "revenue", "cost",
-            "duration", "cost_type"]
-    return _csv(spark, SALES_SCHEMA, path, timestampNTZFormat="yyyy-MM-dd[ HH:mm:ss]").select(*cols)
+    return _csv(spark, SALES_SCHEMA, path, timestampNTZFormat="yyyy-MM-dd[ HH:mm:ss]")
+
+
+def _passenger_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    named = dict(zip([f.name for f in PASSENGER_SCHEMA.fields], PASSENGER_CSV_HEADER))
+    in_file = T.StructType([T.StructField(named[f.name], f.dataType, True) for f in schema.fields])
+    return _csv(spark, in_file, path).toDF(*schema.names)
 
 
 def read_passengers(spark: SparkSession, path: str) -> DataFrame:
-    """Labelled passenger CSV in the classic header order."""
-    raw = _csv(spark, T.StructType([T.StructField(h, f.dataType, True) for h, f in
-                                    zip(PASSENGER_CSV_HEADER, PASSENGER_SCHEMA.fields)]), path)
-    return raw.toDF(*[f.name for f in PASSENGER_SCHEMA.fields])
+    """Labelled passenger CSV with the classic header names."""
+    return _passenger_csv(spark, path, PASSENGER_SCHEMA)
 
 
 def read_scoring_set(spark: SparkSession, path: str) -> DataFrame:
     """Unlabelled passenger CSV (the header without ``Survived``)."""
-    header = [h for h in PASSENGER_CSV_HEADER if h != "Survived"]
-    raw = _csv(spark, T.StructType([T.StructField(h, f.dataType, True) for h, f in
-                                    zip(header, SCORING_SCHEMA.fields)]), path)
-    return raw.toDF(*[f.name for f in SCORING_SCHEMA.fields])
+    return _passenger_csv(spark, path, SCORING_SCHEMA)
 
 
 def write_predictions(pred: DataFrame, path: str, id_col: str = "passenger_id",

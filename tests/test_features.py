@@ -96,3 +96,48 @@ def test_cut_matches_pandas_cut(spark, seed, bins, kind):
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "i int, x double")
     out = df.select("i", cut_column(F.col("x"), got_edges, labels).alias("b")).orderBy("i")
     assert [r.b for r in out.collect()] == [str(v) for v in exp]
+
+
+def test_categories_that_fold_alike_keep_a_column_each(spark):
+    from strata.operators.features import FeatureSpec
+    values = ["A-B", "A B", "é", "中", "plain"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, c string")
+    m = FeaturePipeline(FeatureSpec(steps=(("one_hot", ("c",)),))).fit(df)  # a spec without a numeric step
+    assert len(set(m.feature_names)) == 5 and "c_plain" in m.feature_names
+    rows = m.transform(df, ("i",)).collect()
+    assert all(sum(r[n] for n in m.feature_names) == 1.0 for r in rows)
+
+
+def test_many_categories(spark):
+    from strata.operators.features import FeatureSpec
+    df = spark.range(1001).select(F.col("id").cast("string").alias("c"))
+    wide = FeaturePipeline(FeatureSpec(steps=(("one_hot", ("c",)),))).fit(df)
+    assert len(wide.feature_names) == 1001
+    m = FeaturePipeline(FeatureSpec(steps=(("one_hot_vector", ("c",)),))).fit(df)
+    assert m.feature_names == ["c_vec"]
+    seen = {tuple(r.c_vec.indices) for r in m.transform(df, ()).collect()}
+    assert len(seen) == 1001 and all(len(x) == 1 for x in seen)
+    with pytest.raises(Exception):
+        m.transform(df.select(F.lit("other").alias("c")), ()).collect()
+
+
+def test_missing_features_are_named(spark):
+    from strata.operators.features import SUBSET_17, present, screen_redundant, with_known_levels
+    feats = FeaturePipeline().fit(passengers_df(spark)).transform(passengers_df(spark))
+    with pytest.raises(ValueError, match="sex_female"):
+        add_interactions(feats.drop("sex_female"))
+    full = add_interactions(feats)
+    found, absent = present(full, SUBSET_17)
+    assert "level_cabin_D" in absent and "age" in found
+    assert set(found) | set(absent) == set(SUBSET_17)
+    known = with_known_levels(full)
+    assert known.agg(F.sum("level_cabin_D")).first()[0] == 0.0
+    pairs = {(r.col_a, r.col_b) for r in screen_redundant(full, ["sex_female", "sex_male", "age"], 0.99).collect()}
+    assert pairs == {("sex_female", "sex_male")}
+
+
+def test_nan_does_not_reach_the_fitted_constants(spark):
+    p = passengers_df(spark)
+    with_nan = p.withColumn("fare", F.when(F.col("passenger_id") == 1, F.lit(float("nan"))).otherwise(F.col("fare")))
+    lo, hi = FeaturePipeline().fit(with_nan).ranges["fare"]
+    assert lo == lo and hi == hi and hi < 1e6

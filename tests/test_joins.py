@@ -1,23 +1,10 @@
 from pyspark.sql import functions as F
 
-from strata.operators.joins import join_checked
+from strata.operators.joins import scalar
 
 
-def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def test_checked_broadcast_and_fallback_agree(spark):
-    big = spark.range(20000).select((F.col("id") % 50).alias("k"), F.col("id").alias("v"))
-    small = big.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only our hint may broadcast
-    try:
-        under = join_checked(big, small, "k", max_broadcast_rows=1000)
-        over = join_checked(big, small, "k", max_broadcast_rows=10)
-        assert "BroadcastHashJoin" in _plan(under) or "BroadcastExchange" in _plan(under)
-        assert "BroadcastExchange" not in _plan(over)
-        a = sorted(tuple(r) for r in under.collect())
-        b = sorted(tuple(r) for r in over.collect())
-        assert a == b and len(a) == 20000 and all(r[2] == 400 for r in a)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+def test_scalar_is_inlined(spark):
+    df = spark.range(10).select(F.col("id").alias("v"))
+    out = df.select((F.col("v") / scalar(df, F.sum("v"))).alias("share"))
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    assert abs(sum(r.share for r in out.collect()) - 1) < 1e-12

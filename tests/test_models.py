@@ -151,3 +151,30 @@ def test_cv_folds_match_separate_fits(spark):
         pred = (Z @ beta[i]) > 0
         assert rows[i].accuracy == pytest.approx(np.mean(pred == (y[fold == i] == 1)))
     assert sum(rows[i].tp + rows[i].fp + rows[i].fn + rows[i].tn for i in range(3)) == len(y)
+
+
+def test_collinear_features_are_named(spark):
+    import pytest
+
+    from strata.operators import models as M
+    df = spark.range(200).selectExpr("CAST(id % 7 AS DOUBLE) AS a", "CAST(id % 5 AS DOUBLE) AS b", "CAST(2 * (id % 7) AS DOUBLE) AS c",
+                                     "CAST(0 AS DOUBLE) AS z", "CAST(id % 3 = 0 AS INT) AS y")
+    with pytest.raises(ValueError, match="c, z"):
+        M.logit_inference(df, ["a", "b", "c", "z"], "y")
+
+
+def test_separable_data_say_whether_they_converged(spark):
+    from strata.operators.bootstrap import grid_logreg
+    df = spark.range(100).selectExpr("id", "CAST(id AS DOUBLE) / 100 AS x", "CAST(id >= 50 AS INT) AS y")
+    _, metrics, converged = grid_logreg(df, ["x"], "y", "id", [1.0, 1e12], max_iter=12)
+    rows = {r.rep: r.converged for r in metrics.collect()}
+    assert rows == {0: bool(converged[0]), 1: bool(converged[1])} and rows[0] and not rows[1]
+
+
+def test_batched_fits_leave_nothing_cached(spark):
+    from strata.operators.bootstrap import grid_logreg
+    spark.catalog.clearCache()
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    df = spark.range(100).selectExpr("id", "CAST(id % 9 AS DOUBLE) AS x", "CAST(id % 4 = 0 AS INT) AS y")
+    grid_logreg(df, ["x"], "y", "id", [1.0, 0.5])[1].collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before

@@ -9,10 +9,12 @@ import pytest
 os.environ.setdefault("STRICT", "1")
 
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
+from strata.plans.registry import ORACLE  # noqa: E402
 from oracle_check import compare, duck  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(oracle_sql())
+oracle_sql()  # loads the registry
+NAMES = sorted(ORACLE)
 
 
 @pytest.fixture(scope="module")

@@ -54,3 +54,24 @@ def test_period_includes_whole_end_day(spark, tmpdir_path):
     got = [r.inside for r in df.orderBy("date").select(
         in_period(F.col("date"), "2019-01-01", "2019-06-30").alias("inside")).collect()]
     assert got == [False, True, False]
+
+
+def test_columns_go_by_name(spark, tmpdir_path):
+    import pytest
+    p = os.path.join(tmpdir_path, "permuted.csv")
+    with open(p, "w") as f:
+        f.write("date,country,extra,region,cost_type,customer_id,delivery_type,revenue,cost,duration\n")
+        f.write("2019-01-01,A,z,E,expert,1,fast,1000,400,60\n")
+    r = read_sales(spark, p).collect()[0]
+    assert (r.region, r.country, r.customer_id, r.cost_type, r.duration) == ("E", "A", 1, "expert", "60")
+    for reader, label in ((read_passengers, ["Survived"]), (read_scoring_set, [])):
+        names = ["Embarked", "Name", "Sex", "Age", "PassengerId", "SibSp", "Parch", "Ticket", "Cabin", "Fare", "Pclass", *label]
+        q = os.path.join(tmpdir_path, f"{reader.__name__}.csv")
+        with open(q, "w") as f:
+            f.write(",".join(names) + "\n" + ",".join(["S", "N", "male", "22", "7", "1", "0", "T", "", "7.25", "3", *["1" for _ in label]]) + "\n")
+        r = reader(spark, q).collect()[0]
+        assert (r.passenger_id, r.pclass, r.fare, r.embarked, r.cabin) == (7, 3, 7.25, "S", None)
+    with open(p, "w") as f:
+        f.write("date,country\n2019-01-01,A\n")
+    with pytest.raises(ValueError, match="region"):
+        read_sales(spark, p)

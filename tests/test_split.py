@@ -23,9 +23,16 @@ def test_folds_partition_rows(spark):
 
 
 def test_hex_threshold():
-    assert hex_threshold(0.8) == "cccc"
-    assert hex_threshold(0.0) == "0000"
-    assert hex_threshold(1.0) == "ffff"
+    assert hex_threshold(0.8) == "c" * 12
+    assert hex_threshold(0.0) == "0" * 12
+    assert all(h < hex_threshold(1.0) for h in ("0" * 12, "f" * 12))
+
+
+def test_whole_and_empty_fractions(spark):
+    df = spark.range(400_000).withColumnRenamed("id", "k")
+    for fraction, n in ((1.0, 400_000), (0.0, 0)):
+        train, test = split_train_test(df, "k", train_fraction=fraction)
+        assert (train.count(), test.count()) == (n, 400_000 - n)
 
 
 def test_split_and_folds_match_python_md5(spark):
@@ -35,8 +42,8 @@ def test_split_and_folds_match_python_md5(spark):
     df = spark.range(3000).withColumnRenamed("id", "k")
     rows = df.select("k", train_flag("k").alias("t"), fold_column("k", 5).alias("f")).collect()
     for r in rows:
-        h = hashlib.md5(f"{SPLIT_SEED}:{r.k}".encode()).hexdigest()[:4]
-        assert r.t == (h < "cccc")
-        u = int(hashlib.md5(f"{FOLD_SEED}:{r.k}".encode()).hexdigest()[:4], 16)
-        expected = next(i for i in range(5) if i == 4 or u < int((i + 1) / 5 * 65536))
+        h = hashlib.md5(f"{SPLIT_SEED}:{r.k}".encode()).hexdigest()[:12]
+        assert r.t == (h < "c" * 12)
+        u = int(hashlib.md5(f"{FOLD_SEED}:{r.k}".encode()).hexdigest()[:12], 16)
+        expected = next(i for i in range(5) if i == 4 or u < int((i + 1) / 5 * 16**12))
         assert r.f == expected

@@ -50,10 +50,8 @@ def test_corr_constant_column_is_null(spark):
     assert out[0].r is None
 
 
-@pytest.mark.parametrize("small", [100_000, 0])
-def test_age_quartiles(spark, small):
-    q = stats.quantiles(passengers_df(spark), [], "age", [0.25, 0.5, 0.75],
-                        small_histogram=small).collect()[0]
+def test_age_quartiles(spark):
+    q = stats.quantiles(passengers_df(spark), [], "age", [0.25, 0.5, 0.75]).collect()[0]
     assert (q.q_25, q.q_50, q.q_75, q.n) == (16.0, 24.0, 29.0, 6)
 
 
@@ -62,8 +60,8 @@ def test_median_even_count(spark):
     assert stats.median_of(df, "v").collect()[0]["median"] == 2.5
 
 
-@pytest.mark.parametrize("parts,small", [(1, 100_000), (7, 100_000), (1, 0), (7, 0)])
-def test_quantiles_match_numpy(spark, parts, small):
+@pytest.mark.parametrize("parts", [1, 7])
+def test_quantiles_match_numpy(spark, parts):
     rng = np.random.default_rng(3)
     g = rng.integers(0, 4, 3000)
     g[:1000] = 0  # a hot group
@@ -72,8 +70,7 @@ def test_quantiles_match_numpy(spark, parts, small):
     df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(g, v)], "g int, v double") \
         .repartition(parts)
     probs = [0.1, 0.25, 0.5, 0.75, 0.9]
-    got = {r.g: r for r in stats.quantiles(df, ["g"], "v", probs,
-                                           small_histogram=small).collect()}
+    got = {r.g: r for r in stats.quantiles(df, ["g"], "v", probs).collect()}
     for key in range(4):
         exp = np.quantile(v[g == key], probs)  # linear interpolation
         row = got[key]
@@ -156,3 +153,50 @@ def test_nunique_exact_and_approx(spark):
     assert exact == {0: 50000, 1: 50000, 2: 50000}
     assert all(abs(approx[g] - exact[g]) / exact[g] < 0.03 for g in exact)
     assert stats.nunique(df, [], "v").first().n_distinct == 50000
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", float("nan")), ("b", None)], "g string, v double")
+    q = stats.median_of(df, "v").first()
+    assert (q["median"], q.n) == (1.5, 2)
+    assert {r.g: r.m for r in stats.grouped_mean(df, ["g"], "v", "m").collect()} == {"a": 1.5, "b": None}
+    assert {r.g: r.n for r in stats.count_by_keys(df, ["g"], "v").collect()} == {"a": 2, "b": 0}
+    assert sum(r.n for r in stats.histogram(df, "v", 2).collect()) == 2
+    assert stats.nunique(df, [], "v").first().n_distinct == 2
+
+
+def test_null_keys_leave_grouping_sets(spark):
+    df = spark.createDataFrame([("a", "x", 1.0), (None, "x", 3.0), ("a", None, 5.0)], "g string, h string, v double")
+    got = {(r.grouping_set, r.g, r.h): r.rate for r in stats.grouping_sets_mean(df, [["g"], ["g", "h"], ["h"]], "v").collect()}
+    assert got == {("g", "a", None): 3.0, ("g,h", "a", "x"): 1.0, ("h", None, "x"): 2.0}
+
+
+def test_small_values_are_not_rounded_away(spark):
+    df = spark.createDataFrame([(i * 1e-11,) for i in range(1, 10)], "v double")
+    assert stats.median_of(df, "v").first()["median"] == pytest.approx(5e-11, rel=1e-12)
+
+
+def test_correlation_of_columns_of_very_different_scale(spark):
+    df = spark.range(20).select(F.col("id").cast("double").alias("y"), (F.col("id") * 1e14).alias("t"))
+    assert stats.corr_pairs(df, ["y", "t"]).first().r == pytest.approx(1.0, abs=1e-12)
+
+
+def test_quantile_columns_have_names_of_their_own(spark):
+    df = spark.range(1001).select(F.col("id").cast("double").alias("v"))
+    q = stats.quantiles(df, [], "v", [0.001, 0.004, 0.025, 0.975]).first().asDict()
+    assert q == {"n": 1001, "q_0_1": 1.0, "q_0_4": 4.0, "q_2_5": 25.0, "q_97_5": 975.0}
+
+
+def test_pivot_finds_its_values_and_refuses_unlisted_ones(spark):
+    df = spark.createDataFrame([("a", 1, 2.0), ("a", 9, 4.0), ("b", 9, None), ("b", None, 1.0)], "g string, k int, v double")
+    found = stats.pivot_agg(df, "g", "k", None, "mean", "v")
+    assert found.columns == ["g", "1", "9"] and {r.g: (r["1"], r["9"]) for r in found.collect()} == {"a": (2.0, 4.0), "b": (None, None)}
+    with pytest.raises(Exception, match="not listed"):
+        stats.pivot_agg(df, "g", "k", [1, 2], "mean", "v").collect()
+
+
+def test_box_stats_scans_its_rows_once(spark):
+    df = spark.createDataFrame([(g, float(v)) for g in "ab" for v in [1, 2, 3, 4, 5, 6, 7, 8, 100]], "g string, v double")
+    box = stats.box_stats(df, ["g"], "v")
+    assert "LocalTableScan" not in box._jdf.queryExecution().executedPlan().toString()  # only the checkpointed histogram
+    assert {(r.g, r.n, r.median, r.whisker_high, r.n_outliers) for r in box.collect()} == {(g, 9, 5.0, 8.0, 1) for g in "ab"}
