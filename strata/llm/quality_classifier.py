@@ -87,8 +87,10 @@ class QualityModel:
 
 
 def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, weight: np.ndarray,
-          epochs: int = 6, rate: float = 0.5, seed: int = 7) -> QualityModel:
-    """Stochastic gradient descent, one document a step, rate falling to 0."""
+          epochs: int = 6, least_steps: int = 20_000, rate: float = 0.5, seed: int = 7) -> QualityModel:
+    """Stochastic gradient descent, one document a step, rate falling to 0;
+    small samples are gone over more often."""
+    epochs = max(epochs, -(-least_steps // len(y)))
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     output, bias = np.zeros((2, DIM), np.float32), np.zeros(2)

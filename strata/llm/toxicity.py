@@ -3,8 +3,8 @@ scaled by naive Bayes log-count ratios.
 
 A text is lower-cased, its white space is folded to single spaces and its
 character n-grams (of the code points, across word borders) are hashed into
-``2**BITS`` buckets; a feature is the presence of a bucket times its log-count
-ratio between the two classes.  The weights of a logistic regression on these
+``2**BITS`` buckets; a feature is the root of a bucket's rate (occurrences per
+1000 characters) times its log-count ratio between the two classes.  The weights of a logistic regression on these
 features are fitted in numpy on a bounded sample of labelled documents; every
 document is then scored whole by an Arrow-batched column function.
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -61,15 +62,25 @@ def present(text: str | None) -> np.ndarray:
     return np.unique(np.concatenate([np.zeros(0, np.uint32), *ngram_buckets(text)]))
 
 
-@dataclass(frozen=True)
+def rates(text: str | None, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The wanted buckets among a text's n-grams, and the root of their rates."""
+    found = [b[wanted[b]] for b in ngram_buckets(text)]
+    bucket, times = np.unique(np.concatenate([np.zeros(0, np.uint32), *found]), return_counts=True)
+    return bucket, np.sqrt(times * (1000.0 / max(1, len(text or ""))))
+
+
+@dataclass
 class ToxicityModel:
     weights: np.ndarray  # by bucket, float32; 0 where the bucket is no feature
     bias: float
 
+    @cached_property
+    def wanted(self) -> np.ndarray:
+        return self.weights != 0
+
     def score(self, text: str | None) -> float:
-        found = [b[self.weights[b] != 0] for b in ngram_buckets(text)]
-        present = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint32)
-        return float(sigmoid(self.weights[present].sum(dtype=np.float64) + self.bias))
+        bucket, rate = rates(text, self.wanted)
+        return float(sigmoid(float(self.weights[bucket] @ rate) + self.bias))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: dict[int, int] = PER_CLASS,
@@ -101,16 +112,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: dic
     feature = strength > (np.partition(strength, -MAX_FEATURES)[-MAX_FEATURES])
     place = (np.cumsum(feature) - 1).astype(np.int32)
 
-    @F.pandas_udf("array<int>")
-    def features(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: place[(b := present(t))[feature[b]]])
+    @F.pandas_udf("at array<int>, rate array<float>")
+    def features(texts: pd.Series) -> pd.DataFrame:
+        found = [rates(t, feature) for t in texts]
+        return pd.DataFrame({"at": [place[b] for b, _ in found], "rate": [r.astype(np.float32) for _, r in found]})
 
-    rows = sample.select("doc_id", "label", features("text").alias("at")).toArrow().sort_by("doc_id")
+    rows = sample.select("doc_id", "label", features("text").alias("f")).toArrow().sort_by("doc_id")
     y = rows["label"].to_numpy().astype(float)
-    held = rows["at"].combine_chunks()
-    col = held.flatten().to_numpy()
-    row = np.repeat(np.arange(len(y)), held.value_lengths().to_numpy())
-    value = ratio[feature][col]
+    held = rows["f"].combine_chunks()
+    col = held.field("at").flatten().to_numpy()
+    row = np.repeat(np.arange(len(y)), held.field("at").value_lengths().to_numpy())
+    value = ratio[feature][col] * held.field("rate").flatten().to_numpy()
     # logistic regression by Adam over the whole sample
     v = np.zeros(int(feature.sum()))
     m, s, bias = np.zeros_like(v), np.zeros_like(v), 0.0
