@@ -84,10 +84,11 @@ class ToxicityModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: dict[int, int] = PER_CLASS,
-        passes: int = 80, rate: float = 0.02, l2: float = 1e-3) -> ToxicityModel:
+        passes: int = 80, rate: float = 0.02, prior: float = 5.0) -> ToxicityModel:
     """Fit on about ``per_class`` labelled documents outside the held-out
     fold.  The executors count the buckets of each class; at most ``2**BITS``
-    counts reach the driver, then the features of the sample."""
+    counts reach the driver, then the features of the sample.  ``prior`` is the
+    strength of the weights' Gaussian prior, the same whatever the sample."""
     sample, counts = training_sample(docs, labels, label, per_class)
     none = np.zeros(1 << BITS, np.float32)
     if not counts.get(0) or not counts.get(1):
@@ -128,7 +129,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: dic
     m, s, bias = np.zeros_like(v), np.zeros_like(v), 0.0
     for k in range(1, passes + 1):
         error = sigmoid(np.bincount(row, weights=v[col] * value, minlength=len(y)) + bias) - y
-        g = np.bincount(col, weights=error[row] * value, minlength=len(v)) / len(y) + l2 * v
+        g = np.bincount(col, weights=error[row] * value, minlength=len(v)) / len(y) + prior / len(y) * v
         m, s = 0.9 * m + 0.1 * g, 0.999 * s + 0.001 * g * g
         v -= rate * (m / (1 - 0.9**k)) / (np.sqrt(s / (1 - 0.999**k)) + 1e-8)
         bias -= 0.5 * error.mean()
