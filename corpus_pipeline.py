@@ -41,9 +41,9 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: five-word shingles, Jaccard >= 0.8."""
     importable(spark)
-    return jaccard_join.keep_first(docs)
+    return jaccard_join.keep_first(docs, words=5, share=(80, 100))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

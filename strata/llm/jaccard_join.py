@@ -1,8 +1,9 @@
 """N-gram Jaccard join by parity sketches.
 
-A document's set holds the hashes of its distinct shingles of ``WORDS`` words.
-Two sets of sizes a <= b link when 100 |A & B| >= 90 |A | B|; then they differ
-in at most (a + b) / 19 shingles, and b <= a / 0.9.
+A document's set holds the hashes of its distinct shingles of ``words`` words
+(``WORDS`` if not said).  Two sets of sizes a <= b link when their similarity
+is ``share`` at least; with ``SHARE``, when 100 |A & B| >= 90 |A | B|: then
+they differ in at most (a + b) / 19 shingles, and b <= a / 0.9.
 
 Sketch.  Documents of a size band deal their shingles by hash into segments,
 and the hashes in a segment are combined by exclusive or.  A shingle in one
@@ -29,7 +30,7 @@ join; what is left is verified on the whole sets.
 
 Defined cases: null or empty texts, and those without words, have an empty
 set, link with nothing and are their own component; a text of fewer than
-WORDS words is one shingle; repeated rows are copies; rows that share an id
+``words`` words is one shingle; repeated rows are copies; rows that share an id
 are one document for links; a null id gives no link, and its component is the
 least id among its copies or null.  Texts are whole.  Further columns,
 whatever their names, are not read.  Shingles are told apart by 64-bit hashes.
@@ -92,9 +93,11 @@ def most_apart(size: int, share=SHARE) -> int:
     return ((high - low) * (size + size * high // low)) // (high + low)
 
 
-def spare(apart: int) -> int:
-    """Segments beyond those that the differing shingles may fill."""
-    return 1 + apart // 16
+def spare(apart: int, share=SHARE) -> int:
+    """Segments beyond those that the differing shingles may fill; the more of
+    these, the fewer shingles a segment holds and the more are empty."""
+    low, high = share
+    return 1 + apart * 100 * (high - low) ** 2 // (16 * high**2)
 
 
 def segment_keys(s: np.ndarray, share=SHARE) -> np.ndarray:
@@ -107,7 +110,7 @@ def segment_keys(s: np.ndarray, share=SHARE) -> np.ndarray:
         if b > band and len(s) * share[1] < BAND**b * share[0] * (1 - 1e-9):
             continue  # no partner is that large
         widest = most_apart(int(np.ceil(BAND ** (b + 1))), share)
-        spared = spare(widest)  # the same for all sets of the band
+        spared = spare(widest, share)  # the same for all sets of the band
         segments = widest + 1 + spared
         at = ((s >> np.uint64(32)) % np.uint64(segments)).astype(np.int64)
         word = np.zeros(segments, np.uint64)
@@ -129,13 +132,13 @@ def folded(s: np.ndarray) -> np.ndarray:
     return bits
 
 
-def _sketch(share):
+def _sketch(words, share):
     @F.pandas_udf("n long, d1 long, d2 long, fold array<long>, keys array<long>")
     def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = []
             for t in texts:
-                s = shingles(t)
+                s = shingles(t, words)
                 d = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
                 rows.append((len(s), d[0], d[1], folded(s).view(np.int64), segment_keys(s, share).view(np.int64)))
             yield pd.DataFrame(rows, columns=["n", "d1", "d2", "fold", "keys"])
@@ -143,10 +146,10 @@ def _sketch(share):
     return sketch
 
 
-def _whole_set(text):
+def _whole_set(text, words):
     @F.pandas_udf("array<long>")
     def whole(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: shingles(t).view(np.int64))
+        return texts.map(lambda t: shingles(t, words).view(np.int64))
 
     return whole(text)
 
@@ -165,16 +168,16 @@ def _named(df: DataFrame, prefix: str, *more: str) -> DataFrame:
     return df.select("key", *(F.col(c).alias(prefix + c) for c in names))
 
 
-def join_documents(docs: DataFrame, share=SHARE) -> DataFrame:
+def join_documents(docs: DataFrame, share=SHARE, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles and component_id (the least doc_id that links reach)
     of every document."""
     with Scratch() as scratch:
-        return stored(_joined(docs, share, scratch), "components")
+        return stored(_joined(docs, words, share, scratch), "components")
 
 
-def _joined(docs: DataFrame, share, scratch: Scratch) -> DataFrame:
+def _joined(docs: DataFrame, words: int, share, scratch: Scratch) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    sketches = scratch.stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _sketch(share)(text).alias("s")).select("doc_id", "s.*"), "sketches")
+    sketches = scratch.stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _sketch(words, share)(text).alias("s")).select("doc_id", "s.*"), "sketches")
     # a class of equal sets is known by its least id
     classes = scratch.stored(sketches.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("id")), "classes")
     own = (sketches.join(classes.where(F.col("id").isNotNull()).select("id", F.col("d1").alias("c1")),
@@ -187,7 +190,7 @@ def _joined(docs: DataFrame, share, scratch: Scratch) -> DataFrame:
     narrow = own.drop("keys").join(live, "id").dropDuplicates(["id"])
     members = scratch.stored(members.join(narrow, "id"), "members")
     sets = scratch.stored(docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text")).join(live, "id")
-                  .select("id", _whole_set("text").alias("s")), "sets")
+                  .select("id", _whole_set("text", words).alias("s")), "sets")
 
     low, high = share
     links = tested = labels = None
@@ -238,11 +241,11 @@ def _joined(docs: DataFrame, share, scratch: Scratch) -> DataFrame:
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "id", "doc_id").alias("component_id"))
 
 
-def keep_first(docs: DataFrame, share=SHARE) -> DataFrame:
+def keep_first(docs: DataFrame, share=SHARE, words: int = WORDS) -> DataFrame:
     """One document of each component, that with the least id; columns as
     given.  Of rows that share that id one stays.  Rows without an id, which
     no component is known by, stay."""
-    kept = join_documents(docs, share).where("doc_id = component_id").select(F.col("doc_id").alias("kept_")).distinct()
+    kept = join_documents(docs, share, words).where("doc_id = component_id").select(F.col("doc_id").alias("kept_")).distinct()
     rows = docs.join(kept, docs["doc_id"].cast("long") == F.col("kept_"), "left_semi")
     again = stored(docs.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("again_")).count().where(F.col("count") > 1).select("again_"), "again")
     if not again.isEmpty():

@@ -1,0 +1,46 @@
+"""The pipeline's near-copy stage against brute force over five-word shingles."""
+
+import random
+
+import corpus_pipeline
+from strata.llm import jaccard_join
+from test_near import roots
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute_kept(rows, words=5, low=80, high=100):
+    """Ids that stay, by the shingles that two documents share."""
+    sets, holders, common = {}, {}, {}
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[i] = {tuple(w[k:k + words]) for k in range(max(1, len(w) - words + 1))} if w else set()
+        for g in sets[i]:
+            for j in holders.setdefault(g, []):
+                common[j, i] = common.get((j, i), 0) + 1
+            holders[g].append(i)
+    find = roots(sorted(sets), [(a, b) for (a, b), c in common.items() if high * c >= low * (len(sets[a]) + len(sets[b]) - c)])
+    return {find(i) for i in sets}
+
+
+def test_stage_on_raw_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    want = brute_kept(rows)
+    assert {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()} == want
+    assert want < brute_kept(rows, 3, 90)
+
+
+def test_stage_on_edited_copies(spark, documents):
+    rng = random.Random(9)
+    rows = [(0, None), (1, ""), (2, "a b"), (3, "A B")]
+    for size in [4, 8, 9, 12, 20, 50, 60, 120, 400, 1500]:
+        base = [f"w{rng.randrange(5000)}" for _ in range(size)]
+        for changes in (0, 0, 1, 1, 2, size // 40, size // 30, size // 20):
+            w = list(base)
+            for _ in range(changes):
+                w[rng.randrange(size)] = f"n{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(w)))
+    got = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, documents(rows), SF).collect()}
+    assert got == brute_kept(rows)
+    assert got != {r["component_id"] for r in jaccard_join.join_documents(documents(rows)).collect()}
