@@ -9,8 +9,14 @@ fingerprints are looked up in the index; hits whose diagonals lie within a
 band belong to one candidate place.  There the template is aligned with the
 words around: a band of diagonals, one row for each word of the template,
 gaps on either side allowed.  A place counts if the aligned words make up
-``MIN_COVERAGE`` of the template; of places of one template that overlap, the
-best counts.
+``MIN_COVERAGE`` of the template; places with fewer of the template's words
+within the band are not aligned.  Of places of one template that overlap, the
+best counts; of places of several, the one with the most words aligned less
+those missing, unless they share no more than half of the other.
+
+Templates are one-line notices, the standard notices that go at the head of a
+file, and the whole texts in ``license_texts``.  AGPL and the Creative Commons
+licences but CC0 have notices only.
 
 Each document is scanned whole and alone, so nothing is shuffled.
 
@@ -22,6 +28,7 @@ whatever their names, pass unread.
 
 from __future__ import annotations
 
+import pkgutil
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,6 +47,27 @@ WORDS_KEPT = 300_000
 
 _WORD = re.compile(r"[^\W_]+")
 
+WHOLE = ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT",
+         "MPL-2.0", "Unlicense")
+
+
+def _gnu(what: str, kind: str, version: str, stop: str = ",") -> str:
+    return (f"This {what} is free software{':' if stop == ',' else ';'} you can redistribute it and/or modify it under the terms of the GNU "
+            f"{kind} License as published by the Free Software Foundation{stop} either version {version} of the License, or (at your "
+            "option) any later version.")
+
+
+def _creative_commons() -> dict[str, str]:
+    """Short and full notices of the six licences in both usual versions."""
+    parts, out = {"BY": "Attribution", "SA": "ShareAlike", "NC": "NonCommercial", "ND": "NoDerivatives"}, {}
+    for code in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
+        title = "-".join(parts[p] for p in code.split("-"))
+        for version, where in (("4.0", "International"), ("3.0", "Unported")):
+            out[f"CC-{code}-{version}"] = f"Licensed under CC {code} {version}."
+            out[f"CC-{code}-{version}-full"] = f"This work is licensed under a Creative Commons {title} {version} {where} License."
+    return out
+
+
 # Usual wordings of licence notices.
 TEMPLATES = {
     "MIT": "Released under the MIT License.",
@@ -51,15 +79,37 @@ TEMPLATES = {
     "Apache-2.0-full": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
                        "except in compliance with the License. You may obtain a copy of the License at "
                        "http://www.apache.org/licenses/LICENSE-2.0",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0-full": _gnu("program", "General Public", "2", ";"),
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0-full": "This program is free software: you can redistribute it and/or modify it under the terms of the "
-                    "GNU General Public License as published by the Free Software Foundation, either version 3 of "
-                    "the License, or (at your option) any later version.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                    "provided that the following conditions are met",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "GPL-3.0-full": _gnu("program", "General Public", "3"),
+    "LGPL-2.0-full": _gnu("library", "Library General Public", "2", ";"),
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-2.1-full": _gnu("library", "Lesser General Public", "2.1", ";"),
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-3.0-full": _gnu("library", "Lesser General Public", "3"),
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "AGPL-3.0-full": _gnu("program", "Affero General Public", "3"),
+    # the opening of all BSD licences doesn't tell which
+    "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted "
+           "provided that the following conditions are met",
+    "BSD-notice": "Released under the BSD License.",
+    "BSD-2-Clause": "Released under the BSD 2-Clause License.",
+    "BSD-3-Clause": "Released under the BSD 3-Clause License.",
+    "ISC": "Released under the ISC License.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "MPL-2.0-full": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of "
+                    "the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "CC0-1.0": "Released under CC0 1.0 Universal.",
+    # without the name that stands after "law"
+    "CC0-1.0-full": "To the extent possible under law, has waived all copyright and related or neighboring rights to this work.",
+    "CC0-1.0-person": "To the extent possible under law, the person who associated CC0 with this work has waived all "
+                      "copyright and related or neighboring rights to this work.",
 }
+CREATIVE_COMMONS = _creative_commons()
+WHOLE_TEXTS = {f"{name}-whole": pkgutil.get_data(__package__, f"license_texts/{name}.txt").decode() for name in WHOLE}
+USUAL = TEMPLATES | CREATIVE_COMMONS | WHOLE_TEXTS  # what documents are scanned for
 
 
 def words_of(text: str) -> list[str]:
@@ -126,6 +176,17 @@ def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int) -> t
     return int(score[best]), int(first[best]), int(last[best])
 
 
+def in_band(template: np.ndarray, text: np.ndarray, diagonal: int, band: int) -> int:
+    """The template's words that occur in the text within the band: no
+    alignment there has more."""
+    hit = np.zeros(len(template), bool)
+    for d in range(diagonal - band, diagonal + band + 1):
+        low, high = max(0, -d), min(len(template), len(text) - d)
+        if low < high:
+            hit[low:high] |= template[low:high] == text[low + d:high + d]
+    return int(np.count_nonzero(hit))
+
+
 @dataclass(frozen=True)
 class Index:
     """Inverted index of the templates' fingerprints, sorted by hash."""
@@ -136,6 +197,7 @@ class Index:
     template: np.ndarray
     position: np.ndarray
     known: _Hashes
+    counts: list[tuple[np.ndarray, np.ndarray]]  # each template's distinct words and how often they occur
 
     @staticmethod
     def of(templates: dict[str, str]) -> "Index":
@@ -148,7 +210,15 @@ class Index:
             rows += [(h, t, p) for h, p in zip(*fingerprints(words, known))]
         rows.sort()
         h, t, p = zip(*rows)
-        return Index(list(templates), held, np.array(h, np.uint64), np.array(t), np.array(p), known)
+        return Index(list(templates), held, np.array(h, np.uint64), np.array(t), np.array(p), known,
+                     [np.unique(w, return_counts=True) for w in held])
+
+    def _enough(self, t: int, distinct: np.ndarray, times: np.ndarray) -> bool:
+        """Whether so many words, in any order, could cover template t."""
+        word, most = self.counts[t]
+        at = np.minimum(np.searchsorted(distinct, word), len(distinct) - 1)
+        shared = np.where(distinct[at] == word, np.minimum(times[at], most), 0).sum()
+        return shared >= MIN_COVERAGE * len(self.words[t])
 
     def scan(self, text: str | None) -> list[tuple]:
         """(licence, coverage, words aligned, first word, last word + 1, first
@@ -164,13 +234,17 @@ class Index:
         hits = sorted({(int(self.template[j]), int(at[i] - self.position[j])) for i in some for j in range(low[i], high[i])})
         each = np.array([self.known[w] for w in words], np.uint64)
         found: dict[int, list] = {}
+        all_words = np.unique(each, return_counts=True)
+        possible = {t for t in {t for t, _ in hits} if self._enough(t, *all_words)}
         t_before, reach = -1, 0
         for t, diagonal in hits:
-            if t == t_before and diagonal <= reach:
+            if t not in possible or t == t_before and diagonal <= reach:
                 continue  # within the band of the place before
             t_before, reach = t, diagonal + BAND
             begin = max(0, diagonal - BAND)
             part = each[begin:diagonal + len(self.words[t]) + BAND + 1]
+            if in_band(self.words[t], part, diagonal - begin, BAND) < MIN_COVERAGE * len(self.words[t]):
+                continue
             n, first, last = align(self.words[t], part, diagonal - begin, BAND)
             if n >= MIN_COVERAGE * len(self.words[t]):
                 found.setdefault(t, []).append((n / len(self.words[t]), n, first + begin, last + begin + 1))
@@ -179,20 +253,27 @@ class Index:
         spans = [m.span() for m in _WORD.finditer(text)] if text.lower() == text or len(text.lower()) == len(text) else None
         out = []
         exact = spans is not None and len(spans) == len(words)
+        best = []
         for t, places in found.items():
             taken = np.zeros(len(words), bool)
             for coverage, n, a, b in sorted(places, key=lambda p: (-p[1], p[2])):
                 if taken[a:b].any():
                     continue
                 taken[a:b] = True
-                out.append((self.names[t], coverage, n, a, b, spans[a][0] if exact else None, spans[b - 1][1] if exact else None))
+                best.append((len(self.words[t]) - 2 * n, t, coverage, n, a, b))
+        taken = np.zeros(len(words), bool)  # by any template
+        for _, t, coverage, n, a, b in sorted(best):
+            if 2 * np.count_nonzero(taken[a:b]) > b - a:
+                continue
+            taken[a:b] = True
+            out.append((self.names[t], coverage, n, a, b, spans[a][0] if exact else None, spans[b - 1][1] if exact else None))
         return sorted(out, key=lambda m: (m[3], m[4], m[0]))
 
 
 MATCH = ("license string, coverage double, n_matched int, word_start int, word_end int, char_start int, char_end int")
 
 
-def matches(text: str | Column, spark, templates: dict[str, str] = TEMPLATES) -> Column:
+def matches(text: str | Column, spark, templates: dict[str, str] = USUAL) -> Column:
     """Array of the matches (MATCH) in each whole text."""
     shared = spark.sparkContext.broadcast(Index.of(templates))  # templates are a parameter, not data
     names = [f.split()[0] for f in MATCH.split(", ")]
@@ -206,7 +287,7 @@ def matches(text: str | Column, spark, templates: dict[str, str] = TEMPLATES) ->
     return found(text)
 
 
-def scan_documents(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
+def scan_documents(docs: DataFrame, templates: dict[str, str] = USUAL) -> DataFrame:
     """doc_id, n_matches and the matches of every document."""
     found = docs.select("doc_id", matches(F.coalesce("text", F.lit("")), docs.sparkSession, templates).alias("matches"))
     return found.select("doc_id", F.size("matches").alias("n_matches"), "matches")
