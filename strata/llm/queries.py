@@ -7,7 +7,9 @@ import functools
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe, jaccard_join, licenses, line_dedup, packing, quality_classifier, quality_rules, topk, toxicity, warc
+from strata.llm import (byte_bpe, chat_format, jaccard_join, licenses, line_dedup, packing, periodic_runs, quality_classifier, quality_rules,
+                        token_align, topk, toxicity, warc)
+from strata.llm.store import stored
 from strata.llm.workers import importable
 from strata.session import checkpoint_dir
 from strata.sources.tables import read_table
@@ -68,6 +70,27 @@ def op10_license_scan(spark, sf_dir):
     return licenses.scan_documents(read_table(spark, sf_dir, "documents"))
 
 
+CONTROLS_SAID = "\\### Assistant: </turn> ok"  # a text full of control strings
+
+
+def op11_chat_format(spark, sf_dir):
+    """All conversations and one that says control strings, formatted and read back."""
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", CONTROLS_SAID), (-7, 1, "assistant", CONTROLS_SAID)], turns.schema)
+    return chat_format.digest(stored(chat_format.format_conversations(turns.unionByName(more)), "formatted"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    """Periodic runs of words in every document."""
+    return periodic_runs.report(read_table(spark, sf_dir, "documents"))
+
+
+def op13_token_align(spark, sf_dir):
+    """Two tokenizers' tokens of every document, aligned."""
+    return token_align.align_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                       public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+
+
 def _ready(fn):
     @functools.wraps(fn)
     def run(spark, sf_dir):
@@ -78,7 +101,7 @@ def _ready(fn):
 
 QUERIES = {f.__name__: _ready(f) for f in (op1_toxicity, op2_line_dedup, op3_quality_classifier, op4_jaccard_join, op5_ball_tree_topk,
                                             op6_best_fit_packing, op7_warc, op8_quality_rules, op9_byte_bpe,
-                                            op10_license_scan)}
+                                            op10_license_scan, op11_chat_format, op12_periodic_runs, op13_token_align)}
 
 ORACLE_SQL: dict[str, str] = {"op2_line_dedup": r"""
 WITH RECURSIVE

@@ -1,0 +1,159 @@
+"""Periodic runs against plain comparison of all periods."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from strata.llm import periodic_runs
+from strata.llm.periodic_runs import WaveletTree, find_runs
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute(w, least=12):
+    """(start, length, period) by comparing words at every distance."""
+    found = {}
+    for q in range(1, len(w) // 2 + 1):
+        i = 0
+        while i < len(w) - q:
+            if w[i] != w[i + q]:
+                i += 1
+                continue
+            j = i
+            while j < len(w) - q and w[j] == w[j + q]:
+                j += 1
+            if j - i + q >= max(least, 2 * q):
+                found.setdefault((i, j - i + q), q)
+            i = j
+    return sorted((s, n, q) for (s, n), q in found.items())
+
+
+def together(texts):
+    words = np.array([x for t in texts for x in t], np.int64)
+    return words, np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+
+
+def check(texts):
+    expected, first = [], 0
+    for t in texts:
+        expected += [(s + first, n, q) for s, n, q in brute(t)]
+        first += len(t)
+    assert list(zip(*(x.tolist() for x in find_runs(*together(texts))))) == expected
+
+
+def fibonacci(n):
+    a, b = [0], [0, 1]
+    while len(b) < n:
+        a, b = b, b + a
+    return b[:n]
+
+
+def periodic(rng):
+    k, n = rng.choice([1, 2, 2, 3, 5, 50]), rng.choice([0, 1, 11, 12, 13, rng.randint(0, 60), rng.randint(0, 300)])
+    w = [rng.randrange(k) for _ in range(n)]
+    kind = rng.random()
+    if kind < 0.4 and n > 5:  # a tail repeats, perhaps with a word changed
+        a = rng.randrange(n)
+        p = rng.randint(1, max(1, (n - a) // 2))
+        w = w[:a] + [w[a + i % p] for i in range(n - a)]
+        if rng.random() < 0.5:
+            w[rng.randrange(n)] = 99
+    elif kind < 0.5:
+        w = fibonacci(n)
+    elif kind < 0.65:  # stretches of a small period meet: runs with many periods at one place
+        u = [0, 0, 1] * rng.randint(1, 12) + [0] * rng.randint(0, 3)
+        w = w[:5] + u + u + u[:rng.randrange(len(u) + 1)]
+    elif kind < 0.8:
+        u = [rng.randrange(2) for _ in range(rng.randint(1, 7))] * rng.randint(1, 14)
+        w = (u + [rng.randrange(2) for _ in range(rng.randint(0, 3))]) * rng.randint(1, 5) + u
+    return w
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_runs(seed):
+    rng = random.Random(seed)
+    for _ in range(120):
+        check([periodic(rng) for _ in range(rng.randint(1, 4))])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), max_size=70), max_size=3))
+def test_runs_of_any_words(texts):
+    check(texts)
+
+
+def test_one_word_again_and_again():
+    words, text = together([[7] * 50_000, [7] * 13, [7] * 11])
+    assert [x.tolist() for x in find_runs(words, text)] == [[0, 50_000], [50_000, 13], [1, 1]]
+
+
+def test_runs_are_fewer_than_words_in_a_long_fibonacci_text():
+    words = fibonacci(4000)
+    got = list(zip(*(x.tolist() for x in find_runs(*together([words])))))
+    assert got == brute(words) and 500 < len(got) < 4000
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 40), min_size=1, max_size=60), st.data())
+def test_wavelet_tree(values, data):
+    tree, values = WaveletTree(np.array(values)), np.array(values)
+    low = data.draw(st.integers(0, len(values) - 1))
+    high = data.draw(st.integers(low + 1, len(values)))
+    limit, part = data.draw(st.integers(-1, 80)), np.sort(values[low:high])
+    one = lambda x: np.array([x], np.int64)
+    assert tree.count_below(one(low), one(high), one(limit))[0] == (part < limit).sum()
+    for n, x in enumerate(part):
+        assert tree.nth(one(low), one(high), one(n))[0] == x
+
+
+def report(doc_id, text):
+    """The contract's row by plain means."""
+    words = (text or "").encode().split()
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is not None and h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = brute(words)
+    gone = {x for s, m, q in runs for x in range(s + q, s + m)}
+    s, m, q = min(runs, key=lambda r: (-r[1], r[0], r[2])) if runs else (None,) * 3
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    return (doc_id, len(runs), s, m, q, 1000 * m // q if runs else None, sha("".join(f"{a},{b},{c}\n" for a, b, c in runs).encode()),
+            sha(b" ".join(w for i, w in enumerate(words) if i not in gone)))
+
+
+def test_documents(spark, documents):
+    rng = random.Random(5)
+    texts = [None, "", " \n\t ", "one", "a b c " * 30, "a b c " * 30, "é 中 x\x0b " * 20, "w " * 60_000, "x" * 300_000, "same words " * 5 + "here"]
+    texts += [" ".join(rng.choice("ab") for _ in range(rng.randrange(200))) for _ in range(200)]
+    rows = list(enumerate(texts)) + [(None, "no id " * 20), (None, "no id " * 20), (4, "shared id " * 9)]
+    got = [tuple(r) for r in periodic_runs.report(documents(rows)).collect()]
+    expected = [report(i, t) for i, t in rows if t is None or len(t) < 10_000]
+    assert len(got) == len(rows) and sum(zlib.crc32(str(i).encode()) % 10 == 0 for i in range(len(texts))) > 10
+    order = lambda r: tuple(str(x) for x in r)
+    assert set(expected) <= set(got) and sorted((r for r in got if r[0] is None), key=order) == sorted((r for r in expected if r[0] is None), key=order)
+    long = {r[0]: r for r in got}[7]
+    assert long[1:6] == (1, 0, 60_000, 1, 60_000_000) and long[7] == hashlib.sha256(b"w").hexdigest()
+    assert periodic_runs.report(documents([])).collect() == []
+
+
+def test_runs_and_collapsed_texts(spark, documents):
+    docs = documents([(1, "start " + "la di da " * 5 + "end"), (2, "no run here"), (3, None)])
+    assert [tuple(r) for r in periodic_runs.runs(docs).collect()] == [(1, 1, 15, 3)]
+    assert [tuple(r) for r in periodic_runs.collapse(docs).orderBy("doc_id").collect()] == [(1, 17, 12, "start la di da end"), (2, 3, 0, "no run here"), (3, 0, 0, "")]
+
+
+def test_query(spark):
+    from strata.llm.queries import QUERIES
+
+    got = sorted(tuple(r) for r in QUERIES["op12_periodic_runs"](spark, "/root/testdata/sf0.001").collect())
+    texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    known = {r[0]: r for r in got}
+    short = [r for r in texts if len(r[1].split()) < 1500]
+    assert len(got) == len(texts) and len(short) > 100 and all(known[r[0]] == report(*r) for r in short)

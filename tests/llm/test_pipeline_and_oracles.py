@@ -28,8 +28,8 @@ def test_query_runs(spark, name):
     assert len(rows) >= 200
 
 
-def test_ten_operators_and_a_pipeline():
-    assert sorted(int(n[2:].split("_")[0]) for n in llm_queries.QUERIES) == list(range(1, 11))
+def test_thirteen_operators_and_a_pipeline():
+    assert sorted(int(n[2:].split("_")[0]) for n in llm_queries.QUERIES) == list(range(1, 14))
     assert "pipeline" in queries() and len(corpus_pipeline.STAGES) == 5
 
 
