@@ -3,17 +3,23 @@
 Instead of B separate fits (B x ~100 Spark jobs), the B replicate models are
 fitted together by Newton's method (IRLS): each pass is ONE Spark job.
 
-* Replicate weights are Poisson(1) draws from a 64-bit hash of (seed,
-  replicate, key): independent of partitioning, identical when a lost task
-  is recomputed (the Poisson bootstrap; the resample size varies around n).
+* Replicate weights are drawn exactly (``draws="exact"``: n rows with
+  replacement, multinomial weights that add up to n, ``operators.resample``)
+  or are Poisson(1) draws from a 64-bit hash of (seed, replicate, key), whose
+  sum varies around n.  Both are independent of partitioning and identical
+  when a lost task is recomputed.
 * A ``mapInPandas`` task streams its partition once per pass and keeps, for
   every replicate, the gradient, the loss and the upper triangle of the
   Hessian (B x (k+1)(k+2)/2 numbers, independent of the partition size).  The
   Hessians of a block of rows are one product: the pairwise products of the
   features against the B weights; ``BLOCK`` rows bound its memory.
-* The partial sums are vectors, added per replicate by Spark ML's
-  ``Summarizer`` with map-side combine; the driver receives B x (k+1)(k+2)/2
-  numbers and solves B systems of size k+1.  Nothing row-sized reaches it.
+* Partials are added up in a tree.  Partitions are first folded into at most
+  as many tasks as the cluster runs at once (a narrow ``coalesce``, a task
+  streams its partitions into one set of sums), so what is shuffled is cores x
+  B x (k+1)(k+2)/2 numbers a pass and does not grow with the data; then they are
+  added per (replicate, group of tasks) and per replicate by Spark ML's
+  ``Summarizer``.  The driver receives B x (k+1)(k+2)/2 numbers and solves B
+  systems of size k+1.  Nothing row-sized reaches it.
 * A step after which a model's loss has risen is halved; a model is done when
   its step is small, and says so in ``converged``.
 
@@ -34,6 +40,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.resample import drawn_blocks, row_weights
+
 BLOCK = 2048  # rows of a block: bounds the memory of its weights and products
 
 _M1 = np.uint64(0x9E3779B97F4A7C15)
@@ -71,10 +79,22 @@ def _frame(df: DataFrame, key: str, label: str, features: Sequence[str],
                      *[F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)])
 
 
-def _reduce(parts: DataFrame, models: int, width: int) -> np.ndarray:
-    """Sum per-partition rows (rep, vals[width]) into a models x width matrix."""
-    red = (parts.select("rep", array_to_vector("vals").alias("v")).groupBy("rep").agg(Summarizer.sum(F.col("v")).alias("v"))
-           .select("rep", vector_to_array("v").alias("v")).toPandas())
+FAN_IN = 32  # partials of a replicate added in one task of the first level
+
+
+def partial_tasks(df: DataFrame) -> int:
+    """Partials of a pass at most: one for each core."""
+    return max(1, df.sparkSession.sparkContext.defaultParallelism)
+
+
+def _reduce(parts: DataFrame, models: int, width: int, tasks: int) -> np.ndarray:
+    """Sum the tasks' rows (rep, vals[width]) into a models x width matrix, in
+    two levels where there are many."""
+    add = lambda df, by: df.groupBy(*by).agg(Summarizer.sum(F.col("v")).alias("v"))
+    red = parts.select("rep", F.pmod(F.spark_partition_id(), F.lit(max(1, tasks // FAN_IN))).alias("part"), array_to_vector("vals").alias("v"))
+    if tasks > FAN_IN:
+        red = add(red, ["rep", "part"])
+    red = add(red, ["rep"]).select("rep", vector_to_array("v").alias("v")).toPandas()
     out = np.zeros((models, width))
     if len(red):
         out[red["rep"].to_numpy()] = np.stack(red["v"])
@@ -83,23 +103,31 @@ def _reduce(parts: DataFrame, models: int, width: int) -> np.ndarray:
 
 def batched_logreg(df: DataFrame, features: Sequence[str], label: str, key: str, Cs,
                    seed: int | None = None, balanced: bool = True, max_iter: int = 30,
-                   tol: float = 1e-9, fold_col: str | None = None):
+                   tol: float = 1e-9, fold_col: str | None = None, draws: str = "poisson",
+                   intercept: bool = True):
     """Fit len(Cs) logistic models together by Newton's method, one Spark job
     per pass.  Model r has regularisation Cs[r] and row weights w_ri:
 
-    * ``seed`` given: Poisson replicate draws (the bootstrap);
+    * ``seed`` given: replicate draws (the bootstrap), ``draws`` "exact" (the
+      key is not read: equal rows are interchangeable) or "poisson";
     * ``fold_col`` given: 1 on rows whose fold is not r (cross-validation;
       model r is then scored on the rows of fold r);
     * otherwise 1 (a grid of C values over the same rows).
 
+    Without ``intercept`` it stays 0.
+
     Returns (coefficients R x (k+1), intercept first; per-model metrics
     DataFrame with columns ``rep`` and ``converged`` — in-sample, or on the
     held-out fold; converged flags)."""
     Cs = np.asarray(Cs, dtype=float)
     k = len(features)
-    data = _frame(df, key, label, features, fold_col).persist(StorageLevel.MEMORY_AND_DISK)
+    if draws not in ("exact", "poisson"):
+        raise ValueError(f"draws {draws!r}")
+    exact = seed is not None and draws == "exact"
+    data = drawn_blocks(df, label, features, len(Cs), seed) if exact else _frame(df, key, label, features, fold_col)
+    data = data.coalesce(partial_tasks(df)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        beta, cells, converged = _newton(data, k, Cs, seed, balanced, max_iter, tol, fold_col)
+        beta, cells, converged = _newton(data, k, Cs, seed, balanced, max_iter, tol, fold_col, exact, intercept, partial_tasks(df))
     finally:
         data.unpersist()
     from strata.operators.evaluate import metric_columns
@@ -108,7 +136,16 @@ def batched_logreg(df: DataFrame, features: Sequence[str], label: str, key: str,
     return beta, out.select("rep", "tp", "fp", "fn", "tn", *metric_columns(), "converged"), converged
 
 
-def _newton(data: DataFrame, k: int, Cs: np.ndarray, seed, balanced: bool, max_iter: int, tol: float, fold_col):
+def _drawn(frames, k: int, seed: int):
+    """(X without the intercept, y, W) of BLOCK rows at most, from drawn blocks."""
+    for frame in frames:
+        for leaf, y, x, m, drawn in zip(frame["leaf"], frame["y"], frame["x"], frame["m"], frame["draws"]):
+            y, x, W = np.asarray(y), np.asarray(x).reshape(-1, k), row_weights(leaf, drawn, m, seed)
+            for i in range(0, len(y), BLOCK):
+                yield x[i:i + BLOCK], y[i:i + BLOCK], W[i:i + BLOCK]
+
+
+def _newton(data: DataFrame, k: int, Cs: np.ndarray, seed, balanced: bool, max_iter: int, tol: float, fold_col, exact: bool, intercept: bool, tasks: int):
     """(coefficients, confusion cells, converged) of the models."""
     k1 = k + 1
     iu = np.triu_indices(k1)
@@ -117,8 +154,12 @@ def _newton(data: DataFrame, k: int, Cs: np.ndarray, seed, balanced: bool, max_i
     models = np.arange(B)
 
     def batches(it, evaluate=False):
+        if exact:
+            for x, y, W in _drawn(it, k, seed):
+                yield np.column_stack([np.full(len(y), float(intercept)), x]), y, W
+            return
         for pdf in (frame.iloc[i:i + BLOCK] for frame in it for i in range(0, len(frame), BLOCK)):
-            X = np.column_stack([np.ones(len(pdf))] + [pdf[c].to_numpy() for c in xcols])
+            X = np.column_stack([np.full(len(pdf), float(intercept))] + [pdf[c].to_numpy() for c in xcols])
             if fold_col is not None:
                 fold = pdf["_fold"].to_numpy()[:, None]
                 W = (fold == models[None, :]) if evaluate else (fold != models[None, :])
@@ -138,7 +179,7 @@ def _newton(data: DataFrame, k: int, Cs: np.ndarray, seed, balanced: bool, max_i
         yield pd.DataFrame({"rep": np.arange(B), "vals": list(acc)})
 
     schema = "rep long, vals array<double>"
-    nc = _reduce(data.mapInPandas(class_counts, schema), B, 2)
+    nc = _reduce(data.mapInPandas(class_counts, schema), B, 2, tasks)
     if balanced:
         nr = nc.sum(axis=1, keepdims=True)
         with np.errstate(divide="ignore"):
@@ -166,7 +207,7 @@ def _newton(data: DataFrame, k: int, Cs: np.ndarray, seed, balanced: bool, max_i
                 loss[:, 0] += (sw * (np.logaddexp(0.0, z) - y[:, None] * z)).sum(axis=0)
             yield pd.DataFrame({"rep": np.arange(B), "vals": list(np.hstack([H, g, loss]))})
 
-        red = _reduce(data.mapInPandas(newton_parts, schema), B, len(iu[0]) + k1 + 1)
+        red = _reduce(data.mapInPandas(newton_parts, schema), B, len(iu[0]) + k1 + 1, tasks)
         loss = Cs * red[:, -1] + 0.5 * (beta[:, 1:] ** 2).sum(axis=1)
         step = np.zeros_like(beta)
         for r in range(B):
@@ -197,24 +238,25 @@ def _newton(data: DataFrame, k: int, Cs: np.ndarray, seed, balanced: bool, max_i
             acc[:, 3] += (W * (~pred & ~yy)).sum(axis=0)
         yield pd.DataFrame({"rep": np.arange(B), "vals": list(acc)})
 
-    return beta, _reduce(data.mapInPandas(scores, schema), B, 4), converged
+    return beta, _reduce(data.mapInPandas(scores, schema), B, 4, tasks), converged
 
 
 def bootstrap_logreg(df: DataFrame, features: Sequence[str], label: str, key: str,
                      replicates: int = 1000, C: float = 1.0, balanced: bool = True,
-                     seed: int = 11, max_iter: int = 30, tol: float = 1e-9):
-    """B bootstrap refits (Poisson replicate weights), fitted together."""
+                     seed: int = 11, max_iter: int = 30, tol: float = 1e-9, draws: str = "exact"):
+    """B bootstrap refits, fitted together: n rows drawn with replacement for
+    each, or Poisson weights."""
     return batched_logreg(df, features, label, key, [C] * replicates, seed=seed,
-                          balanced=balanced, max_iter=max_iter, tol=tol)
+                          balanced=balanced, max_iter=max_iter, tol=tol, draws=draws)
 
 
 def grid_logreg(df: DataFrame, features: Sequence[str], label: str, key: str, Cs,
-                balanced: bool = True, max_iter: int = 30, tol: float = 1e-9):
+                balanced: bool = True, max_iter: int = 30, tol: float = 1e-9, intercept: bool = True):
     """One model per C value over the same rows, fitted together (a whole
     regularisation path in ~8 passes over the data instead of one
     optimiser run per C)."""
     return batched_logreg(df, features, label, key, Cs, seed=None, balanced=balanced,
-                          max_iter=max_iter, tol=tol)
+                          max_iter=max_iter, tol=tol, intercept=intercept)
 
 
 def cv_logreg(df: DataFrame, features: Sequence[str], label: str, key: str, fold_col: str,

@@ -124,30 +124,38 @@ def bootstrap_eval(pred: DataFrame, key: str, label: str = "label", prediction:
     Rows are expanded per block of four replicates (one md5 digest each);
     per block the 4 x 4 weighted cells are summed with map-side combine and
     then unfolded to one row per replicate."""
-    rows = spread(pred.select(F.col(key), F.col(label).cast("int").alias("_y"),
-                                       F.col(prediction).cast("int").alias("_p")))
+    out = bootstrap_eval_many(pred, key, label, [prediction], replicates, seed)
+    return out.drop("model")
+
+
+def bootstrap_eval_many(pred: DataFrame, key: str, label: str, predictions: list[str],
+                        replicates: int = 1000, seed=7) -> DataFrame:
+    """As ``bootstrap_eval`` for several prediction columns of the same rows: a
+    row's weights are drawn once and weigh every model's cells.  ``model`` is
+    the column's name."""
+    models = range(len(predictions))
+    rows = spread(pred.select(F.col(key).alias("_k"), F.col(label).cast("int").alias("_y"),
+                              *[F.col(c).cast("int").alias(f"_p{i}") for i, c in enumerate(predictions)]))
     n_blocks = -(-replicates // DRAWS_PER_DIGEST)
     x = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("_blk"))
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_blk").cast("string"),
-                               F.col(key).cast("string")))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_blk").cast("string"), F.col("_k").cast("string")))
     # the four weights are projected once; the aggregate only reads columns
     x = x.withColumn("_d", digest).select(
-        "_blk", "_y", "_p", *[_weight_from_hex(F.substring(F.col("_d"), j * 8 + 1, 8))
-                              .cast("bigint").alias(f"_w{j}") for j in range(DRAWS_PER_DIGEST)])
-    y, p = F.col("_y"), F.col("_p")
-    cells = {"tp": (p == 1) & (y == 1), "fp": (p == 1) & (y == 0),
-             "fn": (p == 0) & (y == 1), "tn": (p == 0) & (y == 0)}
+        "_blk", "_y", *[f"_p{i}" for i in models], *[_weight_from_hex(F.substring(F.col("_d"), j * 8 + 1, 8))
+                                                     .cast("bigint").alias(f"_w{j}") for j in range(DRAWS_PER_DIGEST)])
     aggs = []
-    for j in range(DRAWS_PER_DIGEST):
-        w = F.col(f"_w{j}")
-        aggs += [F.sum(F.when(c, w).otherwise(F.lit(0).cast("bigint"))).alias(f"{n}{j}")
-                 for n, c in cells.items()]
+    for i in models:
+        y, p = F.col("_y"), F.col(f"_p{i}")
+        cells = {"tp": (p == 1) & (y == 1), "fp": (p == 1) & (y == 0), "fn": (p == 0) & (y == 1), "tn": (p == 0) & (y == 0)}
+        aggs += [F.sum(F.when(c, F.col(f"_w{j}")).otherwise(F.lit(0).cast("bigint"))).alias(f"{n}{i}_{j}")
+                 for j in range(DRAWS_PER_DIGEST) for n, c in cells.items()]
     per_block = x.groupBy("_blk").agg(*aggs)
+    cells = ("tp", "fp", "fn", "tn")
     unfolded = per_block.select(F.explode(F.array(*[
-        F.struct((F.col("_blk") * DRAWS_PER_DIGEST + j).alias("rep"),
-                 *[F.col(f"{n}{j}").alias(n) for n in cells]) for j in range(DRAWS_PER_DIGEST)
+        F.struct((F.col("_blk") * DRAWS_PER_DIGEST + j).alias("rep"), F.lit(name).alias("model"),
+                 *[F.col(f"{n}{i}_{j}").alias(n) for n in cells]) for i, name in enumerate(predictions) for j in range(DRAWS_PER_DIGEST)
     ])).alias("r")).select("r.*").where(F.col("rep") < replicates)
-    return unfolded.select(F.col("rep").cast("bigint").alias("rep"),
+    return unfolded.select("model", F.col("rep").cast("bigint").alias("rep"),
                            *[F.col(c).cast("bigint").alias(c) for c in cells], *metric_columns())
 
 

@@ -75,7 +75,9 @@ def logit_inference(df: DataFrame, features: Sequence[str], label: str,
     errors, z statistics and two-sided p-values, rows with nulls dropped.
     Returns (rows, extra): rows = [(feature, coef, std_err, z, p_value)],
     extra = log-likelihoods and McFadden's pseudo R^2 against the
-    intercept-only model."""
+    intercept-only model.  Data that some direction of the features separates
+    have no finite fit: raises with the names (``operators.separation``), looked
+    for where the fit's signs say so."""
     d = df.na.drop(subset=list(features) + [label])
     data = VectorAssembler(inputCols=list(features), outputCol="features").transform(d) \
         .withColumn(LABEL, F.col(label).cast("double"))
@@ -84,9 +86,16 @@ def logit_inference(df: DataFrame, features: Sequence[str], label: str,
                                       tol=1e-10, regParam=0.0)
     data = data.select("features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)  # read once for each iteration
     try:
-        return _inference(glm, data, list(features), fit_intercept)
+        rows, extra = _inference(glm, data, list(features), fit_intercept)
     finally:
         data.unpersist()
+    if extra["doubtful"]:
+        from strata.operators.separation import find_separation
+
+        found = find_separation(d, features, label, fit_intercept)
+        if found:
+            raise ValueError(f"the logit has no finite fit: {found}")
+    return rows, extra
 
 
 def _inference(glm, data: DataFrame, features: list[str], fit_intercept: bool):
@@ -105,7 +114,9 @@ def _inference(glm, data: DataFrame, features: list[str], fit_intercept: bool):
     n, n1 = float(cnt["n"]), float(cnt["n1"])
     p = n1 / n
     ll0 = n1 * math.log(p) + (n - n1) * math.log(1 - p) if 0 < p < 1 else 0.0
-    extra = {"log_likelihood": ll, "null_log_likelihood": ll0,
+    # a coefficient that runs off stops somewhere, with an error far above that of any fit
+    doubtful = m.summary.numIterations >= 25 or any(not math.isfinite(se) or se > 10 * max(1.0, abs(c)) for _, c, se, _, _ in rows) or ll > -1e-6 * n
+    extra = {"doubtful": doubtful, "log_likelihood": ll, "null_log_likelihood": ll0,
              "pseudo_r2": (1.0 - ll / ll0) if ll0 else None, "n": int(n)}
     return rows, extra
 

@@ -101,21 +101,24 @@ def grouping_sets_mean(df: DataFrame, sets: Sequence[Sequence[str]], value: str,
             .where(whole).withColumn("grouping_set", name).drop("_gid"))
 
 
-def pivot_agg(df: DataFrame, row_key: str, col_key: str, values: Sequence | None, agg: str,
-              value: str) -> DataFrame:
-    """``groupby([row_key, col_key]).agg().unstack()``: one column per value of
-    ``col_key``; a missing cell is NULL.  Without ``values`` they are found
+def pivot_agg(df: DataFrame, row_key: str | Sequence[str], col_key: str, values: Sequence | None, agg: str,
+              value: str, exact_scale: int | None = None) -> DataFrame:
+    """``groupby([row_key, col_key]).agg().unstack()``, with one row key or
+    several: one column per value of ``col_key``; a missing cell is NULL.
+    ``exact_scale``: means as in ``grouped_mean``.  Without ``values`` they are found
     first (one job).  Where they are given, a non-null value outside them
     raises: nothing is left out of the table unseen."""
-    fn = {"mean": F.avg, "count": F.count, "sum": F.sum}[agg]
-    base = df.where(_not_null([row_key, col_key])).select(row_key, col_key, value_of(df, value).alias(value))
+    mean = F.avg if exact_scale is None else (lambda c: exact_mean(c, exact_scale))
+    fn = {"mean": mean, "count": F.count, "sum": F.sum}[agg]
+    row_keys = [row_key] if isinstance(row_key, str) else list(row_key)
+    base = df.where(_not_null([*row_keys, col_key])).select(*row_keys, col_key, value_of(df, value).alias(value))
     if values is None:
         values = sorted(r[0] for r in base.select(col_key).distinct().collect())
     else:
         text = F.concat(F.lit(f"{col_key} has a value that is not listed: "), F.col(col_key).cast("string"))
         listed = F.when(F.col(col_key).isin(list(values)), F.col(col_key))
         base = base.withColumn(col_key, listed.otherwise(F.raise_error(text).cast(dict(df.dtypes)[col_key])))
-    out = base.groupBy(row_key).pivot(col_key, list(values)).agg(fn(F.col(value)))
+    out = base.groupBy(*row_keys).pivot(col_key, list(values)).agg(fn(F.col(value)))
     if agg == "count":  # a pivot cell with no rows is NULL, as in the unstacked frame
         for v in values:
             out = out.withColumn(str(v), F.when(F.col(str(v)) != 0, F.col(str(v))))

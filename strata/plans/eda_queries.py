@@ -240,12 +240,15 @@ SELECT survived,
 FROM fc GROUP BY survived
 """)
 def q_class_survival_share(spark, sf_dir):
-    """Percentage of first-class passengers by outcome."""
-    fc = train_rows(spark, sf_dir).where(F.col("pclass") == 1).select("survived", "passenger_id")
-    total = fc.select(F.count_distinct("passenger_id")).scalar()
-    return fc.groupBy("survived").agg(
-        (F.count_distinct("passenger_id").cast("double") / total.cast("double") * 100.0)
-        .alias("pct_of_class"))
+    """Percentage of first-class passengers by outcome: a passenger has one
+    outcome, so the total is the sum of the groups' distinct counts (rows are
+    counted as distinct ids in any case)."""
+    fc = train_rows(spark, sf_dir).where(F.col("pclass") == 1)
+    # a row for each passenger: outcomes and the total come off one aggregate
+    each = fc.where(F.col("passenger_id").isNotNull()).groupBy("passenger_id").agg(F.collect_set("survived").alias("outcomes"))
+    total = each.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.array_contains("outcomes", 0)).alias("0"), F.count_if(F.array_contains("outcomes", 1)).alias("1"))
+    rows = total.select("n", F.explode(F.array(*[F.struct(F.lit(k).alias("survived"), F.col(str(k)).alias("k")) for k in (0, 1)])).alias("x"))
+    return rows.where("x.k > 0").select("x.survived", (F.col("x.k").cast("double") / F.col("n").cast("double") * 100.0).alias("pct_of_class"))
 
 
 @query("count_by_keys", TRAIN + """
@@ -484,6 +487,40 @@ def q_pivot_mean(spark, sf_dir):
     return stats.pivot_agg(train_rows(spark, sf_dir), "survived", "pclass", [1, 2, 3], "mean", "age")
 
 
+# Means unstacked: name, row keys, column key, its values, value.  Fares are summed as DECIMAL.
+SEXES, CLASSES = ("female", "male"), (1, 2, 3)
+MEAN_PIVOTS = (
+    ("pivot_mean_age_sex", ["survived"], "sex", SEXES, "age"),
+    ("pivot_mean_fare_sex", ["survived"], "sex", SEXES, "fare"),
+    ("pivot_mean_fare_sex_class", ["survived", "sex"], "pclass", CLASSES, "fare"),
+    ("pivot_rate_title_class", ["title"], "pclass", CLASSES, "survived"),
+    ("pivot_rate_family_class", ["family_size"], "pclass", CLASSES, "survived"),
+    ("pivot_rate_family_sex", ["family_size"], "sex", SEXES, "survived"),
+    ("pivot_rate_parch_sex", ["parch"], "sex", SEXES, "survived"),
+    ("pivot_rate_sibsp_sex", ["sibsp"], "sex", SEXES, "survived"),
+    ("pivot_rate_cabin_class", ["level_cabin"], "pclass", CLASSES, "survived"),
+)
+
+
+def _mean_pivot(name, rows, col, values, value):
+    cell = ("CAST(sum(CASE WHEN {c} THEN CAST(fare AS DECIMAL(18,4)) END) AS DOUBLE) / count(CASE WHEN {c} THEN fare END)"
+            if value == "fare" else "avg(CASE WHEN {c} THEN " + value + " END)")
+    literal = lambda v: f"'{v}'" if isinstance(v, str) else str(v)
+    cells = ", ".join(cell.format(c=f"{col} = {literal(v)}") + f' AS "{v}"' for v in values)
+    keys = ", ".join(rows)
+    whole = " AND ".join(f"{k} IS NOT NULL" for k in [*rows, col])
+
+    @query(name, TRAIN + f"SELECT {keys}, {cells} FROM train WHERE {whole} GROUP BY {keys}")
+    def run(spark, sf_dir):
+        return stats.pivot_agg(train_rows(spark, sf_dir), rows, col, values, "mean", value, exact_scale=4 if value == "fare" else None)
+
+    run.__doc__ = f"Mean {value}, {' x '.join(rows)} x {col} (unstacked)."
+
+
+for _pivot in MEAN_PIVOTS:
+    _mean_pivot(*_pivot)
+
+
 @query("pivot_count", TRAIN + """
 SELECT survived, """ + ", ".join(
     f'CAST(NULLIF(count(CASE WHEN sibsp = {i} THEN passenger_id END), 0) AS BIGINT) AS "{i}"'
@@ -551,6 +588,74 @@ def q_mean_fare_sets(spark, sf_dir):
                                     exact_scale=4)
 
 
+@query("box_stats_sex_fare_means", TRAIN + """
+, m AS (SELECT survived, sibsp, sex,
+               CAST(sum(CAST(fare AS DECIMAL(18,4))) AS DOUBLE) / count(fare) AS mean_fare
+        FROM train GROUP BY survived, sibsp, sex),
+q AS (SELECT sex, survived, count(*) AS n,
+             quantile_cont(mean_fare, 0.25) AS q1, quantile_cont(mean_fare, 0.5) AS median,
+             quantile_cont(mean_fare, 0.75) AS q3
+      FROM m WHERE mean_fare IS NOT NULL GROUP BY sex, survived),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+SELECT f.sex, f.survived, CAST(f.n AS BIGINT) AS n,
+       round(f.q1, 9) AS q1, round(f.median, 9) AS median, round(f.q3, 9) AS q3,
+       min(CASE WHEN m.mean_fare BETWEEN f.lo AND f.hi THEN m.mean_fare END) AS whisker_low,
+       max(CASE WHEN m.mean_fare BETWEEN f.lo AND f.hi THEN m.mean_fare END) AS whisker_high,
+       CAST(count(CASE WHEN m.mean_fare < f.lo OR m.mean_fare > f.hi THEN 1 END) AS BIGINT)
+           AS n_outliers
+FROM m JOIN f ON m.sex = f.sex AND m.survived = f.survived
+GROUP BY f.sex, f.survived, f.n, f.q1, f.median, f.q3
+""")
+def q_box_stats_sex_fare_means(spark, sf_dir):
+    """Box-plot numbers over an aggregated table: mean fare per (outcome,
+    siblings, sex), boxed by sex x outcome."""
+    means = stats.grouped_mean(train_rows(spark, sf_dir), ["survived", "sibsp", "sex"], "fare", "mean_fare", exact_scale=4)
+    return rounded(stats.box_stats(means, ["sex", "survived"], "mean_fare"), "q1", "median", "q3")
+
+
+@query("nunique_sketched", TRAIN + "SELECT title, CAST(count(DISTINCT survived) AS BIGINT) AS n_distinct FROM train WHERE title IS NOT NULL GROUP BY title")
+def q_nunique_sketched(spark, sf_dir):
+    """Distinct outcomes by title from sketches of four batches of rows, stored
+    and merged (so few distinct values are counted exactly)."""
+    from strata.operators import sketches as S
+    from strata.session import scratch_path
+
+    rows, store = train_rows(spark, sf_dir), S.SketchStore(spark, scratch_path(spark, "distinct-sketches"))
+    for b in range(4):
+        store.put(str(b), S.distinct_sketches(rows.where(F.pmod(F.col("passenger_id"), F.lit(4)) == b), ["title"], "survived"))
+    return S.distinct_estimates(S.merge_distinct(store.sketches(), ["title"]), ["title"])
+
+
+@query("box_stats_sketched")
+def q_box_stats_sketched(spark, sf_dir):
+    """Fare box-plot numbers by class x outcome x sex from merged quantile sketches."""
+    from strata.operators import sketches as S
+    from strata.session import scratch_path
+
+    keys = ["pclass", "survived", "sex"]
+    rows, store = train_rows(spark, sf_dir), S.SketchStore(spark, scratch_path(spark, "quantile-sketches"))
+    for b in range(4):
+        store.put(str(b), S.quantile_sketches(rows.where(F.pmod(F.col("passenger_id"), F.lit(4)) == b), keys, "fare"))
+    return S.sketched_box_stats(S.merge_quantiles(store.sketches(), keys), keys)
+
+
+@query("read_scoring_set_csv", TEST + """
+SELECT passenger_id, pclass, name, sex, age, sibsp, parch, fare, cabin, embarked FROM test
+""")
+def q_read_scoring_set_csv(spark, sf_dir):
+    """The unlabelled CSV: held-out rows written without the label, read back
+    by the declared-schema source, bad rows aside (there are none)."""
+    from strata.session import scratch_path
+    from strata.sources.files import PASSENGER_CSV_HEADER, PASSENGER_SCHEMA, read_scoring_set_checked
+
+    path = scratch_path(spark, "scoring-csv")
+    rows = test_rows(spark, sf_dir).withColumn("ticket", F.lit(None).cast("string"))
+    named = [(f.name, h) for f, h in zip(PASSENGER_SCHEMA.fields, PASSENGER_CSV_HEADER) if f.name != "survived"]
+    rows.select(*[F.col(c).alias(h) for c, h in named]).write.option("header", True).csv(path)
+    read, bad = read_scoring_set_checked(spark, path)
+    return read.drop("ticket").unionByName(bad.select(F.raise_error(F.col("reason")).cast("long").alias("passenger_id")), allowMissingColumns=True)
+
+
 @query("read_passengers_csv", with_(PASSENGERS_CTE) + "SELECT * FROM passengers")
 def q_read_passengers_csv(spark, sf_dir):
     """CSV round trip in the classic passenger layout (header, quoted names,

@@ -6,6 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strata.operators.dictionary import dictionary, one_hot_sparse
+from strata.operators.moments import corr_all, eliminate_redundant
 from strata.operators.features import (
     INTERACTIONS, SUBSET_11, SUBSET_17, FeaturePipeline, add_interactions, screen_redundant,
     select_by_correlation, with_known_levels,
@@ -277,6 +279,56 @@ def q_screen_redundant(spark, sf_dir):
     return rounded(screen_redundant(feats, names, REDUNDANT_R), "r")
 
 
+KEEP_R = 0.5
+ELIMINATE_SQL = TRAIN_FEATS + f", full_f AS (SELECT *, {INTERACTION_SQL} FROM feats), " + """
+lr AS (""" + " UNION ALL ".join(f"SELECT '{n}' AS f, corr({n}, survived) AS r FROM full_f" for n in _SQL_FEATURE_NAMES) + """),
+pr AS (""" + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM full_f" for i, a in enumerate(_SQL_FEATURE_NAMES)
+                                for b in _SQL_FEATURE_NAMES[i + 1:]) + f"""),
+"""
+
+
+@query("eliminate_redundant", "WITH RECURSIVE " + ELIMINATE_SQL.strip().removeprefix("WITH") + f"""
+e AS (SELECT a, b FROM pr WHERE abs(r) >= {KEEP_R} UNION ALL SELECT b, a FROM pr WHERE abs(r) >= {KEEP_R}),
+o AS (SELECT f, r, row_number() OVER (ORDER BY (r IS NULL OR isnan(r)), abs(r) DESC, f) AS i FROM lr),
+near AS (SELECT o.i, o.f, coalesce(list(e.b) FILTER (WHERE e.b IS NOT NULL), []) AS bs FROM o LEFT JOIN e ON e.a = o.f GROUP BY o.i, o.f),
+g(i, kept) AS (SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[])
+               UNION ALL SELECT near.i, CASE WHEN list_has_any(g.kept, near.bs) THEN g.kept ELSE list_append(g.kept, near.f) END
+               FROM g JOIN near ON near.i = g.i + 1),
+k AS (SELECT kept FROM g ORDER BY i DESC LIMIT 1)
+SELECT o.f AS feature, list_contains(k.kept, o.f) AS kept FROM o, k
+""")
+def q_eliminate_redundant(spark, sf_dir):
+    """Greedy choice of features, by falling |r| with the label, none of which
+    correlates with another one kept at 0.5 or more."""
+    feats, _ = train_features(spark, sf_dir)
+    names = [c for c in feats.columns if c not in ("passenger_id", "survived")]
+    return spark.createDataFrame([(f, kept) for f, _, kept, _ in eliminate_redundant(feats, names, "survived", KEEP_R)], "feature string, kept boolean")
+
+
+@query("corr_all", _feature_corr_sql())
+def q_corr_all(spark, sf_dir):
+    """All pairs of the model features with the label's rows as they are: one
+    masked block product, nulls skipped by pair."""
+    feats, _ = train_features(spark, sf_dir)
+    names = [c for c in feats.columns if c not in ("passenger_id", "survived")]
+    return rounded(corr_all(feats, names).drop("n"), "r")
+
+
+@query("one_hot_dictionary", TRAIN_FEATS + """
+, d AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS id FROM (SELECT DISTINCT name FROM train WHERE name IS NOT NULL))
+SELECT t.passenger_id, CAST(d.id AS BIGINT) AS id, CAST((SELECT count(*) FROM d) AS INTEGER) AS size
+FROM train t JOIN d ON d.name = t.name
+""")
+def q_one_hot_dictionary(spark, sf_dir):
+    """Sparse one-hot vectors of a column with very many categories (the names):
+    the place of the 1 and the vector's size."""
+    train = train_rows(spark, sf_dir)
+    words = dictionary(train, "name")
+    coded = one_hot_sparse(train.select("passenger_id", "name"), "name", words, "vec")
+    parts = F.unwrap_udt("vec")
+    return coded.select("passenger_id", parts["indices"][0].cast("long").alias("id"), parts["size"].alias("size"))
+
+
 @query("feature_corr_matrix", _feature_corr_sql())
 def q_feature_corr_matrix(spark, sf_dir):
     """Pearson matrix of the model features (upper triangle, long form): the

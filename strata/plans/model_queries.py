@@ -18,12 +18,14 @@ from pyspark.sql import types as T
 from strata.operators import evaluate as ev
 from strata.operators import models as M
 from strata.operators.bootstrap import bootstrap_logreg, cv_logreg, grid_logreg
+from strata.operators.forest import grow_forest
 from strata.operators.features import SUBSET_11, SUBSET_17, FeaturePipeline, FeatureSpec, add_interactions, present
-from strata.operators.split import check_folds, fold_column, fold_sql, train_flag
+from strata.operators.split import check_folds, exact_folds, exact_split, fold_column, fold_sql, train_flag
 from strata.plans.eda_queries import test_rows, train_rows
 from strata.plans.feature_queries import test_features, train_features
 from strata.plans.registry import query, rounded
 from strata.plans.sql import PASSENGERS_CTE, SPLIT_CTE, TEST_CTE, TRAIN_CTE, with_
+from strata.sources.tables import passengers
 
 BOOT_B = 1000
 BOOT_SEED = 7
@@ -161,9 +163,45 @@ _ranked_s, _sel_s = _interval_sql("sex_pred_boot", "sex_rule")
 @query("stack_results", BOOT_EVAL_SQL + ", " + _boot_sql("sex_pred") + ", " + _ranked + ", "
        + _ranked_s + " " + _sel + " UNION ALL " + _sel_s)
 def q_stack_results(spark, sf_dir):
-    """Interval tables of two predictors stacked (duplicates kept)."""
-    return (_intervals(spark, sf_dir, "title", "title_rule")
-            .unionByName(_intervals(spark, sf_dir, "sex", "sex_rule")))
+    """Interval tables of two predictors stacked (duplicates kept); both are
+    scored on the same draws, made once."""
+    title, sex = rule_predictions(spark, sf_dir), rule_predictions(spark, sf_dir, "sex")
+    both = title.select("passenger_id", "survived", F.col("prediction").alias("title_rule")).join(
+        sex.select("passenger_id", F.col("prediction").alias("sex_rule")), "passenger_id")
+    per_rep = ev.bootstrap_eval_many(both, "passenger_id", "survived", ["title_rule", "sex_rule"], replicates=BOOT_B, seed=BOOT_SEED)
+    scores = per_rep.select("rep", "model", F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).alias("score")) for m in ("accuracy", "f1")])).alias("m")).select("rep", "model", "m.*")
+    return ev.order_stat_interval(scores, ["model", "metric"], "score", BOOT_B)
+
+
+HISTOGRAM_SQL = BOOT_EVAL_SQL + """
+, s AS (SELECT 'accuracy' AS metric, accuracy AS score FROM title_pred_boot UNION ALL SELECT 'f1', f1 FROM title_pred_boot),
+e AS (SELECT metric, min(score) AS mn, max(score) AS mx FROM s GROUP BY metric),
+b AS (SELECT s.metric, CAST(LEAST(COALESCE(FLOOR((score - mn) / NULLIF((mx - mn) / 10.0, 0)), 0), 9) AS INTEGER) AS bin
+      FROM s JOIN e ON e.metric = s.metric WHERE score IS NOT NULL)
+SELECT metric, bin, CAST(count(*) AS BIGINT) AS n FROM b GROUP BY metric, bin
+"""
+
+
+def _score_histograms(per_rep, metrics=("accuracy", "f1")):
+    """Ten equal-width bins of each metric's replicate scores."""
+    from strata.operators.stats import histogram
+
+    return _union([histogram(per_rep.select(F.col(m).alias("score")), "score", 10).select(F.lit(m).alias("metric"), "bin", "n") for m in metrics])
+
+
+@query("bootstrap_histogram", HISTOGRAM_SQL)
+def q_bootstrap_histogram(spark, sf_dir):
+    """Histograms of bootstrap accuracy and F1 (the numbers under them); the
+    replicates are drawn once and stored."""
+    per_rep = q_bootstrap_eval(spark, sf_dir).checkpoint()
+    return _score_histograms(per_rep)
+
+
+@query("bootstrap_refit_histogram")
+def q_bootstrap_refit_histogram(spark, sf_dir):
+    """The same of refitted replicates."""
+    return _score_histograms(q_bootstrap_refit(spark, sf_dir))
 
 
 def _long_metrics_sql(pred: str, model: str) -> str:
@@ -189,20 +227,6 @@ def q_stack_metrics(spark, sf_dir):
 # ------------------------------------------------------------ Spark ML
 
 FULL = "full"
-FIT_PARALLELISM = 1  # raise on a cluster with idle cores between fits
-
-
-def _in_parallel(thunks, workers: int = FIT_PARALLELISM):
-    """Run independent model fits from a few driver threads (each fit is a
-    distributed Spark job; concurrent jobs keep the cluster busy between the
-    small stages of iterative fitting, as CrossValidator(parallelism) does)."""
-    if workers <= 1:
-        return [f() for f in thunks]
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=workers) as ex:
-        return list(ex.map(lambda f: f(), thunks))
-
-
 def _union(frames):
     out = frames[0]
     for f in frames[1:]:
@@ -249,12 +273,13 @@ def q_logreg_regularized(spark, sf_dir):
 
 @query("baseline_compare")
 def q_baseline_compare(spark, sf_dir):
-    """The three logistic baselines side by side (long rows)."""
+    """The three logistic baselines side by side (long rows); the two balanced
+    ones, which differ in C only, are fitted together."""
     feats, _ = _feats(spark, sf_dir)
-    return _union(_in_parallel([
-        lambda: _lr_metrics(feats, "log full", FULL, 1.0, False),
-        lambda: _lr_metrics(feats, "log balanced", FULL, 1.0, True),
-        lambda: _lr_metrics(feats, "log regularized", FULL, 0.4, True)]))
+    _, balanced, _ = grid_logreg(feats, _names(feats, FULL), "survived", "passenger_id", (1.0, 0.4))
+    names = F.element_at(F.array(F.lit("log balanced"), F.lit("log regularized")), F.col("rep").cast("int") + 1)
+    plain = _lr_metrics(feats, "log full", FULL, 1.0, False)
+    return plain.unionByName(balanced.select(names.alias("model"), *[c for c in plain.columns if c != "model"]))
 
 
 # The regularisation grid.
@@ -367,9 +392,9 @@ def q_select_by_pvalue_17(spark, sf_dir):
     return inf.where(F.col("p_value") < P_VALUE_CUT).select("feature", "p_value")
 
 
-def _tree_metrics(feats, name, subset, balanced):
+def _tree_metrics(feats, name, subset, balanced, depth=3):
     names = _names(feats, subset)
-    m = M.fit_tree(feats, names, "survived", depth=3, seed=43, balanced=balanced)
+    m = M.fit_tree(feats, names, "survived", depth=depth, seed=43, balanced=balanced)
     pred = M.predict(m, feats, names, ["passenger_id", "survived"])
     return ev.classification_metrics(pred, "survived").select(F.lit(name).alias("model"), "*"), \
         m, names
@@ -381,63 +406,68 @@ def q_tree_full(spark, sf_dir):
     return _tree_metrics(_feats(spark, sf_dir)[0], "tree", FULL, False)[0]
 
 
+@query("tree_depth_2")
+def q_tree_depth_2(spark, sf_dir):
+    """Depth-2 gini tree, all features; in-sample metrics."""
+    return _tree_metrics(_feats(spark, sf_dir)[0], "tree depth 2", FULL, False, 2)[0]
+
+
 @query("tree_balanced")
 def q_tree_balanced(spark, sf_dir):
     return _tree_metrics(_feats(spark, sf_dir)[0], "tree balanced", SUBSET_11, True)[0]
 
 
 FOREST_TREES = 1000
+FOREST_SIZES = tuple(range(100, 1000, 100))
 
 
-def _forest_metrics(feats, name, subset, n_trees, depth):
-    names = _names(feats, subset)
-    m = M.fit_forest(feats, names, "survived", n_trees=n_trees, depth=depth, seed=43)
-    pred = M.predict(m, feats, names, ["passenger_id", "survived"])
-    return ev.classification_metrics(pred, "survived").select(
-        F.lit(name).alias("model"), F.lit(n_trees).alias("n_trees"), F.lit(depth).alias("depth"),
-        "*"), m, names
+def _forest_metrics(feats, name, subset, sizes, depth):
+    """(metrics of each size, the forest): grown once, scored in one pass."""
+    forest = grow_forest(feats, _names(feats, subset), "survived", sizes, depth=depth, seed=43)
+    votes = forest.votes(feats, ["survived"], sizes)
+    metrics = ev.classification_metrics(votes, "survived", by=["n_trees"])
+    return metrics.select(F.lit(name).alias("model"), "n_trees", F.lit(depth).alias("depth"), *[c for c in metrics.columns if c != "n_trees"]), forest
 
 
 @query("forest_full")
 def q_forest_full(spark, sf_dir):
     """1000 trees of depth 3, all features."""
-    return _forest_metrics(_feats(spark, sf_dir)[0], "forest", FULL, FOREST_TREES, 3)[0]
+    return _forest_metrics(_feats(spark, sf_dir)[0], "forest", FULL, [FOREST_TREES], 3)[0]
 
 
 @query("forest_subset")
 def q_forest_subset(spark, sf_dir):
-    return _forest_metrics(_feats(spark, sf_dir)[0], "forest subset", SUBSET_11, FOREST_TREES,
-                           3)[0]
+    return _forest_metrics(_feats(spark, sf_dir)[0], "forest subset", SUBSET_11, [FOREST_TREES], 3)[0]
 
 
 @query("forest_size_sweep")
 def q_forest_size_sweep(spark, sf_dir):
-    """Accuracy for 100 .. 900 trees (depth 3), full and subset features."""
+    """Accuracy for 100 .. 900 trees (depth 3), full and subset features: the
+    sizes are prefixes of one forest for each feature set."""
     feats, _ = _feats(spark, sf_dir)
-    jobs = [lambda s=subset, nm=name, n=n: _forest_metrics(feats, nm, s, n, 3)[0]
-            for subset, name in ((FULL, "forest"), (SUBSET_11, "forest subset"))
-            for n in range(100, 1000, 100)]
-    return _union(_in_parallel(jobs))
+    return _union([_forest_metrics(feats, name, subset, FOREST_SIZES, 3)[0] for subset, name in ((FULL, "forest"), (SUBSET_11, "forest subset"))])
 
 
 @query("forest_depth_sweep")
 def q_forest_depth_sweep(spark, sf_dir):
     """Depth 2 .. 5 on the subset; the tree count is its own parameter."""
     feats, _ = _feats(spark, sf_dir)
-    return _union(_in_parallel([
-        lambda d=depth: _forest_metrics(feats, "forest subset", SUBSET_11, 100, d)[0]
-        for depth in range(2, 6)]))
+    return _union([_forest_metrics(feats, "forest subset", SUBSET_11, [100], depth)[0] for depth in range(2, 6)])
 
 
 @query("feature_importance")
 def q_feature_importance(spark, sf_dir):
-    """Impurity importances of the depth-3 tree and the subset forest."""
+    """Impurity importances of the four models: the depth-3 tree, the balanced
+    subset tree, and the forests of 1000 trees on all features and the subset."""
     feats, _ = _feats(spark, sf_dir)
-    _, tree, tnames = _tree_metrics(feats, "tree", FULL, False)
-    _, forest, fnames = _forest_metrics(feats, "forest subset", SUBSET_11, 100, 3)
-    return (M.feature_importance(spark, tree, tnames).select(F.lit("tree").alias("model"), "*")
-            .unionByName(M.feature_importance(spark, forest, fnames)
-                         .select(F.lit("forest subset").alias("model"), "*")))
+    found = []
+    for name, subset, balanced in (("tree", FULL, False), ("tree balanced", SUBSET_11, True)):
+        _, tree, names = _tree_metrics(feats, name, subset, balanced)
+        found += [(name, f, float(v)) for f, v in zip(names, tree.featureImportances.toArray())]
+    for name, subset in (("forest", FULL), ("forest subset", SUBSET_11)):
+        forest = grow_forest(feats, _names(feats, subset), "survived", [FOREST_TREES], seed=43)
+        found += [(name, f, float(v)) for f, v in zip(forest.features, forest.feature_importance())]
+    return spark.createDataFrame(found, "model string, feature string, importance double")
 
 
 FOLDS_SQL = with_(PASSENGERS_CTE, SPLIT_CTE, TRAIN_CTE) + f"""
@@ -512,13 +542,49 @@ def q_mean_std(spark, sf_dir):
     return _mean_std(q_cross_validate(spark, sf_dir))
 
 
+def _exact_sql(parts: str, seed: str, classes: str) -> str:
+    return with_(PASSENGERS_CTE, SPLIT_CTE, TRAIN_CTE) + f"""
+, r AS (SELECT passenger_id, survived, row_number() OVER (PARTITION BY {classes} ORDER BY substr(md5('{seed}:' || CAST(passenger_id AS VARCHAR)), 1, 12),
+               passenger_id) - 1 AS i, count(*) OVER (PARTITION BY {classes}) AS n FROM {parts})
+"""
+
+
+EXACT_FOLDS = _exact_sql("train", "42f", "survived")
+
+
+@query("stratified_folds", EXACT_FOLDS + """
+SELECT passenger_id, survived, CAST((SELECT max(f) FROM range(5) AS g(f) WHERE f * n // 5 <= i) AS INTEGER) AS fold FROM r
+""")
+def q_stratified_folds(spark, sf_dir):
+    """Five folds whose sizes differ by one row at most in each class."""
+    return exact_folds(train_rows(spark, sf_dir), "passenger_id", 5, stratify="survived").select("passenger_id", "survived", "fold")
+
+
+@query("exact_split", _exact_sql("passengers", "42", "1") + """
+SELECT passenger_id, i < n - CAST(ceil(round(n * 0.2, 9)) AS BIGINT) AS is_train FROM r
+""")
+def q_exact_split(spark, sf_dir):
+    """80 % of the rows, to the row (712 of 891)."""
+    return exact_split(passengers(spark, sf_dir), "passenger_id").select("passenger_id", "is_train")
+
+
+@query("cross_validate_stratified")
+def q_cross_validate_stratified(spark, sf_dir):
+    """The balanced logit of all features on five stratified folds of exact
+    size, the fold models fitted together, each scored on its held-out fold."""
+    feats, _ = _feats(spark, sf_dir)
+    folds = exact_folds(feats, "passenger_id", 5, stratify="survived")
+    _, per_fold, _ = cv_logreg(folds, _names(feats, FULL), "survived", "passenger_id", "fold", 5)
+    return per_fold.withColumnRenamed("rep", "fold").withColumn("fold", F.col("fold").cast("int"))
+
+
 BOOT_REFIT_B = 1000
 
 
 @query("bootstrap_refit")
 def q_bootstrap_refit(spark, sf_dir):
-    """Balanced logistic refitted on B Poisson resamples of the training
-    rows (11-feature subset), in-sample accuracy and F1 per replicate."""
+    """Balanced logistic refitted on B resamples of the training rows, n of n
+    rows with replacement (11-feature subset); accuracy and F1 on each resample."""
     feats, _ = _feats(spark, sf_dir)
     _, per_rep, _ = bootstrap_logreg(feats, _names(feats, SUBSET_11), "survived", "passenger_id",
                                      replicates=BOOT_REFIT_B, C=1.0, balanced=True)
@@ -627,6 +693,39 @@ def q_write_predictions(spark, sf_dir):
     return read_predictions(spark, path)
 
 
+@query("align_scores_full")
+def q_align_scores_full(spark, sf_dir):
+    """Id and predicted label of the scoring set side by side, by the final
+    model of all features."""
+    return q_final_fit_and_score_full(spark, sf_dir).select(F.col("passenger_id").alias("PassengerId"), F.col("prediction").alias("Survived"))
+
+
+@query("write_predictions_full")
+def q_write_predictions_full(spark, sf_dir):
+    """The prediction file of the final model of all features, read back."""
+    from strata.session import scratch_path
+    from strata.sources.files import read_predictions, write_predictions
+    path = scratch_path(spark, "predictions-full")
+    write_predictions(q_final_fit_and_score_full(spark, sf_dir), path)
+    return read_predictions(spark, path)
+
+
+FARE_GAP = 97  # every 97th row of the scored set has no fare
+
+
+@query("fill_mean_scaled_fare", with_(PASSENGERS_CTE, SPLIT_CTE, TRAIN_CTE, TEST_CTE) + f"""
+, e AS (SELECT min(fare) AS lo, max(fare) AS hi FROM train),
+s AS (SELECT passenger_id, (CASE WHEN passenger_id % {FARE_GAP} <> 0 THEN fare END - lo) / (hi - lo) AS scaled FROM test, e)
+SELECT passenger_id, round(coalesce(scaled, (SELECT avg(scaled) FROM s)), 9) AS fare FROM s
+""")
+def q_fill_mean_scaled_fare(spark, sf_dir):
+    """Held-out fares scaled as in training, missing ones filled with the mean
+    of the scored batch."""
+    _, model = train_features(spark, sf_dir)
+    gaps = test_rows(spark, sf_dir).withColumn("fare", F.when(F.col("passenger_id") % FARE_GAP != 0, F.col("fare")))
+    return rounded(replace(model, fill_from="batch").transform(gaps).select("passenger_id", "fare"), "fare")
+
+
 @query("heldout_interval_logreg")
 def q_heldout_interval_logreg(spark, sf_dir):
     """The interval table's "test results" rows: 80/90/95 % intervals of

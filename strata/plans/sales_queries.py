@@ -268,3 +268,45 @@ def q_read_sales_csv(spark, sf_dir):
     return read_sales(spark, path).select("region", "country", "customer_id",
                                           F.to_date("date").alias("date"), "delivery_type",
                                           "revenue", "cost", "cost_type", "duration")
+
+
+# every 97th order's dates are spelt another way, every 89th order's lines end early
+@query("read_sales_bad_rows", with_(SALES_CTE) + """
+, l AS (SELECT o_orderkey % 97 = 0 AS odd_date, o_orderkey % 89 = 0 AS short
+        FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
+        JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+SELECT reason, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT CASE WHEN short THEN 'not 9 fields' WHEN odd_date THEN 'date is no timestamp_ntz' ELSE 'good' END AS reason FROM l)
+GROUP BY reason
+""")
+def q_read_sales_bad_rows(spark, sf_dir):
+    """A sales CSV with dates of another format and lines that end early: good
+    rows, and bad ones by reason, as the checked reader tells them apart."""
+    from strata.session import scratch_path
+    from strata.sources.files import bad_counts, read_sales_checked
+    from strata.sources.tables import read_table
+
+    path = scratch_path(spark, "sales-bad-csv")
+    t = lambda name: read_table(spark, sf_dir, name)
+    rows = (t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey")).join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")))
+    date = F.when(F.col("o_orderkey") % 97 == 0, F.date_format("o_orderdate", "dd.MM.yyyy")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    whole = F.concat_ws(",", date, "r_name", "n_name", "o_custkey", F.lit("fast"), "l_extendedprice", "p_retailprice", F.col("l_linenumber") * 10, "l_returnflag")
+    line = F.when(F.col("o_orderkey") % 89 == 0, F.concat_ws(",", date, "r_name")).otherwise(whole)
+    header = "date,region,country,customer_id,delivery_type,revenue,cost,duration,cost_type"
+    # a file for each partition, each with the header
+    rows.select(line.alias("value")).mapInPandas(lambda frames: _headed(frames, header), "value string").write.text(path)
+    good, bad = read_sales_checked(spark, path)
+    return bad_counts(bad).unionByName(good.agg(F.count(F.lit(1)).alias("n")).select(F.lit("good").alias("reason"), "n").where("n > 0"))
+
+
+def _headed(frames, header):
+    import pandas as pd
+
+    first = True
+    for frame in frames:
+        if first:
+            yield pd.DataFrame({"value": [header]})
+            first = False
+        yield frame

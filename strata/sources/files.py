@@ -8,6 +8,7 @@ Empty CSV cells read as NULL, as pandas reads them.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SALES_SCHEMA = T.StructType([
@@ -90,5 +91,58 @@ def write_predictions(pred: DataFrame, path: str, id_col: str = "passenger_id",
      .write.mode("overwrite").option("header", True).csv(path))
 
 
+BAD_SCHEMA = "file string, line string, reason string"
+
+
+def checked_csv(spark: SparkSession, schema: T.StructType, path: str, formats: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, bad rows) of a CSV with a header, from one reader: a row that
+    does not fit the schema is no null and stops nothing, it goes to BAD_SCHEMA
+    with its line and the reasons: the number of fields, a value that is not of
+    its column's type, none where the schema wants one.  ``formats``: of dates
+    and timestamps, by column.  Columns go by the header's names."""
+    opened = spark.read.option("header", True).option("nullValue", "").option("enforceSchema", False)
+    header = opened.csv(path).columns  # reads the first line
+    missing = [f.name for f in schema.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    if len(set(header)) < len(header):
+        raise ValueError(f"{path} has two columns of the same name")
+    # all columns are read as text, so that the reader sees every field of a line and each value keeps its spelling
+    text = T.StructType([T.StructField(h, T.StringType()) for h in header] + [T.StructField("_line", T.StringType())])
+    lines = (opened.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").option("columnPruning", False).schema(text).csv(path)
+             .select(*[F.col(f"`{h}`").alias(f"t{i}") for i, h in enumerate(header)], F.col("_line").alias("line"), F.col("_metadata.file_path").alias("file")))
+    value, wrong = {}, [F.when(F.col("line").isNotNull(), F.lit(f"not {len(header)} fields"))]
+    for f in schema.fields:
+        spelt = F.col(f"t{header.index(f.name)}")
+        typed = (F.try_to_timestamp(spelt, F.lit(formats[f.name])) if formats and f.name in formats else spelt).try_cast(f.dataType)
+        value[f.name] = typed
+        wrong.append(F.when(F.col("line").isNull() & spelt.isNotNull() & typed.isNull(), F.lit(f"{f.name} is no {f.dataType.simpleString()}")))
+        if not f.nullable:
+            wrong.append(F.when(F.col("line").isNull() & spelt.isNull(), F.lit(f"{f.name} is missing")))
+    checked = lines.withColumn("reason", F.concat_ws("; ", *wrong))
+    rows = checked.where("reason = ''").select(*[v.alias(n) for n, v in value.items()])
+    spelt = F.to_csv(F.struct(*[f"t{i}" for i in range(len(header))]))
+    bad = checked.where("reason <> ''").select("file", F.coalesce("line", spelt).alias("line"), "reason")
+    return rows, bad
+
+
+def bad_counts(bad: DataFrame) -> DataFrame:
+    """How many bad rows a reason has; a row of several reasons counts for each."""
+    return bad.select(F.explode(F.split("reason", "; ")).alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def read_sales_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``read_sales`` with the bad rows aside."""
+    return checked_csv(spark, SALES_SCHEMA, path, {"date": "yyyy-MM-dd[ HH:mm:ss]"})
+
+
+def read_scoring_set_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``read_scoring_set`` with the bad rows aside."""
+    named = dict(zip([f.name for f in PASSENGER_SCHEMA.fields], PASSENGER_CSV_HEADER))
+    in_file = T.StructType([T.StructField(named[f.name], f.dataType, f.name != "passenger_id") for f in SCORING_SCHEMA.fields])
+    rows, bad = checked_csv(spark, in_file, path)
+    return rows.toDF(*SCORING_SCHEMA.names), bad
+
+
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     return _csv(spark, PREDICTION_SCHEMA, path)
