@@ -43,6 +43,26 @@ def levenshtein(a, b):
     return row[-1]
 
 
+def within(a, b, edits):
+    """Whether the edit distance is ``edits`` at most, by the diagonals that far from the main one."""
+    far = edits + 1
+    row = {j: j for j in range(edits + 1)}
+    for i, x in enumerate(a, 1):
+        new = {}
+        for j in range(max(0, i - edits), min(len(b), i + edits) + 1):
+            new[j] = min(row.get(j, far) + 1, new.get(j - 1, far) + 1, row.get(j - 1, far) + (x != b[j - 1]) if j else far)
+        row = new
+    return row.get(len(b), far) <= edits
+
+
+def test_within():
+    rng = random.Random(4)
+    for _ in range(2000):
+        a = "".join(rng.choice("ab") for _ in range(rng.randrange(12)))
+        b = edited(rng, a, rng.randrange(4)) if a else "a"
+        assert all(within(a, b, e) == (levenshtein(a, b) <= e) for e in range(5))
+
+
 def edited(rng, s, times):
     s = list(s)
     for _ in range(times):
@@ -73,8 +93,9 @@ def test_banded_distance(spark, edits):
 def brute_lines(docs, edits, least):
     is_line = lambda x: x.strip(" ") != ""
     lines = sorted({x for _, t in docs for x in (t or "").split("\n") if is_line(x)})
+    permitted = lambda n: max((e for lo, e in (((least, edits),) if isinstance(edits, int) else edits) if n >= lo), default=-1)
     find = roots(lines, [(a, b) for i, a in enumerate(lines) for b in lines[i + 1:]
-                         if min(len(a), len(b)) >= least and abs(len(a) - len(b)) <= edits and levenshtein(a, b) <= edits])
+                         if abs(len(a) - len(b)) <= (e := permitted(min(len(a), len(b)))) and within(a, b, e)])
     key = lambda i: (i is None, i or 0)
     first = {}
     for i, t in docs:
@@ -95,10 +116,13 @@ def brute_lines(docs, edits, least):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("edits", [1, 2])
-def test_lines_against_brute_force(documents, edits):
+@pytest.mark.parametrize("edits,hot", [(1, 16), (2, 16), (((20, 1), (40, 2), (90, 4)), 16), (((10, 1), (21, 3)), 1)])
+def test_lines_against_brute_force(documents, edits, hot, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT", hot)
     rng = random.Random(3)
     base = ["".join(rng.choice("abc dé") for _ in range(rng.choice([1, 5, 19, 20, 21, 22, 40, 90]))) for _ in range(20)]
+    if hot == 1:  # all keys are split down to the last characters: fewer and shorter lines
+        base = [x[:30] for x in base[:8]]
     docs = [(100, None), (101, ""), (102, "\n \n"), (103, "x\nx\nx"), (104, "y" * 30_000 + "\n" + "y" * 29_999 + "z")]
     docs += [(i, "\n".join(edited(rng, rng.choice(base), rng.choice([0, 0, 1, 1, 2, 3])) for _ in range(rng.randint(1, 6)))) for i in range(40)]
     docs += [docs[-1], (200, docs[-2][1]), (None, base[0] + "\nonly here, in the row without an id")]
@@ -107,6 +131,8 @@ def test_lines_against_brute_force(documents, edits):
     out = line_dedup.dedup_lines(frame, edits)
     assert out.columns == frame.columns
     assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == brute_lines(docs, edits, line_dedup.MIN_CHARS)
+    if edits != 1 or hot == 1:
+        return
     for r in line_dedup.dedup_report(frame, edits).collect():
         assert r["n_dropped"] == len(r["dropped_lines"]) <= r["n_lines"]
 
@@ -115,6 +141,52 @@ def test_lines_of_an_empty_table(documents):
     assert line_dedup.dedup_lines(documents([])).collect() == [] == line_dedup.dedup_report(documents([])).collect()
 
 
+@pytest.mark.parametrize("edits", [1, 3])
+def test_short_rests_below_hot_keys(documents, monkeypatch, edits):
+    """All keys are hot, down to the last characters, which differ, move and
+    are put in or left out."""
+    monkeypatch.setattr(line_dedup, "HOT", 0)
+    rng = random.Random(edits)
+    base = "abcdefghijkl"
+    lines = {base[:i] + c + base[i + k:] for i in range(0, 12, 2) for c in ("x", "yx", "", "語", "xa") for k in (0, 1, 2)} | {"".join(rng.choice("ab") for _ in range(rng.randint(8, 12))) for _ in range(25)}
+    docs = [(i, x) for i, x in enumerate(sorted(lines))]
+    out = line_dedup.dedup_lines(documents(docs), ((5, edits),))
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == brute_lines(docs, ((5, edits),), 5)
+
+
+def test_bands_are_checked():
+    for bad in (((20, 1), (21, 2)), ((20, 2), (40, 1)), ((2, 3),)):
+        with pytest.raises(ValueError):
+            line_dedup.checked_bands(bad, 20)
+    assert line_dedup.checked_bands(2, 20) == ((20, 2),)
+
+
+def test_lines_of_one_template(documents, monkeypatch):
+    """Thousands of lines that differ in eight digits, or count up: pairs in
+    proportion to the lines, not to their square; the links are those of brute force."""
+    rng, n = random.Random(7), 5000
+    seen, stored = [], Scratch.stored
+
+    def counted(self, df, name):
+        out = stored(self, df, name)
+        if name in ("pairs", "hot_pairs"):
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "stored", counted)
+    for numbers in ([f"{rng.randrange(10**8):08d}" for _ in range(n)], [f"{i:08d}" for i in range(n)]):
+        seen.clear()
+        lines = [f"2024-01-01 INFO user {x} logged in from home" for x in sorted(set(numbers))]
+        kept = line_dedup.dedup_lines(documents([(i, x) for i, x in enumerate(lines)])).where("text <> ''").count()
+        assert max(seen) < 40 * n
+        places = {}  # of equal length: within one edit if all but one digit agree
+        for x in set(numbers):
+            for k in range(8):
+                places.setdefault((k, x[:k] + x[k + 1:]), []).append(x)
+        find = roots(set(numbers), [(g[0], y) for g in places.values() for y in g[1:]])
+        assert kept == len({find(x) for x in set(numbers)})
+
+
 def test_line_dedup_runs_no_python(documents):
     plan = line_dedup.dedup_lines(documents([(1, "a\na")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
