@@ -2,7 +2,7 @@ import os
 
 from fixtures import sales_df
 from strata.operators.rollup import Periods, sales_rollup
-from strata.streaming.rollup_stream import read_rollup, start_incremental_rollup
+from strata.streaming.rollup_stream import compact_partials, read_rollup, start_incremental_rollup
 
 SPEC = Periods()
 
@@ -32,3 +32,7 @@ def test_incremental_rollup_restart_and_new_file(spark, tmpdir_path):
     second.write.parquet(f"{src}/b")  # new data arrives
     run()
     assert _rows(read_rollup(spark, parts, SPEC)) == _rows(sales_rollup(df, SPEC))
+    one = os.path.join(tmpdir_path, "compacted")
+    compact_partials(spark, parts, one)  # a row for each customer says the same
+    assert _rows(read_rollup(spark, one, SPEC)) == _rows(sales_rollup(df, SPEC))
+    assert spark.read.parquet(one).count() <= spark.read.parquet(parts).count()
