@@ -25,7 +25,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: d
     than once takes its largest label; rows with a null id or label are left
     out.  A class keeps the documents whose id's hash lies below the share
     that its bound is of its count, so the sample depends on neither order nor
-    partitions.  Its ids are bounded by ``per_class``, hence the broadcast.
+    partitions.  Its ids are bounded by ``per_class``, hence the broadcast; of
+    rows that share an id the least text is taken, so its rows are bounded too.
     """
     rows = (labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("label"))
             .where(F.col("doc_id").isNotNull() & F.col("label").isin(list(per_class)) & ~held_out())
@@ -37,7 +38,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: d
              for y, n in counts.items()]
     ids = rows.where(reduce(or_, taken)).collect() if taken else []
     picked = spark.createDataFrame([(r["doc_id"], r["label"]) for r in ids], "doc_id long, label int")
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id"), counts
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")), counts
 
 
 def sigmoid(z):

@@ -103,10 +103,12 @@ def pack_documents(docs: DataFrame, length: Column | None = None, capacities: tu
     """PACKED: one row for each piece of a document.  ``start`` is its first
     token in the document, ``bin_start`` its first place in the bin."""
     most = max(capacities)
-    tokens = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (n_words() if length is None else length).alias("n")).checkpoint()
+    # rows are dealt by a number of their own, fixed in the stored table: any number of them may share an id
+    tokens = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (n_words() if length is None else length).alias("n"),
+                         F.monotonically_increasing_id().alias("row")).checkpoint()
     cut = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / most).cast("int")))
-    pieces = (tokens.where(F.col("n") > 0).select("doc_id", "n", cut.alias("piece"))
-              .select("doc_id", "piece", F.least(F.lit(most), F.col("n") - F.col("piece").cast("long") * most).cast("int").alias("n_tokens")))
+    pieces = (tokens.where(F.col("n") > 0).select("doc_id", "row", "n", cut.alias("piece"))
+              .select("doc_id", "row", "piece", F.least(F.lit(most), F.col("n") - F.col("piece").cast("long") * most).cast("int").alias("n_tokens")))
     shards = max(1, -(-pieces.count() // SHARD))
 
     def packed(table: pa.Table) -> pa.Table:
@@ -122,7 +124,7 @@ def pack_documents(docs: DataFrame, length: Column | None = None, capacities: tu
         return pa.table([table["doc_id"], table["piece"], pa.array(start), table["n_tokens"], pa.array(bin_id),
                          pa.array(place.astype(np.int32)), pa.array(size.astype(np.int32))], names=[f.split()[0] for f in PACKED.split(", ")])
 
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("row", "piece"), F.lit(shards)))
     empty = tokens.where(F.col("n") <= 0).select(
         "doc_id", F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(0).alias("n_tokens"),
         F.lit(None).cast("long").alias("bin_id"), F.lit(None).cast("int").alias("bin_start"), F.lit(None).cast("int").alias("bin_capacity"))

@@ -139,17 +139,19 @@ def _search(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of ``vectors`` for each of
     ``queries`` (both as ``whole_vectors`` gives them)."""
+    checkpoint_dir(vectors.sparkSession)
+    # candidates are dealt by a number of their own, fixed in the stored table, queries by id and vector: many may share an id
+    vectors = vectors.withColumn("row", F.monotonically_increasing_id()).checkpoint()
     shards = max(1, -(-vectors.count() // SHARD))
     queries = queries.distinct()
     blocks = max(1, -(-queries.count() // BLOCK))
-    shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
-    block = F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).cast("int")
+    dealt = lambda n, *what: F.pmod(F.xxhash64(*what), F.lit(n)).cast("int")
+    shard, block = dealt(shards, "vec_id", "v"), dealt(blocks, "vec_id", "v", F.lit("block"))
     every = lambda n: F.sequence(F.lit(0), F.lit(n - 1))
-    candidates = vectors.select("vec_id", "v", "dim", shard.alias("shard"), F.explode(every(blocks)).alias("block"))
+    candidates = vectors.select("vec_id", "v", "dim", dealt(shards, "row").alias("shard"), F.explode(every(blocks)).alias("block"))
     asked = queries.select(*(F.col(c).alias(f"q_{c}") for c in ("vec_id", "v", "dim")), shard.alias("home"), block.alias("q_block"))
 
     first = _search(candidates, asked.select("*", F.col("home").alias("q_shard"), F.lit(None).cast("long").alias("least")), k)
-    checkpoint_dir(vectors.sparkSession)
     first = first.checkpoint()
     kth = (first.groupBy(F.col("query_id").alias("k_id"), F.col("q").alias("k_v"))
            .agg(F.min("score").alias("least"), F.count("*").alias("n")).where(F.col("n") == k))

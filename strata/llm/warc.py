@@ -36,11 +36,13 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.store import discard_folder, shuffles_removed
 from strata.session import scratch_path
 
 MIN_REVISIT = 1000
 PIECE = 1 << 20  # bytes inflated at once
-RECORDS_PER_FILE = 20_000  # of a monolithic archive; more go to a further file
+FILE_BYTES = 1 << 30  # of a monolithic archive's payloads at most (but for one larger than that); more go to a further file
+SIZES = (1 << 16, 1 << 21, 1 << 26)  # payloads up to each of these are written together
 
 CRLF = "\r\n"
 SCHEMA = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -81,10 +83,17 @@ def record_text(page_id, html, payload_bytes, payload_digest, refers_to):
 
 
 def write_monolithic(pages: DataFrame, folder: str) -> None:
-    """One record per page of ``with_types``; every part file is one gzip stream."""
+    """One record per page of ``with_types``; every part file is one gzip
+    stream.  Pages are written by classes of size, so that a bound of records
+    is one of bytes; the usual table has one class."""
     record = record_text(*map(F.col, ("page_id", "html", "payload_bytes", "payload_digest", "refers_to")))
-    (pages.select(record.alias("value")).write.option("lineSep", CRLF).option("compression", "gzip")
-     .option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder))
+    largest = pages.agg(F.max("payload_bytes")).first()[0]
+    largest = 0 if largest is None else largest
+    for low, high in zip((-1, *SIZES), (*SIZES, None)):
+        if largest > low:
+            own = pages.where(F.col("payload_bytes") > low) if high is None else pages.where((F.col("payload_bytes") > low) & (F.col("payload_bytes") <= high))
+            (own.select(record.alias("value")).write.mode("append").option("lineSep", CRLF).option("compression", "gzip")
+             .option("maxRecordsPerFile", 1 if high is None else FILE_BYTES // high).text(folder))
 
 
 def inflate(chunks: Iterator[bytes]) -> Iterator[bytes]:
@@ -221,6 +230,8 @@ def round_trip(pages: DataFrame) -> DataFrame:
     """Write the pages, normalise the archives, read them back: SCHEMA."""
     spark = pages.sparkSession
     raw, clean = scratch_path(spark, "warc-raw"), scratch_path(spark, "warc")
-    write_monolithic(with_types(pages), raw)
+    with shuffles_removed(spark):
+        write_monolithic(with_types(pages), raw)
     done = normalise(spark, raw, clean).agg(F.sum("records").alias("n")).collect()[0]["n"]
+    discard_folder(spark, raw)
     return read_archives(spark, clean) if done else spark.createDataFrame([], SCHEMA)
