@@ -19,7 +19,6 @@ columns, whatever their names, pass unread.
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -37,14 +36,39 @@ GRAMS = (3, 4)  # characters of an n-gram; words are bracketed with < and >
 PER_CLASS = {0: 1500, 1: 3000}  # bound of the sample
 DITTO = b" same"  # no word holds a space
 WORDS_KEPT = 400_000  # words a worker keeps numbers of; beyond it starts anew
+TOGETHER = 100_000  # words of the texts that are scored together, about
 THRESHOLD = 0.3
 
 
-def word_buckets(word: bytes) -> np.ndarray:
-    """Buckets of a word and of its character n-grams."""
-    text = f"<{word.decode('utf-8', 'replace')}>"
-    grams = [text[i:i + n] for n in GRAMS for i in range(len(text) - n + 1) if n < len(text)]
-    return np.array([zlib.crc32(g.encode()) % BUCKETS for g in [text, *grams]], np.int32)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _place(hashed: np.ndarray) -> np.ndarray:
+    return ((hashed ^ (hashed >> np.uint64(32))) * _MIX >> np.uint64(40)).astype(np.int64) % BUCKETS
+
+
+def word_buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the word, bucket) of the words and of their character
+    n-grams, those of all words hashed at once; by rising number."""
+    texts = [f"<{w.decode('utf-8', 'replace')}>" for w in words]
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    end = np.cumsum(size)
+    word = np.repeat(np.arange(len(texts)), size)
+    left = np.repeat(end, size) - np.arange(len(codes))  # characters to the word's end, this one included
+    # a whole word: its characters times the powers of their places, added up
+    powers = np.cumprod(np.full(int(size.max()), _MIX))
+    owner, bucket = [np.arange(len(texts))], [_place(np.add.reduceat(codes * powers[left - 1], end - size))]
+    gram = codes
+    for n in range(2, max(GRAMS) + 1):
+        gram = (gram[:-1] * _MIX ^ (gram[:-1] >> np.uint64(29))) + codes[n - 1:]
+        if n in GRAMS:
+            at = np.flatnonzero((left[:len(gram)] >= n) & (size[word[:len(gram)]] > n))
+            owner.append(word[at])
+            bucket.append(_place(gram[at] + np.uint64(n)))
+    owner, bucket = np.concatenate(owner), np.concatenate(bucket)
+    order = np.argsort(owner, kind="stable")
+    return owner[order], bucket[order].astype(np.int32)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -61,8 +85,9 @@ def document_bag(text: str | None, known: dict[bytes, np.ndarray]) -> tuple[np.n
         return np.zeros(0, np.int32), np.zeros(0, np.float32)
     if len(known) > WORDS_KEPT:
         known.clear()
-    for w in [w for w in words if w not in known]:
-        known[w] = word_buckets(w)
+    if new := [w for w in words if w not in known]:
+        owner, bucket = word_buckets(new)
+        known.update(zip(new, np.split(bucket, np.searchsorted(owner, np.arange(1, len(new))))))
     own = [known[w] for w in words]
     weight = np.concatenate([np.full(len(b), n / len(b)) for b, n in zip(own, words.values())])
     bucket, inverse = np.unique(np.concatenate(own), return_inverse=True)
@@ -75,15 +100,24 @@ class QualityModel:
     bias: float
     known: dict[bytes, float] = field(default_factory=dict)  # a worker's numbers of words
 
-    def score(self, text: str | None) -> float:
-        words, known = words_of(text), self.known
-        if not words:
-            return float(sigmoid(self.bias))
-        if len(known) > WORDS_KEPT:
-            known.clear()
-        for w in {w for w in words if w not in known}:
-            known[w] = float(self.projection[word_buckets(w)].mean(dtype=np.float64))
-        return float(sigmoid(sum(map(known.__getitem__, words)) / len(words) + self.bias))
+    def score(self, texts: list[str | None]) -> list[float]:
+        """Of whole texts; the numbers of their new words are worked out together."""
+        known, out = self.known, []
+        first = 0
+        while first < len(texts):
+            split, size = [], 0
+            while first < len(texts) and size < TOGETHER:
+                split.append(words_of(texts[first]))
+                size += len(split[-1])
+                first += 1
+            if len(known) > WORDS_KEPT:
+                known.clear()
+            if new := list({w for words in split for w in words if w not in known}):
+                owner, bucket = word_buckets(new)
+                known.update(zip(new, (np.bincount(owner, weights=self.projection[bucket]) / np.bincount(owner)).tolist()))
+            mean = [sum(map(known.__getitem__, words)) / len(words) if words else 0.0 for words in split]
+            out += sigmoid(np.array(mean) + self.bias).tolist()
+        return out
 
 
 def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, weight: np.ndarray,
@@ -146,7 +180,7 @@ def score(model: QualityModel, text: str | Column, spark) -> Column:
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = shared.value
         for texts in batches:
-            yield texts.map(own.score).astype(float)
+            yield pd.Series(own.score(texts.tolist()), dtype=float)
 
     return scored(text)
 
