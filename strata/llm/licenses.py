@@ -5,14 +5,20 @@ Texts and templates become words (runs of letters and digits, lower-cased).
 Hashes of ``K`` words in a row are winnowed: of each ``WINDOW`` neighbouring
 hashes the least is kept (the rightmost of equals), so two texts that share
 ``K + WINDOW - 1`` words in a row share a fingerprint.  A document's
-fingerprints are looked up in the index; hits whose diagonals lie within a
-band belong to one candidate place.  There the template is aligned with the
-words around: a band of diagonals, one row for each word of the template,
-gaps on either side allowed.  A place counts if the aligned words make up
-``MIN_COVERAGE`` of the template; places with fewer of the template's words
-within the band are not aligned.  Of places of one template that overlap, the
-best counts; of places of several, the one with the most words aligned less
-those missing, unless they share no more than half of the other.
+fingerprints are looked up in the index.  A template's hits are chained: place
+after place both in the template and in the text, with no more words put in
+between two of them than the template's slack; the chain with the most words,
+less a hundredth of the words put in or left out, is a candidate place.
+
+There the template is aligned in a band that follows the chain: from one hit to
+the next the words between them, and at both ends the words beyond them as far
+as the template goes.  So any number of words may be left out, and many be put
+in or changed, as long as hits stand between.  Within a piece of the band the
+longest common subsequence is taken, by bit-parallel rows.  A place counts if
+the aligned words make up ``MIN_COVERAGE`` of the template.  The hits that a
+place leaves over are chained again, so notices may follow each other.  Of places
+of several templates that overlap, the one with the most words aligned less
+those missing counts, unless they share no more than half of the other.
 
 Templates are one-line notices, the standard notices that go at the head of a
 file, and the whole texts in ``license_texts``.  AGPL and the Creative Commons
@@ -30,7 +36,7 @@ from __future__ import annotations
 
 import pkgutil
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,7 +47,7 @@ from pyspark.sql import functions as F
 
 K = 3
 WINDOW = 2
-BAND = 6  # diagonals to either side of a candidate's
+SLACK, LONG_SLACK, LONG = 6, 300, 100  # words put in between two hits, and that of templates of at least LONG words
 MIN_COVERAGE = 0.7
 WORDS_KEPT = 300_000
 
@@ -148,43 +154,51 @@ def fingerprints(words: list[str], known: _Hashes) -> tuple[np.ndarray, np.ndarr
     return gram[at], at
 
 
-def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int) -> tuple[int, int, int]:
-    """(words aligned, first, last position in text) of the longest common
-    subsequence of template and text, kept within ``band`` diagonals of
-    ``diagonal`` (position in text less position in template); of equally long
-    ones the one that ends first, then the one that begins last."""
-    width = 2 * band + 1
-    score, first = np.zeros(width, np.int64), np.full(width, -1)  # by diagonal; column i is text i + offset + column
-    last = np.full(width, -1)
-    for i, word in enumerate(template):
-        at = np.arange(width) + i + diagonal - band
-        hit = np.zeros(width, bool)
-        inside = (at >= 0) & (at < len(text))
-        hit[inside] = text[at[inside]] == word
-        # a template word left out: the same text position is one diagonal to the right in the row before
-        skip_s, skip_f, skip_l = (np.append(a[1:], d) for a, d in ((score, 0), (first, -1), (last, -1)))
-        new_s, new_f, new_l = skip_s, skip_f, skip_l
-        took = hit & (score + 1 > new_s)
-        new_s = np.where(took, score + 1, new_s)
-        new_f = np.where(took, np.where(first < 0, at, first), new_f)
-        new_l = np.where(took, at, new_l)
-        for c in range(1, width):  # a text word left out
-            if new_s[c - 1] > new_s[c]:
-                new_s[c], new_f[c], new_l[c] = new_s[c - 1], new_f[c - 1], new_l[c - 1]
-        score, first, last = new_s, new_f, new_l
-    best = int(np.lexsort((-first, last, -score))[0])
-    return int(score[best]), int(first[best]), int(last[best])
-
-
-def in_band(template: np.ndarray, text: np.ndarray, diagonal: int, band: int) -> int:
-    """The template's words that occur in the text within the band: no
-    alignment there has more."""
-    hit = np.zeros(len(template), bool)
-    for d in range(diagonal - band, diagonal + band + 1):
-        low, high = max(0, -d), min(len(template), len(text) - d)
-        if low < high:
-            hit[low:high] |= template[low:high] == text[low + d:high + d]
-    return int(np.count_nonzero(hit))
+def align(template: np.ndarray, text: Iterable[int]) -> tuple[int, int]:
+    """(words aligned, words of the text from its beginning that this takes):
+    the longest common subsequence, and the shortest such part of the text.
+    Bit i of a row is 0 where word i of the template adds to the length."""
+    places: dict[int, int] = {}
+    for i, word in enumerate(template.tolist()):
+        places[word] = places.get(word, 0) | 1 << i
+    full = (1 << len(template)) - 1
+    row, best, took = full, 0, 0
+    for k, word in enumerate(text, 1):
+        at = places.get(word)
+        if at is None:
+            continue
+        hit = row & at
+        row = ((row + hit) | (row - hit)) & full
+        n = len(template) - row.bit_count()
+        if n > best:
+            best, took = n, k
+            if n == len(template):
+                break
+    return best, took
+
+
+def chain(template: np.ndarray, text: np.ndarray, slack: int, reach: int) -> np.ndarray:
+    """Numbers of the hits (rising places in ``text``) of the best chain: both
+    places rise, and from hit to hit the text goes on by no more than ``slack``
+    words beyond the template, nor by more than ``reach`` words."""
+    score, before = np.empty(len(text)), np.full(len(text), -1)
+    first = 0
+    for i in range(len(text)):
+        while text[i] - text[first] > reach:
+            first += 1
+        t, x = template[i] - template[first:i], text[i] - text[first:i]
+        drift = x - t
+        worth = score[first:i] + np.minimum(K, np.minimum(t, x)) - np.abs(drift) / 100
+        worth[(t <= 0) | (x <= 0) | (drift > slack)] = -np.inf
+        score[i] = K
+        if len(worth):
+            k = len(worth) - 1 - int(worth[::-1].argmax())  # the nearest of equals
+            if worth[k] > K:
+                score[i], before[i] = worth[k], first + k
+    out = [int(score.argmax())]
+    while before[out[-1]] >= 0:
+        out.append(int(before[out[-1]]))
+    return np.array(out[::-1])
 
 
 @dataclass(frozen=True)
@@ -220,6 +234,51 @@ class Index:
         shared = np.where(distinct[at] == word, np.minimum(times[at], most), 0).sum()
         return shared >= MIN_COVERAGE * len(self.words[t])
 
+    def _places(self, t: int, position: np.ndarray, where: np.ndarray, each: np.ndarray) -> list[tuple]:
+        """(coverage, words aligned, first, last + 1) of the places of template
+        t; hits are places in it and in the text, whose words are ``each``."""
+        m = len(self.words[t])
+        slack = LONG_SLACK if m >= LONG else SLACK
+        order = np.lexsort((-position, where))
+        out, open_ = [], [(position[order], where[order], 0, len(each))]
+        while open_:
+            p, x, low, high = open_.pop()
+            gaps = np.flatnonzero(np.diff(x) > m + slack)
+            if len(gaps):  # no chain spans them
+                edges = [0, *(gaps + 1).tolist(), len(x)]
+                open_ += [(p[a:b], x[a:b], low, high) for a, b in zip(edges, edges[1:])]
+                continue
+            a, b = max(low, int(x[0]) - m - slack), min(high, int(x[-1]) + K + m + slack)
+            if not self._enough(t, *np.unique(each[a:b], return_counts=True)):
+                continue
+            best = chain(p, x, slack, m + slack)
+            n, a, b = self._aligned(t, p[best], x[best], each, low, high, slack)
+            left = np.ones(len(x), bool)
+            left[best] = False
+            if n >= MIN_COVERAGE * m:
+                out.append((n / m, n, a, b))
+                before, after = left & (x + K <= a), left & (x >= b)
+                open_ += [(p[k], x[k], lo, hi) for k, lo, hi in ((before, low, a), (after, b, high)) if k.any()]
+            elif left.any():
+                open_.append((p[left], x[left], low, high))
+        return out
+
+    def _aligned(self, t: int, p: np.ndarray, x: np.ndarray, each: np.ndarray, low: int, high: int, slack: int) -> tuple[int, int, int]:
+        """(words aligned, first, last + 1) along a chain, within [low, high) of the text."""
+        template, n = self.words[t], K
+        for i in range(len(p) - 1):
+            dp, dx = int(p[i + 1] - p[i]), int(x[i + 1] - x[i])
+            if min(dp, dx) <= K:
+                n += min(dp, dx)  # the hits overlap or touch
+            else:
+                n += K + align(template[p[i] + K:p[i + 1]], each[x[i] + K:x[i + 1]].tolist())[0]
+        head, tail = int(p[0]), len(template) - int(p[-1]) - K
+        beyond = lambda k: k + min(slack, k + SLACK) if k else 0
+        first, last = int(x[0]), int(x[-1]) + K
+        more, back = align(template[:head][::-1], each[max(low, first - beyond(head)):first][::-1].tolist())
+        rest, on = align(template[len(template) - tail:], each[last:min(high, last + beyond(tail))].tolist())
+        return n + more + rest, first - back, last + on
+
     def scan(self, text: str | None) -> list[tuple]:
         """(licence, coverage, words aligned, first word, last word + 1, first
         character, last character + 1) of each match, in order of place."""
@@ -231,23 +290,16 @@ class Index:
         some = np.flatnonzero(high > low)
         if not len(some):
             return []
-        hits = sorted({(int(self.template[j]), int(at[i] - self.position[j])) for i in some for j in range(low[i], high[i])})
         each = np.array([self.known[w] for w in words], np.uint64)
-        found: dict[int, list] = {}
+        of = np.concatenate([np.arange(low[i], high[i]) for i in some])
+        where = np.repeat(at[some], high[some] - low[some])
         all_words = np.unique(each, return_counts=True)
-        possible = {t for t in {t for t, _ in hits} if self._enough(t, *all_words)}
-        t_before, reach = -1, 0
-        for t, diagonal in hits:
-            if t not in possible or t == t_before and diagonal <= reach:
-                continue  # within the band of the place before
-            t_before, reach = t, diagonal + BAND
-            begin = max(0, diagonal - BAND)
-            part = each[begin:diagonal + len(self.words[t]) + BAND + 1]
-            if in_band(self.words[t], part, diagonal - begin, BAND) < MIN_COVERAGE * len(self.words[t]):
-                continue
-            n, first, last = align(self.words[t], part, diagonal - begin, BAND)
-            if n >= MIN_COVERAGE * len(self.words[t]):
-                found.setdefault(t, []).append((n / len(self.words[t]), n, first + begin, last + begin + 1))
+        found: dict[int, list] = {}
+        for t in np.unique(self.template[of]).tolist():
+            if self._enough(t, *all_words):
+                mine = self.template[of] == t
+                if places := self._places(t, self.position[of[mine]], where[mine], each):
+                    found[t] = places
         if not found:
             return []
         spans = [m.span() for m in _WORD.finditer(text)] if text.lower() == text or len(text.lower()) == len(text) else None
@@ -255,12 +307,7 @@ class Index:
         exact = spans is not None and len(spans) == len(words)
         best = []
         for t, places in found.items():
-            taken = np.zeros(len(words), bool)
-            for coverage, n, a, b in sorted(places, key=lambda p: (-p[1], p[2])):
-                if taken[a:b].any():
-                    continue
-                taken[a:b] = True
-                best.append((len(self.words[t]) - 2 * n, t, coverage, n, a, b))
+            best += [(len(self.words[t]) - 2 * n, t, coverage, n, a, b) for coverage, n, a, b in places]
         taken = np.zeros(len(words), bool)  # by any template
         for _, t, coverage, n, a, b in sorted(best):
             if 2 * np.count_nonzero(taken[a:b]) > b - a:

@@ -2,6 +2,7 @@
 licence scans against planted notices and a plain alignment."""
 
 import hashlib
+import itertools
 import random
 import struct
 
@@ -85,10 +86,28 @@ def test_alignment_is_the_longest_common_subsequence(a, b):
     for i, x in enumerate(a):
         for j, y in enumerate(b):
             table[i + 1, j + 1] = max(table[i, j + 1], table[i + 1, j], table[i, j] + (x == y))
-    n, first, last = licenses.align(np.array(a, np.uint64), np.array(b, np.uint64), 0, 20)
-    assert n == table[-1, -1]
-    if n:
-        assert a and b[first] in a and b[last] in a and last - first + 1 >= n
+    n, took = licenses.align(np.array(a, np.uint64), b)
+    assert n == table[-1, -1] and took == min(k for k in range(len(b) + 1) if table[-1, k] == n)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 20)), min_size=1, max_size=9, unique=True), st.integers(0, 8))
+def test_the_best_chain(hits, slack):
+    """Against all chains."""
+    hits = sorted(hits, key=lambda h: (h[1], -h[0]))
+    k = licenses.K
+
+    def worth(c):
+        total = k
+        for (p, x), (q, y) in zip(c, c[1:]):
+            if q <= p or y <= x or (y - x) - (q - p) > slack or y - x > 15:
+                return None
+            total += min(k, q - p, y - x) - abs((y - x) - (q - p)) / 100
+        return total
+
+    best = max(w for n in range(1, len(hits) + 1) for c in itertools.combinations(hits, n) if (w := worth(c)) is not None)
+    got = licenses.chain(np.array([h[0] for h in hits]), np.array([h[1] for h in hits]), slack, 15)
+    assert worth([hits[i] for i in got]) == pytest.approx(best)
 
 
 def test_notices_are_found_where_they_stand(documents):
