@@ -243,9 +243,9 @@ def _newton(data: DataFrame, k: int, Cs: np.ndarray, seed, balanced: bool, max_i
 
 def bootstrap_logreg(df: DataFrame, features: Sequence[str], label: str, key: str,
                      replicates: int = 1000, C: float = 1.0, balanced: bool = True,
-                     seed: int = 11, max_iter: int = 30, tol: float = 1e-9, draws: str = "exact"):
-    """B bootstrap refits, fitted together: n rows drawn with replacement for
-    each, or Poisson weights."""
+                     seed: int = 11, max_iter: int = 30, tol: float = 1e-9, draws: str = "poisson"):
+    """B bootstrap refits, fitted together: Poisson weights, or ("exact") n
+    rows drawn with replacement for each."""
     return batched_logreg(df, features, label, key, [C] * replicates, seed=seed,
                           balanced=balanced, max_iter=max_iter, tol=tol, draws=draws)
 

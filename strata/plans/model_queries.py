@@ -587,7 +587,7 @@ def q_bootstrap_refit(spark, sf_dir):
     rows with replacement (11-feature subset); accuracy and F1 on each resample."""
     feats, _ = _feats(spark, sf_dir)
     _, per_rep, _ = bootstrap_logreg(feats, _names(feats, SUBSET_11), "survived", "passenger_id",
-                                     replicates=BOOT_REFIT_B, C=1.0, balanced=True)
+                                     replicates=BOOT_REFIT_B, C=1.0, balanced=True, draws="exact")
     return per_rep
 
 
@@ -772,7 +772,7 @@ def q_bootstrap_interval_table(spark, sf_dir):
     for label, subset, C, rows in INTERVAL_MODELS:
         frame = feats_tr if rows == "train" else feats_all
         _, per_rep, _ = bootstrap_logreg(frame, _names(feats_tr, subset), "survived",
-                                         "passenger_id", replicates=BOOT_REFIT_B, C=C)
+                                         "passenger_id", replicates=BOOT_REFIT_B, C=C, draws="exact")
         scores = ev.long_scores(per_rep, ("accuracy", "f1"), label)
         tables.append(ev.order_stat_interval(scores, ["model", "metric"], "score", BOOT_REFIT_B))
     tables.append(q_heldout_interval_logreg(spark, sf_dir))

@@ -86,9 +86,9 @@ def test_refits_on_exact_draws(rows):
     """One replicate against a fit weighted by its draws; layouts agree."""
     from strata.operators import models as M
 
-    beta, per_rep, converged = bootstrap_logreg(rows, ["a", "b"], "y", "id", replicates=8, C=0.7, balanced=False, seed=5)
+    beta, per_rep, converged = bootstrap_logreg(rows, ["a", "b"], "y", "id", replicates=8, C=0.7, balanced=False, seed=5, draws="exact")
     assert converged.all()
-    again, _, _ = bootstrap_logreg(rows.repartition(13), ["a", "b"], "y", "id", replicates=8, C=0.7, balanced=False, seed=5)
+    again, _, _ = bootstrap_logreg(rows.repartition(13), ["a", "b"], "y", "id", replicates=8, C=0.7, balanced=False, seed=5, draws="exact")
     assert np.allclose(beta, again, atol=1e-7)
     cells = per_rep.toPandas()
     assert (cells[["tp", "fp", "fn", "tn"]].sum(axis=1) == 3000).all()
