@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import jaccard_join, line_dedup, packing, quality_rules, toxicity
-from strata.llm.store import stored
+from strata.llm.store import discard, stored
 from strata.llm.workers import importable
 from strata.session import checkpoint_dir
 from strata.sources.tables import read_table
@@ -58,10 +58,17 @@ STAGES = [("toxicity", drop_toxic), ("quality_rules", drop_poor), ("line_dedup",
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over the documents of ``sf_dir``.  A stage's table goes when
+    the next one is written; the last one, which the result reads, stays.
+
+    Defined cases: those of the operators, stage by stage; an empty table gives
+    no row, rows with a null or shared id pass each stage as its operator says."""
+    docs, former = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
+        if former is not None:
+            discard(former)
+        former = docs
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

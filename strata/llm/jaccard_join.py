@@ -22,11 +22,12 @@ out: another segment must then be equal.
 No pair is spelled out that components don't need.  Equal sets are one class,
 which stands for its copies.  In each segment key a leader, another one in
 each round, meets the key's members (at first the least by hash of all, so
-that the keys of a group agree on it); the links found are contracted to
-components.  Keys whose members have become one component are done.  In the
+that the keys of a group agree on it; and of the leaders that a member meets,
+only the one that most of its keys name; later, of all pairs that meet between
+two components, one); the links found are contracted to components.  Keys whose members have become one component are done.  In the
 others, every member outside the key's largest component meets all members of
 other components.  Meeting first compares sizes and folded sketches, in the
-join; what is left is verified on the whole sets.
+join, then the pairs' wide sketches; what is left is verified on the whole sets.
 
 Defined cases: null or empty texts, and those without words, have an empty
 set, link with nothing and are their own component; a text of fewer than
@@ -52,7 +53,9 @@ WORDS = 3
 SHARE = (90, 100)  # links from 90/100
 BAND = 1.5  # ratio of a band's largest to its least size
 FOLD = 4  # longs of the folded sketch
-ROUNDS = 2
+WIDE = 16  # longs of the wide one, which pairs are compared by before their sets
+ROUNDS = 3
+IDS_BROADCAST = 1 << 20  # ids (8 MB) up to which they are sent to all tasks
 WORDS_KEPT = 300_000
 
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -125,23 +128,23 @@ def segment_keys(s: np.ndarray, share=SHARE) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-def folded(s: np.ndarray) -> np.ndarray:
-    """Parity sketch of FOLD * 64 bits, the same for all sizes."""
-    bits = np.zeros(FOLD, np.uint64)
-    np.bitwise_xor.at(bits, ((s >> np.uint64(20)) % np.uint64(FOLD)).astype(np.int64), np.uint64(1) << ((s >> np.uint64(8)) & np.uint64(63)))
+def folded(s: np.ndarray, longs: int = FOLD) -> np.ndarray:
+    """Parity sketch of ``longs`` * 64 bits, the same for all sizes."""
+    bits = np.zeros(longs, np.uint64)
+    np.bitwise_xor.at(bits, ((s >> np.uint64(20)) % np.uint64(longs)).astype(np.int64), np.uint64(1) << ((s >> np.uint64(8)) & np.uint64(63)))
     return bits
 
 
 def _sketch(words, share):
-    @F.pandas_udf("n long, d1 long, d2 long, fold array<long>, keys array<long>")
+    @F.pandas_udf("n long, d1 long, d2 long, fold array<long>, wide array<long>, keys array<long>")
     def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = []
             for t in texts:
                 s = shingles(t, words)
                 d = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
-                rows.append((len(s), d[0], d[1], folded(s).view(np.int64), segment_keys(s, share).view(np.int64)))
-            yield pd.DataFrame(rows, columns=["n", "d1", "d2", "fold", "keys"])
+                rows.append((len(s), d[0], d[1], folded(s).view(np.int64), folded(s, WIDE).view(np.int64), segment_keys(s, share).view(np.int64)))
+            yield pd.DataFrame(rows, columns=["n", "d1", "d2", "fold", "wide", "keys"])
 
     return sketch
 
@@ -163,6 +166,13 @@ def _near(a: str, b: str, share):
     return (high * F.least(x, y) >= low * F.greatest(x, y)) & ((high + low) * distance <= (high - low) * (x + y))
 
 
+def _near_wide(share):
+    """The same of the wide sketches: columns na, wa, nb, wb."""
+    low, high = share
+    distance = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    return (high + low) * distance <= (high - low) * (F.col("na") + F.col("nb"))
+
+
 def _named(df: DataFrame, prefix: str, *more: str) -> DataFrame:
     names = ("id", "n", *(f"f{i}" for i in range(FOLD)), *more)
     return df.select("key", *(F.col(c).alias(prefix + c) for c in names))
@@ -177,20 +187,21 @@ def join_documents(docs: DataFrame, share=SHARE, words: int = WORDS) -> DataFram
 
 def _joined(docs: DataFrame, words: int, share, scratch: Scratch) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    sketches = scratch.stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _sketch(words, share)(text).alias("s")).select("doc_id", "s.*"), "sketches")
+    of_docs = scratch.stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _sketch(words, share)(text).alias("s")).select("doc_id", "s.*"), "keyed")
+    # what is read to the end, without the keys, which are most of it
+    sketches = scratch.stored(of_docs.select("doc_id", "n", "d1", "d2"), "sketches")
     # a class of equal sets is known by its least id
     classes = scratch.stored(sketches.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("id")), "classes")
-    own = (sketches.join(classes.where(F.col("id").isNotNull()).select("id", F.col("d1").alias("c1")),
-                         (F.col("doc_id") == F.col("id")) & (F.col("d1") == F.col("c1")))
-           .select("id", "n", *(F.col("fold")[i].alias(f"f{i}") for i in range(FOLD)), "keys"))
+    own = (of_docs.join(classes.where(F.col("id").isNotNull()).select("id", F.col("d1").alias("c1")),
+                        (F.col("doc_id") == F.col("id")) & (F.col("d1") == F.col("c1")))
+           .select("id", "n", *(F.col("fold")[i].alias(f"f{i}") for i in range(FOLD)), "wide", "keys"))
     keyed = own.where(F.size("keys") > 0).select("id", F.explode("keys").alias("key"))
     shared = scratch.stored(keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key"), "keys")
-    members = scratch.stored(keyed.join(shared, "key"), "members")  # both sides dealt anew: hot keys can be split
-    live = scratch.stored(members.select("id").distinct(), "live")
-    narrow = own.drop("keys").join(live, "id").dropDuplicates(["id"])
-    members = scratch.stored(members.join(narrow, "id"), "members")
-    sets = scratch.stored(docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text")).join(live, "id")
-                  .select("id", _whole_set("text", words).alias("s")), "sets")
+    bare = scratch.stored(keyed.join(shared, "key"), "bare")  # both sides dealt anew: hot keys can be split
+    live = scratch.stored(bare.select("id").distinct(), "live")
+    narrow = scratch.stored(own.drop("keys").join(live, "id").dropDuplicates(["id"]), "narrow")
+    members = scratch.stored(bare.join(narrow.drop("wide"), "id"), "members")
+    scratch.drop(shared, bare, of_docs, live)
 
     low, high = share
     links = tested = labels = None
@@ -202,29 +213,45 @@ def _joined(docs: DataFrame, words: int, share, scratch: Scratch) -> DataFrame:
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.stored(pairs, "pairs")
-        left = pairs.join(sets.toDF("a", "sa"), "a")
+        wide = narrow.select("id", "n", "wide")
+        near = pairs.join(wide.toDF("a", "na", "wa"), "a").join(wide.toDF("b", "nb", "wb"), "b").where(_near_wide(share))
+        near = scratch.stored(near.select("a", "b"), "near")
+        ids = scratch.stored(near.select(F.col("a").alias("want")).union(near.select("b")).distinct(), "ids")
+        few = ids.count() <= IDS_BROADCAST  # else both sides are dealt by id
+        wanted = docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text")).join(F.broadcast(ids) if few else ids, F.col("id") == F.col("want"))
+        sets = scratch.stored(wanted.select("id", _whole_set("text", words).alias("s")), "sets")
+        left = near.join(sets.toDF("a", "sa"), "a")
         both = left.join(sets.toDF("b", "sb"), "b")
         common = F.size(F.array_intersect("sa", "sb"))
         found = scratch.stored(both.where(high * common >= low * (F.size("sa") + F.size("sb") - common)).select("a", "b"), "found")
+        scratch.drop(near, ids, sets)
         links = found if links is None else links.unionByName(found)
         tested = pairs if tested is None else tested.unionByName(pairs)
 
     def labelled() -> DataFrame:
-        """Members of the keys that hold more than one component."""
-        part = members if labels is None else members.join(labels.select(F.col("id").alias("l"), "component"), F.col("id") == F.col("l"), "left").drop("l")
-        return part.withColumn("c", F.col("id") if labels is None else F.coalesce("component", "id")).select(*members.columns, "c")
+        """All members, with their component."""
+        if labels is None:
+            return members.withColumn("c", F.col("id"))
+        part = members.join(labels.select(F.col("id").alias("l"), "component"), F.col("id") == F.col("l"), "left").drop("l")
+        return part.select(*members.columns, F.coalesce("component", "id").alias("c"))
 
-    open_ = scratch.stored(labelled(), "open")
+    open_ = labelled()
     for turn in range(ROUNDS):
         lead = open_.groupBy("key").agg(F.min_by(F.struct("id", "n", *(f"f{i}" for i in range(FOLD)), "c"), F.xxhash64("id", "key") if turn else F.xxhash64("id")).alias("x"))
         lead = scratch.stored(lead.select("key", "x.*"), "leaders")
         met = _named(open_, "m_", "c").join(_named(lead, "l_", "c").withColumnRenamed("key", "k"),
                                             (F.col("key") == F.col("k")) & (F.col("m_c") != F.col("l_c")) & _near("m_", "l_", share))
+        # of the leaders that a member meets, that which most of its keys name; later, of all that meet between two components, one pair
+        ends = [F.least("m_c", "l_c").alias("c1"), F.greatest("m_c", "l_c").alias("c2")] if turn else [F.col("m_id").alias("c1")]
+        met = (met.groupBy(*ends, "m_id", "l_id").agg(F.count("*").alias("keys")).groupBy(*(["c1", "c2"] if turn else ["c1"]))
+               .agg(F.max_by(F.struct("m_id", "l_id"), F.struct("keys", "m_id", "l_id")).alias("x")).select("x.*"))
         verify(met.select(F.least("m_id", "l_id").alias("a"), F.greatest("m_id", "l_id").alias("b")))
         labels = components(links, scratch)
         all_ = labelled()
         still = scratch.stored(all_.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("key"), "still")
-        open_ = scratch.stored(all_.join(still, "key"), "open")
+        part = scratch.stored(all_.join(still, "key"), "open")
+        scratch.drop(lead, still, open_)
+        open_ = part
 
     # what is left: in each key, those outside its largest component against all others
     sizes = open_.groupBy("key", "c").agg(F.count("*").alias("members"))

@@ -67,3 +67,24 @@ def test_stages(spark):
         docs = spark.createDataFrame([after[i] for i in sorted(after)], docs.schema)
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
     assert sum(r["n_tokens"] for r in packed) == sum(len(r["text"].split()) for r in docs.collect())
+
+
+def test_run_on_odd_tables(spark, documents, tmpdir_path):
+    """No documents; null ids and texts, repeated rows, one very long text, clashing columns; no labels."""
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    words = [f"word{i}" for i in range(60)]
+    good = " ".join(words)
+    rows = [(1, good), (1, good), (2, good), (3, None), (4, ""), (None, good + " and one without an id"), (None, None), (5, "\n".join([good] * 3)),
+            (6, " ".join(f"long{i}" for i in range(20_000))), (7, " ".join(words[:-1]) + " changed")]
+    for name, table in (("none", documents([])), ("odd", documents(rows))):
+        folder = f"{tmpdir_path}/{name}"
+        table.write.parquet(f"{folder}/documents.parquet")
+        labels.write.parquet(f"{folder}/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmpdir_path}/none").collect() == []
+    got = corpus_pipeline.run(spark, f"{tmpdir_path}/odd").collect()
+    packed = {}
+    for r in got:
+        packed[r["doc_id"]] = packed.get(r["doc_id"], 0) + r["n_tokens"]
+    # empty ones fail the base rule, copies and the near copy go, the lines that repeat document 1's go from 5
+    assert packed[6] == 20_000 and packed[None] == 65 and 60 in packed.values()
+    assert set(packed) <= {1, 2, 5, 6, 7, None} and sum(n in (59, 60) for n in packed.values()) == 1
