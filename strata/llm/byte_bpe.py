@@ -27,14 +27,14 @@ import hashlib
 import itertools
 import sys
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ARCS_KEPT = 500_000  # memory of a worker: beyond these, arcs and pieces are worked out anew
+ARCS_KEPT = 800_000  # memory of a worker: beyond these, arcs and pieces are worked out anew
 PIECES_KEPT = 400_000
 NODE_BITS = 40  # of a trie node in an open position
 NODE = (1 << NODE_BITS) - 1
@@ -260,11 +260,25 @@ class Codec:
         found = self.pattern.findall(text) if len(text) < LONG_TEXT else (m[0] for m in self.pattern.finditer(text))
         return array("I", itertools.chain.from_iterable(map(self.pieces.__getitem__, found)))
 
-    def decode(self, ids: Iterable[int]) -> str:
-        try:  # the machine stays in its first state throughout
-            return "".join(map(self.plain.__getitem__, ids))
-        except TypeError:
-            return self.machine.feed(ids) + self.machine.end()
+    def decode(self, ids: Sequence[int]) -> str:
+        """Characters of the tokens.  As long as the machine is in its first
+        state, tokens of whole characters leave it there: only the others, and
+        what follows them until their characters are complete, are fed to it."""
+        found = list(map(self.plain.__getitem__, ids))
+        try:
+            return "".join(found)
+        except TypeError:  # None is no text
+            out, start, machine = [], 0, self.machine
+        while True:
+            try:
+                at = found.index(None, start)
+            except ValueError:
+                return "".join([*out, *found[start:], machine.end()])
+            out += found[start:at]
+            start = at
+            while start < len(found) and (machine.state or start == at):
+                out.append(machine.feed(ids[start:start + 1]))
+                start += 1
 
 
 class _Pieces(dict):
