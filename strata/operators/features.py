@@ -328,9 +328,11 @@ def present(feats: DataFrame, names) -> tuple[list[str], list[str]]:
 
 def screen_redundant(feats: DataFrame, names, max_abs_r: float) -> DataFrame:
     """Pairs of features (col_a, col_b, r) whose correlation with each other
-    reaches ``max_abs_r``: one of each says little beside the other."""
-    c = stats.corr_pairs(feats, list(names))
-    return c.where(F.abs(F.col("r")) >= F.lit(max_abs_r))
+    reaches ``max_abs_r``: one of each says little beside the other.  All pairs
+    come from one pass of block products."""
+    from strata.operators.moments import corr_all
+
+    return corr_all(feats, list(names)).drop("n").where(F.abs(F.col("r")) >= F.lit(max_abs_r))
 
 
 def select_by_correlation(feats: DataFrame, names, label: str, min_abs_r: float) -> DataFrame:

@@ -17,6 +17,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -34,29 +35,32 @@ def pair_moments(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, np.nda
     j, all of value minus origin.  NULL and NaN are missing; an infinity raises."""
     cols, k = list(cols), len(cols)
     names = [f"c{i}" for i in range(k)]
-    rows = df.select(*[value_of(df, c).cast("double").alias(n) for c, n in zip(cols, names)])
-    means = rows.agg(*[F.avg(n).alias(n) for n in names]).first() if k else []
-    origin = np.array([m if m is not None else 0.0 for m in means])
-    if not np.isfinite(origin).all():
-        raise ValueError(f"infinite values in {', '.join(c for c, o in zip(cols, origin) if not np.isfinite(o))}")
-
-    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = np.zeros((4, k, k))
-        for batch in batches:
-            for a in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(a, BLOCK)
-                x = np.column_stack([part[n].to_numpy(zero_copy_only=False) for n in names]) - origin
-                m = ~np.isnan(x)
-                x[~m] = 0.0
-                m = m.astype(np.float64)
-                state += [m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x]
-        yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array(list(state.transpose(1, 0, 2).reshape(k, 4 * k)), pa.list_(pa.float64()))], names=["i", "v"])
-
-    parts = rows.coalesce(partial_tasks(df)).mapInArrow(multiply, "i int, v array<double>")
-    summed = parts.select("i", array_to_vector("v").alias("v")).groupBy("i").agg(Summarizer.sum(F.col("v")).alias("v"))
-    state = np.zeros((k, 4, k))
-    for r in summed.select("i", vector_to_array("v").alias("v")).collect():  # k rows
-        state[r["i"]] = np.reshape(r["v"], (4, k))
+    rows = df.select(*[value_of(df, c).cast("double").alias(n) for c, n in zip(cols, names)]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:  # stored by the means, partition by partition: a task that streams several then only reads them
+        means = rows.agg(*[F.avg(n).alias(n) for n in names]).first() if k else []
+        origin = np.array([m if m is not None else 0.0 for m in means])
+        if not np.isfinite(origin).all():
+            raise ValueError(f"infinite values in {', '.join(c for c, o in zip(cols, origin) if not np.isfinite(o))}")
+
+        def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            state = np.zeros((4, k, k))
+            for batch in batches:
+                for a in range(0, batch.num_rows, BLOCK):
+                    part = batch.slice(a, BLOCK)
+                    x = np.column_stack([part[n].to_numpy(zero_copy_only=False) for n in names]) - origin
+                    m = ~np.isnan(x)
+                    x[~m] = 0.0
+                    m = m.astype(np.float64)
+                    state += [m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x]
+            yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array(list(state.transpose(1, 0, 2).reshape(k, 4 * k)), pa.list_(pa.float64()))], names=["i", "v"])
+
+        parts = rows.coalesce(partial_tasks(df)).mapInArrow(multiply, "i int, v array<double>")
+        summed = parts.select("i", array_to_vector("v").alias("v")).groupBy("i").agg(Summarizer.sum(F.col("v")).alias("v"))
+        state = np.zeros((k, 4, k))
+        for r in summed.select("i", vector_to_array("v").alias("v")).collect():  # k rows
+            state[r["i"]] = np.reshape(r["v"], (4, k))
+    finally:
+        rows.unpersist()
     return (*state.transpose(1, 0, 2), origin)
 
 

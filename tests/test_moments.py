@@ -73,3 +73,27 @@ def test_elimination(spark):
     assert [r[0] for r in eliminate_redundant(df, list(x), "y", 2.0) if not r[2]] == []
     twins = df.select("y", F.col("a").alias("z"), "a")
     assert [(r[0], r[2]) for r in eliminate_redundant(twins, ["z", "a"], "y", 0.99)] == [("a", True), ("z", False)]  # ties by name
+
+
+def test_screen_is_one_pass_of_products(spark):
+    """The screen's pairs come from the block products, not from three
+    aggregates a pair, and are numpy's."""
+    from strata.operators.features import screen_redundant
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(500, 3)) @ rng.normal(size=(3, 12))
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], ", ".join(f"f{i} double" for i in range(12)))
+    found = screen_redundant(df, df.columns, 0.6)
+    assert found.columns == ["col_a", "col_b", "r"] and "stddev_pop" not in found._jdf.queryExecution().toString()
+    want = np.corrcoef(x.T)
+    got = {(r["col_a"], r["col_b"]): r["r"] for r in found.collect()}
+    assert got == {(f"f{i}", f"f{j}"): pytest.approx(want[i, j], abs=1e-9) for i in range(12) for j in range(i + 1, 12) if abs(want[i, j]) >= 0.6}
+
+
+def test_rows_are_stored_before_tasks_stream_partitions(spark, holes, monkeypatch):
+    """The tasks that stream several partitions read stored rows: what computes
+    the rows (a join, sorts) runs in tasks of one partition each."""
+    seen, real = [], type(holes).coalesce
+    monkeypatch.setattr(type(holes), "coalesce", lambda self, n: seen.append(self._jdf.queryExecution().executedPlan().toString()) or real(self, n))
+    pair_moments(holes.join(holes.select("a").distinct(), "a"), ["a", "b"])
+    assert len(seen) == 1 and "InMemoryTableScan" in seen[0].split("InMemoryRelation")[0]
