@@ -124,12 +124,14 @@ def batched_logreg(df: DataFrame, features: Sequence[str], label: str, key: str,
     if draws not in ("exact", "poisson"):
         raise ValueError(f"draws {draws!r}")
     exact = seed is not None and draws == "exact"
-    data = drawn_blocks(df, label, features, len(Cs), seed) if exact else _frame(df, key, label, features, fold_col)
-    data = data.coalesce(partial_tasks(df)).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = drawn_blocks(df, label, features, len(Cs), seed) if exact else _frame(df, key, label, features, fold_col)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        rows.count()  # stored partition by partition: a task that streams several then holds no join or sort of theirs
+        data = rows.coalesce(partial_tasks(df))
         beta, cells, converged = _newton(data, k, Cs, seed, balanced, max_iter, tol, fold_col, exact, intercept, partial_tasks(df))
     finally:
-        data.unpersist()
+        rows.unpersist()
     from strata.operators.evaluate import metric_columns
     rows = [(r, *map(int, cells[r]), bool(converged[r])) for r in range(len(Cs))]
     out = df.sparkSession.createDataFrame(rows, "rep long, tp long, fp long, fn long, tn long, converged boolean")
