@@ -22,6 +22,11 @@ fitted together by Newton's method (IRLS): each pass is ONE Spark job.
   systems of size k+1.  Nothing row-sized reaches it.
 * A step after which a model's loss has risen is halved; a model is done when
   its step is small, and says so in ``converged``.
+* Replicates of exact draws lie near the fit of all rows.  One pass sums, for each
+  replicate, the derivatives of its loss at that fit (the third ones too where
+  features are few); the driver solves from these, and passes that sum true
+  gradients only correct the rest until steps are below ``tol`` (``_near``).  What
+  does not shrink fast, as on few rows, goes on by Newton passes from there.
 
 Objective per replicate (the C form): 0.5 ||b||^2 + C sum_i w_ri c_ri L_i,
 intercept unpenalised; c_ri is the balanced class weight computed on the
@@ -40,7 +45,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.resample import drawn_blocks, row_weights
+from strata.operators.resample import drawn_blocks, leaf_weights, row_weights
 
 BLOCK = 2048  # rows of a block: bounds the memory of its weights and products
 
@@ -128,8 +133,14 @@ def batched_logreg(df: DataFrame, features: Sequence[str], label: str, key: str,
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows.count()  # stored partition by partition: a task that streams several then holds no join or sort of theirs
-        data = rows.coalesce(partial_tasks(df))
-        beta, cells, converged = _newton(data, k, Cs, seed, balanced, max_iter, tol, fold_col, exact, intercept, partial_tasks(df))
+        tasks = partial_tasks(df)
+        data = rows.coalesce(tasks)
+        beta = cells = None
+        if exact:
+            pivot = _newton(data, k, Cs[:1], None, balanced, max_iter, tol, None, True, intercept, tasks)[0][0]
+            beta, cells, converged = _near(data, k, Cs, seed, balanced, max_iter, tol, intercept, tasks, pivot)
+        if cells is None:
+            beta, cells, converged = _newton(data, k, Cs, seed, balanced, max_iter, tol, fold_col, exact, intercept, tasks, beta)
     finally:
         rows.unpersist()
     from strata.operators.evaluate import metric_columns
@@ -138,17 +149,136 @@ def batched_logreg(df: DataFrame, features: Sequence[str], label: str, key: str,
     return beta, out.select("rep", "tp", "fp", "fn", "tn", *metric_columns(), "converged"), converged
 
 
-def _drawn(frames, k: int, seed: int):
-    """(X without the intercept, y, W) of BLOCK rows at most, from drawn blocks."""
+def _drawn(frames, k: int, seed: int | None):
+    """(X without the intercept, y, W) of BLOCK rows at most, from drawn blocks;
+    without a seed one model of all rows."""
     for frame in frames:
         for leaf, y, x, m, drawn in zip(frame["leaf"], frame["y"], frame["x"], frame["m"], frame["draws"]):
-            y, x, W = np.asarray(y), np.asarray(x).reshape(-1, k), row_weights(leaf, drawn, m, seed)
+            y, x = np.asarray(y), np.asarray(x).reshape(-1, k)
+            W = row_weights(leaf, drawn, m, seed) if seed is not None else np.asarray(m, float)[:, None]
             for i in range(0, len(y), BLOCK):
                 yield x[i:i + BLOCK], y[i:i + BLOCK], W[i:i + BLOCK]
 
 
-def _newton(data: DataFrame, k: int, Cs: np.ndarray, seed, balanced: bool, max_iter: int, tol: float, fold_col, exact: bool, intercept: bool, tasks: int):
-    """(coefficients, confusion cells, converged) of the models."""
+def _drawn_classes(frames, k: int, seed: int, intercept: bool):
+    """(class, X, W of replicates x rows) of BLOCK rows at most of one class."""
+    for frame in frames:
+        for leaf, y, x, m, drawn in zip(frame["leaf"], frame["y"], frame["x"], frame["m"], frame["draws"]):
+            y, x = np.asarray(y), np.asarray(x).reshape(-1, k)
+            X, W = np.column_stack([np.full(len(y), float(intercept)), x]), leaf_weights(leaf, drawn, m, seed)
+            first = int((y != 1.0).sum())  # the rows of a leaf are in the order of their labels
+            for c, lo, hi in ((0, 0, first), (1, first, len(y))):
+                for i in range(lo, hi, BLOCK):
+                    j = min(hi, i + BLOCK)
+                    yield c, X[i:j], W[:, i:j].astype(np.float64)
+
+
+def _class_weights(nc: np.ndarray, balanced: bool) -> np.ndarray:
+    """models x 2 from the models' weighted class sizes."""
+    if not balanced:
+        return np.ones(nc.shape)
+    with np.errstate(divide="ignore"):
+        return np.where(nc > 0, nc.sum(axis=1, keepdims=True) / (2.0 * nc), 0.0)
+
+
+CUBIC = 18  # columns, the intercept's too, up to which third derivatives are summed
+
+
+def _near(data: DataFrame, k: int, Cs: np.ndarray, seed: int, balanced: bool, max_iter: int, tol: float, intercept: bool, tasks: int, pivot: np.ndarray):
+    """(coefficients, confusion cells, converged) of replicates of exact draws,
+    from the derivatives of their losses at ``pivot``, corrected by true
+    gradients; no cells and the coefficients so far, if any, where steps do not
+    shrink fast."""
+    k1, B = k + 1, len(Cs)
+    two = np.triu_indices(k1)
+    three = np.array([(a, b, c) for a in range(k1) for b in range(a, k1) for c in range(b, k1)]).T if k1 <= CUBIC else None
+    ends = np.cumsum([1, k1, len(two[0]), 0 if three is None else three.shape[1]])
+    width, schema = int(ends[-1]), "rep long, vals array<double>"
+
+    def derivatives(it):
+        sums = np.zeros((B, 2, width))
+        for c, X, W in _drawn_classes(it, k, seed, intercept):
+            p = 1.0 / (1.0 + np.exp(-(X @ pivot)))
+            s = p * (1.0 - p)
+            pairs = X[:, two[0]] * X[:, two[1]]
+            parts = [np.ones((len(X), 1)), X * (c - p)[:, None], pairs * s[:, None]]
+            if three is not None:
+                parts.append(X[:, three[0]] * X[:, three[1]] * X[:, three[2]] * (s * (1.0 - 2.0 * p))[:, None])
+            sums[:, c] += W @ np.hstack(parts)
+        yield pd.DataFrame({"rep": np.arange(B), "vals": list(sums.reshape(B, -1))})
+
+    sums = _reduce(data.mapInPandas(derivatives, schema), B, 2 * width, tasks).reshape(B, 2, width)
+    nc = sums[:, :, 0]
+    if (nc == 0).any():  # a replicate of one class
+        return None, None, None
+    cw = _class_weights(nc, balanced)
+    total = np.einsum("bc,bcw->bw", cw, sums)
+    grad, H = total[:, 1:ends[1]], np.zeros((B, k1, k1))
+    H[:, two[0], two[1]] = H[:, two[1], two[0]] = total[:, ends[1]:ends[2]]
+    T = None
+    if three is not None:
+        T = np.zeros((B, k1, k1, k1))
+        for a, b, c in ((0, 1, 2), (0, 2, 1), (1, 0, 2), (1, 2, 0), (2, 0, 1), (2, 1, 0)):
+            T[:, three[a], three[b], three[c]] = total[:, ends[2]:]
+    penalty = np.eye(k1)
+    penalty[0, 0] = 0.0 if intercept else 1.0  # without an intercept its column is 0
+    C = Cs[:, None, None]
+
+    def solve(J, g):
+        return np.linalg.solve(J, g[:, :, None])[:, :, 0]
+
+    delta = np.zeros((B, k1))
+    J = C * H + penalty
+    try:
+        for _ in range(max_iter):  # Newton's method on the expansion
+            Td = np.zeros_like(H) if T is None else np.einsum("bijk,bk->bij", T, delta)
+            J = C * (H + Td) + penalty
+            g = Cs[:, None] * (grad - np.einsum("bij,bj->bi", H + 0.5 * Td, delta)) - (pivot + delta) @ penalty
+            step = solve(J, g)
+            delta = delta + step
+            if not np.isfinite(delta).all() or np.abs(step).max() < tol / 10:
+                break
+    except np.linalg.LinAlgError:
+        return None, None, None
+    if not np.isfinite(delta).all():
+        return None, None, None
+    beta, last = pivot + delta, np.inf
+    for _ in range(max_iter):
+        now, reach = beta.copy(), np.abs(beta - pivot).max(axis=0) + 1e-9
+
+        def gradients(it, now=now, reach=reach):
+            out = np.zeros((B, k1 + 2))
+            for c, X, W in _drawn_classes(it, k, seed, intercept):
+                z, z0 = now @ X.T, X @ pivot
+                sure = np.abs(z0) > np.abs(X) @ reach  # every replicate decides as the fit of all rows
+                out[:, k1 + c] += W @ (sure & (z0 > 0)).astype(np.float64)
+                rest = np.flatnonzero(~sure)
+                out[:, k1 + c] += np.einsum("br,br->b", W[:, rest], (z[:, rest] > 0).astype(np.float64))
+                np.negative(z, out=z)
+                np.exp(z, out=z)
+                z += 1.0
+                np.reciprocal(z, out=z)
+                np.subtract(float(c), z, out=z)
+                z *= W
+                out[:, :k1] += cw[:, c:c + 1] * (z @ X)
+            yield pd.DataFrame({"rep": np.arange(B), "vals": list(out)})
+
+        red = _reduce(data.mapInPandas(gradients, schema), B, k1 + 2, tasks)
+        step = solve(J, Cs[:, None] * red[:, :k1] - beta @ penalty)
+        size = np.abs(step).max(axis=1)
+        if not np.isfinite(size).all():
+            return None, None, None
+        if size.max() < tol:
+            fp, tp = np.rint(red[:, k1]), np.rint(red[:, k1 + 1])
+            return beta, np.column_stack([tp, fp, nc[:, 1] - tp, nc[:, 0] - fp]), size < tol
+        if size.max() > last / 4:
+            break
+        beta, last = beta + step, size.max()
+    return beta, None, None
+
+
+def _newton(data: DataFrame, k: int, Cs: np.ndarray, seed, balanced: bool, max_iter: int, tol: float, fold_col, exact: bool, intercept: bool, tasks: int, start: np.ndarray | None = None):
+    """(coefficients, confusion cells, converged) of the models, from ``start`` or 0."""
     k1 = k + 1
     iu = np.triu_indices(k1)
     B = len(Cs)
@@ -182,14 +312,9 @@ def _newton(data: DataFrame, k: int, Cs: np.ndarray, seed, balanced: bool, max_i
 
     schema = "rep long, vals array<double>"
     nc = _reduce(data.mapInPandas(class_counts, schema), B, 2, tasks)
-    if balanced:
-        nr = nc.sum(axis=1, keepdims=True)
-        with np.errstate(divide="ignore"):
-            cw = np.where(nc > 0, nr / (2.0 * nc), 0.0)
-    else:
-        cw = np.ones((B, 2))
-
-    beta = np.zeros((B, k1))
+    cw = _class_weights(nc, balanced)
+
+    beta = np.zeros((B, k1)) if start is None else start
     penalty = np.eye(k1)
     penalty[0, 0] = 0.0
     converged = np.zeros(B, dtype=bool)

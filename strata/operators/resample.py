@@ -22,6 +22,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,10 +39,14 @@ def leaf_bits(distinct_rows: int, leaf: int = LEAF) -> int:
 
 def row_blocks(df: DataFrame, label: str, features: Sequence[str], leaf: int = LEAF) -> tuple[DataFrame, int]:
     """(BLOCKS, bits): the distinct rows of each leaf in a fixed order, ``x``
-    row after row, ``m`` how often each stands in ``df``."""
+    row after row, ``m`` how often each stands in ``df``.  They are stored in the
+    shared checkpoint folder; the distinct rows are found once."""
+    from strata.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
     cols = [F.col(label).cast("double").alias("_y"), *[F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)]]
     names = ["_y", *[f"_x{i}" for i in range(len(features))]]
-    distinct = df.select(*cols).groupBy(*names).agg(F.count(F.lit(1)).alias("_m"))
+    distinct = df.select(*cols).groupBy(*names).agg(F.count(F.lit(1)).alias("_m")).persist(StorageLevel.MEMORY_AND_DISK)
     bits = leaf_bits(distinct.count(), leaf)
     line = F.shiftrightunsigned(F.xxhash64(*names), 64 - bits) if bits else F.lit(0).cast("long")
 
@@ -52,14 +57,16 @@ def row_blocks(df: DataFrame, label: str, features: Sequence[str], leaf: int = L
         return pa.table([pa.array([table["leaf"][0].as_py()], pa.int64()), pa.array([table.num_rows], pa.int32()), one(table["_y"].to_numpy(), pa.float64()),
                          one(x.ravel(), pa.float64()), one(table["_m"].to_numpy(), pa.int64())], names=[f.split()[0] for f in BLOCKS.split(", ")])
 
-    return distinct.select(line.alias("leaf"), *names, "_m").groupBy("leaf").applyInArrow(block, BLOCKS), bits
+    blocks = distinct.select(line.alias("leaf"), *names, "_m").groupBy("leaf").applyInArrow(block, BLOCKS).checkpoint()
+    distinct.unpersist()
+    return blocks, bits
 
 
 def leaf_draws(blocks: DataFrame, bits: int, replicates: int, seed: int, draws: int | None = None) -> DataFrame:
     """(leaf, draws array<long>): how many of each replicate's draws fall to
     each leaf of ``blocks``.  ``draws``: of a replicate, as many as rows if not said."""
     spark = blocks.sparkSession
-    sizes = blocks.select(F.col("leaf").alias("node"), F.aggregate("m", F.lit(0).cast("long"), lambda a, m: a + m).alias("size"))
+    sizes = blocks.select(F.col("leaf").alias("node"), F.aggregate("m", F.lit(0).cast("long"), lambda a, m: a + m).alias("size")).checkpoint()  # a number a leaf: each level reads these, not the rows
     n = int(sizes.agg(F.sum("size")).first()[0] or 0)
     node = spark.createDataFrame([(0, [n if draws is None else draws] * replicates)], "node long, draws array<long>")
     upto = 0
@@ -83,19 +90,19 @@ def leaf_draws(blocks: DataFrame, bits: int, replicates: int, seed: int, draws:
     return node.withColumnRenamed("node", "leaf")
 
 
+def leaf_weights(leaf: int, draws, m, seed: int) -> np.ndarray:
+    """replicates x rows: a leaf's draws split over its rows."""
+    m = np.asarray(m, float)
+    return np.random.default_rng([seed, 1 << 32, int(leaf)]).multinomial(np.asarray(draws, np.int64), m / m.sum())
+
+
 def row_weights(leaf: int, draws, m, seed: int) -> np.ndarray:
     """rows x replicates: a leaf's draws split over its rows."""
-    m = np.asarray(m, float)
-    return np.random.default_rng([seed, 1 << 32, int(leaf)]).multinomial(np.asarray(draws, np.int64), m / m.sum()).T.astype(np.float64)
+    return leaf_weights(leaf, draws, m, seed).T.astype(np.float64)
 
 
 def drawn_blocks(df: DataFrame, label: str, features: Sequence[str], replicates: int, seed: int, leaf: int = LEAF) -> DataFrame:
-    """BLOCKS and ``draws`` of each leaf.  The rows are stored once, in the
-    shared checkpoint folder: their leaves feed two branches."""
-    from strata.session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
+    """BLOCKS and ``draws`` of each leaf."""
     blocks, bits = row_blocks(df, label, features, leaf)
-    blocks = blocks.checkpoint()
     drawn = leaf_draws(blocks, bits, replicates, seed).withColumnRenamed("leaf", "_leaf")
     return blocks.join(drawn, F.col("leaf") == F.col("_leaf")).drop("_leaf")
