@@ -28,6 +28,14 @@ from strata.operators.models import LABEL, WEIGHT, prepare
 
 CHUNK = 100  # trees of a fit at most
 JOBS = 2  # fits at once
+MANY_ROWS = 4_000_000  # rows from which on one fit fills the cores and the memory
+PART_ROWS = 250_000  # rows of a partition at most, about
+
+
+def partitions(rows: int, cores: int) -> int:
+    """Partitions that a fit's rows are dealt to: two for each core, more where
+    those would be large.  What a scan gives may be one for each file."""
+    return max(2 * cores, -(-rows // PART_ROWS))
 
 
 def chunk_seed(seed: int, first_tree: int) -> int:
@@ -106,8 +114,10 @@ class ChunkedForest:
 def grow_forest(df: DataFrame, features: Sequence[str], label: str, sizes: Sequence[int], depth: int = 3, seed: int = 43,
                 balanced: bool = False, max_bins: int = 256, chunk: int = CHUNK, jobs: int = JOBS) -> ChunkedForest:
     """The forest of max(sizes) trees whose chunks end at each of ``sizes``."""
-    data, _ = prepare(df, features, label, balanced)
-    data = data.select("features", LABEL, WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)  # read by every chunk
+    data, n_rows = prepare(df, features, label, balanced)
+    data = data.select("features", LABEL, WEIGHT).repartition(partitions(int(n_rows), df.sparkSession.sparkContext.defaultParallelism))
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)  # read by every chunk
+    jobs = 1 if n_rows >= MANY_ROWS else jobs  # a fit holds a weight for each row and tree of its chunk
     trees = chunk_sizes(sizes, chunk)
     firsts = [sum(trees[:i]) for i in range(len(trees))]
 

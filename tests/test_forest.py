@@ -66,3 +66,14 @@ def test_clashing_names(rows):
     forest = grow_forest(frame.withColumnRenamed("features", "x0").withColumnRenamed("label", "x1"), ["x0", "x1", "c", "d"], "y", [3])
     out = forest.predict(frame.withColumnsRenamed({"features": "x0", "label": "x1", "prediction": "key"}), ["key", "y"])
     assert out.columns == ["key", "y", "prediction", "p1"] and out.count() == 600
+
+
+def test_rows_are_dealt_over_the_cores(spark, rows, monkeypatch):
+    """A scan of one partition would grow its trees on one core."""
+    from strata.operators import forest as f
+
+    assert f.partitions(10, 4) == 8 and f.partitions(10**8, 4) == 400
+    seen, fit = [], f.RandomForestClassifier.fit
+    monkeypatch.setattr(f.RandomForestClassifier, "fit", lambda self, d: seen.append(d.rdd.getNumPartitions()) or fit(self, d))
+    grow_forest(rows.coalesce(1), NAMES, "y", [4], chunk=2)
+    assert seen == [2 * spark.sparkContext.defaultParallelism] * 2
