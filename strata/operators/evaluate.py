@@ -95,10 +95,13 @@ DRAWS_PER_DIGEST = 4  # one md5 digest (32 hex) gives four 8-hex draws
 
 
 def _weight_from_hex(h: Column, width: int = 8) -> Column:
-    w = F.lit(0)
-    for t in poisson_thresholds(width):
-        w = w + (h >= F.lit(t)).cast("int")
-    return w
+    """The first threshold above the draw decides: for most draws one or two
+    comparisons."""
+    first, *more = enumerate(poisson_thresholds(width))
+    w = F.when(h < F.lit(first[1]), F.lit(first[0]))
+    for k, t in more:
+        w = w.when(h < F.lit(t), F.lit(k))
+    return w.otherwise(F.lit(len(more) + 1))
 
 
 def poisson_weight(seed, rep: Column, key: Column, width: int = 8) -> Column:
@@ -139,10 +142,12 @@ def bootstrap_eval_many(pred: DataFrame, key: str, label: str, predictions: list
     n_blocks = -(-replicates // DRAWS_PER_DIGEST)
     x = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("_blk"))
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_blk").cast("string"), F.col("_k").cast("string")))
-    # the four weights are projected once; the aggregate only reads columns
-    x = x.withColumn("_d", digest).select(
-        "_blk", "_y", *[f"_p{i}" for i in models], *[_weight_from_hex(F.substring(F.col("_d"), j * 8 + 1, 8))
-                                                     .cast("bigint").alias(f"_w{j}") for j in range(DRAWS_PER_DIGEST)])
+    # draws and weights are projected once; the aggregate over the rows only adds the four weights of each
+    # (block, label, predictions), the cells are put together from those few groups
+    models_p = [f"_p{i}" for i in models]
+    x = x.withColumn("_d", digest).select("_blk", "_y", *models_p, *[F.substring(F.col("_d"), j * 8 + 1, 8).alias(f"_h{j}") for j in range(DRAWS_PER_DIGEST)])
+    x = x.select("_blk", "_y", *models_p, *[_weight_from_hex(F.col(f"_h{j}")).cast("bigint").alias(f"_w{j}") for j in range(DRAWS_PER_DIGEST)])
+    x = x.groupBy("_blk", "_y", *models_p).agg(*[F.sum(f"_w{j}").alias(f"_w{j}") for j in range(DRAWS_PER_DIGEST)])
     aggs = []
     for i in models:
         y, p = F.col("_y"), F.col(f"_p{i}")
