@@ -5,10 +5,11 @@ that is determinised as texts need it.  It rests on one fact: a sequence of
 tokens is what the merges give exactly if each two neighbours stay apart when
 their own bytes are merged.  Reading left to right, the transducer follows
 every position from which the bytes read so far may still grow into a token,
-each with the one token path that leads there.  What all paths share is
-decided and emitted; a path's rest is never longer than the longest token, so
-the lookahead is bounded.  A state is the last token emitted and the open positions with their
-rests; each is one whole number, the rest's tokens above the trie node.
+each with the last token of the one path that leads there.  An arc's output is
+the last token of all bytes read; a piece's tokens are those outputs taken
+from its end, each as far back as the one after it is long.  A state is its open
+positions; each is one whole number, the last token above the trie node.  No
+position stays open for longer than the longest token, so states are bounded.
 
 Decoding runs an incremental UTF-8 machine over the tokens' bytes: a state is
 the sequence left incomplete so far; a token's effect from a state is worked
@@ -24,7 +25,6 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
-import itertools
 import sys
 from array import array
 from collections.abc import Iterable, Iterator, Sequence
@@ -67,7 +67,9 @@ class Transducer:
                 node = at
             self.ends[node] = rank
         self.width = (max(ranks.values()) + 1).bit_length()
-        self.digit = (1 << self.width) - 1
+        self.length = [0] * (max(ranks.values()) + 1)  # bytes of each token
+        for data, rank in ranks.items():
+            self.length[rank] = len(data)
         # rank by two tokens that make one
         self.joins = {ranks[a] << self.width | ranks[b]: rank for data, rank in ranks.items()
                       for i in range(1, len(data)) if (a := data[:i]) in ranks and (b := data[i:]) in ranks}
@@ -76,17 +78,9 @@ class Transducer:
         self._forget()
 
     def _forget(self) -> None:
-        start = (-1, 0)
+        start = (0,)
         self.states, self.number = [start], {start: 0}
-        self.arcs: dict[int, tuple[int, tuple[int, ...]]] = {}
-
-    def _tokens(self, path: int) -> tuple[int, ...]:
-        """The tokens of a path: each is a digit, one more than the token."""
-        width, out = self.width, []
-        while path:
-            out.append((path & self.digit) - 1)
-            path >>= width
-        return tuple(reversed(out))
+        self.arcs: dict[int, tuple[int, int]] = {}
 
     def _spines(self, token: int) -> tuple[list, list] | None:
         """What stands at a token's left and right border while it is merged:
@@ -113,78 +107,69 @@ class Transducer:
         """Whether merging the bytes of a and b gives a and b again: no merge
         across the border has its turn while both its parts stand there.  Of
         equal merges the left one goes first."""
-        left, right = self._spines(a), self._spines(b)
-        known = left is not None and right is not None
-        if known:
-            joins, width = self.joins, self.width
-            for x, x_from, x_to in left[1]:
-                x <<= width
-                for y, y_from, y_to in right[0]:
-                    rank = joins.get(x | y)
-                    if rank is not None and x_from < rank < x_to and y_from < rank <= y_to:
-                        known = False
+        known = self._meet(self._spines(a), self._spines(b))
         if len(self.apart) > ARCS_KEPT:
             self.apart.clear()
         self.apart[a << self.width | b] = known
         return known
 
-    def _arc(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        last, *paths = self.states[state]
-        child, ends, inner, apart, width, digit = self.child, self.ends, self.inner, self.apart, self.width, self.digit
-        grown, whole = [], -1
-        for entry in paths:
+    def _meet(self, left: tuple[list, list] | None, right: tuple[list, list] | None) -> bool:
+        if left is None or right is None:
+            return False
+        joins, width, heads = self.joins, self.width, right[0]
+        for x, x_from, x_to in left[1]:
+            x <<= width
+            for y, y_from, y_to in heads:
+                rank = joins.get(x | y)
+                if rank is not None and x_from < rank < x_to and y_from < rank <= y_to:
+                    return False
+        return True
+
+    def _arc(self, state: int, byte: int) -> tuple[int, int]:
+        child, ends, inner, apart, width = self.child, self.ends, self.inner, self.apart, self.width
+        grown, last = [], -1
+        for entry in self.states[state]:
             node = child.get((entry & NODE) << 8 | byte)
             if node is None:
                 continue
-            path = entry >> NODE_BITS
+            before = entry >> NODE_BITS  # one more than the token, 0 for none
             if inner[node]:
-                grown.append(path << NODE_BITS | node)
-            if whole < 0 and (token := ends[node]) >= 0:
-                before = (path & digit) - 1 if path else last
-                if before >= 0:
-                    known = apart.get(before << width | token)
+                grown.append(before << NODE_BITS | node)
+            if last < 0 and (token := ends[node]) >= 0:
+                if before:
+                    known = apart.get(before - 1 << width | token)
                     if known is None:
-                        known = self.stay_apart(before, token)
+                        known = self.stay_apart(before - 1, token)
                     if not known:
                         continue
-                whole = path << width | token + 1
-        if whole < 0:
+                last = token
+        if last < 0:
             raise ValueError("the vocabulary lacks a byte")
-        grown.append(whole << NODE_BITS)
-        emitted, shared = (), grown[0] >> NODE_BITS  # the tokens that every open path begins with
-        if shared:
-            found = [entry >> NODE_BITS for entry in grown]
-            size = [-(-path.bit_length() // width) for path in found]
-            shared, n = found[0], size[0]
-            for path, m in zip(found, size):
-                if m < n:
-                    shared, n = shared >> (n - m) * width, m
-                while path >> (m - n) * width != shared:
-                    shared, n = shared >> width, n - 1
-            if n:
-                emitted = self._tokens(shared)
-                last = emitted[-1]
-                grown = [(path & (1 << (m - n) * width) - 1) << NODE_BITS | entry & NODE for path, m, entry in zip(found, size, grown)]
-        after = (last, *grown)
+        grown.append(last + 1 << NODE_BITS)
+        after = tuple(grown)
         to = self.number.setdefault(after, len(self.states))
         if to == len(self.states):
             self.states.append(after)
-        self.arcs[state << 8 | byte] = arc = (to, emitted)
+        self.arcs[state << 8 | byte] = arc = (to, last)
         return arc
 
-    def encode(self, piece: bytes) -> tuple[int, ...]:
+    def encode(self, piece: bytes) -> list[int]:
         token = self.ranks.get(piece)
         if token is not None:
-            return (token,)
+            return [token]
         if len(self.arcs) > ARCS_KEPT:
             self._forget()
-        state, out, arcs = 0, [], self.arcs
+        state, lasts, arcs = 0, [], self.arcs
         for byte in piece:
-            arc = arcs.get(state << 8 | byte) or self._arc(state, byte)
-            state = arc[0]
-            if arc[1]:
-                out += arc[1]
-        return (*out, *self._tokens(self.states[state][-1] >> NODE_BITS))
+            state, last = arcs.get(state << 8 | byte) or self._arc(state, byte)
+            lasts.append(last)
+        out, at, length = [], len(lasts), self.length
+        while at:
+            last = lasts[at - 1]
+            out.append(last)
+            at -= length[last]
+        out.reverse()
+        return out
 
 
 class Utf8Machine:
@@ -258,7 +243,9 @@ class Codec:
     def encode(self, text: str | None) -> array:
         text = text or ""
         found = self.pattern.findall(text) if len(text) < LONG_TEXT else (m[0] for m in self.pattern.finditer(text))
-        return array("I", itertools.chain.from_iterable(map(self.pieces.__getitem__, found)))
+        ids = array("I")
+        ids.frombytes(b"".join(map(self.pieces.__getitem__, found)))
+        return ids
 
     def decode(self, ids: Sequence[int]) -> str:
         """Characters of the tokens.  As long as the machine is in its first
@@ -282,18 +269,18 @@ class Codec:
 
 
 class _Pieces(dict):
-    """Token ids by piece.  When it is full, what it holds becomes the former
+    """Token ids by piece, as bytes of an ``array("I")``.  When it is full, what it holds becomes the former
     generation; a piece found there moves up, the rest of it goes next time.
     So frequent pieces stay and rare ones don't pile up."""
 
     def __init__(self, fst: Transducer):
         self.fst, self.former = fst, {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str) -> bytes:
         if len(self) > PIECES_KEPT:
             self.former = dict(self)
             self.clear()
-        ids = self[piece] = self.former.get(piece) or self.fst.encode(piece.encode())
+        ids = self[piece] = self.former.get(piece) or array("I", self.fst.encode(piece.encode())).tobytes()
         return ids
 
 

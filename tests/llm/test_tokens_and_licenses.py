@@ -55,6 +55,15 @@ def test_lookahead_is_bounded():
     assert len(fst.states) < 100  # the same states again and again
 
 
+def test_words_share_states():
+    """Words of random syllables need few states: these hold no tokens but the last one."""
+    rng, fst = random.Random(9), byte_bpe.Transducer(RANKS)
+    words = ["".join(rng.choice("th er on an in re nd at ou ble tion".split()) for _ in range(rng.randint(3, 6))) for _ in range(3000)]
+    for word in words:
+        assert fst.encode(f" {word}".encode()) == ENCODING.encode_ordinary(f" {word}")
+    assert len(fst.states) < 6000
+
+
 def test_documents_and_columns(spark, documents):
     texts = [None, "", "plain words here", "plain words here", "naïve 中文 😀", "x" * 300_000, "a b " * 40_000]
     docs = documents(list(enumerate(texts)) + [(None, "no id")])
