@@ -6,6 +6,7 @@ from functools import reduce
 from operator import or_
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: d
     taken = [(F.col("label") == y) & (F.pmod(F.xxhash64("doc_id"), F.lit(span)) < span * min(1.0, per_class[y] / n))
              for y, n in counts.items()]
     ids = rows.where(reduce(or_, taken)).collect() if taken else []
-    picked = spark.createDataFrame([(r["doc_id"], r["label"]) for r in ids], "doc_id long, label int")
+    # by Arrow: rows of Python objects would take Python workers of their own on the executors
+    picked = spark.createDataFrame(pa.table({"doc_id": pa.array([r["doc_id"] for r in ids], pa.int64()),
+                                             "label": pa.array([r["label"] for r in ids], pa.int32())}))
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
     return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")), counts
 

@@ -112,6 +112,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: dic
     strength = np.abs(ratio) * np.sqrt(pos + neg)
     feature = strength > (np.partition(strength, -MAX_FEATURES)[-MAX_FEATURES])
     place = (np.cumsum(feature) - 1).astype(np.int32)
+    ratio = ratio[feature]
+    del total, neg, pos, strength  # the driver has little memory: the sample's features come next
 
     @F.pandas_udf("at array<int>, rate array<float>")
     def features(texts: pd.Series) -> pd.DataFrame:
@@ -121,20 +123,25 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: dic
     rows = sample.select("doc_id", "label", features("text").alias("f")).toArrow().sort_by("doc_id")
     y = rows["label"].to_numpy().astype(float)
     held = rows["f"].combine_chunks()
-    col = held.field("at").flatten().to_numpy()
+    col = held.field("at").flatten().to_numpy().astype(np.intp)
     row = np.repeat(np.arange(len(y)), held.field("at").value_lengths().to_numpy())
-    value = ratio[feature][col] * held.field("rate").flatten().to_numpy()
-    # logistic regression by Adam over the whole sample
+    value = ratio[col] * held.field("rate").flatten().to_numpy()
+    del rows, held
+    pa.default_memory_pool().release_unused()
+    # logistic regression by Adam over the whole sample; one array holds what is summed up
+    part = np.empty_like(value)
     v = np.zeros(int(feature.sum()))
     m, s, bias = np.zeros_like(v), np.zeros_like(v), 0.0
     for k in range(1, passes + 1):
-        error = sigmoid(np.bincount(row, weights=v[col] * value, minlength=len(y)) + bias) - y
-        g = np.bincount(col, weights=error[row] * value, minlength=len(v)) / len(y) + prior / len(y) * v
+        np.multiply(np.take(v, col, out=part, mode="clip"), value, out=part)
+        error = sigmoid(np.bincount(row, weights=part, minlength=len(y)) + bias) - y
+        np.multiply(np.take(error, row, out=part, mode="clip"), value, out=part)
+        g = np.bincount(col, weights=part, minlength=len(v)) / len(y) + prior / len(y) * v
         m, s = 0.9 * m + 0.1 * g, 0.999 * s + 0.001 * g * g
         v -= rate * (m / (1 - 0.9**k)) / (np.sqrt(s / (1 - 0.999**k)) + 1e-8)
         bias -= 0.5 * error.mean()
     weights = none.copy()
-    weights[feature] = v * ratio[feature]
+    weights[feature] = v * ratio
     return ToxicityModel(weights, float(bias))
 
 

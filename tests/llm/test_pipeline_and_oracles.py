@@ -5,13 +5,15 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import corpus_pipeline  # noqa: E402
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
 from oracle_check import compare, duck  # noqa: E402
-from strata.llm import jaccard_join, queries as llm_queries  # noqa: E402
+from strata.llm import jaccard_join, queries as llm_queries, workers  # noqa: E402
+from strata.llm.labelled import training_sample  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
 
@@ -88,3 +90,31 @@ def test_run_on_odd_tables(spark, documents, tmpdir_path):
     # empty ones fail the base rule, copies and the near copy go, the lines that repeat document 1's go from 5
     assert packed[6] == 20_000 and packed[None] == 65 and 60 in packed.values()
     assert set(packed) <= {1, 2, 5, 6, 7, None} and sum(n in (59, 60) for n in packed.values()) == 1
+
+
+def test_stages_bound_the_batches_of_python_workers(spark, documents, tmpdir_path):
+    """By bytes, not by rows alone: long texts come in several batches."""
+    spark.createDataFrame([(i, i % 2, i % 2) for i in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{tmpdir_path}/labels.parquet")
+    docs = documents([(i, "a long text " * 40_000) for i in range(60)]).coalesce(1)
+    former = spark.conf.getAll.get(workers.BATCH)
+    try:
+        spark.conf.unset(workers.BATCH)
+        corpus_pipeline.drop_toxic(spark, docs, tmpdir_path)
+        most = F.pandas_udf(lambda texts: texts.map(len) * 0 + texts.map(len).sum(), "long")
+        assert max(r["m"] for r in docs.select(most("text").alias("m")).collect()) < 3 * workers.BATCH_BYTES
+        spark.conf.set(workers.BATCH, "7m")  # what the session says holds
+        corpus_pipeline.drop_near_copies(spark, documents([(1, "one text")]), tmpdir_path)
+        assert spark.conf.get(workers.BATCH) == "7m"
+    finally:
+        spark.conf.unset(workers.BATCH)
+        if former is not None:
+            spark.conf.set(workers.BATCH, former)
+
+
+def test_the_sample_needs_no_python_rows(spark, documents):
+    """Ids reach the executors by Arrow, not through Python workers beside the others."""
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int").localCheckpoint()
+    docs = documents([(i, f"text {i}") for i in range(40)]).localCheckpoint().select("doc_id", "text")
+    sample, counts = training_sample(docs, labels, "toxic", {0: 5000, 1: 5000})
+    plan = sample._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1 and sample.count() == sum(counts.values())
