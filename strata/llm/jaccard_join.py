@@ -17,7 +17,10 @@ that a set of that size may differ from any partner).  Each set enters its own
 band, and the next one too if a partner may be there; equal segments of a band
 make candidates.  Empty segments would meet by chance, so there are some
 segments to spare, and a set with no more empty ones than that leaves them
-out: another segment must then be equal.
+out: another segment must then be equal.  So linked sets share not one key but
+as many as there are segments to spare beyond the empty ones (``need``): sets
+with fewer shared keys link with nothing, and at last, where all keys that two
+sets share are seen, pairs with fewer are left out.
 
 No pair is spelled out that components don't need.  Equal sets are one class,
 which stands for its copies.  In each segment key a leader, another one in
@@ -27,7 +30,9 @@ only the one that most of its keys name; later, of all pairs that meet between
 two components, one); the links found are contracted to components.  Keys whose members have become one component are done.  In the
 others, every member outside the key's largest component meets all members of
 other components.  Meeting first compares sizes and folded sketches, in the
-join, then the pairs' wide sketches; what is left is verified on the whole sets.
+join, then the pairs' wide sketches, which have a bit for each shingle at least:
+long sets that share no more than a few keys differ there too.  What is left is
+verified on the whole sets.
 
 Defined cases: null or empty texts, and those without words, have an empty
 set, link with nothing and are their own component; a text of fewer than
@@ -53,7 +58,7 @@ WORDS = 3
 SHARE = (90, 100)  # links from 90/100
 BAND = 1.5  # ratio of a band's largest to its least size
 FOLD = 4  # longs of the folded sketch
-WIDE = 16  # longs of the wide one, which pairs are compared by before their sets
+WIDE = 16  # least longs of the wide one, which pairs are compared by before their sets
 ROUNDS = 3
 IDS_BROADCAST = 1 << 20  # ids (8 MB) up to which they are sent to all tasks
 WORDS_KEPT = 300_000
@@ -103,29 +108,42 @@ def spare(apart: int, share=SHARE) -> int:
     return 1 + apart * 100 * (high - low) ** 2 // (16 * high**2)
 
 
-def segment_keys(s: np.ndarray, share=SHARE) -> np.ndarray:
-    """A hash for each (band, segment, combined hash) by which the set is joined."""
+def segments(s: np.ndarray, share=SHARE) -> tuple[np.ndarray, int]:
+    """A hash for each (band, segment, combined hash) by which the set is
+    joined, and the least number of them that any linked set has too."""
     apart = most_apart(len(s), share)
     if not apart:  # only an equal set links
-        return np.zeros(0, np.uint64)
-    band, out = int(np.log(len(s)) / np.log(BAND) + 1e-9), []
+        return np.zeros(0, np.uint64), 1
+    band, out, need = int(np.log(len(s)) / np.log(BAND) + 1e-9), [], []
     for b in (band, band + 1):
         if b > band and len(s) * share[1] < BAND**b * share[0] * (1 - 1e-9):
             continue  # no partner is that large
         widest = most_apart(int(np.ceil(BAND ** (b + 1))), share)
         spared = spare(widest, share)  # the same for all sets of the band
-        segments = widest + 1 + spared
-        at = ((s >> np.uint64(32)) % np.uint64(segments)).astype(np.int64)
-        word = np.zeros(segments, np.uint64)
+        parts = widest + 1 + spared
+        at = ((s >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+        word = np.zeros(parts, np.uint64)
         np.bitwise_xor.at(word, at, _mix(s * _M))
         # linked sets differ in at most ``apart`` of these, so more than ``spared`` are equal; if all of
         # the equal ones are empty, both sets have more empty ones than that
-        first = np.arange(min(segments, apart + 1 + spared), dtype=np.uint64)
-        filled = np.bincount(at, minlength=segments)[:len(first)] > 0
-        if np.count_nonzero(~filled) <= spared:
+        first = np.arange(min(parts, apart + 1 + spared), dtype=np.uint64)
+        filled = np.bincount(at, minlength=parts)[:len(first)] > 0
+        empty = np.count_nonzero(~filled)
+        if empty <= spared:
             first = first[filled]
+        need.append(spared + 1 - empty if empty <= spared else 1)
         out.append(_mix(_mix(word[first.astype(np.int64)] ^ (first + np.uint64(1)) * _M) * _M ^ np.uint64(b)))
-    return np.unique(np.concatenate(out))
+    return np.unique(np.concatenate(out)), int(min(need))
+
+
+def segment_keys(s: np.ndarray, share=SHARE) -> np.ndarray:
+    """The keys of ``segments``."""
+    return segments(s, share)[0]
+
+
+def wide_longs(size: int) -> int:
+    """Longs of a set's wide sketch: a power of two, and a bit for each shingle at least."""
+    return max(WIDE, 1 << max(0, -(-size // 64) - 1).bit_length())
 
 
 def folded(s: np.ndarray, longs: int = FOLD) -> np.ndarray:
@@ -136,15 +154,16 @@ def folded(s: np.ndarray, longs: int = FOLD) -> np.ndarray:
 
 
 def _sketch(words, share):
-    @F.pandas_udf("n long, d1 long, d2 long, fold array<long>, wide array<long>, keys array<long>")
+    @F.pandas_udf("n long, d1 long, d2 long, fold array<long>, wide array<long>, keys array<long>, need long")
     def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = []
             for t in texts:
                 s = shingles(t, words)
                 d = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
-                rows.append((len(s), d[0], d[1], folded(s).view(np.int64), folded(s, WIDE).view(np.int64), segment_keys(s, share).view(np.int64)))
-            yield pd.DataFrame(rows, columns=["n", "d1", "d2", "fold", "wide", "keys"])
+                keys, need = segments(s, share)
+                rows.append((len(s), d[0], d[1], folded(s).view(np.int64), folded(s, wide_longs(len(s))).view(np.int64), keys.view(np.int64), need))
+            yield pd.DataFrame(rows, columns=["n", "d1", "d2", "fold", "wide", "keys", "need"])
 
     return sketch
 
@@ -167,10 +186,18 @@ def _near(a: str, b: str, share):
 
 
 def _near_wide(share):
-    """The same of the wide sketches: columns na, wa, nb, wb."""
+    """The same of the wide sketches: columns na, wa, nb, wb.  A sketch of
+    twice the longs is folded to the other's; pairs that cannot be compared
+    (more than that, or no sketch) are kept."""
     low, high = share
-    distance = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
-    return (high + low) * distance <= (high - low) * (F.col("na") + F.col("nb"))
+
+    def fitted(w: str, other: str):
+        half = (F.size(w) / 2).cast("int")
+        halved = F.zip_with(F.slice(w, F.lit(1), half), F.slice(w, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(w) > F.size(other), halved).otherwise(F.col(w))
+
+    distance = F.aggregate(F.zip_with(fitted("wa", "wb"), fitted("wb", "wa"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    return F.coalesce((high + low) * distance <= (high - low) * (F.col("na") + F.col("nb")), F.lit(True))
 
 
 def _named(df: DataFrame, prefix: str, *more: str) -> DataFrame:
@@ -194,12 +221,16 @@ def _joined(docs: DataFrame, words: int, share, scratch: Scratch) -> DataFrame:
     classes = scratch.stored(sketches.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("id")), "classes")
     own = (of_docs.join(classes.where(F.col("id").isNotNull()).select("id", F.col("d1").alias("c1")),
                         (F.col("doc_id") == F.col("id")) & (F.col("d1") == F.col("c1")))
-           .select("id", "n", *(F.col("fold")[i].alias(f"f{i}") for i in range(FOLD)), "wide", "keys"))
+           .select("id", "n", *(F.col("fold")[i].alias(f"f{i}") for i in range(FOLD)), "wide", "keys", "need"))
     keyed = own.where(F.size("keys") > 0).select("id", F.explode("keys").alias("key"))
     shared = scratch.stored(keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key"), "keys")
     bare = scratch.stored(keyed.join(shared, "key"), "bare")  # both sides dealt anew: hot keys can be split
-    live = scratch.stored(bare.select("id").distinct(), "live")
-    narrow = scratch.stored(own.drop("keys").join(live, "id").dropDuplicates(["id"]), "narrow")
+    live = scratch.stored(bare.groupBy("id").agg(F.count("*").alias("shared")), "live")
+    # of rows that share an id one gives the sizes and the folded sketch, and there is no wide one
+    one = own.drop("keys").join(live, "id").groupBy("id").agg(
+        F.first("n").alias("n"), *(F.first(f"f{i}").alias(f"f{i}") for i in range(FOLD)),
+        F.when(F.count("*") == 1, F.first("wide")).alias("wide"), F.min("need").alias("need"), F.first("shared").alias("shared"))
+    narrow = scratch.stored(one.where("shared >= need").drop("shared"), "narrow")
     members = scratch.stored(bare.join(narrow.drop("wide"), "id"), "members")
     scratch.drop(shared, bare, of_docs, live)
 
@@ -207,9 +238,8 @@ def _joined(docs: DataFrame, words: int, share, scratch: Scratch) -> DataFrame:
     links = tested = labels = None
 
     def verify(pairs: DataFrame) -> None:
-        """Add the links among the pairs (a, b), a < b, to those known."""
+        """Add the links among the distinct pairs (a, b), a < b, to those known."""
         nonlocal links, tested
-        pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.stored(pairs, "pairs")
@@ -245,7 +275,7 @@ def _joined(docs: DataFrame, words: int, share, scratch: Scratch) -> DataFrame:
         ends = [F.least("m_c", "l_c").alias("c1"), F.greatest("m_c", "l_c").alias("c2")] if turn else [F.col("m_id").alias("c1")]
         met = (met.groupBy(*ends, "m_id", "l_id").agg(F.count("*").alias("keys")).groupBy(*(["c1", "c2"] if turn else ["c1"]))
                .agg(F.max_by(F.struct("m_id", "l_id"), F.struct("keys", "m_id", "l_id")).alias("x")).select("x.*"))
-        verify(met.select(F.least("m_id", "l_id").alias("a"), F.greatest("m_id", "l_id").alias("b")))
+        verify(met.select(F.least("m_id", "l_id").alias("a"), F.greatest("m_id", "l_id").alias("b")).distinct())
         labels = components(links, scratch)
         all_ = labelled()
         still = scratch.stored(all_.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("key"), "still")
@@ -256,10 +286,15 @@ def _joined(docs: DataFrame, words: int, share, scratch: Scratch) -> DataFrame:
     # what is left: in each key, those outside its largest component against all others
     sizes = open_.groupBy("key", "c").agg(F.count("*").alias("members"))
     major = scratch.stored(sizes.groupBy("key").agg(F.max_by("c", F.struct("members", "c")).alias("major")), "major")
-    minor = scratch.stored(open_.join(major, "key").where(F.col("c") != F.col("major")), "minor")
-    met = _named(open_, "m_", "c").join(_named(minor, "l_", "c").withColumnRenamed("key", "k"),
-                                        (F.col("key") == F.col("k")) & (F.col("m_c") != F.col("l_c")) & _near("m_", "l_", share))
-    verify(met.select(F.least("m_id", "l_id").alias("a"), F.greatest("m_id", "l_id").alias("b")))
+    sides = open_.join(major, "key").withColumn("minor", F.col("c") != F.col("major"))
+    minor = scratch.stored(sides.where("minor"), "minor")
+    # a key names a pair once, also if both are outside its largest component
+    met = _named(sides, "m_", "c", "need", "minor").join(_named(minor, "l_", "c", "need").withColumnRenamed("key", "k"),
+                                                         (F.col("key") == F.col("k")) & (F.col("m_c") != F.col("l_c")) & _near("m_", "l_", share)
+                                                         & (~F.col("m_minor") | (F.col("m_id") < F.col("l_id"))))
+    met = (met.groupBy(F.least("m_id", "l_id").alias("a"), F.greatest("m_id", "l_id").alias("b"))
+           .agg(F.count("*").alias("keys"), F.min(F.greatest("m_need", "l_need")).alias("need")).where("keys >= need"))
+    verify(met.select("a", "b"))
     labels = scratch.stored(components(links, scratch), "labels")
 
     joined = (sketches.select("doc_id", "n", "d1", "d2")

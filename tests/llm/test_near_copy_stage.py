@@ -2,8 +2,12 @@
 
 import random
 
+import numpy as np
+import pytest
+
 import corpus_pipeline
 from strata.llm import jaccard_join
+from strata.llm.store import Scratch
 from test_near import roots
 
 SF = "/root/testdata/sf0.01"
@@ -44,3 +48,47 @@ def test_stage_on_edited_copies(spark, documents):
     got = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, documents(rows), SF).collect()}
     assert got == brute_kept(rows)
     assert got != {r["component_id"] for r in jaccard_join.join_documents(documents(rows)).collect()}
+
+
+def test_long_strangers_are_not_compared_whole(spark, documents, monkeypatch):
+    """Long documents with a passage in common share some keys by chance.  Of
+    them only the near copies reach the comparison of whole sets, also where
+    the wide sketches of two copies differ in size."""
+    rng, rows, near = random.Random(12), [], []
+    passage = [f"p{i}" for i in range(500)]
+    for i in range(30):
+        rows.append((i, " ".join([f"w{rng.randrange(10**9)}" for _ in range(3500)] + passage)))
+    longer = rows[3][1] + "".join(f" more{i}" for i in range(200))
+    assert jaccard_join.wide_longs(3996) < jaccard_join.wide_longs(4196)
+    rows += [(100, longer), (101, rows[5][1].replace(" p0 ", " q "))]
+    stored = Scratch.stored
+
+    def counted(self, df, name):
+        out = stored(self, df, name)
+        if name == "near":
+            near.append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "stored", counted)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.join_documents(documents(rows), (80, 100), 5).collect()}
+    assert got == {i: {100: 3, 101: 5}.get(i, i) for i, _ in rows}
+    assert sum(near) == 2
+
+
+@pytest.mark.parametrize("share", [(80, 100), (90, 100)])
+def test_linked_sets_share_the_needed_keys(share):
+    rng, low, high = random.Random(13), *share
+    several = 0
+    for _ in range(500):
+        n = rng.choice([6, 9, 10, 11, 20, 57, 130, 400, 1500])
+        a = np.array(rng.sample(range(1 << 62), n), np.uint64)
+        left, more = rng.randrange(n // 4 + 1), rng.randrange(n // 4 + 1)
+        b = np.concatenate([a[left:], np.array(rng.sample(range(1 << 62), more), np.uint64)])
+        a, b = np.sort(a), np.sort(b)
+        common = n - left
+        if high * common < low * (n + more) or left == more == 0:
+            continue
+        (x, need_a), (y, need_b) = jaccard_join.segments(a, share), jaccard_join.segments(b, share)
+        assert len(np.intersect1d(x, y)) >= max(need_a, need_b) >= 1
+        several += max(need_a, need_b) > 1
+    assert several > 20
