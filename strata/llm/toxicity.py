@@ -32,6 +32,7 @@ BITS = 20
 ORDERS = (4, 5, 6)
 PER_CLASS = {1: 2000, 0: 4000}  # bound of the sample the classifier is fitted on
 MAX_FEATURES = 1 << 15
+BLOCK = 1 << 17  # entries of the sample's features that are summed at once
 CHUNK = 1 << 20  # characters hashed at once: bounds the memory for a very long text
 
 _STEP, _MIX = np.uint32(0x01000193), np.uint32(2654435761)
@@ -123,20 +124,34 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: dic
     rows = sample.select("doc_id", "label", features("text").alias("f")).toArrow().sort_by("doc_id")
     y = rows["label"].to_numpy().astype(float)
     held = rows["f"].combine_chunks()
-    col = held.field("at").flatten().to_numpy().astype(np.intp)
-    row = np.repeat(np.arange(len(y)), held.field("at").value_lengths().to_numpy())
-    value = ratio[col] * held.field("rate").flatten().to_numpy()
+    col, found, size = held.field("at").flatten().to_numpy(), held.field("rate").flatten().to_numpy(), held.field("at").value_lengths().to_numpy()
     del rows, held
     pa.default_memory_pool().release_unused()
-    # logistic regression by Adam over the whole sample; one array holds what is summed up
-    part = np.empty_like(value)
+    ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+
+    def blocks():
+        """(first row, end, row within the block, column, value of each of
+        its entries): rows of about BLOCK entries at once, so that only the
+        Arrow buffers grow with the sample."""
+        a = 0
+        while a < len(y):
+            b = max(a + 1, int(np.searchsorted(ends, ends[a] + BLOCK, side="right")) - 1)
+            at = col[ends[a]:ends[b]]
+            yield a, b, np.repeat(np.arange(b - a), size[a:b]), at, ratio[at] * found[ends[a]:ends[b]]
+            a = b
+
+    # logistic regression by Adam over the whole sample
+    margin = np.empty(len(y))
     v = np.zeros(int(feature.sum()))
     m, s, bias = np.zeros_like(v), np.zeros_like(v), 0.0
     for k in range(1, passes + 1):
-        np.multiply(np.take(v, col, out=part, mode="clip"), value, out=part)
-        error = sigmoid(np.bincount(row, weights=part, minlength=len(y)) + bias) - y
-        np.multiply(np.take(error, row, out=part, mode="clip"), value, out=part)
-        g = np.bincount(col, weights=part, minlength=len(v)) / len(y) + prior / len(y) * v
+        total = np.zeros(len(v))
+        for a, b, row, at, value in blocks():
+            margin[a:b] = np.bincount(row, weights=v[at] * value, minlength=b - a)
+        error = sigmoid(margin + bias) - y
+        for a, b, row, at, value in blocks():
+            np.add.at(total, at, error[a:b][row] * value)  # in the order of the entries, whatever the blocks
+        g = total / len(y) + prior / len(y) * v
         m, s = 0.9 * m + 0.1 * g, 0.999 * s + 0.001 * g * g
         v -= rate * (m / (1 - 0.9**k)) / (np.sqrt(s / (1 - 0.999**k)) + 1e-8)
         bias -= 0.5 * error.mean()

@@ -136,3 +136,17 @@ def test_trees_are_monotone_and_flattened_right():
         grid = np.repeat(x[:200], 40, 0)
         grid[:, f] = np.tile(np.linspace(-4, 4, 40), 200)
         assert (sign * np.diff(trees.score(grid).reshape(200, 40), axis=1) >= -1e-12).all()
+
+
+def test_toxicity_fit_in_blocks(spark, documents, monkeypatch):
+    """The fit sums its sample up in blocks: the weights are the same, to the
+    last bit, whether a block holds one row or all."""
+    rng = random.Random(21)
+    rows = [(i, " ".join(rng.choice(["good", "day", "the", "vile"] if i % 3 else ["vile", "scum", "the"]) for _ in range(rng.randrange(60)))) for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    found = []
+    for block in (1, 1000, 1 << 30):
+        monkeypatch.setattr(toxicity, "BLOCK", block)
+        model = toxicity.fit(documents(rows), labels)
+        found.append((model.weights.tobytes(), model.bias))
+    assert found[0] == found[1] == found[2] and any(found[0][0])
