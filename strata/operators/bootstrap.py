@@ -96,14 +96,19 @@ def partial_tasks(df: DataFrame) -> int:
     return max(1, df.sparkSession.sparkContext.defaultParallelism)
 
 
-def _reduce(parts: DataFrame, models: int, width: int, tasks: int) -> np.ndarray:
-    """Sum the tasks' rows (rep, vals[width]) into a models x width matrix, in
-    two levels where there are many."""
+def added(parts: DataFrame, tasks: int) -> pd.DataFrame:
+    """(rep, v): the sums of the tasks' rows (rep, vals) for each rep, in two
+    levels where there are many."""
     add = lambda df, by: df.groupBy(*by).agg(Summarizer.sum(F.col("v")).alias("v"))
     red = parts.select("rep", F.pmod(F.spark_partition_id(), F.lit(max(1, tasks // FAN_IN))).alias("part"), array_to_vector("vals").alias("v"))
     if tasks > FAN_IN:
         red = add(red, ["rep", "part"])
-    red = add(red, ["rep"]).select("rep", vector_to_array("v").alias("v")).toPandas()
+    return add(red, ["rep"]).select("rep", vector_to_array("v").alias("v")).toPandas()
+
+
+def _reduce(parts: DataFrame, models: int, width: int, tasks: int) -> np.ndarray:
+    """Sum the tasks' rows (rep, vals[width]) into a models x width matrix."""
+    red = added(parts, tasks)
     out = np.zeros((models, width))
     if len(red):
         out[red["rep"].to_numpy()] = np.stack(red["v"])

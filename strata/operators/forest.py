@@ -7,6 +7,9 @@ pass that keeps running votes, where separate fits would grow each size anew.
 Chunks bound what a fit holds (Spark ML keeps a bootstrap weight for each row
 and tree), and are independent jobs.
 
+On ``MANY_ROWS`` rows and more the trees of all chunks grow together, by Spark
+ML's algorithm on binned rows (``forest_histograms``), and become the same models.
+
 A forest votes as Spark ML's does: the trees' class shares are added up.
 """
 
@@ -24,11 +27,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.forest_histograms import grow, model
 from strata.operators.models import LABEL, WEIGHT, prepare
 
 CHUNK = 100  # trees of a fit at most
 JOBS = 2  # fits at once
-MANY_ROWS = 4_000_000  # rows from which on one fit fills the cores and the memory
+MANY_ROWS = 250_000  # rows from which on all trees grow together (``forest_histograms``)
 PART_ROWS = 250_000  # rows of a partition at most, about
 
 
@@ -112,12 +116,13 @@ class ChunkedForest:
 
 
 def grow_forest(df: DataFrame, features: Sequence[str], label: str, sizes: Sequence[int], depth: int = 3, seed: int = 43,
-                balanced: bool = False, max_bins: int = 256, chunk: int = CHUNK, jobs: int = JOBS) -> ChunkedForest:
+                balanced: bool = False, max_bins: int = 256, chunk: int = CHUNK, jobs: int = JOBS, many_rows: int = MANY_ROWS) -> ChunkedForest:
     """The forest of max(sizes) trees whose chunks end at each of ``sizes``."""
     data, n_rows = prepare(df, features, label, balanced)
+    if n_rows >= many_rows:
+        return _grow_together(df, data, features, label, chunk_sizes(sizes, chunk), depth, seed, balanced, max_bins, int(n_rows))
     data = data.select("features", LABEL, WEIGHT).repartition(partitions(int(n_rows), df.sparkSession.sparkContext.defaultParallelism))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)  # read by every chunk
-    jobs = 1 if n_rows >= MANY_ROWS else jobs  # a fit holds a weight for each row and tree of its chunk
     trees = chunk_sizes(sizes, chunk)
     firsts = [sum(trees[:i]) for i in range(len(trees))]
 
@@ -132,3 +137,16 @@ def grow_forest(df: DataFrame, features: Sequence[str], label: str, sizes: Seque
             return ChunkedForest(tuple(pool.map(fit, firsts, trees)), tuple(features))
     finally:
         data.unpersist()
+
+
+def _grow_together(df: DataFrame, data: DataFrame, features: Sequence[str], label: str, trees: list[int], depth: int, seed: int, balanced: bool, max_bins: int,
+                   n_rows: int) -> ChunkedForest:
+    """The same by passes over binned rows that serve all trees."""
+    classes = data.groupBy(LABEL).agg(F.first(WEIGHT).alias("w")).collect()
+    if any(r[LABEL] not in (0.0, 1.0) for r in classes):
+        raise ValueError(f"labels of a forest are 0 and 1, not {sorted({str(r[LABEL]) for r in classes})}")
+    weight = {r[LABEL]: r["w"] for r in classes}
+    weight = [weight.get(0.0, 1.0), weight.get(1.0, 1.0)]
+    grown, edges = grow(df, features, label, sum(trees), depth, seed, weight, n_rows, max_bins)
+    firsts = [sum(trees[:i]) for i in range(len(trees))]
+    return ChunkedForest(tuple(model(df.sparkSession, grown[a:a + n], edges, weight) for a, n in zip(firsts, trees)), tuple(features))

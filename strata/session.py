@@ -16,6 +16,9 @@ from pyspark.sql import SparkSession
 # Settings this library relies on.  AQE re-plans joins from runtime sizes
 # (its broadcast decision is a checked size, capped by the threshold below),
 # splits skewed sort-merge partitions and coalesces small shuffle partitions.
+# A Python worker gets rows in batches of some bytes: Spark's bound of 10,000
+# rows may be all blocks of a partition at once, held by the executor and by
+# its worker, more of them the larger the tables are.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -23,6 +26,7 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 * 1024 * 1024),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
