@@ -30,6 +30,7 @@ from pyspark import StorageLevel
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators.bootstrap import _POISSON_CDF, added, partial_tasks
 
@@ -307,6 +308,69 @@ def _split(nodes: dict[int, Node], asked, sums: np.ndarray, sizes: list[int], we
             nodes[2 * i], nodes[2 * i + 1] = Node(left), Node(right)
 
 
+def walks(trees: list[dict[int, Node]], edges: list[np.ndarray], class_weight: Sequence[float]) -> list[tuple]:
+    """Each tree for ``leaf_numbers``: (split or leaf number, class shares of its
+    leaves); a split is (feature, threshold, left, right).  Leaves that a model
+    merges vote as the merged one."""
+    weight, out = np.asarray(class_weight, float), []
+
+    def walk(nodes: dict[int, Node], i: int, shares: list):
+        """(split or leaf number, prediction if it is a leaf)"""
+        counts = nodes[i].counts * weight
+        if nodes[i].split:
+            held = len(shares)
+            (left, a), (right, b) = walk(nodes, 2 * i, shares), walk(nodes, 2 * i + 1, shares)
+            if a is None or a != b:
+                feature, last = nodes[i].split
+                return (feature, float(edges[feature][last]), left, right), None
+            del shares[held:]
+        shares.append(counts / counts.sum() if counts.sum() else counts)
+        return len(shares) - 1, int(counts.argmax())
+
+    for nodes in trees:
+        shares: list[np.ndarray] = []
+        tree = walk(nodes, 1, shares)[0]
+        out.append((tree, np.array(shares)))
+    return out
+
+
+def leaf_numbers(tree, x: list[np.ndarray], kind) -> np.ndarray:
+    """The leaf that each row of the feature columns ``x`` reaches."""
+    if not isinstance(tree, tuple):
+        return kind(tree)
+    feature, threshold, left, right = tree
+    return np.where(x[feature] <= threshold, leaf_numbers(left, x, kind), leaf_numbers(right, x, kind))
+
+
+def vote_sums(df: DataFrame, keep: Sequence[str], features: Sequence[str], chunks: list[list[tuple]], ends: Sequence[int]) -> DataFrame:
+    """``_keep0`` .. of the ``keep`` columns and the votes of both classes after
+    each of the chunks numbered ``ends``, as arrays ``_zero`` and ``_one``."""
+    n = len(keep)
+    rows = df.select(*[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)], *[F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)])
+    schema = T.StructType([*rows.schema.fields[:n], *[T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("_zero", "_one")]])
+
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, size = [c.to_numpy(zero_copy_only=False) for c in batch.columns[n:]], batch.num_rows
+            for f, c, v in zip(features, batch.columns[n:], x):
+                if c.null_count or np.isnan(v).any():
+                    raise ValueError(f"a forest votes on no null or NaN: {f}")
+            votes, found = np.zeros((2, size)), np.empty((2, size, len(ends)))
+            for i, trees in enumerate(chunks):
+                mine = np.zeros((2, size))
+                for tree, shares in trees:
+                    leaf = np.broadcast_to(leaf_numbers(tree, x, np.uint8 if len(shares) < 256 else np.uint32), size).astype(np.intp)
+                    mine[0] += shares[:, 0].take(leaf)
+                    mine[1] += shares[:, 1].take(leaf)
+                votes += mine
+                if i in ends:
+                    found[:, :, ends.index(i)] = votes
+            offsets = pa.array(np.arange(size + 1) * len(ends), pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *[pa.ListArray.from_arrays(offsets, pa.array(v.ravel())) for v in found]], names=[f.name for f in schema])
+
+    return rows.mapInArrow(vote, schema)
+
+
 def model(spark, trees: list[dict[int, Node]], edges: list[np.ndarray], class_weight: Sequence[float]) -> RandomForestClassificationModel:
     """The Spark ML model of some trees."""
     jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway

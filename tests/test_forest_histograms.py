@@ -7,7 +7,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from strata.operators import forest_histograms as h
-from strata.operators.forest import grow_forest
+from strata.operators.forest import ChunkedForest, grow_forest
 
 NAMES = ["a", "b", "c", "d", "e"]
 
@@ -77,6 +77,26 @@ def test_a_prefix_is_the_smaller_forest_and_models_walk_as_the_nodes(rows):
     assert tree.depth <= 3 and tree.transform(data).select("probability").distinct().count() <= tree.toDebugString.count("Predict")
 
 
+def test_votes_of_walked_trees_are_the_models(rows):
+    """To the last bit, for every size; merged leaves and depths alike."""
+    for depth in (1, 3, 6):
+        forest = grow_forest(rows, NAMES, "y", [5, 12, 20], depth=depth, chunk=10, many_rows=1)
+        assert len(forest.walks) == len(forest.chunks) == 4
+        slow = ChunkedForest(forest.chunks, forest.features)
+        votes = [{(r["id"], r["n_trees"]): (r["y"], r["prediction"], r["p1"]) for r in f.votes(rows, ["id", "y"], [5, 20]).collect()} for f in (forest, slow)]
+        assert len(votes[0]) == 6000 and votes[0] == votes[1]
+        assert forest.votes(rows, ["id", "y"], [5, 20]).schema == slow.votes(rows, ["id", "y"], [5, 20]).schema
+    assert forest.prefix(12).predict(rows, ["id"]).exceptAll(ChunkedForest(forest.chunks[:3], forest.features).predict(rows, ["id"])).count() == 0
+    with pytest.raises(Exception, match="null or NaN"):
+        forest.predict(rows.withColumn("a", F.lit(None).cast("double")), ["id"]).collect()
+
+
+def test_vectors_are_grown_on_by_spark_ml(spark, rows):
+    frame = VectorAssembler(inputCols=["a", "b"], outputCol="ab").transform(rows)
+    forest = grow_forest(frame, ["ab", "c"], "y", [3], many_rows=1)
+    assert not forest.walks and forest.predict(frame, ["id"]).count() == 3000
+
+
 def test_weights_are_poisson_and_balanced_classes_weigh_alike(spark, rows):
     table = h._weight_table()
     w = np.concatenate([h.tree_weights(1, t, 5, 40_000, table) for t in range(50)]).astype(float)
